@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from docketry.llm.decontaminate import contamination_report
 from docketry.llm.secret_scan import secret_report
+from docketry.llm.token_files import token_report
+
+#: A vocabulary file of the public tokenizers.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +23,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_report(spark, table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan,
+        op9_token_files,
+        op10_decontamination,
     )
 }
 
