@@ -8,6 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docketry.llm.decontaminate import contamination_report
+from docketry.llm.language_id import language_report
+from docketry.llm.mixing import mix
+from docketry.llm.quality import quality_report
 from docketry.llm.secret_scan import secret_report
 from docketry.llm.token_files import token_report
 
@@ -23,6 +26,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(spark, table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -35,6 +50,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan,
+        op2_language_id,
+        op3_quality,
+        op4_source_mix,
         op9_token_files,
         op10_decontamination,
     )
