@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docketry.llm.decontaminate import contamination_report
+from docketry.llm.knn_join import nearest_report
 from docketry.llm.language_id import language_report
 from docketry.llm.mixing import mix
+from docketry.llm.ngram_join import jaccard_components
 from docketry.llm.quality import quality_report
 from docketry.llm.secret_scan import secret_report
 from docketry.llm.token_files import token_report
+from docketry.llm.warc import warc_report
 
 #: A vocabulary file of the public tokenizers.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +41,18 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_report(spark, table(spark, sf_dir, "pages"))
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op8_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_report(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(spark, table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -53,6 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_id,
         op3_quality,
         op4_source_mix,
+        op6_warc,
+        op7_ngram_join,
+        op8_knn_join,
         op9_token_files,
         op10_decontamination,
     )
