@@ -60,22 +60,23 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         fits = w[:, :BLOCK] <= s
         if m < c:
             fits &= w[:, c - m : c - m + BLOCK] <= s
-        best[fits] = s
+        np.minimum(best, (fits.view(np.uint8) - np.uint8(1)) | np.uint8(s), out=best)  # s where it fits, else 255
 
-    ends = np.full(n_blocks, BLOCK)
-    ends[-1] = len(values) - (n_blocks - 1) * BLOCK
-    rows, pos = np.arange(n_blocks), np.zeros(n_blocks, np.int64)
-    at_row, at_pos = [], []
-    while len(rows):
-        at_row.append(rows)
-        at_pos.append(pos)
-        pos = pos + _STEP[best[rows, pos]]
-        go = pos < ends[rows]
-        rows, pos = rows[go], pos[go]
-    row, pos = np.concatenate(at_row), np.concatenate(at_pos)
-    order = np.argsort(row, kind="stable")
-    row, pos = row[order], pos[order]
-    selector = best[row, pos]
+    # All blocks go on word by word at once; a block's words start at its marked positions.
+    step = _STEP[best].ravel()
+    at = np.arange(n_blocks) * BLOCK
+    limit = at + BLOCK
+    limit[-1] = len(values)
+    marked = np.zeros(n_blocks * BLOCK, bool)
+    while len(at):
+        marked[at] = True
+        at = at + step[at]
+        if not (go := at < limit).all():
+            at, limit = at[go], limit[go]
+    start = np.flatnonzero(marked)
+    row = start // BLOCK
+    pos = start - row * BLOCK
+    selector = best.ravel()[start]
     words = selector.astype(np.uint64) << np.uint64(60)
     flat, first = table.ravel(), row * width + pos
     for s in np.unique(selector):

@@ -50,6 +50,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each range, wherever it stands."""
+    n = len(data)
+    up, down = _powers(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start])
+
+
 @dataclass
 class Words:
     """Words of consecutive texts: byte ranges, hashes, and for each text the range of its words."""
@@ -101,11 +110,7 @@ def words(texts: pa.Array, allowed: np.ndarray) -> Words:
     opens[edges] = inside[1:-1][edges]
     closes[edges[edges > 0] - 1] = inside[1:-1][edges[edges > 0] - 1]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
-    hashes = mix((sums[end] - sums[start]) * down[start])
-    return Words(data, start, end, hashes, np.searchsorted(start, at))
+    return Words(data, start, end, range_hashes(data, start, end), np.searchsorted(start, at))
 
 
 _SPREAD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)

@@ -12,35 +12,39 @@ that count. A lost executor therefore costs a rerun of its shards and leaves at
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.llm import simple8b
 from docketry.llm.shared import open_filesystem, scratch_path, stored
-from docketry.llm.textbytes import chunks
+from docketry.llm.textbytes import buffers, chunks, range_hashes
 
 MAGIC = b"DKTOKEN1"
-WRITE_BLOCKS = 1024
-CACHE_PIECES = 300_000
+WRITE_BLOCKS = 512
+CACHE_PIECES = 1_000_000
 
-_SPLIT = re.compile(r"(?<=\S)(?= \S)")
-_UNEVEN = re.compile(r"\s\s|^\s|\s$")
+#: White space other than single spaces and line feeds between other characters.
+_UNEVEN = r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK[list(b".,;:!?*$%&#|)(")] = True
 
 
 class CachedEncoder:
     """Byte-level BPE over whole texts, with the ids of recurring pieces kept.
 
-    A space between two other non-white characters always starts a new pre-token, so a text's ids are those of
-    its pieces, cut before such spaces. Pieces not seen lately are encoded by the tokenizer in one call. Texts
-    with other white space around a space go to the tokenizer whole.
+    Pre-tokens never cross these places: before a space or a line feed between other characters, behind such a
+    line feed, and between a letter and a mark of _MARK. So a text's ids are those of its pieces between them.
+    Pieces are found, hashed (64 bits, and their length) and looked up by array operations; those not seen
+    lately go to the tokenizer. Texts with any other white space go to the tokenizer whole.
     """
 
     def __init__(self, path: str, most: int = CACHE_PIECES) -> None:
@@ -48,6 +52,7 @@ class CachedEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.tokenizer.model._resize_cache(0)  # the pieces that reach it are new
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for s, i in vocabulary.items() if s.startswith("Ġ")]] = True
@@ -55,66 +60,106 @@ class CachedEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.zeros(0, np.int32)
-        self.at = np.zeros(1, np.int64)
-
-    def _add(self, keys: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        n = len(self.index)
-        self.index.update(zip(keys, range(n, n + len(keys)), strict=True))
-        self.flat = np.concatenate([self.flat, ids])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(counts)])
-
-    def _learn(self, keys: list[str]) -> None:
-        """Keys are words that follow a space, or (with a space in front) pieces that start a text."""
-        spaced = [k for k in keys if k[0] != " "]
-        ids = np.array(self._encode([" " + " ".join(spaced)])[0] if spaced else [], np.int32)
-        starts = np.flatnonzero(self.opens[ids])
-        if len(starts) == len(spaced):
-            self._add(spaced, ids, np.diff(np.append(starts, len(ids))))
+        """Forget all pieces. keys ascend; row[i] is the entry of keys[i]; an entry's ids are flat[at[e] : at[e + 1]]."""
+        self.keys, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+        self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _tokens(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """Add pieces with their (ascending) keys. Those with a space in front are encoded together."""
+        spaced = np.array([p[0] == 0x20 for p in pieces], bool)
+        joined = np.array(self._tokens([b"".join(p for p, s in zip(pieces, spaced, strict=True) if s).decode()])[0], np.int32)
+        starts = np.flatnonzero(self.opens[joined])
+        if len(starts) != spaced.sum():
+            spaced[:], joined, starts = False, joined[:0], starts[:0]
+        each = self._tokens([p.decode() for p, s in zip(pieces, spaced, strict=True) if not s])
+        counts = np.zeros(len(pieces), np.int64)
+        counts[spaced] = np.diff(np.append(starts, len(joined)))
+        counts[~spaced] = [len(x) for x in each]
+        order = np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])
+        n = len(self.at) - 1
+        self.flat = np.concatenate([self.flat, joined, np.array([i for x in each for i in x], np.int32)])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(counts[order])])
+        self.length = np.concatenate([self.length, np.array([len(p) for p in pieces])[order]])
+        row = np.empty(len(pieces), np.int64)
+        row[order] = np.arange(n, n + len(pieces))
+        where = np.searchsorted(self.keys, keys)
+        self.keys, self.row = np.insert(self.keys, where, keys), np.insert(self.row, where, row)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Token ids of each text; a null is empty."""
+        if len(self.keys) > self.most:
+            self._clear()
+        texts = texts.fill_null("")
+        data, at = buffers(texts)
+        whole = set(pc.indices_nonzero(pc.match_substring_regex(texts, _UNEVEN)).to_pylist())
+        n = len(data)
+        cut = np.zeros(n + 1, bool)
+        feed = data == 0x0A
+        cut[:n] = (data == 0x20) | feed
+        cut[1:] |= feed
+        cut[1:n] |= _MARK[data[1:]] & _LETTER[data[: n - 1]]
+        cut[at] = True
+        start = np.flatnonzero(cut[:n])
+        end = np.append(start[1:], n)
+        hashes = range_hashes(data, start, end)
+        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        same = (end - start)[first][which] == end - start
+        where = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = where < len(self.keys)
+        known[inside] = self.keys[where[inside]] == keys[inside]
+        piece_text = np.searchsorted(at, start, "right") - 1
+        if whole:
+            even = np.ones(len(texts), bool)
+            even[list(whole)] = False
+            wanted = np.zeros(len(keys), bool)
+            wanted[which[even[piece_text]]] = True
+            first_even = np.full(len(keys), -1)
+            own = np.flatnonzero(even[piece_text])[::-1]
+            first_even[which[own]] = own
+            first = np.where(wanted, first_even, first)
+        else:
+            wanted = np.ones(len(keys), bool)
+        if (new := np.flatnonzero(wanted & ~known)).size:
+            raw = data.tobytes()
+            self._learn(keys[new], [raw[i:j] for i, j in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            where = np.searchsorted(self.keys, keys)
+        row = self.row[np.minimum(where, len(self.row) - 1)][which] if len(self.row) else which
+        if len(self.row):
+            same &= self.length[row] == end - start
+        whole |= set(np.unique(piece_text[~same]).tolist())  # equal hashes of unequal pieces, or texts that need none
+        if len(self.row):
+            counts = self.at[row + 1] - self.at[row]
+            if whole:
+                skipped = np.zeros(len(texts), bool)
+                skipped[list(whole)] = True
+                counts[skipped[piece_text]] = 0
+            ends = np.cumsum(counts)
+            total = int(ends[-1]) if len(ends) else 0
+            ids = self.flat[np.repeat(self.at[row] - ends + counts, counts) + np.arange(total)]
+            cuts = np.append(0, ends)[np.searchsorted(start, at)]
         else:
-            self._add_each(spaced, [" " + k for k in spaced])
-        first = [k for k in keys if k[0] == " "]
-        self._add_each(first, [k[1:] for k in first])
+            ids, cuts = self.flat, np.zeros(len(at), np.int64)
+        out = [ids[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        rest = sorted(whole)
+        for i, x in zip(rest, self._tokens([texts[i].as_py() for i in rest]), strict=True):
+            out[i] = np.array(x, np.int32)
+        return out
 
-    def _add_each(self, keys: list[str], texts: list[str]) -> None:
-        if keys:
-            each = self._encode(texts)
-            self._add(keys, np.array([i for x in each for i in x], np.int32), np.array([len(x) for x in each]))
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+_ENCODERS: dict[str, CachedEncoder] = {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        if len(self.index) > self.most:
-            self._clear()
-        whole = {i for i, t in enumerate(texts) if _UNEVEN.search(t)}
-        pieces: list[str] = []
-        n_pieces = []
-        for i, t in enumerate(texts):
-            if i in whole or not t:
-                n_pieces.append(0)
-                continue
-            p = t.split(" ")
-            p[0] = " " + p[0]
-            n_pieces.append(len(p))
-            pieces += p
-        get = self.index.get
-        found = [get(p, -1) for p in pieces]
-        if missing := {p for p, k in zip(pieces, found, strict=True) if k < 0}:
-            self._learn(sorted(missing))
-            found = [self.index[p] for p in pieces]
-        at = np.array(found, np.int64)
-        n = self.at[at + 1] - self.at[at] if len(at) else at
-        ends = np.cumsum(n)
-        ids = self.flat[np.repeat(self.at[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)] if len(at) else self.flat[:0]
-        cuts = np.append(0, ends)[np.cumsum(n_pieces)]
-        out = np.split(ids, cuts[:-1])
-        order = sorted(whole)
-        for i, e in zip(order, self._encode([texts[i] for i in order]) if order else [], strict=True):
-            out[i] = np.array(e, np.int32)
-        return out
+
+def _encoder(path: str) -> CachedEncoder:
+    """The worker's encoder of a vocabulary file; it serves all tasks of the worker."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = CachedEncoder(path)
+    return _ENCODERS[path]
 
 
 class ShardWriter:
@@ -131,11 +176,13 @@ class ShardWriter:
         self.escaped: list[np.ndarray] = []
         self.docs: list[tuple[int | None, int]] = []
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append((doc_id, len(ids)))
-        self.n_tokens += len(ids)
-        self.waiting.append(ids)
-        self.n_waiting += len(ids)
+    def add(self, doc_id: int | None, ids: np.ndarray, end: np.ndarray) -> None:
+        """A document of ids and, after them, end."""
+        n = len(ids) + len(end)
+        self.docs.append((doc_id, n))
+        self.n_tokens += n
+        self.waiting += [ids, end]
+        self.n_waiting += n
         if self.n_waiting >= WRITE_BLOCKS * simple8b.BLOCK:
             self._flush(self.n_waiting - self.n_waiting % simple8b.BLOCK)
 
@@ -211,15 +258,15 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, encoder = None, None
+        writer = None
         uri = f"{folder}/shard-{uuid.uuid4().hex}.tok"
         end = np.array([end_id], np.int32)
         for b in batches:
             texts = b.column(1)
             for lo, hi in chunks(texts):
-                writer, encoder = writer or ShardWriter(uri), encoder or CachedEncoder(tokenizer_path)
-                for i, ids in zip(b.column(0)[lo:hi].to_pylist(), encoder.encode([t or "" for t in texts[lo:hi].to_pylist()]), strict=True):
-                    writer.add(i, np.append(ids, end))
+                writer = writer or ShardWriter(uri)
+                for i, ids in zip(b.column(0)[lo:hi].to_pylist(), _encoder(tokenizer_path).encode(texts[lo:hi]), strict=True):
+                    writer.add(i, ids, end)
         if writer:
             writer.close()
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([uri]), pa.array([len(writer.docs)]), pa.array([writer.n_tokens])], names=["shard", "uri", "n_docs", "n_tokens"])
