@@ -47,9 +47,10 @@ def running_sum(df: DataFrame, part: str, order: list[str], fine: Column, coarse
     large = small.groupBy(part, "__coarse").agg(F.sum("__sum").alias("__sum"))
     small = small.select(part, "__coarse", "__fine", earlier("__sum", [part, "__coarse"], ["__fine"]).alias("__small"))
     large = large.select(part, "__coarse", earlier("__sum", [part], ["__coarse"]).alias("__large"))
-    starts = small.join(large, [part, "__coarse"]).select(part, "__fine", (F.col("__small") + F.col("__large")).alias("__start"))
+    # The sizes of derived tables are underestimated, so the joins say not to broadcast.
+    starts = small.join(large.hint("merge"), [part, "__coarse"]).select(part, "__fine", (F.col("__small") + F.col("__large")).alias("__start"))
     inner = df.withColumn("__inner", earlier("__value", [part, "__fine"], order))
-    return inner.join(starts, [part, "__fine"]).withColumn(name, F.col("__start") + F.col("__inner")).drop("__fine", "__value", "__inner", "__start")
+    return inner.join(starts.hint("merge"), [part, "__fine"]).withColumn(name, F.col("__start") + F.col("__inner")).drop("__fine", "__value", "__inner", "__start")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
@@ -75,6 +76,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return rows.select("source_id", "source", "source_size", "target", F.floor(F.col("target") + 0.5).alias("budget"))
 
 
+def few(sources: DataFrame) -> bool:
+    """Whether a table with a row for each source may be broadcast."""
+    return sources.count() <= BROADCAST_SOURCES
+
+
 def slots(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(slot, source_id, block): the schedule's slots, each with the block of its source's stream that it takes."""
     everything = Window.partitionBy()
@@ -86,12 +92,12 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     low = F.coalesce(F.sum("budget").over(before), F.lit(0))
     plan = plan.withColumn("lo", F.floor(low / F.col("all") * cells)).withColumn("hi", F.floor((low + F.col("budget")) / F.col("all") * cells))
     runs = plan.where("hi > lo").withColumn("at", F.explode(F.sequence("lo", F.col("hi") - 1, F.lit(_CHUNK).cast("long"))))
-    points = runs.repartition("source_id", "at").select("source_id", "n", "bits", F.explode(F.sequence("at", F.least(F.col("at") + _CHUNK, "hi") - 1)).alias("v"))
+    points = runs.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_id", "at").select("source_id", "n", "bits", F.explode(F.sequence("at", F.least(F.col("at") + _CHUNK, "hi") - 1)).alias("v"))
     mirrored = F.expr("cast(conv(reverse(lpad(bin(v), bits, '0')), 2, 10) as bigint)")
     points = points.select("source_id", "n", mirrored.alias("slot")).where("slot < n").drop("n")
     ranked = running_sum(points, "source_id", ["slot"], F.shiftright("slot", 8), F.shiftright("slot", 16), F.lit(1), "block")
     budgets = plan.select("source_id", "blocks", "n")
-    used = ranked.join(F.broadcast(budgets), "source_id").where("block < blocks").select("slot", "source_id", "block")
+    used = ranked.join(F.broadcast(budgets) if few(sources) else budgets.hint("merge"), "source_id").where("block < blocks").select("slot", "source_id", "block")
     had = points.groupBy("source_id").agg(F.count("*").alias("had"))
     short = budgets.join(had, "source_id", "left").withColumn("had", F.coalesce("had", F.lit(0))).where("had < blocks")
     rest = short.withColumn("block", F.explode(F.sequence("had", F.col("blocks") - 1)))
@@ -104,8 +110,7 @@ def placed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     narrow = stored(narrow.withColumn("key", F.xxhash64(F.lit("order"), "doc_id", "size")), "mix-sizes")
     sources = stored(source_targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), **how), "mix-sources")
     small = sources.select("source_id", F.col("source").alias("__source"), "source_size")
-    if sources.count() <= BROADCAST_SOURCES:
-        small = F.broadcast(small)
+    small = F.broadcast(small) if few(sources) else small.hint("merge")
     known = narrow.join(small, narrow["source"].eqNullSafe(small["__source"])).drop("__source")
     placed = running_sum(known, "source_id", ["key", "doc_id"], F.shiftright("key", 48), F.shiftright("key", 56), F.col("size"), "place")
     return stored(placed.drop("key"), "mix-placed"), sources
@@ -117,13 +122,12 @@ def mix_schedule(placed: DataFrame, sources: DataFrame, block_words: int = BLOCK
     start counts words from the document's first. Blocks have block_words words, but for the last of a source.
     """
     budget = sources.select("source_id", "budget")
-    if sources.count() <= BROADCAST_SOURCES:
-        budget = F.broadcast(budget)
+    budget = F.broadcast(budget) if few(sources) else budget.hint("merge")
     rows = placed.where("size > 0").join(budget, "source_id").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(MOST_PASSES - 1))))
     rows = rows.withColumn("lo", F.col("place") + F.col("pass") * F.col("source_size")).withColumn("hi", F.least(F.col("lo") + F.col("size"), "budget")).where("hi > lo")
     block = F.lit(block_words).cast("long")
     rows = rows.withColumn("block", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor((F.col("hi") - 1) / block))))
-    taken = slots(sources, block_words).join(rows, ["source_id", "block"])
+    taken = slots(sources, block_words).hint("merge").join(rows, ["source_id", "block"])
     start, end = F.greatest(F.col("block") * block, "lo"), F.least((F.col("block") + 1) * block, "hi")
     return taken.select("slot", "source_id", "doc_id", "size", "place", "pass", (start - F.col("lo")).alias("start"), (end - start).alias("n_words"))
 
@@ -137,8 +141,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     placed, sources = placed_documents(docs, id_col, text_col, source_col, **how)
     taken = mix_schedule(placed, sources, block_words).groupBy("source_id", "place", "size", F.col("doc_id").alias("__doc")).agg(F.sum("n_words").alias("taken"))
     targets = sources.select("source_id", "target")
-    if sources.count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
+    targets = F.broadcast(targets) if few(sources) else targets.hint("merge")
     same = (placed["source_id"] == taken["source_id"]) & (placed["place"] == taken["place"]) & (placed["size"] == taken["size"]) & placed["doc_id"].eqNullSafe(taken["__doc"])
-    rows = placed.join(taken.select("source_id", "place", "size", "__doc", "taken"), same, "left").select(placed["*"], "taken").join(targets, "source_id")
+    rows = placed.join(taken.select("source_id", "place", "size", "__doc", "taken").hint("merge"), same, "left").select(placed["*"], "taken").join(targets, "source_id")
     return rows.select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+
