@@ -146,3 +146,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = placed.join(taken.select("source_id", "place", "size", "__doc", "taken").hint("merge"), same, "left").select(placed["*"], "taken").join(targets, "source_id")
     return rows.select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The rows of docs, each as many times as the mix takes most of it (0 to MOST_PASSES).
+
+    Rows that repeat an id, a source and a size share what is taken of them evenly, rounded.
+    """
+    taken = mix(docs, id_col, text_col, source_col, **how).where("taken > 0")
+    copies = taken.groupBy(F.col(id_col).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__copies")).where("__copies > 0")
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")) & (word_count(F.col(text_col)) == F.col("__size"))
+    rows = docs.join(copies.hint("merge"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return rows.select(*(docs[c] for c in docs.columns))
