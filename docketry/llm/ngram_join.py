@@ -9,16 +9,18 @@ such sets of a size class can differ: then at least 1 + m parts are equal. The h
 of them.) Sets also emit keys of the next lower class if a partner may be there. Sets that share keys, directly
 or by others, form a cluster, so all links run within clusters, and clusters of unrelated texts are rare.
 
-Token-group matrix. A cluster is compared in units of at most two blocks of sets. In a unit, sets are put into
-groups by similarity (size and least token), and the matrix records which tokens occur in each group's union.
-A query's overlap with a group's union bounds its overlap with every member; only groups whose bound reaches
-what the sizes demand are opened, and their members are verified exactly. A unit returns a spanning forest of
-the links it verified; components of all forests are the result. So neither copies nor a cluster of thousands of
-near copies produce a row per pair.
+Token-group matrix. Sets are put into groups by similarity (size and least token), and the matrix records which
+tokens occur in each group's union. A query's overlap with a group's union bounds its overlap with every member;
+only groups whose bound reaches what the sizes demand are opened, and their members are verified exactly.
+A cluster of one block is compared by one task. Blocks of larger clusters are written once to the shared folder,
+and each pair of sides (some blocks) is compared by a task that reads just these, so however large a cluster of
+near copies is, tasks stay small and sets are shuffled once. Tasks return spanning forests of the links they
+verified, never a row per pair; components of all forests are the result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.components import connected_components
-from docketry.llm.shared import stored
+from docketry.llm.shared import open_filesystem, scratch_path, stored
 from docketry.llm.textbytes import NOT_WHITE, chunks, mix, ngrams, words
 
 N_WORDS = 3
@@ -38,6 +40,8 @@ LEAST_PART = 3
 #: Sets in a block of a large cluster, and in a group of the matrix.
 BLOCK = 128
 GROUP = 16
+#: Blocks on each side of a comparison between blocks.
+SIDE_BLOCKS = 4
 
 _U64 = np.uint64
 
@@ -136,46 +140,70 @@ class Forest:
             self.edges.append((i, j))
 
 
-def linked(tokens: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among sets; if two sides are given, of the links between them alone."""
+def linked(tokens: list[np.ndarray], percent: int, split: int = 0) -> list[tuple[int, int]]:
+    """A spanning forest of the links among sets; with a split, of those between the first `split` sets and the rest."""
     sizes = np.array([len(t) for t in tokens])
-    order = np.lexsort((np.array([t[0] for t in tokens]), sizes))  # tokens ascend: the first is a min-hash
-    sizes, side = sizes[order], side[order]
+    # Members are grouped in order of size; tokens ascend, so the first of a set is its min-hash.
+    order = np.lexsort((np.array([t[0] for t in tokens]), sizes, np.arange(len(tokens)) >= split))
+    sizes = sizes[order]
     flat = np.concatenate([tokens[i] for i in order])
     first = np.append(0, np.cumsum(sizes))
     names, column = np.unique(flat, return_inverse=True)
-    mixed = len(set(side.tolist())) > 1
     forest = Forest(len(sizes))
-    groups = [(g, min(g + GROUP, len(sizes))) for g in range(0, len(sizes), GROUP)]
-    matrix = np.zeros((len(groups), len(names)), bool)
-    for g, (lo, hi) in enumerate(groups):
-        matrix[g, column[first[lo] : first[hi]]] = True
-    for g, (lo, hi) in enumerate(groups):
-        # Sets stand in order of size, so the queries of a group are its members and all before it.
-        overlap = np.add.reduceat(matrix[g, column[: first[hi]]].astype(np.int64), first[:hi])
-        least = np.maximum(sizes[:hi], sizes[lo])
-        demand = -(-percent * (sizes[:hi] + least) // (100 + percent))
-        opened = np.flatnonzero((overlap >= demand) & (100 * sizes[:hi] >= percent * sizes[lo]))
-        if not len(opened):
+    for lo in range(split, len(sizes), GROUP):
+        hi = min(lo + GROUP, len(sizes))
+        upto = split or hi  # queries: the other side, or the members and all sets before them
+        near = np.flatnonzero((100 * sizes[:upto] >= percent * sizes[lo]) & (100 * sizes[hi - 1] >= percent * sizes[:upto]))
+        near = near[100 * np.minimum(sizes[near], sizes[hi - 1]) >= percent * np.maximum(sizes[near], sizes[lo])]
+        if not len(near):
             continue
-        union = np.flatnonzero(matrix[g])
+        # The group's row of the token-group matrix: a column for each token of its union.
+        union = np.unique(column[first[lo] : first[hi]])
         place = np.full(len(names), len(union))
         place[union] = np.arange(len(union))
+
+        def tokens_of(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            n = sizes[which]
+            start = np.cumsum(n) - n
+            return place[column[np.repeat(first[which] - start, n) + np.arange(n.sum())]], start
+
+        at, start = tokens_of(near)
+        overlap = np.add.reduceat((at < len(union)).astype(np.int64), start)
+        demand = -(-percent * (sizes[near] + np.maximum(sizes[lo], -(-percent * sizes[near] // 100))) // (100 + percent))
+        opened = near[overlap >= demand]
+        if not len(opened):
+            continue
         members = np.zeros((hi - lo, len(union) + 1), np.float32)
         members[np.repeat(np.arange(hi - lo), sizes[lo:hi]), place[column[first[lo] : first[hi]]]] = 1
-        n = sizes[opened]
-        at = np.repeat(first[opened] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        common = np.add.reduceat(members[:, place[column[at]]], np.cumsum(n) - n, axis=1).astype(np.int64).T
-        either = n[:, None] + sizes[lo:hi] - common
+        at, start = tokens_of(opened)
+        common = np.add.reduceat(members[:, at], start, axis=1).astype(np.int64).T
+        either = sizes[opened][:, None] + sizes[lo:hi] - common
         ok = (100 * common >= percent * either) & (opened[:, None] < np.arange(lo, hi))
-        if mixed:
-            ok &= side[opened][:, None] != side[lo:hi]
         q, m = np.nonzero(ok)
         for i, j in zip(opened[q].tolist(), (m + lo).tolist(), strict=True):
             forest.join(i, j)
     return [(int(order[i]), int(order[j])) for i, j in forest.edges]
 
 
+def _packed(ids: list[int], sets: list[np.ndarray]) -> bytes:
+    """A block of sets as bytes: count, ids, sizes, tokens."""
+    return b"".join([np.array([len(ids), *ids, *map(len, sets)], "<i8").tobytes(), *(x.astype("<u8").tobytes() for x in sets)])
+
+
+def _unpacked(data: bytes) -> tuple[list[int], list[np.ndarray]]:
+    head = np.frombuffer(data, "<i8")
+    n = int(head[0])
+    cuts = np.append(0, np.cumsum(head[n + 1 : 2 * n + 1])).tolist()
+    tokens = head[2 * n + 1 :].view(np.uint64)
+    return head[1 : n + 1].tolist(), [tokens[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _links(ids: list[int], sets: list[np.ndarray], percent: int, split: int = 0) -> list[tuple[int, int]]:
+    if len(ids) - split < (1 if split else 2):
+        return []
+    return [(ids[i], ids[j]) for i, j in linked(sets, percent, split)]
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows ordered by (key, node): a link of each further node of a key to the key's first node."""
     key = lead = last = None
@@ -242,35 +270,79 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pa.record_batch([c[lo:hi].take(pa.array(own)) for c in b.columns[1:]] + [lists.take(pa.array(own))], names=["node", "cluster", "blocks", "tokens"])
 
     sets = rows.join(wanted, "id").select("text", "node", "cluster", "blocks").mapInArrow(tokenize, "node long, cluster long, blocks long, tokens array<long>")
-    sets = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    units = sets.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "tokens")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, ids, blocks, sets_ = None, [], [], []
-
-        def flush() -> list[tuple[int, int]]:
-            _, at = np.unique(np.array(ids, np.int64), return_index=True)  # repeated rows
-            if len(at) < 2:
-                return []
-            return [(ids[at[i]], ids[at[j]]) for i, j in linked([sets_[i] for i in at], np.array(blocks)[at], percent)]
+    placed = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("cluster", "block", "blocks", "node", "tokens")
+    folder = scratch_path(docs.sparkSession, "set-blocks")
+
+    def compare_or_keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links within clusters of one block; blocks of larger clusters go to a file, and where they are is returned."""
+        unit, ids, sets_ = None, [], []
+        uri, out, at = f"{folder}/{uuid.uuid4().hex}.sets", None, 0
+        links: list[tuple[int, int]] = []
+        kept: list[tuple] = []
+
+        def flush() -> None:
+            nonlocal out, at
+            _, own = np.unique(np.array(ids, np.int64), return_index=True)  # repeated rows
+            of, what = [ids[i] for i in own], [sets_[i] for i in own]
+            if unit[2] == 1:
+                links.extend(_links(of, what, percent))
+                return
+            if out is None:
+                fs, path = open_filesystem(uri)
+                fs.create_dir(path.rpartition("/")[0], recursive=True)
+                out = fs.open_output_stream(path)
+            data = _packed(of, what)
+            out.write(data)
+            kept.append((unit[0], unit[1], uri, at, len(data)))
+            at += len(data)
 
         for b in batches:
-            found = []
-            c, i, j, own, node = (np.asarray(b.column(k)).tolist() for k in range(5))
-            flat = np.asarray(b.column(5).flatten()).view(np.uint64)
-            ends = np.append(0, np.cumsum(np.asarray(b.column(5).value_lengths(), np.int64)))
-            for r in range(len(c)):
-                if (c[r], i[r], j[r]) != unit:
-                    found += flush() if ids else []
-                    unit, ids, blocks, sets_ = (c[r], i[r], j[r]), [], [], []
+            cluster, block, blocks, node = (np.asarray(b.column(k)).tolist() for k in range(4))
+            flat = np.asarray(b.column(4).flatten()).view(np.uint64)
+            ends = np.append(0, np.cumsum(np.asarray(b.column(4).value_lengths(), np.int64)))
+            for r in range(len(node)):
+                if (cluster[r], block[r], blocks[r]) != unit:
+                    if ids:
+                        flush()
+                    unit, ids, sets_ = (cluster[r], block[r], blocks[r]), [], []
                 ids.append(node[r])
-                blocks.append(own[r])
                 sets_.append(flat[ends[r] : ends[r + 1]].copy())
-            yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
-        found = flush() if ids else []
-        yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
-
-    links = units.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(compare, "a long, b long")
+        if ids:
+            flush()
+        if out is not None:
+            out.close()
+        n, m = len(links), len(kept)
+        columns = [[x for x, _ in links] + [None] * m, [y for _, y in links] + [None] * m, *([None] * n + [x[i] for x in kept] for i in range(5))]
+        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.int64()] * 2
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "cluster", "block", "uri", "at", "size"])
+
+    def compare_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for left, right in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                sides = []
+                for side in (left, right) if left != right else (left,):
+                    ids: list[int] = []
+                    sets_: list[np.ndarray] = []
+                    for piece in side:
+                        fs, path = open_filesystem(piece["uri"])
+                        with fs.open_input_file(path) as f:
+                            i, x = _unpacked(f.read_at(piece["size"], piece["at"]))
+                        ids += i
+                        sets_ += x
+                    sides.append((ids, sets_))
+                (ids, sets_), *rest = sides
+                found = _links(ids + rest[0][0], sets_ + rest[0][1], percent, len(ids)) if rest else _links(ids, sets_, percent)
+                yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    done = placed.repartition(n_tasks, "cluster", "block").sortWithinPartitions("cluster", "block")
+    done = stored(done.mapInArrow(compare_or_keep, "a long, b long, cluster long, block long, uri string, at long, size long"), "set-links")
+    side = done.where("uri is not null").withColumn("side", F.expr(f"block div {SIDE_BLOCKS}")).groupBy("cluster", "side").agg(F.array_sort(F.collect_list(F.struct("uri", "at", "size"))).alias("pieces"))
+    side = stored(side, "set-sides")
+    other = side.select(F.col("cluster").alias("c"), F.col("side").alias("s"), F.col("pieces").alias("others"))
+    units = side.join(other.hint("merge"), (F.col("cluster") == F.col("c")) & (F.col("side") <= F.col("s")))
+    across = units.select("pieces", "others", "cluster", "side", "s").repartition(n_tasks, "cluster", "side", "s").select("pieces", "others").mapInArrow(compare_kept, "a long, b long")
+    links = done.where("a is not null").select("a", "b").unionByName(across)
     roots = connected_components(links)
     # Of each node its component's smallest id; nodes without links have their own.
     joined = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
