@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docketry.llm.decontaminate import contamination_report
 from docketry.llm.knn_join import nearest_report
 from docketry.llm.language_id import language_report
+from docketry.llm.line_dedup import line_report
 from docketry.llm.mixing import mix
 from docketry.llm.ngram_join import jaccard_components
 from docketry.llm.quality import quality_report
@@ -41,6 +42,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_report(spark, table(spark, sf_dir, "pages"))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_id,
         op3_quality,
         op4_source_mix,
+        op5_line_dedup,
         op6_warc,
         op7_ngram_join,
         op8_knn_join,
