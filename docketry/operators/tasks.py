@@ -62,7 +62,7 @@ def start_dates(courts: DataFrame, cursors: DataFrame, end: str) -> DataFrame:
     """(court, start): the cursor, but at least OVERLAP_DAYS before the end; FIRST_DAY without a cursor."""
     e = F.lit(end).cast("date")
     j = courts.join(cursors, "court", "left")
-    return j.select("court", F.coalesce(F.least("cursor", F.date_sub(e, OVERLAP_DAYS)), F.lit(FIRST_DAY).cast("date")).alias("start"))
+    return j.select("court", F.when(F.col("cursor").isNull(), F.lit(FIRST_DAY).cast("date")).otherwise(F.least("cursor", F.date_sub(e, OVERLAP_DAYS))).alias("start"))
 
 
 def advanced_cursor(old: Column, new: Column) -> Column:
