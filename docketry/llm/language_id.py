@@ -140,8 +140,11 @@ def fit_languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_c
     return LanguageModel.fit(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(id, columns to keep, lang_pred, score) for every row of docs; a null or letterless text is `und` with score 0."""
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """(id, columns to keep, language, score) for every row of docs; a null or letterless text is `und` with score 0.
+
+    `names` are those of the last two columns. Repeated rows each give a row.
+    """
     kept = [id_col, *(c for c in keep or [] if c != id_col)]
     rows = docs.select(F.col(text_col).alias("__text"), *kept)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -150,10 +153,10 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
         m = shared.value
         for b in batches:
             got = [m.predict(t) for t in b.column(0).to_pylist()]
-            yield pa.record_batch([*b.columns[1:], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=[*kept, "lang_pred", "score"])
+            yield pa.record_batch([*b.columns[1:], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=[*kept, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(predict, f"{fields}, lang_pred string, score double")
+    return rows.mapInArrow(predict, f"{fields}, `{names[0]}` string, `{names[1]}` double")
 
 
 def language_report(docs: DataFrame) -> DataFrame:
