@@ -25,8 +25,8 @@ LEAST_LANGUAGE_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     model = fit_languages(docs, remainder("doc_id", 4) != 2)
-    judged = identify(docs, model, keep=docs.columns)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    judged = identify(docs, model, keep=docs.columns, names=("__lang", "__score"))
+    return judged.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
