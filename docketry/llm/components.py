@@ -1,8 +1,8 @@
 """Connected components of a table of links, by alternating large-star and small-star steps.
 
 Each step points nodes at the smallest id they know of; after a few rounds (logarithmic in the number of nodes)
-every node points at the smallest id of its component. Minima are pre-aggregated, and the joins have one row per
-node on one side, so a node with any number of links can be split over tasks. Links never leave the executors.
+every node points at the smallest id of its component. Minima are pre-aggregated, and the few nodes that hold many
+of the links are joined by a bounded broadcast, so no task gets a hub's links. Links never leave the executors.
 """
 
 from __future__ import annotations
@@ -13,12 +13,19 @@ from pyspark.sql import functions as F
 from docketry.llm.shared import stored
 
 MOST_ROUNDS = 60
+LEAST_HUB, MOST_HUBS = 200, 2000
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, n_links: int) -> DataFrame:
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where((F.col("b") > F.col("a")) & (F.col("b") != F.col("m"))).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n"))
+    # Links have two ends, so at most 2 * MOST_HUBS nodes have this many: those are broadcast, and leave the join.
+    many = max(LEAST_HUB, n_links // MOST_HUBS)
+    hubs = least.where(F.col("n") >= many).select("a", F.col("m").alias("hub"))
+    marked = both.where("b > a").join(F.broadcast(hubs), "a", "left")
+    rest = marked.where("hub is null").select("a", "b").join(least.where(F.col("n") < many).select("a", "m").hint("merge"), "a")
+    led = rest.select("b", "m").unionByName(marked.where("hub is not null").select("b", F.col("hub").alias("m")))
+    return led.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -40,7 +47,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if r["n"] == 0 or (r["n"], r["s"]) == mark:
             break
         mark = (r["n"], r["s"])
-        current = stored(_small_star(_large_star(current)), "links")
+        current = stored(_small_star(_large_star(current, r["n"])), "links")
     else:
         raise RuntimeError("the components did not settle")
     roots = current.select(F.col("b").alias("node")).distinct()
