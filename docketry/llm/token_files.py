@@ -168,7 +168,7 @@ class ShardWriter:
     def __init__(self, uri: str) -> None:
         fs, path = open_filesystem(uri)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
-        self.out = fs.open_output_stream(path)
+        self.out = fs.open_output_stream(path, compression=None)
         self.out.write(MAGIC)
         self.waiting: list[np.ndarray] = []
         self.n_waiting = self.n_words = self.n_escaped = self.n_tokens = 0

@@ -134,7 +134,7 @@ class ArchiveWriter:
     def __init__(self, uri: str, dictionary: zstandard.ZstdCompressionDict | None) -> None:
         fs, path = open_filesystem(uri)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
-        self.uri, self.out, self.size, self.records = uri, fs.open_output_stream(path), 0, 0
+        self.uri, self.out, self.size, self.records = uri, fs.open_output_stream(path, compression=None), 0, 0
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=True, write_content_size=True)
         if dictionary:
             body = dictionary.as_bytes()
@@ -199,7 +199,7 @@ def _frame_size(buffer: _Buffer) -> int:
 def read_archive(uri: str) -> Iterator[Record]:
     """The records of an archive in order, one decoded at a time; ValueError at the first that is not valid."""
     fs, path = open_filesystem(uri)
-    with fs.open_input_stream(path) as stream:
+    with fs.open_input_stream(path, compression=None) as stream:
         buffer = _Buffer(stream)
         dictionary = None
         first = buffer.peek(8)
