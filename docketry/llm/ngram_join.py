@@ -106,7 +106,9 @@ def part_keys(tokens: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.n
     key = mix(sums + mix(((tag[row] << 40) + number).astype(np.uint64) * _U64(0x9E3779B97F4A7C15)) + count.astype(np.uint64))
     thin = count < LEAST_PART
     keep = ~thin | (np.bincount(row, thin) > slack[tag])[row]
-    return which[row[keep]], key[keep]
+    owner, key = which[row[keep]], key[keep]
+    order = np.argsort(owner, kind="stable")  # keys of the class below came after all others
+    return owner[order], key[order]
 
 
 def digests(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -244,8 +246,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 node = digests(tokens, first)
                 owner, key = part_keys(tokens, first, percent)
                 fresh = np.zeros(hi - lo, bool)  # copies within a task give their keys once
-                for i, x in enumerate(node.tolist()):
-                    if x not in seen:
+                for i, (x, named) in enumerate(zip(node.tolist(), b.column(0)[lo:hi].is_valid().to_pylist(), strict=True)):
+                    if named and x not in seen:
                         seen.add(x)
                         fresh[i] = True
                 if len(seen) > 1_000_000:
@@ -290,7 +292,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             if out is None:
                 fs, path = open_filesystem(uri)
                 fs.create_dir(path.rpartition("/")[0], recursive=True)
-                out = fs.open_output_stream(path)
+                out = fs.open_output_stream(path, compression=None)
             data = _packed(of, what)
             out.write(data)
             kept.append((unit[0], unit[1], uri, at, len(data)))
@@ -349,4 +351,4 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = joined.join(smallest, "root").select("node", "component_id")
     out = described.select("id", "n", "node").join(ids, "node", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
