@@ -109,7 +109,7 @@ def write_tar_parts(plan: DataFrame, folder: str) -> DataFrame:
         store, path = fs.FileSystem.from_uri(folder)
         store.create_dir(path, recursive=True)
         temporary = f"{path}/.{part}-{uuid.uuid4().hex}"
-        with store.open_output_stream(temporary) as out:
+        with store.open_output_stream(temporary, compression=None) as out:
             out.write(buffer.getvalue())
         store.move(temporary, f"{path}/{part}.tar")
         return pd.DataFrame({"part": [part], "name": [f"{part}.tar"], "size": [buffer.tell()]})
