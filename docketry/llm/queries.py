@@ -82,4 +82,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages),
+d AS (SELECT page_id, first_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS hex FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+ array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((((strpos('0123456789abcdef', substr(hex, CAST(i * 5 // 4 + 1 AS INT), 1)) - 1) * 16 + greatest(strpos('0123456789abcdef', substr(hex, CAST(i * 5 // 4 + 2 AS INT), 1)) - 1, 0)) // CAST(pow(2, 3 - i * 5 % 4) AS BIGINT)) % 32 AS INT), 1)), '') AS payload_digest,
+ CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d""",
+    "op7_ngram_join": r"""
+WITH RECURSIVE dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, w[i : i + least(len(w), 3) - 1] AS s FROM dw, range(1, len(w) - least(len(w), 3) + 2) r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 90 * (x.n + y.n - m)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.b, reach.root FROM reach JOIN e ON e.a = reach.node WHERE reach.root < e.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, min(root)) AS component_id FROM documents d JOIN reach ON node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n""",
+    "op8_knn_join": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS "rank" FROM s)
+SELECT query_id, CAST("rank" AS INT) AS "rank", vec_id, score FROM r WHERE "rank" <= 5""",
+    "op10_decontamination": r"""
+WITH iw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+ig AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, w[i : i + least(len(w), 13) - 1] AS g FROM iw, range(1, len(w) - least(len(w), 13) + 2) r(i) WHERE len(w) > 0),
+dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dg AS (SELECT doc_id, n, i, w[i : i + n - 1] AS g FROM dw, (SELECT DISTINCT n FROM ig) s, range(1, len(w) - n + 2) r(i)),
+h AS (SELECT doc_id, i, dg.n, item_id FROM dg JOIN ig ON dg.n = ig.n AND dg.g = ig.g),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM h) GROUP BY 1)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+ coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM dw LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)""",
+}
