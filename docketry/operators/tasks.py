@@ -96,3 +96,18 @@ def _matched(lines: DataFrame, line: str, pattern: str) -> DataFrame:
 def run_counters(events: DataFrame, keys: list[str], measure: str = "measure", value: str = "value") -> DataFrame:
     """A row per run with the eleven counters, 0 where nothing was counted."""
     return events.groupBy(*keys).pivot(measure, list(COUNTERS)).agg(F.sum(value)).na.fill(0, list(COUNTERS))
+
+
+def retry_rounds(failed: DataFrame, attempt, rounds: int = 3) -> DataFrame:
+    """What is still failed after up to `rounds` rounds; each round splits what is left into days first.
+
+    failed: court, from_date, to_date (dates). attempt(tasks) runs a table of tasks and returns those that
+    failed, in the same columns. Only the number left is looked at on the driver.
+    """
+    left = failed.select("court", "from_date", "to_date").distinct()
+    for _ in range(rounds):
+        if left.isEmpty():
+            break
+        days = days_of(left, ["court"]).select("court", F.col("day").alias("from_date"), F.col("day").alias("to_date"))
+        left = attempt(days).select("court", "from_date", "to_date").distinct()
+    return left
