@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm.textbytes import chunks
+
 UNKNOWN = "und"
 ROWS_PER_LANG = 1000
 MOST_LANGS = 500
@@ -30,7 +32,7 @@ MOST_WORDS = 60_000
 MOST_GRAMS = 40_000
 LONGEST = 5
 SHARPNESS = 4.0
-MEMO = 300_000
+MEMO = 100_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -47,23 +49,26 @@ def grams(word: str) -> Iterator[str]:
             yield word[i : i + n]
 
 
-def _logs(counts: list[Counter[str]], most: int) -> dict[str, np.ndarray]:
-    """Smoothed log frequency by language of the `most` commonest keys."""
+def _logs(counts: list[Counter[str]], most: int) -> tuple[list[str], np.ndarray]:
+    """The `most` commonest keys, and their smoothed log frequencies (a row per key, a column per language)."""
     total: Counter[str] = Counter()
     for c in counts:
         total.update(c)
     kept = sorted((k for k, n in total.items() if n > 1), key=lambda k: (-total[k], k))[:most]
     sums = np.array([sum(c.values()) for c in counts], float)
     table = np.array([[c[k] for c in counts] for k in kept], float).reshape(len(kept), len(counts))
-    logs = np.log((table + 0.5) / (sums + 0.5 * (len(kept) + 1)))
-    return dict(zip(kept, logs, strict=True))
+    return kept, np.log((table + 0.5) / (sums + 0.5 * (len(kept) + 1)))
 
 
 @dataclass
 class LanguageModel:
+    """Log frequencies of words and n-grams: their rows in two tables, a column per language."""
+
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    word_logs: np.ndarray
+    grams: dict[str, int]
+    gram_logs: np.ndarray
     memo: dict[str, int] = field(default_factory=dict)
     rows: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
@@ -74,35 +79,35 @@ class LanguageModel:
         by_word: list[Counter[str]] = [Counter() for _ in names]
         for t, x in zip(texts, langs, strict=True):
             by_word[at[x]].update(word_counts(t))
-        by_gram: list[Counter[str]] = [Counter() for _ in names]
-        for c, g in zip(by_word, by_gram, strict=True):
+        by_gram: list[list[Counter[str]]] = [[Counter() for _ in names] for _ in range(LONGEST)]
+        for i, c in enumerate(by_word):
             for w, n in c.items():
                 for x in grams(w):
-                    g[x] += n
-        tables = []
-        for n in range(1, LONGEST + 1):
-            tables.append(_logs([Counter({k: v for k, v in g.items() if len(k) == n}) for g in by_gram], MOST_GRAMS))
-        return cls(names, _logs(by_word, MOST_WORDS), {k: v for t in tables for k, v in t.items()})
+                    by_gram[len(x) - 1][i][x] += n
+        tables = [_logs(c, MOST_GRAMS) for c in by_gram]
+        words, word_logs = _logs(by_word, MOST_WORDS)
+        keys = [k for ks, _ in tables for k in ks]
+        return cls(names, {k: i for i, k in enumerate(words)}, word_logs, {k: i for i, k in enumerate(keys)}, np.concatenate([x for _, x in tables]))
 
     def backoff(self, word: str) -> np.ndarray:
         """Mean log frequencies of the longest known n-grams from left to right; zeros if none is known."""
         parts, i = [], 0
         while i < len(word):
             for n in range(min(LONGEST, len(word) - i), 0, -1):
-                if (v := self.grams.get(word[i : i + n])) is not None:
-                    parts.append(v)
+                if (k := self.grams.get(word[i : i + n])) is not None:
+                    parts.append(k)
                     i += n
                     break
             else:
                 i += 1
-        return np.mean(parts, axis=0) if parts else np.zeros(len(self.langs))
+        return self.gram_logs[parts].mean(axis=0) if parts else np.zeros(len(self.langs))
 
     def _row(self, word: str) -> int:
-        v = self.words.get(word)
+        """A row for an unseen word, kept for its next occurrences."""
         k = len(self.memo)
         if k >= len(self.rows):
-            self.rows = np.resize(self.rows, (max(1024, 2 * len(self.rows)), len(self.langs)))
-        self.rows[k] = self.backoff(word) if v is None else v
+            self.rows = np.resize(self.rows, (k + 16_384, len(self.langs)))
+        self.rows[k] = self.backoff(word)
         self.memo[word] = k
         return k
 
@@ -111,8 +116,8 @@ class LanguageModel:
         counts = word_counts(text)
         if not counts or not self.langs:
             return UNKNOWN, 0.0
-        if len(self.memo) > MEMO:
-            self.memo.clear()
+        if not self.memo or len(self.memo) > len(self.words) + MEMO:
+            self.memo, self.rows = dict(self.words), self.word_logs.copy()
         memo, row = self.memo, self._row
         at = [k if (k := memo.get(w)) is not None else row(w) for w in counts]
         n = np.fromiter(counts.values(), float, len(counts))
@@ -134,7 +139,7 @@ def fit_languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_c
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGS).collect()
     if not counts:
-        return LanguageModel([], {}, {})
+        return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
     one_in = F.create_map(*(F.lit(x) for r in counts for x in (r[0], math.ceil(r[1] / rows_per_lang))))
     sample = rows.where(F.pmod(F.xxhash64(id_col), one_in[F.col(lang_col)]) == 0).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).toArrow()
     return LanguageModel.fit(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
@@ -152,8 +157,9 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            got = [m.predict(t) for t in b.column(0).to_pylist()]
-            yield pa.record_batch([*b.columns[1:], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=[*kept, *names])
+            for lo, hi in chunks(b.column(0)):
+                got = [m.predict(t) for t in b.column(0)[lo:hi].to_pylist()]
+                yield pa.record_batch([*(c[lo:hi] for c in b.columns[1:]), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=[*kept, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     return rows.mapInArrow(predict, f"{fields}, `{names[0]}` string, `{names[1]}` double")
