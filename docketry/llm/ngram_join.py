@@ -42,6 +42,7 @@ BLOCK = 128
 GROUP = 16
 #: Blocks on each side of a comparison between blocks.
 SIDE_BLOCKS = 4
+MOST_LARGE = 10_000
 
 _U64 = np.uint64
 
@@ -227,6 +228,15 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
+def _with_blocks(clusters: DataFrame) -> DataFrame:
+    """(node, cluster) with the blocks of its cluster; a large cluster's rows are not brought together for that."""
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)))
+    large = max(BLOCK, clusters.count() // MOST_LARGE)  # so many nodes are in MOST_LARGE clusters at most
+    marked = clusters.join(F.broadcast(sizes.where(F.col("n") >= large).select("cluster", "blocks")), "cluster", "left")
+    rest = marked.where("blocks is null").select("node", "cluster").join(sizes.where(F.col("n") < large).select("cluster", "blocks").hint("merge"), "cluster")
+    return marked.where("blocks is not null").select("node", "cluster", "blocks").unionByName(rest.select("node", "cluster", "blocks"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) for every row of docs.
 
@@ -250,7 +260,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     if named and x not in seen:
                         seen.add(x)
                         fresh[i] = True
-                if len(seen) > 1_000_000:
+                if len(seen) > 200_000:
                     seen.clear()
                 keep = fresh[owner]
                 yield pa.record_batch([b.column(0)[lo:hi], pa.array(np.diff(first), pa.int64()), pa.array(node.view(np.int64)), _grouped(key[keep], owner[keep], hi - lo)], names=["id", "n", "node", "keys"])
@@ -260,8 +270,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stars = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_stars, "a long, b long")
     clusters = stored(connected_components(stars).select("node", F.col("root").alias("cluster")), "clusters")
     nodes = described.where("id is not null and n > 0").groupBy("node").agg(F.min("id").alias("least"))
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    wanted = clusters.join(sizes, "cluster").join(nodes, "node").select(F.col("least").alias("id"), "node", "cluster", "blocks")
+    wanted = _with_blocks(clusters).join(nodes, "node").select(F.col("least").alias("id"), "node", "cluster", "blocks")
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

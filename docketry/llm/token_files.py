@@ -29,7 +29,7 @@ from docketry.llm.textbytes import buffers, chunks, range_hashes
 
 MAGIC = b"DKTOKEN1"
 WRITE_BLOCKS = 512
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 
 #: White space other than single spaces and line feeds between other characters.
 _UNEVEN = r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
