@@ -19,7 +19,7 @@ from docketry.llm.shared import stored
 from docketry.llm.token_files import token_report
 
 #: Documents whose language is not clear go: `und`, or a score below this.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
