@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm.shared import bounded_batches
 from docketry.llm.textbytes import ALNUM, Words, chunks, ngrams, words
 
 WINDOW = 13
@@ -143,7 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item without words never occurs; a null item id counts hits but is not listed. Repeated rows each give a
     row. An empty benchmark hits nothing. Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)).alias("n")).first()["n"]
     if size // 2 <= broadcast_words:  # a word takes two bytes at least, with what parts it from the next

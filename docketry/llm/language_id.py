@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm.shared import bounded_batches
 from docketry.llm.textbytes import chunks
 
 UNKNOWN = "und"
@@ -151,17 +152,19 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     `names` are those of the last two columns. Repeated rows each give a row.
     """
     kept = [id_col, *(c for c in keep or [] if c != id_col)]
-    rows = docs.select(F.col(text_col).alias("__text"), *kept)
+    own = text_col in kept  # then the text goes over once
+    rows = bounded_batches(docs.select(*kept) if own else docs.select(*kept, F.col(text_col).alias("__text")))
+    at = kept.index(text_col) if own else len(kept)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            for lo, hi in chunks(b.column(0)):
-                got = [m.predict(t) for t in b.column(0)[lo:hi].to_pylist()]
-                yield pa.record_batch([*(c[lo:hi] for c in b.columns[1:]), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=[*kept, *names])
+            for lo, hi in chunks(b.column(at)):
+                got = [m.predict(t) for t in b.column(at)[lo:hi].to_pylist()]
+                yield pa.record_batch([*(c[lo:hi] for c in b.columns[: len(kept)]), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=[*kept, *names])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)])
     return rows.mapInArrow(predict, f"{fields}, `{names[0]}` string, `{names[1]}` double")
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.components import connected_components
-from docketry.llm.shared import open_filesystem, scratch_path, stored
+from docketry.llm.shared import bounded_batches, open_filesystem, scratch_path, stored
 from docketry.llm.textbytes import NOT_WHITE, chunks, mix, ngrams, words
 
 N_WORDS = 3
@@ -246,7 +246,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with a null id have a null component and link nothing. Sets are told apart by 64-bit digests of 64-bit
     token hashes. Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.language_id import remainder
+from docketry.llm.shared import bounded_batches
 from docketry.llm.textbytes import NOT_WHITE, buffers, chunks, words
 
 PASSAGE = 64
@@ -176,7 +177,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     chosen = labels.where(F.pmod(F.xxhash64(id_col), F.lit(one_in)) == 0).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("double").alias("__label"))
     # About sample_rows rows by construction, hence the broadcast.
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(F.col(text_col).alias("text"), F.col("__label").alias("label"))
-    got = rows.mapInArrow(_featured, "x array<float>, label double").toArrow()
+    got = bounded_batches(rows).mapInArrow(_featured, "x array<float>, label double").toArrow()
     lists = got.column("x").combine_chunks()
     x = np.asarray(lists.flatten(), float).reshape(-1, FEATURES)
     sizes = np.asarray(lists.value_lengths(), np.int64) // FEATURES
@@ -194,7 +195,7 @@ def score_quality(docs: DataFrame, model: AttentionModel, id_col: str = "doc_id"
             for lo, hi in chunks(b.column(1)):
                 yield pa.record_batch([b.column(0)[lo:hi], pa.array(m.score(*passages(b.column(1)[lo:hi])))], names=["id", "score"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double").withColumnRenamed("id", id_col)
+    return bounded_batches(rows).mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double").withColumnRenamed("id", id_col)
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

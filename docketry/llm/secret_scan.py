@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm.shared import bounded_batches
+
 # The base patterns, their least lengths, and the kinds in output order.
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -138,7 +140,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"id {kind}, spans {SPANS}").withColumnRenamed("id", id_col)
+    return bounded_batches(rows).mapInArrow(scan, f"id {kind}, spans {SPANS}").withColumnRenamed("id", id_col)
 
 
 def span_list(spans: Column) -> Column:

@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_BYTES = 4 << 20
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``; a local one is set only where none is named."""
@@ -44,6 +46,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """df, in a session whose Arrow batches hold about BATCH_BYTES at most, however long the texts of a row are."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = conf.get(key, None)
+    if held is None or df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(held) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back."""
     spark = df.sparkSession

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.llm import simple8b
-from docketry.llm.shared import open_filesystem, scratch_path, stored
+from docketry.llm.shared import bounded_batches, open_filesystem, scratch_path, stored
 from docketry.llm.textbytes import buffers, chunks, range_hashes
 
 MAGIC = b"DKTOKEN1"
@@ -271,7 +271,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
             writer.close()
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([uri]), pa.array([len(writer.docs)]), pa.array([writer.n_tokens])], names=["shard", "uri", "n_docs", "n_tokens"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
     dealt = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
     return stored(dealt.mapInArrow(write, "shard long, uri string, n_docs long, n_tokens long"), "token-manifest")
 

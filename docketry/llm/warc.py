@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm.shared import open_filesystem, scratch_path, stored
+from docketry.llm.shared import bounded_batches, open_filesystem, scratch_path, stored
 
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -279,7 +279,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             closed.append(writer)
         yield pa.record_batch([pa.array([w.uri for w in closed], pa.string()), pa.array([w.records for w in closed], pa.int64()), pa.array([w.size for w in closed], pa.int64())], names=["uri", "n_records", "n_bytes"])
 
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(payload_col).alias("payload"))
+    rows = bounded_batches(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(payload_col).alias("payload")))
     rows = with_references(rows, "id", "payload", least_bytes).select(F.col("id").cast("long"), "url", "payload", F.col("__first").cast("long"))
     return stored(rows.mapInArrow(write, "uri string, n_records long, n_bytes long"), "warc-manifest")
 
