@@ -100,7 +100,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
 
     Components count as floor(scale * component). Rows with a null id, or with a vector that is null or holds a
     null or non-finite component, take no part; a shorter vector counts as ending in zeros. Rows that repeat
-    an id are candidates of their own, but not of queries with that id. is_query is over the input's columns.
+    an id are candidates of their own, but not of queries with that id; of query rows that repeat an id, the
+    least vector is the query. is_query is over the input's columns.
     """
     spark = vectors.sparkSession
     queries_of = vectors.where(is_query)
@@ -122,7 +123,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
 
     placed = "id long, vec array<double>, cell int, far double, norm double"
     data = stored(rows.mapInArrow(assign, placed), "knn-data")
-    queries = stored(scaled(queries_of, id_col, vec_col, scale).mapInArrow(assign, placed), "knn-queries")
+    asked = scaled(queries_of, id_col, vec_col, scale).groupBy("id").agg(F.min("vec").alias("vec"))
+    queries = stored(asked.mapInArrow(assign, placed), "knn-queries")
     # A line per pivot.
     groups = data.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius"), F.max("norm").alias("norm")).orderBy("cell").collect()
     cells = [g["cell"] for g in groups]
@@ -169,7 +171,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
             yield pa.record_batch([b.column("id").take(pa.array(r)), _lists(q[r]), pa.array(ids[c])], names=["q_id", "vec", "cell"])
 
     spread = known.mapInArrow(replicate, "q_id long, vec array<double>, cell int")
-    # Repeated rows of a query's id are queries of their own in `known`, so equal answers are merged by group.
     found = near.unionByName(solve(stored(spread, "knn-spread")))
     return ranked(found).select(F.col("q_id").alias("query_id"), "rank", "id", "score")
 

@@ -172,4 +172,4 @@ def language_report(docs: DataFrame) -> DataFrame:
     """Prediction of every document by a model of those outside the held-out quarter (remainder 2)."""
     held_out = remainder("doc_id", 4) == 2
     model = fit_languages(docs, ~held_out)
-    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return identify(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -202,4 +202,4 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score of every document by a model of the labels outside the held-out fifth (remainder 0)."""
     held_out = remainder("doc_id", 5) == 0
     model = fit_quality(docs, labels.where(~held_out))
-    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return score_quality(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

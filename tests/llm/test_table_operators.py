@@ -345,6 +345,12 @@ def test_top_k(spark, monkeypatch, case):
     assert sorted(tuple(x) for x in got.select("query_id", "rank", "id", "score").collect()) == brute_top(ids, vectors, 5, 20)
 
 
+def test_repeated_ids(spark):
+    df = spark.createDataFrame([(20, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [0.5, 1.0])], "vec_id long, embedding array<double>")
+    got = knn_join.top_k(df, F.col("vec_id") == 20, 2).select("rank", "id", "score").orderBy("rank").collect()
+    assert [tuple(x) for x in got] == [(1, 1, 2 * 256 * 256), (2, 1, 2 * 256 * 256)]
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert knn_join.nearest_report(df).count() == 0
