@@ -210,7 +210,8 @@ def _joined(rows: DataFrame, items: DataFrame) -> DataFrame:
     fields = "text_hash long, pos long, print long, size int, around array<long>"
     mine = hashed.mapInArrow(prints(sizes), f"id {kind}, {fields}")
     theirs = items.select("id", "text", F.lit(0).cast("long").alias("text_hash")).mapInArrow(prints(None), f"id string, {fields}")
-    pairs = mine.alias("d").join(theirs.alias("b"), ["print", "size"]).select("d.id", "d.text_hash", "d.pos", "size", F.col("d.around").alias("around"), F.col("b.around").alias("other"), F.col("b.id").alias("item"))
+    # What comes out of mapInArrow is estimated by what goes in, so the join says not to broadcast.
+    pairs = mine.alias("d").join(theirs.alias("b").hint("merge"), ["print", "size"]).select("d.id", "d.text_hash", "d.pos", "size", F.col("d.around").alias("around"), F.col("b.around").alias("other"), F.col("b.id").alias("item"))
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,7 +236,7 @@ def _joined(rows: DataFrame, items: DataFrame) -> DataFrame:
     )
     found = spans.groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items")).select(F.col("id").alias("k"), F.col("text_hash").alias("h"), step.alias("n_hit"), "items")
     counted = hashed.mapInArrow(_counted, f"id {kind}, text_hash long, n_words long")
-    return counted.join(found, F.col("id").eqNullSafe(F.col("k")) & F.col("text_hash").eqNullSafe(F.col("h")), "left").select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return counted.join(found.hint("merge"), F.col("id").eqNullSafe(F.col("k")) & F.col("text_hash").eqNullSafe(F.col("h")), "left").select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

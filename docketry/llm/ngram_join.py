@@ -42,7 +42,10 @@ BLOCK = 128
 GROUP = 16
 #: Blocks on each side of a comparison between blocks.
 SIDE_BLOCKS = 4
+#: Clusters of one block at least that are told apart by a broadcast.
 MOST_LARGE = 10_000
+#: Tokens of queries that are compared with a group at once.
+QUERY_TOKENS = 200_000
 
 _U64 = np.uint64
 
@@ -170,21 +173,25 @@ def linked(tokens: list[np.ndarray], percent: int, split: int = 0) -> list[tuple
             start = np.cumsum(n) - n
             return place[column[np.repeat(first[which] - start, n) + np.arange(n.sum())]], start
 
-        at, start = tokens_of(near)
-        overlap = np.add.reduceat((at < len(union)).astype(np.int64), start)
-        demand = -(-percent * (sizes[near] + np.maximum(sizes[lo], -(-percent * sizes[near] // 100))) // (100 + percent))
-        opened = near[overlap >= demand]
-        if not len(opened):
-            continue
         members = np.zeros((hi - lo, len(union) + 1), np.float32)
         members[np.repeat(np.arange(hi - lo), sizes[lo:hi]), place[column[first[lo] : first[hi]]]] = 1
-        at, start = tokens_of(opened)
-        common = np.add.reduceat(members[:, at], start, axis=1).astype(np.int64).T
-        either = sizes[opened][:, None] + sizes[lo:hi] - common
-        ok = (100 * common >= percent * either) & (opened[:, None] < np.arange(lo, hi))
-        q, m = np.nonzero(ok)
-        for i, j in zip(opened[q].tolist(), (m + lo).tolist(), strict=True):
-            forest.join(i, j)
+        loads = np.cumsum(sizes[near])
+        for some in np.split(near, np.searchsorted(loads, np.arange(QUERY_TOKENS, loads[-1], QUERY_TOKENS))):
+            if not len(some):
+                continue
+            at, start = tokens_of(some)
+            overlap = np.add.reduceat((at < len(union)).astype(np.int64), start)
+            demand = -(-percent * (sizes[some] + np.maximum(sizes[lo], -(-percent * sizes[some] // 100))) // (100 + percent))
+            opened = some[overlap >= demand]
+            if not len(opened):
+                continue
+            at, start = tokens_of(opened)
+            common = np.add.reduceat(members[:, at], start, axis=1).astype(np.int64).T
+            either = sizes[opened][:, None] + sizes[lo:hi] - common
+            ok = (100 * common >= percent * either) & (opened[:, None] < np.arange(lo, hi))
+            q, m = np.nonzero(ok)
+            for i, j in zip(opened[q].tolist(), (m + lo).tolist(), strict=True):
+                forest.join(i, j)
     return [(int(order[i]), int(order[j])) for i, j in forest.edges]
 
 
