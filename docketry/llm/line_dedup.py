@@ -3,8 +3,10 @@
 A line's shingles are its runs of K characters. Their hashes, sorted, are a one-permutation MinHash: the hash
 range is cut into BANDS equal parts, and the ROWS least hashes of a part make the band's key. Lines that share a
 key are candidates of the key's first line and of the one before them (so a key with any number of lines gives
-at most two candidates per line). Candidates are verified by the exact Jaccard similarity of their shingles, and
-of each component of verified links one line stays: the first of all documents.
+at most two candidates per line). Candidates are verified by the exact Jaccard similarity of their shingles.
+Where that leaves the lines of a key in several components, all lines of the key are compared across components:
+exactly, by an inverted index of the shingles that come first when rare ones do (prefix filter). So any two similar
+lines that share a key are in one component; of each component one line stays: the first of all documents.
 
 Longer lines are sketched from the shingles that start at an anchor character (about a fifth of them; the same
 for equal content); lines between SPARSE_FROM and DENSE_MOST characters get keys both ways, since similar lines
@@ -33,6 +35,8 @@ SAMPLE_ONE_IN = 32
 HOT_IN_SAMPLE, SALTS = 200, 32
 #: Most rows of the broadcast tables of frequent lines and keys.
 MOST_HOT = 10_000
+#: Buckets in which shingles are counted to put rare ones first; a rank of a bucket takes two bytes.
+BUCKETS = 1 << 16
 #: A line is frequent from this many occurrences on.
 FREQUENT = 1000
 #: A line's place is its document's id times this, plus its number.
@@ -78,8 +82,9 @@ def keyed_lines(lines: DataFrame) -> DataFrame:
     return lines.select("node", F.explode(F.concat(dense, sparse)).alias("key"))
 
 
-def candidates(lines: DataFrame) -> DataFrame:
-    """Distinct (a, b): lines a that share a key with b, where b leads the key or comes just before a."""
+def candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct (a, b): lines a that share a key with b, where b leads the key or comes just before a;
+    and (key, node) of the keys of more than three rows, where that leaves lines that were not compared."""
     keyed = keyed_lines(lines)
     sampled = keyed_lines(lines.where(F.pmod(F.xxhash64("place", F.lit("sample")), F.lit(SAMPLE_ONE_IN)) == 0))
     hot = stored(sampled.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_IN_SAMPLE).orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key"), "hot-keys")
@@ -87,16 +92,53 @@ def candidates(lines: DataFrame) -> DataFrame:
     salted = keyed.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "key", "left") if some else keyed.withColumn("hot", F.lit(None).cast("boolean"))
     salted = salted.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("node", F.lit("salt")), F.lit(SALTS))).otherwise(F.lit(0)))
     w = Window.partitionBy("key", "salt").orderBy("node")
-    led = salted.select("node", F.when(F.col("hot"), F.col("key")).alias("hot"), F.first("node").over(w).alias("lead"), F.lag("node").over(w).alias("before"))
-    both = led.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("lead", "before"))).alias("b"), "hot")
-    if not some:
-        return both.where("a <> b").select("a", "b").distinct()
-    # Each leader of a part of a hot key is there as its own candidate, also where it is alone in its part.
-    pairs = stored(both.where("a <> b or hot is not null").distinct(), "led-pairs")
-    leads = pairs.where("hot is not null and a = b").select("hot", "a")
-    first = leads.groupBy("hot").agg(F.min("a").alias("b"))  # a row per hot key, MOST_HOT at most
-    across = leads.join(F.broadcast(first), "hot").where("a <> b").select("a", "b")
-    return pairs.where("a <> b").select("a", "b").unionByName(across).distinct()
+    near = {i: (F.lag("node", -i) if i < 0 else F.lead("node", i)).over(w).isNotNull() for i in (-3, -2, -1, 1, 2, 3)}
+    crowded = F.col("hot").isNotNull() | near[-3] | (near[-2] & near[1]) | (near[-1] & near[2]) | near[3]
+    led = salted.select("key", "node", "hot", F.first("node").over(w).alias("lead"), F.lag("node").over(w).alias("before"), crowded.alias("crowded"))
+    led = stored(led.where("crowded or before is not null"), "led-lines")
+    both = led.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("lead", "before"))).alias("b"))
+    pairs = both.where("a <> b")
+    if some:
+        # Each leader of a part of a hot key is there as its own lead, also where it is alone in its part.
+        leads = led.where("hot and node = lead").select("key", F.col("node").alias("a")).distinct()
+        first = leads.groupBy("key").agg(F.min("a").alias("b"))  # a row per hot key, MOST_HOT at most
+        pairs = pairs.unionByName(leads.join(F.broadcast(first), "key").where("a <> b").select("a", "b"))
+    return pairs.distinct(), led.where("crowded").select("key", "node").distinct()
+
+
+def unlinked(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root) of all lines of the crowded keys that hold lines of several roots."""
+    known = crowded.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = known.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y and n > 3")
+    return known.join(open_.select("key"), "key").select("node", "root").distinct()
+
+
+def prefix_pairs(rooted: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b) of lines of different roots, with all those whose similarity is percent or more.
+
+    In any one order of all shingles, two such lines share one of the first n - ceil(n * percent / 100) + 1 of
+    their n shingles. The order puts first what few roots have, by counts in BUCKETS buckets: a template that
+    many lines hold comes last, so lines meet by what is their own.
+    """
+    lines = rooted.join(texts.hint("merge"), "node").select("node", "root", shingle_hashes(F.col("line")).alias("s"))
+    one = rooted.groupBy("root").agg(F.min("node").alias("node")).select("node")
+    counts = lines.join(one.hint("merge"), "node", "left_semi").select(F.explode("s").alias("t")).groupBy(F.pmod("t", F.lit(BUCKETS)).alias("i")).count()
+    found = {r["i"]: r["count"] for r in counts.collect()}  # BUCKETS rows at most
+    table = bytearray(2 * BUCKETS)
+    for rank, i in enumerate(sorted(range(BUCKETS), key=lambda i: (found.get(i, 0), i))):
+        table[2 * i : 2 * i + 2] = rank.to_bytes(2, "big")
+    ranks = F.lit(bytes(table))
+    ordered = F.sort_array(F.transform("s", lambda t: F.struct(F.substring(ranks, (2 * F.pmod(t, F.lit(BUCKETS)) + 1).cast("int"), F.lit(2)).alias("r"), t.alias("t"))))
+    n = F.size("s")
+    few = n - F.ceil(n * percent / F.lit(100)).cast("int") + 1
+    firsts = lines.select("node", "root", n.alias("n"), F.posexplode(F.slice(ordered, F.lit(1), few)).alias("i", "x")).select("node", "root", "n", "i", F.col("x.t").alias("t"))
+    firsts = stored(firsts, "line-prefixes")
+    shared = firsts.groupBy("t").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("t")
+    met = stored(firsts.join(shared.hint("merge"), "t"), "shared-prefixes")
+    l, r = met.alias("l"), met.alias("r")
+    # What follows the shared shingle bounds the overlap.
+    enough = (100 + percent) * F.least(F.col("l.n") - F.col("l.i"), F.col("r.n") - F.col("r.i")) >= percent * (F.col("l.n") + F.col("r.n"))
+    return l.join(r.hint("merge"), (F.col("l.t") == F.col("r.t")) & (F.col("l.root") < F.col("r.root")) & enough).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
 
 
 def shingle_hashes(line: Column) -> Column:
@@ -125,12 +167,18 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     often = stored(first.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "node").limit(MOST_HOT).select("node", F.col("place").alias("first")), "frequent-lines")
     first = first.drop("n")
     once = lines if often.isEmpty() else lines.join(F.broadcast(often), "node", "left").where("first is null or first = place").drop("first")
-    pairs = stored(candidates(once), "line-pairs")
+    pairs, crowded = candidates(once)
+    pairs = stored(pairs, "line-pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = nodes.join(first.hint("merge"), "node")
     texts = lines.select("place", "node", "line").join(wanted.hint("merge"), ["place", "node"]).dropDuplicates(["node"]).select("node", "line")
-    links = verified(pairs, stored(texts, "line-texts"), percent)
+    texts = stored(texts, "line-texts")
+    links = stored(verified(pairs, texts, percent), "line-links")
     roots = connected_components(links)
+    rest = stored(unlinked(crowded, roots), "unlinked-lines")
+    if not rest.isEmpty():
+        more = verified(stored(prefix_pairs(rest, texts, percent), "more-pairs"), texts, percent)
+        roots = connected_components(links.unionByName(more))
     kept = first.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     of_root = kept.groupBy("root").agg(F.min("place").alias("kept"))
     decided = kept.join(of_root.hint("merge"), "root").select("node", "kept")

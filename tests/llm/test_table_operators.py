@@ -174,6 +174,24 @@ def test_hot_keys_are_led_alike(spark, monkeypatch):
     assert sum(x[2] for x in one) == 299
 
 
+def templated(r, n, copies):
+    """n groups of lines that begin alike (similarity 0.74 across groups, 0.86 and more within a group)."""
+    text = lambda k: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+    head = text(100)
+    own = [head + f"{i:04d}" + text(8) for i in range(n)]
+    return [x + text(4) for x in own for _ in range(copies)]
+
+
+def dropped_by_line(spark, lines):
+    got = line_dedup.line_report(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    return {x["doc_id"] for x in got.collect() if x["n_dropped"]}
+
+
+def test_pairs_among_thousands_of_templated_lines(spark):
+    lines = templated(random.Random(11), 1500, 2)
+    assert dropped_by_line(spark, lines) == set(range(1, 3000, 2))
+
+
 def test_rows_that_repeat_an_id_and_null_ids(spark):
     df = spark.createDataFrame([(1, "same line of text\nother line here"), (1, "same line of text\nother line here"), (None, "same line of text"), (2, "same line of text")], "doc_id long, text string")
     assert sorted((x["doc_id"] or -1, x["n_dropped"]) for x in line_dedup.line_report(df).collect()) == [(-1, 0), (1, 0), (1, 0), (2, 1)]
