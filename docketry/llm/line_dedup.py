@@ -1,6 +1,6 @@
 """Fuzzy line dedup by MinHash, in DataFrame and SQL operations only.
 
-A line's shingles are its runs of K characters. Their hashes, sorted, are a one-permutation MinHash: the hash
+A line's shingles are its distinct runs of K characters. Their hashes, sorted, are a one-permutation MinHash: the hash
 range is cut into BANDS equal parts, and the ROWS least hashes of a part make the band's key. Lines that share a
 key are candidates of the key's first line and of the one before them (so a key with any number of lines gives
 at most two candidates per line). Candidates are verified by the exact Jaccard similarity of their shingles.
@@ -55,9 +55,14 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.where(F.trim(F.translate("line", "\t\r", "  ")) != "").select("id", "number", place.cast("decimal(38,0)").alias("place"), F.xxhash64("line").alias("node"), "line")
 
 
+def distinct_hashes(line: Column, pattern: str) -> Column:
+    """Hashes of a line's distinct shingles that the pattern takes; however often one repeats, it counts once."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), lambda s: F.xxhash64(s)))
+
+
 def band_keys(line: Column, pattern: str, salt: int) -> Column:
     """Keys of a line's bands that have a hash."""
-    hashes = F.sort_array(F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), lambda s: F.xxhash64(s)))
+    hashes = F.sort_array(distinct_hashes(line, pattern))
     bits = 64 - (BANDS.bit_length() - 1)
 
     def keys(all_: Column) -> Column:
