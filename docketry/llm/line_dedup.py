@@ -9,8 +9,10 @@ exactly, by an inverted index of the shingles that come first when rare ones do
 lines that share a key are in one component; of each component one line stays: the first of all documents.
 
 Longer lines are sketched from the shingles that start at an anchor character (about a fifth of them; the same
-for equal content); lines between SPARSE_FROM and DENSE_MOST characters get keys both ways, since similar lines
-cannot differ more in length. Verification always takes all shingles, told apart by 64-bit hashes.
+for equal content). Lines get keys of all their shingles up to DENSE_MOST characters, and beyond where they have no
+more distinct shingles than that (they repeat themselves) or few anchored ones. Lines above SPARSE_FROM characters get
+anchored keys, so lines between get both: similar lines cannot differ more in their number of distinct shingles.
+Verification always takes all shingles, told apart by 64-bit hashes.
 
 Lines that repeat often give their keys once. Keys that a sample shows to be frequent are led in salted parts,
 whose leaders are candidates of each other. Counts and sample decide only how work is dealt, never what is
@@ -31,6 +33,10 @@ PERCENT = 80
 #: A line of this many hashes gives keys of full bands only; shorter ones take what there is.
 SURE = 20
 SPARSE_FROM, DENSE_MOST = 128, 160
+#: Characters at the start of a longer line that are tried for enough distinct shingles.
+PROBE = 192
+#: A line of fewer anchored shingles than SURE with an overlap of 1/0.8 gets keys of all shingles too.
+FEW_ANCHORED = 25
 SAMPLE_ONE_IN = 32
 HOT_IN_SAMPLE, SALTS = 200, 32
 #: Most rows of the broadcast tables of frequent lines and keys.
@@ -82,8 +88,13 @@ def keyed_lines(lines: DataFrame) -> DataFrame:
     """(key, node) of the lines of K characters and more."""
     n = F.char_length("line")
     empty = F.array().cast("array<bigint>")
-    dense = F.when((n >= K) & (n <= DENSE_MOST), band_keys(F.col("line"), _ALL, 1)).otherwise(empty)
-    sparse = F.when(n > SPARSE_FROM, band_keys(F.col("line"), _ANCHORED, 2)).otherwise(empty)
+    line = F.col("line")
+    # The start of a long line is enough to see that it has many shingles, unless it repeats itself.
+    start = F.size(distinct_hashes(F.substring(line, 1, PROBE), _ALL))
+    few = (start <= DENSE_MOST - K + 1) & ((n <= PROBE) | (F.size(distinct_hashes(line, _ALL)) <= DENSE_MOST - K + 1))
+    anchored = F.size(distinct_hashes(line, _ANCHORED))
+    dense = F.when((n >= K) & ((n <= DENSE_MOST) | few | (anchored < FEW_ANCHORED)), band_keys(line, _ALL, 1)).otherwise(empty)
+    sparse = F.when(n > SPARSE_FROM, band_keys(line, _ANCHORED, 2)).otherwise(empty)
     return lines.select("node", F.explode(F.concat(dense, sparse)).alias("key"))
 
 

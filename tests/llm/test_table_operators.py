@@ -199,6 +199,15 @@ def test_lines_that_differ_in_how_often_a_phrase_repeats(spark):
     assert gone <= set(range(200, 400)) and len(gone) >= 190  # similarity 0.86; MinHash may miss a link
 
 
+def test_long_lines_of_few_shingles_or_anchors(spark):
+    r = random.Random(14)
+    units = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(25)) for _ in range(50)]
+    rulers = ["".join(r.choice("-=*.| ") for _ in range(200)) for _ in range(50)]
+    edited = [x[:100] + ("." if x[100] != "." else "=") + x[101:] for x in rulers]
+    gone = dropped_by_line(spark, [x * 4 for x in units] + rulers + [x * 8 for x in units] + edited)
+    assert gone <= set(range(100, 200)) and len(gone) >= 97
+
+
 def test_rows_that_repeat_an_id_and_null_ids(spark):
     df = spark.createDataFrame([(1, "same line of text\nother line here"), (1, "same line of text\nother line here"), (None, "same line of text"), (2, "same line of text")], "doc_id long, text string")
     assert sorted((x["doc_id"] or -1, x["n_dropped"]) for x in line_dedup.line_report(df).collect()) == [(-1, 0), (1, 0), (1, 0), (2, 1)]
