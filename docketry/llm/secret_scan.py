@@ -2,7 +2,8 @@
 
 Base kinds are leftmost, non-overlapping matches of three patterns. On top of them, candidate strings (long
 runs of one character class) are scanned with a window whose entropy is kept by incremental counts; windows
-above the class's threshold are joined to spans, unless an allow-list rule names the candidate harmless.
+above the class's threshold are joined to spans, unless an allow-list rule names the candidate harmless. A harmless
+word silences its token between separators, not the rest of the candidate.
 
 Everything happens per text in one pass over Arrow batches, so there is no shuffle. RE2 (through Arrow) finds
 the few texts that can match at all; only those reach Python's `re`.
@@ -42,7 +43,6 @@ ALLOWED = tuple(
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
         r"[^0-9]*",  # words and identifiers without a digit
         r"[0-9_=+/-]*",  # numbers, dates and rules
-        r"(?i).*(example|placeholder|dummy|sample|changeme|your_?).*",
         r".*(0123456789|1234567890|abcdefghij|ABCDEFGHIJ).*",  # alphabets
         r"(.{1,8}?)\1+.{0,7}",  # a repeated unit
         r"(?:[A-Za-z]+|[0-9]{1,4})(?:[_/=+-]+(?:[A-Za-z]+|[0-9]{1,4}))+",  # paths, slugs and snake case
@@ -50,6 +50,9 @@ ALLOWED = tuple(
     )
 )
 
+# The token (between separators) that holds one of these words is harmless, and what surrounds it is not.
+WORDS = re.compile(r"(?i)[A-Za-z0-9]*(?:example|placeholder|dummy|sample|changeme|your)[A-Za-z0-9]*")
+
 _SCREENS = (
     r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo]?[Rr]?[Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]""",
     r"AKIA[A-Z0-9]",
@@ -105,13 +108,26 @@ def scan_text(text: str) -> list[tuple[str, int, int]]:
         if any(p.fullmatch(s) for p in ALLOWED):
             continue
         kind = "entropy_hex" if re.fullmatch(r"[0-9a-fA-F]+", s) else "entropy_base64"
-        for a, b in entropy_windows(s, WINDOW, LEAST_ENTROPY[kind]):
-            a, b = a + m.start(), b + m.start()
-            if not any(x <= a and b <= y for _, x, y in base):
-                found.append((kind, a, b))
+        for lo, hi in _beside_words(s):
+            part = s[lo:hi]
+            if part != s and any(p.fullmatch(part) for p in ALLOWED):
+                continue
+            for a, b in entropy_windows(part, WINDOW, LEAST_ENTROPY[kind]):
+                a, b = a + lo + m.start(), b + lo + m.start()
+                if not any(x <= a and b <= y for _, x, y in base):
+                    found.append((kind, a, b))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
+def _beside_words(s: str) -> Iterator[tuple[int, int]]:
+    """Ranges of a candidate between its harmless tokens."""
+    at = 0
+    for m in WORDS.finditer(s):
+        yield at, m.start()
+        at = m.end()
+    yield at, len(s)
+
+
 _HEX_SCREEN = re.compile(r"[0-9a-f]{16}")
 
 

@@ -124,6 +124,14 @@ def test_entropy_spans_and_allow_list():
 # ---- language
 
 
+def test_harmless_words_silence_their_token_only():
+    key = "wJ9lrXUtnF3MIq7MD8NGbPxRf2CYzk4Q"
+    for text in (f"sample_aws_key={key}", f"/yourbank/hooks/{key}"):
+        assert any(k == "entropy_base64" and key in text[a:b] for k, a, b in secret_scan.scan_text(text))
+    assert secret_scan.scan_text("EXAMPLE" + key) == []
+
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = language_id.language_report(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()
