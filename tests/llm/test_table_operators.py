@@ -208,6 +208,13 @@ def test_long_lines_of_few_shingles_or_anchors(spark):
     assert gone <= set(range(100, 200)) and len(gone) >= 97
 
 
+def test_hot_keys_whose_least_leader_is_of_another_group(spark, monkeypatch):
+    lines = templated(random.Random(12), 20, 30)
+    monkeypatch.setattr(line_dedup, "SAMPLE_ONE_IN", 1)
+    monkeypatch.setattr(line_dedup, "HOT_IN_SAMPLE", 5)
+    assert dropped_by_line(spark, lines) == {i for i in range(600) if i % 30}
+
+
 def test_rows_that_repeat_an_id_and_null_ids(spark):
     df = spark.createDataFrame([(1, "same line of text\nother line here"), (1, "same line of text\nother line here"), (None, "same line of text"), (2, "same line of text")], "doc_id long, text string")
     assert sorted((x["doc_id"] or -1, x["n_dropped"]) for x in line_dedup.line_report(df).collect()) == [(-1, 0), (1, 0), (1, 0), (2, 1)]
