@@ -1,8 +1,9 @@
 """Vectorised word and n-gram hashing over the UTF-8 buffer of an Arrow string array.
 
 Words are maximal runs of bytes of a class. The classes in use exclude ASCII characters only, so byte runs
-are exactly the code point runs. A word's hash is a polynomial over its (A-Z lower-cased) bytes modulo 2**64,
-taken from prefix sums, so the cost per byte is a few array operations whatever the word lengths.
+are exactly the code point runs. A word's hash runs over its (A-Z lower-cased) bytes in lanes of eight, each mixed
+into what came before, for all words at once; the few words of many lanes go to xxHash one by one. No structure
+of a word (say, of two letters in a pattern) makes hashes of 64 bits meet more often than chance does.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK_BYTES = 2 << 20
 
@@ -26,19 +28,9 @@ ALNUM[0x00:0x30] = ALNUM[0x3A:0x61] = ALNUM[0x7B:0x80] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**64, 256, dtype=np.uint64)
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    if len(_POWERS[0]) < n:
-        for k, b in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            x = np.full(max(n, CHUNK_BYTES + 1), b, np.uint64)
-            x[0] = 1
-            _POWERS[k] = np.cumprod(x, dtype=np.uint64)
-    return _POWERS[0], _POWERS[1]
+#: Words of more bytes are hashed one by one.
+MOST_LANE_BYTES = 128
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -50,13 +42,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def lanes(data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The first eight bytes from each place (fewer where the length is less), as little-endian integers."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    view = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    return view[at] & _MASKS[np.minimum(length, 8)]
+
+
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of each range, wherever it stands."""
-    n = len(data)
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start])
+    """64-bit hash of the bytes of each range, wherever it stands."""
+    length = end - start
+    h = mix(lanes(data, start, length) ^ length.astype(np.uint64) * _ODD)
+    more = np.flatnonzero(length > 8)
+    for k in range(8, MOST_LANE_BYTES, 8):
+        if k > 8:
+            more = more[length[more] > k]
+        if not len(more):
+            break
+        h[more] = mix((h[more] + np.uint64(k)) * _ODD ^ lanes(data, start[more] + k, length[more] - k))
+    for i in np.flatnonzero(length > MOST_LANE_BYTES).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
+    return h
 
 
 @dataclass

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from docketry.llm import simple8b
 from docketry.llm.shared import bounded_batches, open_filesystem, scratch_path, stored
-from docketry.llm.textbytes import buffers, chunks, range_hashes
+from docketry.llm.textbytes import buffers, chunks, lanes, range_hashes
 
 MAGIC = b"DKTOKEN1"
 WRITE_BLOCKS = 512
@@ -38,24 +38,35 @@ _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _MARK[list(b".,;:!?*$%&#|)(")] = True
 
 
+def _quoted(text: str) -> str:
+    """The text as an RE2 pattern."""
+    return "".join(f"\\x{{{ord(c):x}}}" for c in text)
+
+
 class CachedEncoder:
     """Byte-level BPE over whole texts, with the ids of recurring pieces kept.
 
     Pre-tokens never cross these places: before a space or a line feed between other characters, behind such a
     line feed, and between a letter and a mark of _MARK. So a text's ids are those of its pieces between them.
-    Pieces are found, hashed (64 bits, and their length) and looked up by array operations; those not seen
-    lately go to the tokenizer. Texts with any other white space go to the tokenizer whole.
+    Pieces are found, hashed and looked up by array operations, and every one is compared with the kept piece byte
+    by byte; those not seen lately go to the tokenizer. Texts with any other white space, with the string of an
+    added token, or with a piece whose hash is that of another, go to the tokenizer whole.
+
+    The tokenizer is taken as its file says: the string of a special token becomes that token, unless
+    `plain_specials` is set, which makes it ordinary text.
     """
 
-    def __init__(self, path: str, most: int = CACHE_PIECES) -> None:
+    def __init__(self, path: str, most: int = CACHE_PIECES, plain_specials: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
         self.tokenizer.model._resize_cache(0)  # the pieces that reach it are new
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for s, i in vocabulary.items() if s.startswith("Ġ")]] = True
+        added = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.uneven = "|".join([_UNEVEN, *map(_quoted, added)])
         self.most = most
         self._clear()
 
@@ -63,6 +74,8 @@ class CachedEncoder:
         """Forget all pieces. keys ascend; row[i] is the entry of keys[i]; an entry's ids are flat[at[e] : at[e + 1]]."""
         self.keys, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
+        self.head = np.zeros((2, 0), np.uint64)  # the first 16 bytes of an entry, and in long_ the others
+        self.long_: dict[int, bytes] = {}
         self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _tokens(self, texts: list[str]) -> list[list[int]]:
@@ -84,18 +97,32 @@ class CachedEncoder:
         self.flat = np.concatenate([self.flat, joined, np.array([i for x in each for i in x], np.int32)])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(counts[order])])
         self.length = np.concatenate([self.length, np.array([len(p) for p in pieces])[order]])
+        heads = np.frombuffer(b"".join(pieces[i][:16].ljust(16, b"\0") for i in order.tolist()), "<u8").reshape(-1, 2).T
+        self.head = np.concatenate([self.head, heads], axis=1)
+        self.long_.update({n + k: pieces[i] for k, i in enumerate(order.tolist()) if len(pieces[i]) > 16})
         row = np.empty(len(pieces), np.int64)
         row[order] = np.arange(n, n + len(pieces))
         where = np.searchsorted(self.keys, keys)
         self.keys, self.row = np.insert(self.keys, where, keys), np.insert(self.row, where, row)
 
+    def _same(self, row: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether each piece is, byte by byte, that of its entry."""
+        length = end - start
+        same = self.length[row] == length
+        same &= self.head[0][row] == lanes(data, start, length)
+        two = np.flatnonzero(same & (length > 8))
+        same[two] = self.head[1][row[two]] == lanes(data, start[two] + 8, length[two] - 8)
+        for i in two[same[two] & (length[two] > 16)].tolist():
+            same[i] = self.long_[int(row[i])] == data[start[i] : end[i]].tobytes()
+        return same
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Token ids of each text; a null is empty."""
         if len(self.keys) > self.most:
             self._clear()
         texts = texts.fill_null("")
         data, at = buffers(texts)
-        whole = set(pc.indices_nonzero(pc.match_substring_regex(texts, _UNEVEN)).to_pylist())
+        whole = set(pc.indices_nonzero(pc.match_substring_regex(texts, self.uneven)).to_pylist())
         n = len(data)
         cut = np.zeros(n + 1, bool)
         feed = data == 0x0A
@@ -107,7 +134,6 @@ class CachedEncoder:
         end = np.append(start[1:], n)
         hashes = range_hashes(data, start, end)
         keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        same = (end - start)[first][which] == end - start
         where = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
         inside = where < len(self.keys)
@@ -129,9 +155,8 @@ class CachedEncoder:
             self._learn(keys[new], [raw[i:j] for i, j in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
             where = np.searchsorted(self.keys, keys)
         row = self.row[np.minimum(where, len(self.row) - 1)][which] if len(self.row) else which
-        if len(self.row):
-            same &= self.length[row] == end - start
-        whole |= set(np.unique(piece_text[~same]).tolist())  # equal hashes of unequal pieces, or texts that need none
+        same = self._same(row, data, start, end) if len(self.row) else np.zeros(len(start), bool)
+        whole |= set(np.unique(piece_text[~same]).tolist())  # equal hashes of unequal pieces
         if len(self.row):
             counts = self.at[row + 1] - self.at[row]
             if whole:
@@ -151,15 +176,16 @@ class CachedEncoder:
         return out
 
 
-_ENCODERS: dict[str, CachedEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], CachedEncoder] = {}
 
 
-def _encoder(path: str) -> CachedEncoder:
+def _encoder(path: str, plain_specials: bool) -> CachedEncoder:
     """The worker's encoder of a vocabulary file; it serves all tasks of the worker."""
-    if path not in _ENCODERS:
+    key = (path, plain_specials)
+    if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = CachedEncoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[key] = CachedEncoder(path, plain_specials=plain_specials)
+    return _ENCODERS[key]
 
 
 class ShardWriter:
@@ -250,9 +276,10 @@ def read_shard(uri: str) -> Iterator[tuple[list[int | None], np.ndarray, np.ndar
             rest, doc = rest[n:], to
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text", plain_specials: bool = False) -> DataFrame:
     """Encode every text, append end_id, and write shards below `folder` in ascending id order.
 
+    plain_specials makes the strings of special tokens in a text ordinary text; else they become these tokens.
     Returns the stored manifest (shard, uri, n_docs, n_tokens). A null text is empty; a null id comes first;
     rows of equal ids are ordered by a hash of their text. An empty table gives no file.
     """
@@ -265,7 +292,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
             texts = b.column(1)
             for lo, hi in chunks(texts):
                 writer = writer or ShardWriter(uri)
-                for i, ids in zip(b.column(0)[lo:hi].to_pylist(), _encoder(tokenizer_path).encode(texts[lo:hi]), strict=True):
+                for i, ids in zip(b.column(0)[lo:hi].to_pylist(), _encoder(tokenizer_path, plain_specials).encode(texts[lo:hi]), strict=True):
                     writer.add(i, ids, end)
         if writer:
             writer.close()

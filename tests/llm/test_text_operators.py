@@ -271,20 +271,54 @@ def test_simple8b_round_trip(n):
 
 def test_cached_encoder_equals_the_tokenizer():
     t = Tokenizer.from_file(BPE)
-    t.encode_special_tokens = True
-    e = token_files.CachedEncoder(BPE, most=200)
+    plain = Tokenizer.from_file(BPE)
+    plain.encode_special_tokens = True
+    e, other = token_files.CachedEncoder(BPE, most=200), token_files.CachedEncoder(BPE, most=200, plain_specials=True)
     r = random.Random(9)
     parts = ["the", "a", "é", "ß", ".", ",", " x", " ", "  ", "\n", "\nq", "'s", "12", "don't", "—", "日本", "\t", " ", "#", "***", ";z", "a'll", "!b", "<|endoftext|>", "\r\n"]
     for _ in range(20):
         texts = [*ODD, *("w" * r.randint(0, 1) + "".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(60))]
-        got = e.encode(pa.array(texts))
-        assert [x.tolist() for x in got] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+        for how, yardstick in ((e, t), (other, plain)):
+            assert [x.tolist() for x in how.encode(pa.array(texts))] == [yardstick.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert e.encode(pa.array(["a <|endoftext|> b"]))[0].tolist().count(50256) == 1
+
+
+def thue_morse(n, letters):
+    t = letters[0]
+    while len(t) < n:
+        t += t.translate(str.maketrans(letters, letters[::-1]))
+    return t[:n]
+
+
+@pytest.mark.parametrize("n", [1024, 4096, 65536])
+def test_patterned_words_are_told_apart(spark, n):
+    """Words of two letters in a pattern on which polynomials modulo 2**64 collide."""
+    x, y = thue_morse(n, "ab"), thue_morse(n, "ba")
+    hashes = textbytes.words(pa.array([f"{x} {y}"]), textbytes.NOT_WHITE).hash
+    assert hashes[0] != hashes[1]
+    t, e = Tokenizer.from_file(BPE), token_files.CachedEncoder(BPE)
+    for text in (x, y, f"{x} {y}"):
+        assert e.encode(pa.array([text]))[0].tolist() == t.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, f"{x} c"), (2, f"{y} c")], "doc_id long, text string")
+    from docketry.llm.ngram_join import jaccard_components
+
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_components(docs).collect()} == {1: 1, 2: 2}
+    bench = spark.createDataFrame([(7, y)], "item_id long, text string")
+    for how in ({}, {"broadcast_words": -1}):
+        assert {r["doc_id"]: r["items"] for r in decontaminate.contamination(docs, bench, **how).collect()} == {1: [], 2: ["7"]}
+
+
+def test_pieces_of_equal_hash_are_compared_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_files, "range_hashes", lambda data, start, end: (end - start).astype(np.uint64))
+    t, e = Tokenizer.from_file(BPE), token_files.CachedEncoder(BPE)
+    texts = ["one two six", "ten cat dog", "a much longerwordthansixteen here", "b very LONGERwordthansixteen hens"]
+    for _ in range(2):
+        assert [x.tolist() for x in e.encode(pa.array(texts))] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def test_token_files(spark):
     t = Tokenizer.from_file(BPE)
-    t.encode_special_tokens = True
-    texts = [*ODD, "a few more words", "日本"]
+    texts = [*ODD, "a few more words", "日本", "an <|endoftext|> inside"]
     docs = spark.createDataFrame([(7 * i - 20, x, "clash") for i, x in enumerate(texts)] + [(7 * len(texts), texts[-1], "repeat"), (7 * len(texts), texts[-1], "repeat")], "doc_id long, text string, start string")
     start, expected = 0, []
     for r in docs.orderBy("doc_id").collect():
