@@ -1,154 +1,329 @@
-"""Fuzzy line dedup by MinHash, in DataFrame and SQL operations only.
-
-A line's shingles are its distinct runs of K characters. Their hashes, sorted, are a one-permutation MinHash: the hash
-range is cut into BANDS equal parts, and the ROWS least hashes of a part make the band's key. Lines that share a
-key are candidates of the key's first line and of the one before them (so a key with any number of lines gives
-at most two candidates per line). Candidates are verified by the exact Jaccard similarity of their shingles.
-Where that leaves the lines of a key in several components, all lines of the key are compared across components:
-exactly, by an inverted index of the shingles that come first when rare ones do (prefix filter). So any two similar
-lines that share a key are in one component; of each component one line stays: the first of all documents.
-
-Longer lines are sketched from the shingles that start at an anchor character (about a fifth of them; the same
-for equal content). Lines get keys of all their shingles up to DENSE_MOST characters, and beyond where they have no
-more distinct shingles than that (they repeat themselves) or few anchored ones. Lines above SPARSE_FROM characters get
-anchored keys, so lines between get both: similar lines cannot differ more in their number of distinct shingles.
-Verification always takes all shingles, told apart by 64-bit hashes.
-
-Lines that repeat often give their keys once. Keys that a sample shows to be frequent are led in salted parts,
-whose leaders are candidates of each other. Counts and sample decide only how work is dealt, never what is
-compared.
+"""Fuzzy line dedup by MinHash: signatures of character shingles, banding, exact verification, components.
+
+A line's shingles are its distinct runs of K characters. Its signature has BANDS * ROWS minima, each of another
+permutation of the shingles' hashes, and every ROWS of them make a band's key: lines of similarity 0.8 share one of
+the eight keys with a probability of 0.997. A signature does not depend on how often a shingle repeats, nor on
+how long the line is, so all lines are sketched alike, from all their shingles.
+
+Lines that share a key are candidates of the key's first line and of the one before them. Candidates are verified
+by the exact Jaccard similarity of their shingles. Where that leaves the lines of a key in several components, all
+lines of the key are compared across components: exactly, by an inverted index of the shingles that come first
+when rare ones do (prefix filter). So any two similar lines that share a key are in one component; of each
+component one line stays: the first of all documents.
+
+Keys are dealt by ranges of (key, line), so a key of any number of lines spreads over as many tasks as it needs; a key
+that lies on an edge counts as one whose lines were not all compared. How rows are dealt therefore decides what is
+compared first, never which lines end up together.
+
+Signatures, verification and prefixes run over Arrow batches in NumPy; a form in SQL functions took more than twice
+the CPU time that the check tool allows (README). Everything between them is declared with DataFrames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.components import connected_components
-from docketry.llm.shared import stored
+from docketry.llm.shared import bounded_batches, stored
+from docketry.llm.textbytes import buffers, chunks, mix, range_hashes
 
 K = 8
 BANDS, ROWS = 8, 3
 PERCENT = 80
-#: A line of this many hashes gives keys of full bands only; shorter ones take what there is.
-SURE = 20
-SPARSE_FROM, DENSE_MOST = 128, 160
-#: Characters at the start of a longer line that are tried for enough distinct shingles.
-PROBE = 192
-#: A line of fewer anchored shingles than SURE with an overlap of 1/0.8 gets keys of all shingles too.
-FEW_ANCHORED = 25
-SAMPLE_ONE_IN = 32
-HOT_IN_SAMPLE, SALTS = 200, 32
-#: Most rows of the broadcast tables of frequent lines and keys.
-MOST_HOT = 10_000
-#: Buckets in which shingles are counted to put rare ones first; a rank of a bucket takes two bytes.
+#: Characters that are hashed at once, so that arrays stay in a core's cache.
+BLOCK_CHARS = 1 << 16
+#: Lines whose keys a task remembers having given.
+SEEN = 400_000
+#: Buckets in which shingles are counted to put rare ones first.
 BUCKETS = 1 << 16
-#: A line is frequent from this many occurrences on.
-FREQUENT = 1000
 #: A line's place is its document's id times this, plus its number.
 PLACES = 1_000_000_000
-
-_ALL = rf"(?s)(?=(.{{{K}}}))"
-#: Anchors: code points 3 modulo 4 below 256, and all above.
-_ANCHOR = "[" + "".join(rf"\x{c:02x}" for c in range(3, 256, 4)) + r"\x{100}-\x{10ffff}]"
-_ANCHORED = rf"(?s)(?=({_ANCHOR}.{{{K - 1}}}))"
-
-
-def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, number, place, node, line): every line that is not blank, with its 64-bit hash as node."""
-    rows = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("number", "line"))
-    place = F.col("id").cast("decimal(38,0)") * PLACES + F.col("number")
-    return rows.where(F.trim(F.translate("line", "\t\r", "  ")) != "").select("id", "number", place.cast("decimal(38,0)").alias("place"), F.xxhash64("line").alias("node"), "line")
-
-
-def distinct_hashes(line: Column, pattern: str) -> Column:
-    """Hashes of a line's distinct shingles that the pattern takes; however often one repeats, it counts once."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), lambda s: F.xxhash64(s)))
-
-
-def band_keys(line: Column, pattern: str, salt: int) -> Column:
-    """Keys of a line's bands that have a hash."""
-    hashes = F.sort_array(distinct_hashes(line, pattern))
-    bits = 64 - (BANDS.bit_length() - 1)
-
-    def keys(all_: Column) -> Column:
-        def key(v: Column, i: Column) -> Column:
-            own = F.shiftright(v, bits)
-            later = [F.when(F.shiftright(F.get(all_, i + j), bits) == own, F.get(all_, i + j)) for j in range(1, ROWS)]
-            starts = (i == 0) | (F.shiftright(F.get(all_, i - 1), bits) != own)
-            return F.when(starts & ((F.size(all_) < SURE) | later[-1].isNotNull()), F.xxhash64(F.lit(salt), v, *later))
-
-        return F.array_compact(F.transform(all_, key))
-
-    # A one-element transform binds the array once: what refers to it does not repeat it.
-    return F.flatten(F.transform(F.array(hashes), keys))
-
-
-def keyed_lines(lines: DataFrame) -> DataFrame:
-    """(key, node) of the lines of K characters and more."""
-    n = F.char_length("line")
-    empty = F.array().cast("array<bigint>")
-    line = F.col("line")
-    # The start of a long line is enough to see that it has many shingles, unless it repeats itself.
-    start = F.size(distinct_hashes(F.substring(line, 1, PROBE), _ALL))
-    few = (start <= DENSE_MOST - K + 1) & ((n <= PROBE) | (F.size(distinct_hashes(line, _ALL)) <= DENSE_MOST - K + 1))
-    anchored = F.size(distinct_hashes(line, _ANCHORED))
-    dense = F.when((n >= K) & ((n <= DENSE_MOST) | few | (anchored < FEW_ANCHORED)), band_keys(line, _ALL, 1)).otherwise(empty)
-    sparse = F.when(n > SPARSE_FROM, band_keys(line, _ANCHORED, 2)).otherwise(empty)
-    return lines.select("node", F.explode(F.concat(dense, sparse)).alias("key"))
+#: Pairs that are verified at once; their number and 48 bits of a hash share a word.
+PAIRS_AT_ONCE = 1 << 14
+#: Pairs of more characters are verified one by one, by whole hashes.
+LONG_PAIR = 1 << 14
+
+_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+_PERMUTE = (mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _ODD[0]) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\r\n")] = True
+
+
+def code_points(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, and how many of them start before each byte (and before the end)."""
+    if not len(raw) or raw.max() < 0x80:
+        return raw.astype(np.uint32), np.arange(len(raw) + 1)
+    before = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum(raw & 0xC0 != 0x80, out=before[1:])
+    return np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), "<u4"), before
+
+
+def window_hashes(codes: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of K characters; three code points of 21 bits are a word."""
+    n = len(codes) - K + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    c = codes.astype(np.uint64)
+    three = c[:-2] | c[1:-1] << np.uint64(21) | c[2:] << np.uint64(42)
+    h = three[:n] * _ODD[0]
+    h ^= h >> np.uint64(32)
+    h ^= three[3 : n + 3]
+    h *= _ODD[1]
+    h ^= h >> np.uint64(29)
+    h ^= c[6 : n + 6] | c[7 : n + 7] << np.uint64(21)
+    h *= _ODD[2]
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def split_lines(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number, first byte, end) of the lines that are not blank."""
+    feeds = np.flatnonzero(raw == 0x0A)
+    where = np.searchsorted(feeds, at[1:], "left")
+    end = np.insert(feeds, where, at[1:])
+    last = np.zeros(len(end), bool)
+    last[where + np.arange(len(where))] = True
+    text = np.cumsum(last) - last
+    opens = np.append(True, last[:-1])[: len(end)]
+    start = np.append(0, end[:-1] + 1)[: len(end)]
+    start[opens] = at[:-1]
+    number = np.arange(len(end)) - np.flatnonzero(opens)[text]
+    full = np.append(0, np.cumsum(~_BLANK[raw]))
+    keep = full[end] > full[start]
+    return text[keep], number[keep], start[keep], end[keep]
+
+
+def band_keys(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Keys (a row of BANDS for each line) of lines of K characters or more, as ranges in ascending order."""
+    out = np.zeros((len(start), BANDS), np.uint64)
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(end, start[lo] + BLOCK_CHARS, "right")))
+        base = start[lo]
+        h = window_hashes(codes[base : end[hi - 1]])
+        low, high = h.astype(np.uint32), (h >> np.uint64(32)).astype(np.uint32)
+        edges = np.empty(2 * (hi - lo), np.int64)
+        edges[::2], edges[1::2] = start[lo:hi] - base, end[lo:hi] - base - K + 1
+        edges = edges[:-1]  # between two lines' shingles lie those across their border
+        least = [np.minimum.reduceat((low if k % 2 else high) * p, edges)[::2].astype(np.uint64) for k, p in enumerate(_PERMUTE)]
+        for b in range(BANDS):
+            x, y, z = least[ROWS * b : ROWS * (b + 1)]
+            out[lo:hi, b] = mix(mix(x << np.uint64(32) | y) + (z << np.uint64(8) | np.uint64(b)) * _ODD[0])
+        lo = hi
+    return out
+
+
+def described_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, number, node, keys): every line that is not blank, with its 64-bit hash as node; a task gives the keys
+    of equal lines once, and lines of fewer than K characters have none."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for lo, hi in chunks(batch.column(1)):
+                raw, at = buffers(batch.column(1)[lo:hi])
+                text, number, start, end = split_lines(raw, at)
+                node = range_hashes(raw, start, end).view(np.int64)
+                codes, before = code_points(raw)
+                first, last = before[start], before[end]
+                fresh = np.zeros(len(node), bool)
+                for i in np.flatnonzero(last - first >= K).tolist():
+                    if (x := node[i].item()) not in seen:
+                        seen.add(x)
+                        fresh[i] = True
+                if len(seen) > SEEN:
+                    seen.clear()
+                keys = band_keys(codes, first[fresh], last[fresh])
+                ends = np.append(0, np.cumsum(fresh) * BANDS).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))
+                ids = batch.column(0)[lo:hi].take(pa.array(text))
+                yield pa.record_batch([ids, pa.array(number.astype(np.int32)), pa.array(node), lists], names=["id", "number", "node", "keys"])
+
+    rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null"))
+    return rows.mapInArrow(describe, "id long, number int, node long, keys array<long>")
+
+
+# What candidates() writes: pairs (a, b), lines (key, node) of keys whose lines were not all compared, and a
+# partition's first line (key, node) of a key that may go on in another partition.
+_PAIR, _CROWDED, _EDGE = 0, 1, 2
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates from rows in order of (key, node): each line with its key's first and with the one before it.
+
+    Keys of more than three lines, and those on the edge of a batch or of the partition, may hold lines that
+    were not compared.
+    """
+    key = lead = last = None
+    edge: tuple[int, int] | None = None  # the last key so far, and its first node here
+    for batch in batches:
+        k, v = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        if len(k):
+            again = np.append((k[0], v[0]) == (key, last), (k[1:] == k[:-1]) & (v[1:] == v[:-1]))
+            k, v = k[~again], v[~again]
+        if not len(k):
+            continue
+        starts = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        size = np.diff(np.append(starts, len(k)))
+        run = np.repeat(np.arange(len(starts)), size)
+        goes_on = k[0] == key
+        leads, before = v[starts].copy(), np.append(v[0], v[:-1])
+        before[starts] = v[starts]
+        if goes_on:
+            leads[0], before[0] = lead, last
+        a, b = np.concatenate([v, v]), np.concatenate([leads[run], before])
+        pairs = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
+        crowded = size > 3
+        crowded[[0, -1]] = True
+        own = crowded[run]
+        edges = [] if key is not None else [(k[0], v[0])]
+        kinds = np.repeat([_PAIR, _CROWDED, _EDGE], [len(pairs), own.sum(), len(edges)]).astype(np.int32)
+        x = np.concatenate([pairs[:, 0], k[own], np.array([e[0] for e in edges], np.int64)])
+        y = np.concatenate([pairs[:, 1], v[own], np.array([e[1] for e in edges], np.int64)])
+        key, lead, last = k[-1].item(), leads[-1].item(), v[-1].item()
+        edge = (key, lead)
+        yield pa.record_batch([pa.array(kinds), pa.array(x), pa.array(y)], names=["kind", "x", "y"])
+    if edge:
+        yield pa.record_batch([pa.array([_EDGE], pa.int32()), pa.array([edge[0]], pa.int64()), pa.array([edge[1]], pa.int64())], names=["kind", "x", "y"])
 
 
 def candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct (a, b): lines a that share a key with b, where b leads the key or comes just before a;
-    and (key, node) of the keys of more than three rows, where that leaves lines that were not compared."""
-    keyed = keyed_lines(lines)
-    sampled = keyed_lines(lines.where(F.pmod(F.xxhash64("place", F.lit("sample")), F.lit(SAMPLE_ONE_IN)) == 0))
-    hot = stored(sampled.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_IN_SAMPLE).orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key"), "hot-keys")
-    some = not hot.isEmpty()
-    salted = keyed.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "key", "left") if some else keyed.withColumn("hot", F.lit(None).cast("boolean"))
-    salted = salted.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("node", F.lit("salt")), F.lit(SALTS))).otherwise(F.lit(0)))
-    w = Window.partitionBy("key", "salt").orderBy("node")
-    near = {i: (F.lag("node", -i) if i < 0 else F.lead("node", i)).over(w).isNotNull() for i in (-3, -2, -1, 1, 2, 3)}
-    crowded = F.col("hot").isNotNull() | near[-3] | (near[-2] & near[1]) | (near[-1] & near[2]) | near[3]
-    led = salted.select("key", "node", "hot", F.first("node").over(w).alias("lead"), F.lag("node").over(w).alias("before"), crowded.alias("crowded"))
-    led = stored(led.where("crowded or before is not null"), "led-lines")
-    both = led.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("lead", "before"))).alias("b"))
-    pairs = both.where("a <> b")
-    if some:
-        # Each leader of a part of a hot key is there as its own lead, also where it is alone in its part.
-        leads = led.where("hot and node = lead").select("key", F.col("node").alias("a")).distinct()
-        first = leads.groupBy("key").agg(F.min("a").alias("b"))  # a row per hot key, MOST_HOT at most
-        pairs = pairs.unionByName(leads.join(F.broadcast(first), "key").where("a <> b").select("a", "b"))
-    return pairs.distinct(), led.where("crowded").select("key", "node").distinct()
+    """Distinct (a, b) of lines to compare, and (key, node) of keys that may hold lines that were not compared."""
+    keyed = lines.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node")
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = stored(keyed.repartitionByRange(n, "key", "node").sortWithinPartitions("key", "node").mapInArrow(_neighbours, "kind int, x long, y long"), "line-candidates")
+    pairs = found.where(F.col("kind") == _PAIR).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    # Two rows for each partition at most: the parts of a key that spreads over partitions.
+    edges = found.where(F.col("kind") == _EDGE).select(F.col("x").alias("key"), F.col("y").alias("a")).distinct()
+    across = edges.join(edges.groupBy("key").agg(F.min("a").alias("b")), "key").where("a <> b").select("a", "b")
+    return pairs.unionByName(across).distinct(), found.where(F.col("kind") == _CROWDED).select(F.col("x").alias("key"), F.col("y").alias("node"))
 
 
 def unlinked(crowded: DataFrame, roots: DataFrame) -> DataFrame:
     """(node, root) of all lines of the crowded keys that hold lines of several roots."""
     known = crowded.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = known.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y and n > 3")
-    return known.join(open_.select("key"), "key").select("node", "root").distinct()
+    open_ = known.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    return known.join(open_.select("key").hint("merge"), "key").select("node", "root").distinct()
+
+
+def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, line) of the wanted (id, number, node): documents are shuffled whole, and cut where they arrive."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    places = wanted.groupBy("id").agg(F.collect_list("number").alias("numbers"), F.collect_list("node").alias("nodes"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in chunks(batch.column(0)):
+                texts, numbers, nodes = (c[lo:hi] for c in batch.columns)
+                raw, at = buffers(texts)
+                text, number, start, end = split_lines(raw, at)
+                of = np.repeat(np.arange(hi - lo), np.asarray(numbers.value_lengths()))
+                asked = of << 32 | np.asarray(numbers.flatten())
+                have = text << 32 | number
+                i = np.minimum(np.searchsorted(have, asked), max(len(have) - 1, 0))
+                node = np.asarray(nodes.flatten())
+                ok = np.zeros(len(asked), bool)
+                if len(have):
+                    ok = have[i] == asked
+                    ok &= range_hashes(raw, start[i], end[i]).view(np.int64) == node  # a repeated id may have other texts
+                data = raw.tobytes()
+                lines = [data[a:b].decode() for a, b in zip(start[i[ok]].tolist(), end[i[ok]].tolist(), strict=True)] if len(have) else []
+                yield pa.record_batch([pa.array(node[ok]), pa.array(lines, pa.string())], names=["node", "line"])
+
+    joined = rows.join(places.hint("merge"), "id").select("text", "numbers", "nodes")
+    return bounded_batches(joined).mapInArrow(cut, "node long, line string").dropDuplicates(["node"])
+
+
+def shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all runs of K characters on end, how many each line has)."""
+    raw, at = buffers(lines)
+    codes, before = code_points(raw)
+    start, end = before[at[:-1]], before[at[1:]]
+    n = np.maximum(end - start - K + 1, 0)
+    h = window_hashes(codes)
+    return h[np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())], n
+
+
+def similar(left: pa.Array, right: pa.Array, percent: int) -> np.ndarray:
+    """Whether the lines of each pair have a Jaccard similarity of percent or more."""
+    (x, nx), (y, ny) = shingles(left), shingles(right)
+    out = np.zeros(len(left), bool)
+    long_ = nx + ny > LONG_PAIR
+    ex, ey = np.append(0, np.cumsum(nx)), np.append(0, np.cumsum(ny))
+    for i in np.flatnonzero(long_).tolist():
+        a, b = np.unique(x[ex[i] : ex[i + 1]]), np.unique(y[ey[i] : ey[i + 1]])
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        out[i] = 100 * common >= percent * (len(a) + len(b) - common)
+
+    def sets(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+        of = np.repeat(np.arange(len(n), dtype=np.uint64) << np.uint64(48), n)
+        both = np.sort((of | h >> np.uint64(16))[np.repeat(~long_, n)])
+        return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+
+    a, b = sets(x, nx), sets(y, ny)
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    size = [np.bincount((s >> np.uint64(48)).astype(np.int64), minlength=len(out)) for s in (a, b, both[1:][both[1:] == both[:-1]])]
+    return np.where(long_, out, (size[2] > 0) & (100 * size[2] >= percent * (size[0] + size[1] - size[2])))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose lines have a Jaccard similarity of percent or more; texts: node, line."""
+    left = texts.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "line_a", "line_b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, PAIRS_AT_ONCE):
+                part = batch.slice(lo, PAIRS_AT_ONCE)
+                yield pa.record_batch(part.columns[:2], names=["a", "b"]).filter(pa.array(similar(part.column(2), part.column(3), percent)))
+
+    return bounded_batches(both).mapInArrow(compare, "a long, b long")
 
 
 def prefix_pairs(rooted: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Distinct (a, b) of lines of different roots, with all those whose similarity is percent or more.
 
     In any one order of all shingles, two such lines share one of the first n - ceil(n * percent / 100) + 1 of
-    their n shingles. The order puts first what few roots have, by counts in BUCKETS buckets: a template that
+    their n shingles. The order puts first what few lines have, by counts in BUCKETS buckets: a template that
     many lines hold comes last, so lines meet by what is their own.
     """
-    lines = rooted.join(texts.hint("merge"), "node").select("node", "root", shingle_hashes(F.col("line")).alias("s"))
-    one = rooted.groupBy("root").agg(F.min("node").alias("node")).select("node")
-    counts = lines.join(one.hint("merge"), "node", "left_semi").select(F.explode("s").alias("t")).groupBy(F.pmod("t", F.lit(BUCKETS)).alias("i")).count()
-    found = {r["i"]: r["count"] for r in counts.collect()}  # BUCKETS rows at most
-    table = bytearray(2 * BUCKETS)
-    for rank, i in enumerate(sorted(range(BUCKETS), key=lambda i: (found.get(i, 0), i))):
-        table[2 * i : 2 * i + 2] = rank.to_bytes(2, "big")
-    ranks = F.lit(bytes(table))
-    ordered = F.sort_array(F.transform("s", lambda t: F.struct(F.substring(ranks, (2 * F.pmod(t, F.lit(BUCKETS)) + 1).cast("int"), F.lit(2)).alias("r"), t.alias("t"))))
-    n = F.size("s")
-    few = n - F.ceil(n * percent / F.lit(100)).cast("int") + 1
-    firsts = lines.select("node", "root", n.alias("n"), F.posexplode(F.slice(ordered, F.lit(1), few)).alias("i", "x")).select("node", "root", "n", "i", F.col("x.t").alias("t"))
-    firsts = stored(firsts, "line-prefixes")
+    lines = bounded_batches(rooted.join(texts.hint("merge"), "node").select("node", "root", "line"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            n += np.bincount((shingles(batch.column(2))[0] % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        yield pa.record_batch([pa.array(np.flatnonzero(n).astype(np.int32)), pa.array(n[n > 0])], names=["i", "n"])
+
+    counts = lines.mapInArrow(count, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows at most
+    total = np.zeros(BUCKETS, np.int64)
+    total[np.asarray(counts.column("i"))] = np.asarray(counts.column("n"))
+    rank = np.empty(BUCKETS, np.uint64)
+    rank[np.argsort(total, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
+    rank_table = rank.astype(np.uint16)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, n = shingles(batch.column(2))
+            of = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((h, rank_table[(h % np.uint64(BUCKETS)).astype(np.int64)], of))
+            h, of = h[order], of[order]
+            new = np.append(True, (h[1:] != h[:-1]) | (of[1:] != of[:-1]))[: len(h)]
+            h, of = h[new], of[new]
+            size = np.bincount(of, minlength=len(n))
+            at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+            keep = at < (size + (-size * percent) // 100 + 1)[of]
+            pick = pa.array(of[keep])
+            columns = [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(size[of[keep]].astype(np.int32)), pa.array(at[keep].astype(np.int32)), pa.array(h[keep].view(np.int64))]
+            yield pa.record_batch(columns, names=["node", "root", "n", "i", "t"])
+
+    firsts = stored(lines.mapInArrow(first, "node long, root long, n int, i int, t long"), "line-prefixes")
     shared = firsts.groupBy("t").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("t")
     met = stored(firsts.join(shared.hint("merge"), "t"), "shared-prefixes")
     l, r = met.alias("l"), met.alias("r")
@@ -157,50 +332,37 @@ def prefix_pairs(rooted: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     return l.join(r.hint("merge"), (F.col("l.t") == F.col("r.t")) & (F.col("l.root") < F.col("r.root")) & enough).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
 
 
-def shingle_hashes(line: Column) -> Column:
-    """64-bit hashes of the distinct runs of K characters (as UTF-32, so that each takes four bytes)."""
-    places = F.sequence(F.lit(0), F.char_length(line) - K)
-    wide = F.transform(F.array(F.encode(line, "UTF-32")), lambda b: F.transform(places, lambda i: F.xxhash64(F.substring(b, 4 * i + 1, F.lit(4 * K)))))
-    return F.array_distinct(F.flatten(wide))
-
-
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose lines have a Jaccard similarity of percent or more; texts: node, line."""
-    left = texts.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
-    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-    sets = both.select("a", "b", shingle_hashes(F.col("line_a")).alias("x"), shingle_hashes(F.col("line_b")).alias("y"))
-    near = sets.where((100 * F.size("x") >= percent * F.size("y")) & (100 * F.size("y") >= percent * F.size("x")))
-    common = near.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("m"))
-    return common.where(100 * F.col("n") >= percent * (F.col("m") - F.col("n"))).select("a", "b")
-
-
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, number) of every line to drop: of each component of similar lines, all but the first place."""
-    lines = lines_of(docs, id_col, text_col)
-    places = stored(lines.select("id", "number", "place", "node"), "lines")
-    first = places.groupBy("node").agg(F.min("place").alias("place"), F.count("*").alias("n"))
-    often = stored(first.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "node").limit(MOST_HOT).select("node", F.col("place").alias("first")), "frequent-lines")
-    first = first.drop("n")
-    once = lines if often.isEmpty() else lines.join(F.broadcast(often), "node", "left").where("first is null or first = place").drop("first")
-    pairs, crowded = candidates(once)
+    lines = stored(described_lines(docs, id_col, text_col), "lines")
+    place = (F.col("id").cast("decimal(38,0)") * PLACES + F.col("number")).cast("decimal(38,0)")
+    places = lines.select("id", "number", place.alias("place"), "node")
+    first = stored(places.groupBy("node").agg(F.min("place").alias("place"), F.count("*").alias("n")), "line-nodes")
+    pairs, crowded = candidates(lines)
     pairs = stored(pairs, "line-pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(first.hint("merge"), "node")
-    texts = lines.select("place", "node", "line").join(wanted.hint("merge"), ["place", "node"]).dropDuplicates(["node"]).select("node", "line")
-    texts = stored(texts, "line-texts")
+    id_of = F.floor(F.col("place") / PLACES).cast("decimal(38,0)")
+    wanted = first.join(nodes.hint("merge"), "node").select(id_of.cast("long").alias("id"), (F.col("place") - id_of * PLACES).cast("int").alias("number"), "node")
+    texts = stored(line_texts(docs, wanted, id_col, text_col), "line-texts")
     links = stored(verified(pairs, texts, percent), "line-links")
     roots = connected_components(links)
     rest = stored(unlinked(crowded, roots), "unlinked-lines")
     if not rest.isEmpty():
         more = verified(stored(prefix_pairs(rest, texts, percent), "more-pairs"), texts, percent)
         roots = connected_components(links.unionByName(more))
-    kept = first.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    of_root = kept.groupBy("root").agg(F.min("place").alias("kept"))
-    decided = kept.join(of_root.hint("merge"), "root").select("node", "kept")
+    # Lines without a link that stand in one place only stay as they are.
+    of_node = first.join(roots.hint("merge"), "node", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "node"))
+    of_root = of_node.groupBy("root").agg(F.min("place").alias("kept"))
+    decided = of_node.join(of_root.hint("merge"), "root").select("node", "kept")
     return places.join(decided.hint("merge"), "node").where("place <> kept").select("id", "number")
 
 
+def line_count(text: Column) -> Column:
+    """Lines of a text: one more than its line feeds; none if it is null."""
+    feeds = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    return F.coalesce(feeds + 1, F.lit(0)).cast("long")
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, n_lines, n_dropped, dropped, text) for every row of docs; dropped: line numbers (from 0) in order.
 
@@ -208,19 +370,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     directly or through others) the first by document id and line number stays. Blank lines always stay and
     count as lines; lines of fewer than K characters are dropped only if equal. A null text has no lines and
     stays null. Rows with a null id keep all lines. Rows that repeat an id count as one document: equal lines
-    at equal places of them count once. Other columns are ignored.
+    at equal places of them count once. Ids are integers (or text of integers). Other columns are ignored.
     """
     gone = dropped_lines(docs, id_col, text_col, percent).groupBy("id").agg(F.array_sort(F.collect_set("number")).alias("dropped"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("own"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     j = rows.join(gone.hint("merge"), "id", "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("dropped", i)), "\n")
-    return j.select(F.col("id").alias(id_col), F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.size("dropped").cast("long").alias("n_dropped"), "dropped", kept.alias("text"))
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("dropped", i)), "\n")
+    return j.select(F.col("own").alias(id_col), line_count(F.col("text")).alias("n_lines"), F.size("dropped").cast("long").alias("n_dropped"), "dropped", kept.alias("text"))
 
 
 def line_report(docs: DataFrame, **how) -> DataFrame:
     """Per document: lines, dropped lines and their numbers, without the text."""
-    gone = dropped_lines(docs, **how).groupBy(F.col("id").alias("__id")).agg(F.array_sort(F.collect_set("number")).alias("dropped"))
-    rows = docs.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
-    j = rows.join(gone.hint("merge"), F.col("doc_id") == F.col("__id"), "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
+    gone = dropped_lines(docs, **how).groupBy("id").agg(F.array_sort(F.collect_set("number")).alias("dropped"))
+    rows = docs.select("doc_id", F.col("doc_id").cast("long").alias("id"), line_count(F.col("text")).alias("n_lines"))
+    j = rows.join(gone.hint("merge"), "id", "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
     return j.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.array_join(F.transform("dropped", lambda x: x.cast("string")), ",").alias("dropped"))
