@@ -7,8 +7,9 @@ how long the line is, so all lines are sketched alike, from all their shingles.
 
 Lines that share a key are candidates of the key's first line and of the one before them. Candidates are verified
 by the exact Jaccard similarity of their shingles. Where that leaves the lines of a key in several components, all
-lines of the key are compared across components: exactly, by an inverted index of the shingles that come first
-when rare ones do (prefix filter). So any two similar lines that share a key are in one component; of each
+lines of the key are compared across components, exactly: by the task that holds the key's lines, which returns only
+the links that join components; or, for keys of more than GROUP_LINES lines, by an inverted index of the shingles that
+come first when rare ones do (prefix filter). So any two similar lines that share a key are in one component; of each
 component one line stays: the first of all documents.
 
 Keys are dealt by ranges of (key, line), so a key of any number of lines spreads over as many tasks as it needs; a key
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.components import connected_components
+from docketry.llm.ngram_join import linked
 from docketry.llm.shared import bounded_batches, stored
 from docketry.llm.textbytes import buffers, chunks, mix, range_hashes
 
@@ -43,6 +45,10 @@ SEEN = 400_000
 BUCKETS = 1 << 16
 #: A line's place is its document's id times this, plus its number.
 PLACES = 1_000_000_000
+#: Lines and characters of a key's group that one task compares; larger ones go by the prefix filter.
+GROUP_LINES, GROUP_CHARS = 2048, 1 << 21
+#: Groups of so many lines are compared pair by pair, larger ones by a token-group matrix.
+FEW_LINES = 24
 #: Pairs that are verified at once; their number and 48 bits of a hash share a word.
 PAIRS_AT_ONCE = 1 << 14
 #: Pairs of more characters are verified one by one, by whole hashes.
@@ -205,10 +211,11 @@ def candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def unlinked(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """(node, root) of all lines of the crowded keys that hold lines of several roots."""
+    """(key, node, root) of the crowded keys that hold lines of several roots; of keys with equal lines, one."""
     known = crowded.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = known.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    return known.join(open_.select("key").hint("merge"), "key").select("node", "root").distinct()
+    same = F.sum(F.xxhash64("node").cast("decimal(20,0)"))
+    open_ = known.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), same.alias("s")).where("x <> y")
+    return known.join(open_.dropDuplicates(["n", "s"]).select("key").hint("merge"), "key").select("key", "node", "root")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -249,26 +256,31 @@ def shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return h[np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())], n
 
 
-def similar(left: pa.Array, right: pa.Array, percent: int) -> np.ndarray:
-    """Whether the lines of each pair have a Jaccard similarity of percent or more."""
-    (x, nx), (y, ny) = shingles(left), shingles(right)
-    out = np.zeros(len(left), bool)
-    long_ = nx + ny > LONG_PAIR
-    ex, ey = np.append(0, np.cumsum(nx)), np.append(0, np.cumsum(ny))
-    for i in np.flatnonzero(long_).tolist():
-        a, b = np.unique(x[ex[i] : ex[i + 1]]), np.unique(y[ey[i] : ey[i + 1]])
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        out[i] = 100 * common >= percent * (len(a) + len(b) - common)
-
-    def sets(h: np.ndarray, n: np.ndarray) -> np.ndarray:
-        of = np.repeat(np.arange(len(n), dtype=np.uint64) << np.uint64(48), n)
-        both = np.sort((of | h >> np.uint64(16))[np.repeat(~long_, n)])
-        return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
-
-    a, b = sets(x, nx), sets(y, ny)
-    both = np.sort(np.concatenate([a, b]), kind="stable")
-    size = [np.bincount((s >> np.uint64(48)).astype(np.int64), minlength=len(out)) for s in (a, b, both[1:][both[1:] == both[:-1]])]
-    return np.where(long_, out, (size[2] > 0) & (100 * size[2] >= percent * (size[0] + size[1] - size[2])))
+def line_sets(lines: pa.Array) -> list[np.ndarray]:
+    """The distinct shingle hashes of each line, ascending."""
+    h, n = shingles(lines)
+    ends = np.append(0, np.cumsum(n)).tolist()
+    return [np.unique(h[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sets of each pair (left[i], right[i]) have a Jaccard similarity of percent or more."""
+    size = np.array([len(x) for x in sets], np.int64)
+    x, y = size[left], size[right]
+    out = (np.minimum(x, y) > 0) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+    rest = np.flatnonzero(out)
+    for i in rest[(x + y)[rest] > LONG_PAIR].tolist():
+        common = len(np.intersect1d(sets[left[i]], sets[right[i]], assume_unique=True))
+        out[i] = 100 * common >= percent * (x[i] + y[i] - common)
+    rest = rest[(x + y)[rest] <= LONG_PAIR]
+    for lo in range(0, len(rest), PAIRS_AT_ONCE):
+        some = rest[lo : lo + PAIRS_AT_ONCE]
+        of = np.repeat(np.arange(len(some), dtype=np.uint64) << np.uint64(48), (x + y)[some])
+        both = of | np.concatenate([sets[k] for i, j in zip(left[some].tolist(), right[some].tolist(), strict=True) for k in (i, j)]) >> np.uint64(16)
+        both.sort()
+        common = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(48)).astype(np.int64), minlength=len(some))
+        out[some] = 100 * common >= percent * ((x + y)[some] - common)
+    return out
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -279,15 +291,58 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, PAIRS_AT_ONCE):
-                part = batch.slice(lo, PAIRS_AT_ONCE)
-                yield pa.record_batch(part.columns[:2], names=["a", "b"]).filter(pa.array(similar(part.column(2), part.column(3), percent)))
+            a, b = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            nodes, at, which = np.unique(np.concatenate([a, b]), return_index=True, return_inverse=True)
+            lines = pa.concat_arrays([batch.column(2), batch.column(3)]).take(pa.array(at))  # a line of several pairs is hashed once
+            ok = similar(line_sets(lines), which[: len(a)], which[len(a) :], percent)
+            yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(ok))
 
     return bounded_batches(both).mapInArrow(compare, "a long, b long")
 
 
+def group_links(groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join the roots of similar lines of a group; groups: key, node, root, line."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def flush() -> list[tuple[int, int]]:
+            group = pa.Table.from_batches(held).combine_chunks()
+            node, root = np.asarray(group.column(1)), np.asarray(group.column(2))
+            sets = line_sets(group.column(3).combine_chunks())
+            if len(node) > FEW_LINES:
+                links = [(i, j) for i, j in linked(sets, percent) if root[i] != root[j]]
+            else:
+                i, j = np.triu_indices(len(node), 1)
+                some = root[i] != root[j]
+                i, j = i[some], j[some]
+                ok = similar(sets, i, j, percent)
+                links = list(zip(i[ok].tolist(), j[ok].tolist(), strict=True))
+            return [(root[i].item(), root[j].item()) for i, j in links]
+
+        for batch in batches:
+            k = np.asarray(batch.column(0))
+            edges = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+            links: set[tuple[int, int]] = set()
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if lo < hi:
+                    if held and k[lo] != key:
+                        links.update(flush())
+                        held.clear()
+                    key = k[lo]
+                    held.append(batch.slice(lo, hi - lo))
+            yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+        if held:
+            links = set(flush())
+            yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = groups.select("key", "node", "root", "line").repartition(n, "key").sortWithinPartitions("key")
+    return bounded_batches(rows).mapInArrow(compare, "a long, b long")
+
+
 def prefix_pairs(rooted: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b) of lines of different roots, with all those whose similarity is percent or more.
+    """Distinct (a, b) of lines of different roots, with all those whose similarity is percent or more; rooted: node, root.
 
     In any one order of all shingles, two such lines share one of the first n - ceil(n * percent / 100) + 1 of
     their n shingles. The order puts first what few lines have, by counts in BUCKETS buckets: a template that
@@ -332,6 +387,19 @@ def prefix_pairs(rooted: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     return l.join(r.hint("merge"), (F.col("l.t") == F.col("r.t")) & (F.col("l.root") < F.col("r.root")) & enough).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
 
 
+def more_links(open_lines: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of roots that have similar lines in a key; open_lines: key, node, root, line."""
+    large = stored(open_lines.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.char_length("line")).alias("chars")).where((F.col("n") > GROUP_LINES) | (F.col("chars") > GROUP_CHARS)).select("key"), "large-keys")
+    if large.isEmpty():
+        return stored(group_links(open_lines, percent), "group-links")
+    links = group_links(open_lines.join(large.hint("merge"), "key", "left_anti"), percent)
+    rooted = open_lines.join(large.hint("merge"), "key", "left_semi").select("node", "root").distinct()
+    root = rooted.select("node", "root")
+    near = verified(stored(prefix_pairs(rooted, texts, percent), "prefix-pairs"), texts, percent)
+    near = near.join(root.withColumnsRenamed({"node": "a", "root": "x"}).hint("merge"), "a").join(root.withColumnsRenamed({"node": "b", "root": "y"}).hint("merge"), "b")
+    return stored(links.unionByName(near.select(F.col("x").alias("a"), F.col("y").alias("b"))), "group-links")
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, number) of every line to drop: of each component of similar lines, all but the first place."""
     lines = stored(described_lines(docs, id_col, text_col), "lines")
@@ -344,12 +412,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id_of = F.floor(F.col("place") / PLACES).cast("decimal(38,0)")
     wanted = first.join(nodes.hint("merge"), "node").select(id_of.cast("long").alias("id"), (F.col("place") - id_of * PLACES).cast("int").alias("number"), "node")
     texts = stored(line_texts(docs, wanted, id_col, text_col), "line-texts")
-    links = stored(verified(pairs, texts, percent), "line-links")
-    roots = connected_components(links)
-    rest = stored(unlinked(crowded, roots), "unlinked-lines")
-    if not rest.isEmpty():
-        more = verified(stored(prefix_pairs(rest, texts, percent), "more-pairs"), texts, percent)
-        roots = connected_components(links.unionByName(more))
+    roots = stored(connected_components(verified(pairs, texts, percent)), "line-roots")
+    more = more_links(stored(unlinked(crowded, roots).join(texts.hint("merge"), "node"), "open-lines"), texts, percent)
+    if not more.isEmpty():
+        later = connected_components(more).select(F.col("node").alias("root"), F.col("root").alias("last"))
+        alone = later.join(roots.hint("merge"), "root", "left_anti").select(F.col("root").alias("node"), "root")
+        roots = roots.unionByName(alone).join(later.hint("merge"), "root", "left").select("node", F.coalesce("last", "root").alias("root"))
     # Lines without a link that stand in one place only stay as they are.
     of_node = first.join(roots.hint("merge"), "node", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "node"))
     of_root = of_node.groupBy("root").agg(F.min("place").alias("kept"))

@@ -224,6 +224,13 @@ def test_hot_keys_whose_least_leader_is_of_another_group(spark):
         assert dropped_by_line(spark, lines) == {i for i in range(600) if i % 30}
 
 
+@pytest.mark.parametrize("most", [0, 5000])
+def test_groups_and_prefixes_find_the_same(spark, monkeypatch, most):
+    """Keys of many lines, compared within a task or by the prefix filter."""
+    monkeypatch.setattr(line_dedup, "GROUP_LINES", most)
+    assert dropped_by_line(spark, templated(random.Random(18), 200, 3)) == {i for i in range(600) if i % 3}
+
+
 def test_recall_in_large_families_however_rows_are_dealt(spark):
     """Families of hundreds of near copies that differ in one to three words, one line to a document."""
     r = random.Random(15)
@@ -286,7 +293,8 @@ def test_similar_lines_match_sets():
         a, b = ({t[i : i + 8] for i in range(len(t) - 7)} for t in (x, y))
         return bool(a & b) and 100 * len(a & b) >= 80 * len(a | b)
 
-    got = line_dedup.similar(pa.array([x for x, _ in pairs]), pa.array([y for _, y in pairs]), 80)
+    sets = line_dedup.line_sets(pa.array([t for pair in pairs for t in pair]))
+    got = line_dedup.similar(sets, np.arange(0, len(sets), 2), np.arange(1, len(sets), 2), 80)
     assert got.tolist() == [brute(x, y) for x, y in pairs] and any(got) and not all(got)
 
 
