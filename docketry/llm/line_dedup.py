@@ -23,6 +23,7 @@ the CPU time that the check tool allows (README). Everything between them is dec
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +50,9 @@ PLACES = 1_000_000_000
 GROUP_LINES, GROUP_CHARS = 2048, 1 << 21
 #: Groups of so many lines are compared pair by pair, larger ones by a token-group matrix.
 FEW_LINES = 24
-#: Pairs that are verified at once; their number and 48 bits of a hash share a word.
-PAIRS_AT_ONCE = 1 << 14
-#: Pairs of more characters are verified one by one, by whole hashes.
-LONG_PAIR = 1 << 14
+#: Lines, pairs of lines and about so many shingles that are compared at once; a number below AT_ONCE and 48 bits of a
+#: hash share a word.
+AT_ONCE, CHARS_AT_ONCE = 1 << 14, 1 << 21
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _PERMUTE = (mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _ODD[0]) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -256,30 +256,53 @@ def shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return h[np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())], n
 
 
-def line_sets(lines: pa.Array) -> list[np.ndarray]:
-    """The distinct shingle hashes of each line, ascending."""
-    h, n = shingles(lines)
-    ends = np.append(0, np.cumsum(n)).tolist()
-    return [np.unique(h[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+@dataclass
+class Sets:
+    """Distinct shingles of lines, ascending, as 48-bit hashes; those of line i are flat[first[i] : first[i + 1]]."""
+
+    flat: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, lines: pa.Array) -> Sets:
+        flat, size = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(lines), AT_ONCE):
+            h, n = shingles(lines[lo : lo + AT_ONCE])
+            x = np.repeat(np.arange(len(n), dtype=np.uint64) << np.uint64(48), n) | h >> np.uint64(16)
+            x.sort()
+            x = x[np.append(True, x[1:] != x[:-1])[: len(x)]]
+            size.append(np.bincount((x >> np.uint64(48)).astype(np.int64), minlength=len(n)))
+            flat.append(x & np.uint64((1 << 48) - 1))
+        return cls(np.concatenate(flat), np.append(0, np.cumsum(np.concatenate(size))))
+
+    @property
+    def size(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.flat[self.first[i] : self.first[i + 1]]
+
+    def common(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """How many shingles the lines left[i] and right[i] share."""
+        which = np.stack([left, right], axis=1).ravel()
+        n = self.size[which]
+        at = np.repeat(self.first[which] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.repeat(np.arange(len(which), dtype=np.uint64) >> np.uint64(1) << np.uint64(48), n) | self.flat[at]
+        both.sort()
+        return np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(48)).astype(np.int64), minlength=len(left))
 
 
-def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the sets of each pair (left[i], right[i]) have a Jaccard similarity of percent or more."""
-    size = np.array([len(x) for x in sets], np.int64)
-    x, y = size[left], size[right]
+def similar(sets: Sets, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the lines of each pair (left[i], right[i]) have a Jaccard similarity of percent or more."""
+    x, y = sets.size[left], sets.size[right]
     out = (np.minimum(x, y) > 0) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
     rest = np.flatnonzero(out)
-    for i in rest[(x + y)[rest] > LONG_PAIR].tolist():
-        common = len(np.intersect1d(sets[left[i]], sets[right[i]], assume_unique=True))
-        out[i] = 100 * common >= percent * (x[i] + y[i] - common)
-    rest = rest[(x + y)[rest] <= LONG_PAIR]
-    for lo in range(0, len(rest), PAIRS_AT_ONCE):
-        some = rest[lo : lo + PAIRS_AT_ONCE]
-        of = np.repeat(np.arange(len(some), dtype=np.uint64) << np.uint64(48), (x + y)[some])
-        both = of | np.concatenate([sets[k] for i, j in zip(left[some].tolist(), right[some].tolist(), strict=True) for k in (i, j)]) >> np.uint64(16)
-        both.sort()
-        common = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(48)).astype(np.int64), minlength=len(some))
-        out[some] = 100 * common >= percent * ((x + y)[some] - common)
+    loads = np.cumsum((x + y)[rest])
+    cuts = np.searchsorted(loads, np.arange(CHARS_AT_ONCE, loads[-1] if len(loads) else 0, CHARS_AT_ONCE))
+    for some in np.split(rest, cuts):
+        for part in np.split(some, range(AT_ONCE, len(some), AT_ONCE)):
+            common = sets.common(left[part], right[part])
+            out[part] = 100 * common >= percent * ((x + y)[part] - common)
     return out
 
 
@@ -292,52 +315,66 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            nodes, at, which = np.unique(np.concatenate([a, b]), return_index=True, return_inverse=True)
+            _, at, which = np.unique(np.concatenate([a, b]), return_index=True, return_inverse=True)
             lines = pa.concat_arrays([batch.column(2), batch.column(3)]).take(pa.array(at))  # a line of several pairs is hashed once
-            ok = similar(line_sets(lines), which[: len(a)], which[len(a) :], percent)
+            ok = similar(Sets.of(lines), which[: len(a)], which[len(a) :], percent)
             yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(ok))
 
     return bounded_batches(both).mapInArrow(compare, "a long, b long")
 
 
+def links_of_groups(group: np.ndarray, root: np.ndarray, lines: pa.Array, percent: int) -> np.ndarray:
+    """Distinct (a, b) of roots with similar lines in a group; rows of a group stand together."""
+    sets = Sets.of(lines)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    size = np.diff(np.append(starts, len(group)))
+    links = [np.zeros((0, 2), np.int64)]
+    for lo, n in zip(starts[size > FEW_LINES].tolist(), size[size > FEW_LINES].tolist(), strict=True):
+        found = np.array(linked([sets[i] for i in range(lo, lo + n)], percent), np.int64).reshape(-1, 2)
+        links.append(root[lo + found])
+    few = np.where(size <= FEW_LINES, size, 0)
+    later = np.arange(len(group)) - np.repeat(starts, size)  # rows of the group before this one
+    later[np.repeat(few, size) == 0] = 0
+    right = np.repeat(np.arange(len(group)), later)
+    left = right - np.arange(len(right)) + np.repeat(np.cumsum(later) - later, later) - 1
+    other = root[left] != root[right]
+    left, right = left[other], right[other]
+    ok = similar(sets, left, right, percent)
+    links.append(np.stack([root[left[ok]], root[right[ok]]], axis=1))
+    both = np.concatenate(links)
+    both = np.unique(np.sort(both, axis=1), axis=0)
+    return both[both[:, 0] != both[:, 1]]
+
+
 def group_links(groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that join the roots of similar lines of a group; groups: key, node, root, line."""
+    """(a, b): links that join the roots of similar lines of a group; groups: key, root, line."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def flush() -> list[tuple[int, int]]:
-            group = pa.Table.from_batches(held).combine_chunks()
-            node, root = np.asarray(group.column(1)), np.asarray(group.column(2))
-            sets = line_sets(group.column(3).combine_chunks())
-            if len(node) > FEW_LINES:
-                links = [(i, j) for i, j in linked(sets, percent) if root[i] != root[j]]
-            else:
-                i, j = np.triu_indices(len(node), 1)
-                some = root[i] != root[j]
-                i, j = i[some], j[some]
-                ok = similar(sets, i, j, percent)
-                links = list(zip(i[ok].tolist(), j[ok].tolist(), strict=True))
-            return [(root[i].item(), root[j].item()) for i, j in links]
+        held: list[pa.RecordBatch] = []
+
+        def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(parts).combine_chunks()
+            found = links_of_groups(np.asarray(t.column(0)), np.asarray(t.column(1)), t.column(2).combine_chunks(), percent)
+            return pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
         for batch in batches:
             k = np.asarray(batch.column(0))
-            edges = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
-            links: set[tuple[int, int]] = set()
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                if lo < hi:
-                    if held and k[lo] != key:
-                        links.update(flush())
-                        held.clear()
-                    key = k[lo]
-                    held.append(batch.slice(lo, hi - lo))
-            yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+            if not len(k):
+                continue
+            cut = int(np.flatnonzero(np.append(True, k[1:] != k[:-1]))[-1])  # the last group may go on
+            if cut or (held and held[-1].column(0)[0].as_py() != k[0]):
+                if held and k[0] != held[-1].column(0)[0].as_py():
+                    yield links(held)
+                    held = []
+                if cut:
+                    yield links([*held, batch.slice(0, cut)])
+                    held = []
+            held.append(batch.slice(cut))
         if held:
-            links = set(flush())
-            yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+            yield links(held)
 
     n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = groups.select("key", "node", "root", "line").repartition(n, "key").sortWithinPartitions("key")
+    rows = groups.select("key", "root", "line").repartition(n, "key").sortWithinPartitions("key")
     return bounded_batches(rows).mapInArrow(compare, "a long, b long")
 
 

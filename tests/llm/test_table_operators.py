@@ -224,6 +224,23 @@ def test_hot_keys_whose_least_leader_is_of_another_group(spark):
         assert dropped_by_line(spark, lines) == {i for i in range(600) if i % 30}
 
 
+@pytest.mark.parametrize("few", [0, 24])
+def test_links_of_groups_match_sets(monkeypatch, few):
+    monkeypatch.setattr(line_dedup, "FEW_LINES", few)
+    r = random.Random(19)
+    base = ["".join(r.choice("abcdef") for _ in range(60)) for _ in range(6)]
+    rows = sorted((r.randrange(8), i, (x := r.choice(base))[: r.randint(40, 60)] + r.choice(["", "zz", "é"])) for i in range(90))
+    sets = [{t[i : i + 8] for i in range(len(t) - 7)} for *_, t in rows]
+    expected = {tuple(sorted((rows[i][1] // 2, rows[j][1] // 2))) for i in range(90) for j in range(i) if rows[i][0] == rows[j][0] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    got = line_dedup.links_of_groups(np.array([g for g, *_ in rows]), np.array([i // 2 for _, i, _ in rows]), pa.array([t for *_, t in rows]), 80)
+    components = Find(), Find()
+    for f, links in zip(components, (expected, got.tolist()), strict=True):
+        for a, b in links:
+            f.join(a, b)
+    assert {i: components[0].root(i) for i in range(45)} == {i: components[1].root(i) for i in range(45)}
+    assert few == 0 or {tuple(x) for x in got.tolist()} == {x for x in expected if x[0] != x[1]}
+
+
 @pytest.mark.parametrize("most", [0, 5000])
 def test_groups_and_prefixes_find_the_same(spark, monkeypatch, most):
     """Keys of many lines, compared within a task or by the prefix filter."""
@@ -293,8 +310,8 @@ def test_similar_lines_match_sets():
         a, b = ({t[i : i + 8] for i in range(len(t) - 7)} for t in (x, y))
         return bool(a & b) and 100 * len(a & b) >= 80 * len(a | b)
 
-    sets = line_dedup.line_sets(pa.array([t for pair in pairs for t in pair]))
-    got = line_dedup.similar(sets, np.arange(0, len(sets), 2), np.arange(1, len(sets), 2), 80)
+    sets = line_dedup.Sets.of(pa.array([t for pair in pairs for t in pair]))
+    got = line_dedup.similar(sets, np.arange(0, 2 * len(pairs), 2), np.arange(1, 2 * len(pairs), 2), 80)
     assert got.tolist() == [brute(x, y) for x, y in pairs] and any(got) and not all(got)
 
 
