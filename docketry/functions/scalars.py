@@ -213,5 +213,13 @@ def pages_text(pages: Column) -> Column:
     return F.to_json(pages)
 
 
+def result_html(row: Column) -> Column:
+    """The HTML in a search result row given as JSON: the second item of a list, or `1` or `html` of an object."""
+    items = [F.get_json_object(row, p) for p in ("$[1]", "$['1']", "$.html")]
+    listed = F.ltrim(row).startswith("[")
+    named = F.coalesce(*(F.nullif(x, F.lit("")) for x in items[1:]))
+    return F.coalesce(F.when(listed, items[0]).otherwise(named), F.lit(""))
+
+
 def host(url: Column) -> Column:
     return or_null(F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://([^/?#]+)", 1))

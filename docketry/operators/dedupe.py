@@ -61,9 +61,10 @@ def upsert(existing: DataFrame, new: DataFrame, seq: str | None = None, keep_bla
 def rewrite(df: DataFrame) -> DataFrame:
     """Cross-file dedupe within year and court: the most recently modified file wins, then path, then row.
 
-    df has mtime and path; row positions are those of the scan.
+    df has mtime and path, and `row`, a row's position in its file (read_judgments(..., rows=True) gives it). Without
+    it positions are those of the scan, which only agree with the file while it is read as one split.
     """
-    rows = with_key(df).withColumn("_row", F.monotonically_increasing_id())
+    rows = with_key(df).withColumn("_row", F.col("row") if "row" in df.columns else F.monotonically_increasing_id())
     order = [F.desc("mtime"), F.desc("path"), F.desc("_row")]
     return keep_last(rows, ["year", "court", KEY], order).drop("_row", KEY)
 

@@ -6,7 +6,7 @@ it and counts, rather than joining layer by layer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.functions import scalars as S
@@ -56,6 +56,12 @@ def missing(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return left.join(right.select(*on).distinct(), on, "left_anti")
 
 
+def first_missing(left: DataFrame, right: DataFrame, on: list[str], keys: list[str], order: list[str], n: int = 20) -> DataFrame:
+    """Of each of `keys` the first n rows of left, in `order`, whose `on` is not in right; with their rank."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return missing(left, right, on).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
 def compare_sides(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """One row: distinct non-blank keys on each side, on both, and on one alone. Full outer on distinct keys."""
 

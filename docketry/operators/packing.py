@@ -1,15 +1,17 @@
 """Planning of tar parts: greedy packing in order, the part to append to, the index after an upload.
 
-Packing is sequential within a partition. It runs as one array expression per partition, which holds up to some
-hundred thousand files; pack_large() streams a partition of any size through one task instead.
+Packing is sequential within a partition, so a partition's files stream in order through one task, which holds a
+batch and two numbers at a time. Where parts end is found by binary search in running sums, a step per part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Most bytes of a part, and of a part that may still be appended to.
@@ -27,37 +29,49 @@ def greedy_parts(files: DataFrame, keys: list[str], order: str, name: str = "nam
 
     A file above the limit is an error. Whether a part has files is told by count, since sizes may be 0.
     """
-    rows = _checked(files, size, limit).select(*keys, F.struct(F.col(order).alias("o"), F.col(name).alias("n"), F.col(size).cast("long").alias("s")).alias("f"))
-    start = F.struct(F.lit(0).alias("part"), F.lit(0).cast("long").alias("used"), F.lit(0).alias("held"), F.array().cast("array<struct<part:int,name:string,size:bigint>>").alias("out"))
-
-    def step(a: Column, f: Column) -> Column:
-        opens = (a["held"] > 0) & (a["used"] + f["s"] > limit)
-        part = F.when(opens, a["part"] + 1).otherwise(a["part"])
-        item = F.struct(part.alias("part"), f["n"].cast("string").alias("name"), f["s"].alias("size"))
-        return F.struct(part.alias("part"), F.when(opens, f["s"]).otherwise(a["used"] + f["s"]).alias("used"), F.when(opens, F.lit(1)).otherwise(a["held"] + 1).alias("held"), F.concat(a["out"], F.array(item)).alias("out"))
-
-    packed = rows.groupBy(*keys).agg(F.aggregate(F.array_sort(F.collect_list("f")), start, step, lambda a: a["out"]).alias("out"))
-    return packed.select(*keys, F.explode("out").alias("x")).select(*keys, "x.part", "x.name", "x.size")
+    rows = _checked(files, size, limit).select(*keys, F.col(order).alias("_order"), F.col(name).cast("string").alias("name"), F.col(size).cast("long").alias("size"))
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "_order", "name", "size").select(*keys, "name", "size")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, part, used, held = None, 0, 0, False
+        for b in batches:
+            if not b.num_rows:
+                continue
+            columns = [b.column(i) for i in range(len(keys))]
+            sums = np.append(0, np.cumsum(b.column(len(keys) + 1).to_numpy()))
+            changes = np.zeros(b.num_rows - 1, bool)
+            for c in columns:
+                changes |= ~np.asarray(_same(c[1:], c[:-1]))
+            edges = [0, *(np.flatnonzero(changes) + 1).tolist(), b.num_rows]
+            parts = np.zeros(b.num_rows, np.int32)
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                key = tuple(c[lo].as_py() for c in columns)
+                if key != at:
+                    at, part, used, held = key, 0, 0, False
+                i = lo
+                while i < hi:
+                    # The files that still fit; one always does in a part without files.
+                    j = min(hi, max(int(np.searchsorted(sums, sums[i] + limit - used, "right")) - 1, i if held else i + 1))
+                    parts[i:j] = part
+                    used, held = used + int(sums[j] - sums[i]), held or j > i
+                    if j < hi:
+                        part, used, held = part + 1, 0, False
+                    i = j
+            yield pa.record_batch([*columns, pa.array(parts), *b.columns[-2:]], names=[*keys, "part", "name", "size"])
+
+    fields = ", ".join(f"`{k}` {files.schema[k].dataType.simpleString()}" for k in keys)
+    return rows.mapInArrow(pack, f"{fields}, part int, name string, size long")
+
+
+def _same(x: pa.Array, y: pa.Array) -> pa.Array:
+    """Whether each value equals the other, nulls being equal."""
+    both = pc.and_(pc.is_null(x), pc.is_null(y))
+    return pc.or_(both, pc.fill_null(pc.equal(x, y), False))
 
 
 def pack_large(files: DataFrame, key: str, order: str, name: str = "name", size: str = "size", limit: int = PART_LIMIT) -> DataFrame:
-    """As greedy_parts() for one key column, holding one row at a time: for partitions beyond an array."""
-    rows = _checked(files, size, limit).select(F.col(key).cast("string").alias(key), F.col(order), F.col(name).cast("string").alias("name"), F.col(size).cast("long").alias("size"))
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, part, used, held = None, 0, 0, 0
-        for pdf in batches:
-            parts = []
-            for k, s in zip(pdf[key], pdf["size"], strict=True):
-                if k != at:
-                    at, part, used, held = k, 0, 0, 0
-                elif held and used + s > limit:
-                    part, used, held = part + 1, 0, 0
-                used, held = used + s, held + 1
-                parts.append(part)
-            yield pd.DataFrame({key: pdf[key], "part": parts, "name": pdf["name"], "size": pdf["size"]})
-
-    return rows.repartition(key).sortWithinPartitions(key, order).mapInPandas(pack, f"{key} string, part int, name string, size long")
+    """As greedy_parts(), by one key as text."""
+    return greedy_parts(files.withColumn(key, F.col(key).cast("string")), [key], order, name, size, limit)
 
 
 def append_target(parts: DataFrame, keys: list[str], new_size: DataFrame, part_limit: int = PART_LIMIT, append_limit: int = APPEND_LIMIT) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.functions import scalars as S
+from docketry.session import small
 
 
 def rollups(records: DataFrame) -> DataFrame:
@@ -25,10 +26,10 @@ def rollups(records: DataFrame) -> DataFrame:
 
 def with_names(df: DataFrame, dimension: DataFrame, code: str, dim_code: str, dim_name: str, name: str, default: str | None = None) -> DataFrame:
     """df with the name of its code, in either spelling of codes; unknown codes keep themselves or get the default."""
-    # Dimensions have tens of rows (25 courts, 45 benches).
-    d = dimension.select(S.to_path_code(F.col(dim_code)).alias("_code"), F.col(dim_name).alias("_name")).dropDuplicates(["_code"]).limit(10_000)
+    # Dimensions have tens of rows (25 courts, 45 benches); one that has more is not broadcast.
+    d = small(dimension.select(S.to_path_code(F.col(dim_code)).alias("_code"), F.col(dim_name).alias("_name")).dropDuplicates(["_code"]))
     missing = F.col(code) if default is None else F.lit(default)
-    return df.join(F.broadcast(d), S.to_path_code(F.col(code)) == F.col("_code"), "left").withColumn(name, F.coalesce("_name", missing)).drop("_code", "_name")
+    return df.join(d, S.to_path_code(F.col(code)) == F.col("_code"), "left").withColumn(name, F.coalesce("_name", missing)).drop("_code", "_name")
 
 
 def merged_dimension(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
@@ -56,9 +57,11 @@ def year_range(df: DataFrame, year: str, measures: list[str]) -> DataFrame:
 
 
 def combinations(years: DataFrame, courts: DataFrame, benches: DataFrame) -> DataFrame:
-    """year x court x bench of small dimensions, the benches joined to their court."""
-    pairs = courts.join(F.broadcast(benches.limit(10_000)), "court")
-    return years.crossJoin(F.broadcast(pairs.limit(10_000)))
+    """year x court x bench, the benches joined to their court: each pair is repeated for the years, which are few."""
+    listed = years.select("year").distinct().agg(F.array_sort(F.collect_set("year")).alias("years"))
+    pairs = courts.join(small(benches), "court")
+    # One row, whatever the size of the dimensions.
+    return pairs.join(F.broadcast(listed)).select(F.explode("years").alias("year"), *pairs.columns)
 
 
 def compression_summary(df: DataFrame, keys: list[str], before: str = "original", after: str = "compressed") -> DataFrame:
@@ -73,6 +76,27 @@ def tar_sizes(listing: DataFrame) -> DataFrame:
     return tars.groupBy("court", "year").agg(F.sum("size").alias("size"))
 
 
+def court_benches(listing: DataFrame) -> DataFrame:
+    """One row: distinct courts, and distinct pairs of court and bench (a bench of the same name in two courts is two)."""
+    return listing.agg(F.countDistinct("court").alias("courts"), F.countDistinct(F.struct("court", "bench")).alias("benches"))
+
+
+def filtered(records: DataFrame, years: list[int] | None = None, courts: list[str] | None = None) -> DataFrame:
+    """Records of the given years and courts (codes in either spelling); an empty or missing list is no filter."""
+    if years:
+        records = records.where(F.col("year").isin(years))
+    if courts:
+        records = records.where(S.to_path_code(F.col("court")).isin([c.replace("~", "_") for c in courts]))
+    return records
+
+
+def listed_sizes(totals: DataFrame, least_gib: float | None = None) -> DataFrame:
+    """Totals with `gib`; with least_gib without those below, else without those that have neither PDFs nor metadata."""
+    some = (F.col("pdfs") > 0) | (F.col("metadata") > 0)
+    rows = totals.withColumn("gib", S.gib(F.col("size")))
+    return rows.where(some) if least_gib is None else rows.where((some | (F.col("size") > 0)) & (F.col("gib") >= least_gib))
+
+
 def totals_by(counts: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
     """(key, pdfs, metadata, size) from counts (court, year, pdfs, metadata) and sizes (court, year, size)."""
     both = counts.select(key, "pdfs", "metadata").unionByName(sizes.select(key, "size"), allowMissingColumns=True)
@@ -89,7 +113,7 @@ def size_page(counts: DataFrame, listing: DataFrame, snapshot: date, least_gib:
     names = dict(counts.select("court", "court_name").distinct().collect())
     courts = totals_by(counts, sizes, "court").orderBy(F.desc("pdfs"), "court").collect()
     years = totals_by(counts, sizes, "year").orderBy("year").collect()
-    benches = listing.select("court", "bench").distinct().count()
+    benches = court_benches(listing).first()["benches"]
     active = [c for c in courts if c["pdfs"] or c["metadata"]]
     covered = [y for y in years if y["pdfs"] or y["metadata"] or y["size"]]
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions import scalars as S
+from docketry.session import small
 
 # Days that are scraped again for late data; first day of a court without a cursor.
 OVERLAP_DAYS = 14
@@ -27,7 +28,7 @@ def date_ranges(df: DataFrame, start: str, end: str, days: int) -> DataFrame:
 def tasks(courts: DataFrame, splits: DataFrame, start: str, end: str, days: int) -> DataFrame:
     """(court, from_date, to_date, dist): courts x ranges x the court's splits (null where it has none)."""
     ranges = date_ranges(courts.withColumns({"_s": F.lit(start).cast("date"), "_e": F.lit(end).cast("date")}), "_s", "_e", days)
-    return ranges.join(F.broadcast(splits.limit(10_000)), "court", "left").select("court", "from_date", "to_date", "dist")
+    return ranges.join(small(splits), "court", "left").select("court", "from_date", "to_date", "dist")
 
 
 def days_of(df: DataFrame, keys: list[str], start: str = "from_date", end: str = "to_date") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,10 @@ from docketry import schemas
 from docketry.functions import scalars as S
 
 
+#: How much of a delimited file is looked at for its separator.
+SNIFF_CHARS, SNIFF_LINES = 4096, 1000
+
+
 def _absent(e: AnalysisException) -> bool:
     return e.getCondition() == "PATH_NOT_FOUND"
 
@@ -74,8 +79,11 @@ def index_files(indexes: DataFrame) -> DataFrame:
     return rows.withColumn("name", S.basename(F.col("file")))
 
 
-def read_judgments(spark: SparkSession, root: str, years: list[int] | None = None, courts: list[str] | None = None, benches: list[str] | None = None) -> DataFrame:
-    """The query layer with partition columns from the path.
+def read_judgments(spark: SparkSession, root: str, years: list[int] | None = None, courts: list[str] | None = None, benches: list[str] | None = None, rows: bool = False) -> DataFrame:
+    """The query layer with its partition columns; `rows` adds `row`, the position in the file.
+
+    Files of this library's own schema are read with partition discovery, so any filter on year, court and bench
+    prunes folders. Published files differ: they have a column `court` of their own, or another kind of date.
 
     The files have a column `court` (a name) that clashes with the partition `court` (a code); reading leaf
     folders without partition discovery keeps both, and the name becomes court_name. decision_date is a DATE,
@@ -84,7 +92,12 @@ def read_judgments(spark: SparkSession, root: str, years: list[int] | None = Non
     old = spark.conf.get("spark.sql.legacy.parquet.nanosAsLong", "false")
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     try:
-        df = _or_empty(spark, lambda: spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").option("mergeSchema", False).parquet(*leaf_globs(root, years, courts, benches)).withColumn("__path", F.col("_metadata.file_path")), schemas.JUDGMENT + ", __path string")
+        if (own := _own_layer(spark, root)) is not None:
+            for name, values in (("year", years), ("court", courts), ("bench", benches)):
+                own = own.where(F.col(name).isin(list(values))) if values else own
+            meta = [F.col("_metadata.file_path").alias("path"), *([F.col("_metadata.row_index").alias("row")] if rows else [])]
+            return own.select(*schemas.JUDGMENT_COLUMNS, *schemas.PARTITIONS, *meta)
+        df = _or_empty(spark, lambda: spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").option("mergeSchema", False).parquet(*leaf_globs(root, years, courts, benches)).withColumns({"__path": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}), schemas.JUDGMENT + ", __path string, __row long")
     finally:
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", old)
     if "court_name" not in df.columns and "court" in df.columns:
@@ -98,14 +111,38 @@ def read_judgments(spark: SparkSession, root: str, years: list[int] | None = Non
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast(kind))
     p = F.col("__path")
-    return df.select(*schemas.JUDGMENT_COLUMNS, S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench"), p.alias("path"))
+    return df.select(*schemas.JUDGMENT_COLUMNS, S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench"), p.alias("path"), *([F.col("__row").alias("row")] if rows else []))
+
+
+def _own_layer(spark: SparkSession, root: str) -> DataFrame | None:
+    """The layer with partition discovery, if its files have this library's schema; one file is looked at."""
+    fields = schemas.struct(schemas.JUDGMENT)
+    try:
+        there = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(root).schema
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if [(f.name, f.dataType) for f in there] != [(f.name, f.dataType) for f in fields]:
+        return None
+    return spark.read.schema(schemas.struct(f"{schemas.JUDGMENT}, year int, court string, bench string")).option("basePath", root).parquet(root)
 
 
 def sniff_separator(spark: SparkSession, path: str) -> str:
-    """Tab if the first line has more tabs than commas, else comma."""
-    line = spark.read.text(path).limit(1).collect()
-    first = line[0][0] if line else ""
-    return "\t" if first.count("\t") > first.count(",") else ","
+    """Tab or comma: the one that divides the lines of the first SNIFF_CHARS characters alike, outside quotes; then the commoner."""
+    lines = "\n".join(r[0] for r in spark.read.text(path).limit(SNIFF_LINES).collect())[:SNIFF_CHARS]
+    rows = re.sub(r'"(?:[^"]|"")*"', "", lines).splitlines() or [""]
+
+    def score(sep: str) -> tuple[bool, int]:
+        counts = [r.count(sep) for r in rows[: max(1, len(rows) - 1)]]  # the last line may be cut
+        return min(counts) > 0 and min(counts) == max(counts), sum(counts)
+
+    return "\t" if score("\t") > score(",") else ","
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """(value, path) of the lines of a run's logs, whether a file or a folder of them."""
+    return _or_empty(spark, lambda: spark.read.option("recursiveFileLookup", True).text(path).select("value", F.col("_metadata.file_path").alias("path")), "value string, path string")
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
@@ -141,6 +178,15 @@ def discover_partitions(listing: DataFrame, path: Column | None = None) -> DataF
     return rows.distinct().orderBy("year", "court", "bench", "data_type")
 
 
+def discover_data(listing: DataFrame, path: Column | None = None) -> DataFrame:
+    """Distinct (data_type, year, court, bench) of the folders that hold any file, in order; the type is the first folder
+    of those named data, metadata or parquet, and court and bench are null where the path has none."""
+    p = F.col("path") if path is None else path
+    kind = F.regexp_extract(p, r"(?:^|/)(data|metadata|parquet)(?:/[^/=]+)*/year=\d+/", 1)
+    rows = listing.where(kind != "").select(kind.alias("data_type"), S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench"))
+    return rows.distinct().orderBy("year", "court", "bench", "data_type")
+
+
 def pick_partitions(partitions: DataFrame, years: list[int] | None = None, courts: list[str] | None = None, limit: int | None = None) -> DataFrame:
     if years:
         partitions = partitions.where(F.col("year").isin(years))

@@ -5,11 +5,15 @@ from __future__ import annotations
 import io
 import tarfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import schemas
+from docketry.functions import scalars as S
 from docketry.operators import dedupe
 
 
@@ -89,6 +93,60 @@ def write_text_pages(pages: DataFrame, root: str) -> None:
     pages.write.mode("append").partitionBy(*schemas.PARTITIONS).json(root)
 
 
+def write_objects(df: DataFrame, folder: str) -> DataFrame:
+    """Files below `folder` from rows (path, body); returns (path, size), which also makes the write happen when stored.
+
+    A file appears whole: it is written under a name of its own and then moved, so a rerun task or a reader
+    never sees half of it, and the last writer of a path wins.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(folder)
+        made: set[str] = set()
+        for b in batches:
+            sizes = []
+            for path, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                where, _, name = f"{base}/{path}".rpartition("/")
+                if where not in made:
+                    store.create_dir(where, recursive=True)
+                    made.add(where)
+                temporary = f"{where}/.{name}-{uuid.uuid4().hex}"
+                with store.open_output_stream(temporary, compression=None) as out:
+                    out.write(body)
+                store.move(temporary, f"{where}/{name}")
+                sizes.append(len(body))
+            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int64())], names=["path", "size"])
+
+    return df.select("path", F.col("body").cast("binary").alias("body")).mapInArrow(write, "path string, size long")
+
+
+def write_indexes(indexes: DataFrame, folder: str) -> int:
+    """Tar indexes as `<type>/tar/year=/court=/bench=/<type>.index.json` below `folder`, each replaced whole.
+
+    indexes: data_type, year, court, bench, parts, and optionally scraped_through_date; counts and sizes are those
+    of the parts. Returns how many were written.
+    """
+    zero = F.lit(0).cast("long")
+    total = F.aggregate("parts", zero, lambda a, p: a + F.coalesce(p["size"], zero))
+    doc = F.struct(
+        F.aggregate("parts", zero, lambda a, p: a + F.size(p["files"])).alias("file_count"),
+        total.alias("tar_size"),
+        S.format_size(total).alias("tar_size_human"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+        *([F.col("scraped_through_date").cast("string").alias("scraped_through_date")] if "scraped_through_date" in indexes.columns else []),
+        "parts",
+    )
+    path = S.index_path(F.col("data_type"), F.col("year"), F.col("court"), F.col("bench"))
+    written = write_objects(indexes.select(path.alias("path"), F.to_json(doc).alias("body")), folder)
+    return written.agg(F.count("*")).first()[0]
+
+
+def write_cursors(new: DataFrame, old: DataFrame | None, path: str, keys: list[str]) -> None:
+    """Cursors (keys, cursor) as a table at a fresh path: of each key the later one, so none moves back."""
+    both = new if old is None else old.unionByName(new)
+    both.groupBy(*keys).agg(F.max("cursor").alias("cursor")).write.mode("error").parquet(path)
+
+
 def write_tar_parts(plan: DataFrame, folder: str) -> DataFrame:
     """Tar files of planned parts: plan has part, name and body. Returns (part, name, size) of the files written.
 
@@ -97,21 +155,19 @@ def write_tar_parts(plan: DataFrame, folder: str) -> DataFrame:
 
     def pack(pdf):
         import pandas as pd
-        from pyarrow import fs
-
-        buffer = io.BytesIO()
-        with tarfile.open(fileobj=buffer, mode="w") as tar:
-            for name, body in sorted(zip(pdf["name"], pdf["body"], strict=True)):
-                info = tarfile.TarInfo(name)
-                info.size = len(body)
-                tar.addfile(info, io.BytesIO(body))
+
         part = str(pdf["part"].iloc[0])
         store, path = fs.FileSystem.from_uri(folder)
         store.create_dir(path, recursive=True)
         temporary = f"{path}/.{part}-{uuid.uuid4().hex}"
         with store.open_output_stream(temporary, compression=None) as out:
-            out.write(buffer.getvalue())
+            with tarfile.open(fileobj=out, mode="w|") as tar:  # members go to the file as they come
+                for name, body in sorted(zip(pdf["name"], pdf["body"], strict=True)):
+                    info = tarfile.TarInfo(name)
+                    info.size = len(body)
+                    tar.addfile(info, io.BytesIO(body))
+            size = out.tell()
         store.move(temporary, f"{path}/{part}.tar")
-        return pd.DataFrame({"part": [part], "name": [f"{part}.tar"], "size": [buffer.tell()]})
+        return pd.DataFrame({"part": [part], "name": [f"{part}.tar"], "size": [size]})
 
     return plan.groupBy("part").applyInPandas(pack, "part string, name string, size long")

@@ -2,40 +2,60 @@
 
 from __future__ import annotations
 
-import io
 import tarfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.functions import scalars as S
+from docketry.sources.readers import leaf_globs
 
 
-def _members(content: bytes, bodies: bool) -> Iterator[tuple[str, int, bytes | None]]:
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
+#: Members, and bytes of their bodies, that are handed on together.
+BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
+
+
+def _batch(path: str, rows: list[tuple[str, int, bytes | None]]) -> pa.RecordBatch:
+    columns = [pa.array([path] * len(rows), pa.string()), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.binary())))]
+    return pa.record_batch(columns, names=["path", "member", "size", "body"])
+
+
+def _members(content: pa.Buffer, bodies: bool) -> Iterator[tuple[str, int, bytes | None]]:
+    with tarfile.open(fileobj=pa.BufferReader(content), mode="r:*") as tar:
         for m in tar:
             if m.isfile():
                 yield m.name, m.size, tar.extractfile(m).read() if bodies else None
 
 
-def read_tar_members(spark: SparkSession, path: str, bodies: bool = False, suffix: str | None = None) -> DataFrame:
+def read_tar_members(spark: SparkSession, path: str, bodies: bool = False, suffix: str | None = None, years: list[int] | None = None, courts: list[str] | None = None, benches: list[str] | None = None) -> DataFrame:
     """(path, part, member, name, size[, body]) of the regular files in all archives below a path.
 
-    A task holds one archive (parts are at most 1 GiB) and hands its members on one by one.
+    With years, courts or benches, path is the folder above `year=`, and only those folders are listed. A task holds
+    one archive (parts are at most 1 GiB) and hands its members on in batches of about BATCH_BYTES.
     """
-    archives = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{tar,tar.gz}").load(path).select("path", "content")
+    where = leaf_globs(path, years, courts, benches) if years or courts or benches else [path]
+    archives = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{tar,tar.gz}").load(where).select("path", "content")
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for p, content in zip(pdf["path"], pdf["content"], strict=True):
-                for name, size, body in _members(content, bodies):
-                    if suffix is None or name.endswith(suffix):
-                        yield pd.DataFrame({"path": [p], "member": [name], "size": [size], "body": [body]})
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                rows: list[tuple[str, int, bytes | None]] = []
+                held = 0
+                for name, size, body in _members(content.as_buffer(), bodies):
+                    if suffix is not None and not name.endswith(suffix):
+                        continue
+                    rows.append((name, size, body))
+                    held += len(body or b"")
+                    if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
+                        yield _batch(p, rows)
+                        rows, held = [], 0
+                if rows:
+                    yield _batch(p, rows)
 
-    out = archives.mapInPandas(expand, "path string, member string, size long, body binary")
+    out = archives.mapInArrow(expand, "path string, member string, size long, body binary")
     out = out.select("path", S.basename(F.col("path")).alias("part"), "member", S.basename(F.col("member")).alias("name"), "size", "body")
     return out if bodies else out.drop("body")
 
