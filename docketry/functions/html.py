@@ -1,15 +1,18 @@
-"""Fields of a result row's HTML, by one vectorised UDF over the standard library's parser.
+"""Fields of a result row's HTML, by one Arrow UDF.
 
 Spark's xpath functions need well-formed XML, and the label rule ("the first text of any later sibling `font` of
 the label's span") shifts to the next field when a field is empty, which no pattern reproduces. Each snippet is
-parsed once into a small tree and all fields are read from that.
+parsed once into a small tree, by one pattern where its tags are plain, else by the standard library's parser; all
+fields are read from one walk over the tree.
 """
 
 from __future__ import annotations
 
+import re
+from html import unescape
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,23 +84,113 @@ class _Tree(HTMLParser):
             items.append(data)
 
 
-def parse(html: str) -> Node:
-    """Root of the snippet; a lone outer element is the root itself."""
+#: Elements whose content a parser reads by rules of its own.
+_SPECIAL = frozenset("script style textarea title xmp iframe noembed noframes plaintext noscript".split())
+_ATTRIBUTE = r"""[a-zA-Z][-\w:.]*(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'))?"""
+#: A plain tag (closing slash, name, attributes, slash of an empty element) or text without marks of other constructs.
+_TOKEN = re.compile(rf"""<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s+{_ATTRIBUTE})*)\s*(/?)>|([^<>]+)""")
+_PAIR = re.compile(r"""([a-zA-Z][-\w:.]*)(?:(\s*=\s*)(?:"([^"]*)"|'([^']*)'))?""")
+
+
+def _text(t: str) -> str:
+    return unescape(t) if "&" in t else t
+
+
+def _plain_tree(html: str) -> Node | None:
+    """The tree of a snippet of plain tags and text; None if it has anything else."""
+    root = at = Node("", {}, None)
+    end = 0
+    for m in _TOKEN.finditer(html):
+        if m.start() != end:
+            return None
+        end = m.end()
+        closing, tag, attributes, slash, text = m.groups()
+        if text is not None:
+            at.items.append(_text(text))
+            continue
+        tag = tag.lower()
+        if tag in _SPECIAL:
+            return None
+        if closing:
+            if attributes or slash:
+                return None
+            x = at
+            while x is not None and x.tag != tag:
+                x = x.parent
+            if x is not None and x.parent is not None:
+                at = x.parent
+            continue
+        pairs = {}
+        if attributes:
+            for name, equals, double, single in _PAIR.findall(attributes):
+                pairs[name.lower()] = _text(double or single) if equals else None
+        node = Node(tag, pairs, at)
+        at.items.append(node)
+        if not slash and tag not in VOID:
+            at = node
+    if end != len(html):
+        return None
+    _join_texts(root)
+    return root
+
+
+def _join_texts(node: Node) -> None:
+    """Neighbouring texts as one, as the parser's tree has them (a stray closing tag may part them)."""
+    items: list[Node | str] = []
+    for x in node.items:
+        if isinstance(x, str) and items and isinstance(items[-1], str):
+            items[-1] += x
+        else:
+            items.append(x)
+        if isinstance(x, Node):
+            _join_texts(x)
+    node.items = items
+
+
+def _parsed_tree(html: str) -> Node:
     t = _Tree()
     t.feed(html)
     t.close()
-    kids = [x for x in t.root.items if not (isinstance(x, str) and not x.strip())]
-    return kids[0] if len(kids) == 1 and isinstance(kids[0], Node) and kids[0].tag in ("div", "td", "tr", "body", "html") else t.root
+    return t.root
 
 
-def labelled(block: Node, label: str) -> str:
+def parse(html: str) -> Node:
+    """Root of the snippet; a lone outer element is the root itself."""
+    root = _plain_tree(html) or _parsed_tree(html)
+    kids = [x for x in root.items if not (isinstance(x, str) and not x.strip())]
+    return kids[0] if len(kids) == 1 and isinstance(kids[0], Node) and kids[0].tag in ("div", "td", "tr", "body", "html") else root
+
+
+class _Found:
+    """What one walk in document order finds: the first button, and of the first details block its spans with their place."""
+
+    def __init__(self, root: Node) -> None:
+        self.button: Node | None = None
+        self.block: Node | None = None
+        self.spans: list[tuple[Node, list[Node | str], int]] = []
+        self._visit(root, False)
+
+    def _visit(self, node: Node, inside: bool) -> None:
+        for i, x in enumerate(node.items):
+            if isinstance(x, str):
+                continue
+            here = inside
+            if x.tag == "button" and self.button is None:
+                self.button = x
+            elif x.tag == "strong" and self.block is None and x.attrs.get("class") == DETAILS_CLASS:
+                self.block, here = x, True
+            elif x.tag == "span" and inside:
+                self.spans.append((x, node.items, i))
+            self._visit(x, here)
+
+
+def _field(spans: list[tuple[str, list[Node | str], int]], label: str) -> str:
     """First text of any later sibling `font` of the spans with the label, in document order; empty if none."""
-    for span in block.walk():
-        if span.tag == "span" and any(label in x for x in span.texts()[:1]):
-            later = span.parent.items[span.parent.items.index(span) + 1 :]
-            for x in later:
-                if isinstance(x, Node) and x.tag == "font" and x.texts():
-                    return x.texts()[0].strip()
+    for first, items, i in spans:
+        if label in first:
+            for x in items[i + 1 :]:
+                if isinstance(x, Node) and x.tag == "font" and (texts := x.texts()):
+                    return texts[0].strip()
     return ""
 
 
@@ -107,8 +200,9 @@ def fields(html: str | None) -> dict:
     if not html:
         return out
     root = parse(html)
-    if (button := next((x for x in root.walk() if x.tag == "button"), None)) is not None:
-        out["has_button"], out["onclick"] = "onclick" in button.attrs, button.attrs.get("onclick")
+    found = _Found(root)
+    if found.button is not None:
+        out["has_button"], out["onclick"] = "onclick" in found.button.attrs, found.button.attrs.get("onclick")
     titles = [t for b in root.children("button") for t in b.all_texts()]
     out["title"] = titles[0].strip() if titles else ""
     direct = root.texts()
@@ -118,28 +212,30 @@ def fields(html: str | None) -> dict:
         parts = judges[0].split(":")
         out["judge_valid"] = len(parts) > 1
         out["judge"] = parts[1].strip() if len(parts) > 1 else ""
-    block = next((x for x in root.walk() if x.tag == "strong" and x.attrs.get("class") == DETAILS_CLASS), None)
-    if block is None:
+    if found.block is None:
         return out
+    spans = [(t[0], items, i) for span, items, i in found.spans if (t := span.texts())]
     for name, label in LABELS.items():
-        out[name] = labelled(block, label)
-    courts = [t for s in block.walk() if s.tag == "span" for t in s.texts()[:1] if "Court" in t]
-    if courts and ":" in courts[0]:
-        out["court_name"] = courts[0].split(":")[1].strip()
-    for span in block.walk():
-        if span.tag == "span":
-            later = span.parent.items[span.parent.items.index(span) + 1 :]
-            value = next((x for x in later if isinstance(x, Node) or x.strip()), None)
-            key = "".join(span.all_texts()).strip().rstrip(":").strip()
-            if key and value is not None:
-                out["labels"].setdefault(key, (value if isinstance(value, str) else "".join(value.all_texts())).strip())
+        out[name] = _field(spans, label)
+    court = next((t for t, *_ in spans if "Court" in t), "")
+    if ":" in court:
+        out["court_name"] = court.split(":")[1].strip()
+    for span, items, i in found.spans:
+        value = next((x for x in items[i + 1 :] if isinstance(x, Node) or x.strip()), None)
+        key = "".join(span.all_texts()).strip().rstrip(":").strip()
+        if key and value is not None:
+            out["labels"].setdefault(key, (value if isinstance(value, str) else "".join(value.all_texts())).strip())
     return out
 
 
-def _frame(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([fields(x) for x in html], columns=[x.split()[0] for x in FIELDS.split(", ")])
+def _struct(html: pa.Array) -> pa.Array:
+    rows = [fields(x) for x in html.to_pylist()]
+    names = [x.split()[0] for x in FIELDS.split(", ")]
+    kinds = [pa.map_(pa.string(), pa.string()) if n == "labels" else pa.bool_() if n in ("has_button", "judge_valid") else pa.string() for n in names]
+    columns = [pa.array([list(r[n].items()) for r in rows] if n == "labels" else [r[n] for r in rows], k) for n, k in zip(names, kinds, strict=True)]
+    return pa.StructArray.from_arrays(columns, names=names)
 
 
 def html_fields(html: Column) -> Column:
     """Struct of FIELDS for each snippet."""
-    return F.pandas_udf(_frame, FIELDS)(html)
+    return F.arrow_udf(_struct, FIELDS)(html)

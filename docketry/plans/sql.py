@@ -31,8 +31,11 @@ LEVELS = {
     "selection": "SELECT court_code, title, judge, date_of_registration, decision_date, court_name, year, court FROM judgments WHERE year = :year AND court = :court ORDER BY pdf_link LIMIT 10",
     "newest": "SELECT title, decision_date, court_name FROM judgments WHERE year = :year ORDER BY decision_date DESC NULLS LAST, pdf_link LIMIT 10",
     "pattern": "SELECT title, judge, decision_date FROM judgments WHERE title LIKE concat('%', :word, '%')",
+    "judge_pattern": "SELECT title, judge, court_name FROM judgments WHERE judge LIKE concat('%', :word, '%') AND year = :year ORDER BY pdf_link LIMIT 10",
     "top_judges": "SELECT judge, count(*) AS case_count FROM judgments WHERE year = :year GROUP BY judge ORDER BY case_count DESC, judge LIMIT 5",
     "busy_judges": "SELECT judge, count(*) AS case_count FROM judgments GROUP BY judge HAVING count(*) > :least ORDER BY case_count DESC, judge",
+    "busy_courts": "SELECT court_name, count(*) AS total_judgments FROM judgments WHERE year = :year GROUP BY court_name HAVING count(*) > :least ORDER BY total_judgments DESC, court_name",
+    "cases_of_judges_of": "SELECT title, judge, court_name FROM judgments WHERE judge IN (SELECT judge FROM judgments WHERE court = :court GROUP BY judge HAVING count(*) > :least) AND year = :year",
     "cases_of_busy_judges": "SELECT title, judge, decision_date FROM judgments WHERE judge IN (SELECT judge FROM judgments GROUP BY judge HAVING count(*) > :least)",
     "ranked": "SELECT title, court_name, decision_date, rank() OVER (PARTITION BY court_name ORDER BY decision_date DESC NULLS LAST) AS date_rank FROM judgments WHERE year = :year",
 }

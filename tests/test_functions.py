@@ -121,3 +121,21 @@ def test_html_complete():
 )
 def test_html_cases(html, key, expected):
     assert fields(html)[key] == expected
+
+
+def test_plain_snippets_parse_as_by_the_parser():
+    import random
+
+    from docketry.functions import html
+
+    def tree(n):
+        return n.tag, n.attrs, [x if isinstance(x, str) else tree(x) for x in n.items]
+
+    r, plain = random.Random(3), 0
+    parts = ["<b>", "</b>", "<span>", "</span>", "<font color='x'>", "</font>", "<br>", "<br/>", "text", " CNR :", "<strong class=\"caseDetailsTD\">", "</strong>", "<button onclick=\"a('b.pdf')\">", "</button>", "<div>", "</div>", "&amp;", "<td a b=\"\">", "</p>", "<STRONG>", "x > y", "<!-- c -->", "<a href=u>", "&nbsp;", "<input disabled value='&lt;'>", "a<b", "<script>"]
+    for _ in range(3000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(0, 14)))
+        if (p := html._plain_tree(t)) is not None:
+            plain += 1
+            assert tree(p) == tree(html._parsed_tree(t)), t
+    assert plain > 300
