@@ -7,38 +7,16 @@ Every query runs over whole tables; limits are kept where a top-k is the feature
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.functions import scalars as S
 from docketry.functions.html import html_fields
 from docketry.operators import audit, build, dedupe, layers, packing, reconcile, stats, tasks, text, windows
+from docketry.plans.registry import ORACLE_SQL, QUERIES, query, table
 from docketry.session import scratch_path
 from docketry.streaming.upsert import TableStore, read_events, upsert_stream
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name."""
-
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
     for n in names:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
@@ -643,3 +621,7 @@ def windowed_counts(spark, sf_dir):
 
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return counts(e, "ts", "event_type").select(F.col("start").cast("date").alias("day"), "event_type", "n")
+
+
+# The queries over written layers register themselves.
+from docketry.plans import layer_queries  # noqa: E402, F401

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import fnmatch
 import json
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,11 +52,60 @@ def read_raw_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, name, size, mtime, year, court, bench) of the files below a path; bodies are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    files = _or_empty(spark, lambda: reader.load(path).select("path", "length", "modificationTime"), "path string, length long, modificationTime timestamp")
+    """(path, name, size, mtime, year, court, bench) of the files below a path, empty ones too; bodies are not read.
+
+    Folders are listed by tasks, through the file system that pyarrow knows for the path's URI. Where it knows none,
+    Spark's own listing serves, which passes over files of no bytes. Names that start with a dot or an underscore
+    are not listed.
+    """
+    found = _listed(spark, path, glob)
+    if found is None:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        found = _or_empty(spark, lambda: reader.load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime")), _FILES)
     p = F.col("path")
-    return files.select("path", S.basename(p).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"), S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench"))
+    return found.select("path", S.basename(p).alias("name"), "size", "mtime", S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench"))
+
+
+_FILES = "path string, size long, mtime timestamp"
+#: Folders that the driver finds before it leaves the rest to tasks.
+LISTED_APART = 256
+
+
+def _listed(spark: SparkSession, path: str, glob: str) -> DataFrame | None:
+    """(path, size, mtime), or None if pyarrow has no file system for the path or the pattern is not a plain one."""
+    if "{" in glob or any(c in path for c in "*?{["):
+        return None
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    whole = re.sub(r"^file:/+", "file:///", whole)
+    try:
+        store, base = fs.FileSystem.from_uri(whole)
+    except (pa.ArrowInvalid, OSError, ImportError):
+        return None
+    if store.get_file_info(base).type != fs.FileType.Directory:
+        return spark.createDataFrame([], _FILES)
+    prefix = whole[: len(whole) - len(base)] if whole.endswith(base) else None
+    if prefix is None:
+        return None
+    apart: list[str] = []
+    ahead = [base]
+    while ahead and len(apart) + len(ahead) < LISTED_APART:
+        below = [x.path for d in ahead for x in store.get_file_info(fs.FileSelector(d)) if x.type == fs.FileType.Directory]
+        if not below:
+            break
+        apart, ahead = apart + ahead, below
+    folders = [(d, False) for d in apart] + [(d, True) for d in ahead]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, _ = fs.FileSystem.from_uri(whole)
+        for b in batches:
+            for folder, deep in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                files = [x for x in here.get_file_info(fs.FileSelector(folder, recursive=deep)) if x.type == fs.FileType.File and x.base_name[0] not in "._" and fnmatch.fnmatchcase(x.base_name, glob)]
+                columns = [pa.array([prefix + x.path for x in files], pa.string()), pa.array([x.size for x in files], pa.int64()), pa.array([x.mtime for x in files], pa.timestamp("us", "UTC"))]
+                yield pa.record_batch(columns, names=["path", "size", "mtime"])
+
+    n = min(len(folders), spark.sparkContext.defaultParallelism * 4)
+    return spark.createDataFrame(folders, "folder string, deep boolean").repartition(n).mapInArrow(walk, _FILES)
 
 
 def read_indexes(spark: SparkSession, path: str, data_type: str) -> DataFrame:

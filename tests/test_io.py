@@ -134,3 +134,48 @@ def test_plans(spark, tmp_path):
     for name in QUERIES:
         if name not in ("stream_upsert", "enumerate_partitions"):
             assert "CartesianProduct" not in plan(name) and "BroadcastNestedLoopJoin" not in plan(name), name
+
+
+def test_filters_on_partitions_prune_folders(spark, tmp_path):
+    rows = [(f"{y}{c}.pdf", dt.date(y, 1, 1), y, c, "b") for y in (2023, 2024) for c in ("1_1", "1_2")]
+    df = spark.createDataFrame(rows, "pdf_link string, decision_date date, year int, court string, bench string")
+    sinks.write_judgments(df, str(tmp_path / "layer"))
+    j = readers.read_judgments(spark, str(tmp_path / "layer")).where("year = 2024 and court = '1_1' and decision_date > date '2020-01-01'").select("pdf_link")
+    plan = j._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(court#" in plan.split("PartitionFilters:")[1] and "GreaterThan(decision_date,2020-01-01)" in plan
+    assert "ReadSchema: struct<pdf_link:string,decision_date:date" in plan and "title" not in plan.split("ReadSchema:")[1].split("\n")[0]
+    assert [r[0] for r in j.collect()] == ["20241_1.pdf"] and len(j.inputFiles()) >= 1
+
+
+def test_listing_has_empty_files_and_no_hidden_ones(spark, tmp_path):
+    for name, body in (("year=2024/a.pdf", ""), ("year=2024/b.pdf", "x"), ("year=2024/.c.pdf", "x"), ("d.json", "x"), ("deep/er/e.pdf", "xy")):
+        p = tmp_path / name
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(body)
+    assert sorted((r["name"], r["size"], r["year"]) for r in readers.read_listing(spark, str(tmp_path), "*.pdf").collect()) == [("a.pdf", 0, 2024), ("b.pdf", 1, 2024), ("e.pdf", 2, None)]
+    assert readers.read_listing(spark, str(tmp_path / "nowhere")).count() == 0
+
+
+def test_separators_within_quotes_do_not_count(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n"a\tb\tc\td",1\n"e\tf\tg",2\n')
+    assert readers.sniff_separator(spark, str(tmp_path / "a.csv")) == ","
+    (tmp_path / "b.tsv").write_text("x, or z\ty\na, b, c\t1\nd\t2\n")
+    assert readers.sniff_separator(spark, str(tmp_path / "b.tsv")) == "\t"
+    (tmp_path / "c.csv").write_text("")
+    assert readers.sniff_separator(spark, str(tmp_path / "c.csv")) == ","
+
+
+def test_a_store_rewrites_touched_buckets_only(spark, tmp_path):
+    from docketry.streaming.upsert import merge
+
+    store = TableStore(spark, str(tmp_path / "t"), ["k"], 8)
+    assert store.read() is None and store.version() == -1
+    merge(store, spark.createDataFrame([(i, 1) for i in range(100)], "k int, t int"), ["k"], ["t"])
+    before = store._folders(store.version())
+    merge(store, spark.createDataFrame([(7, 2)], "k int, t int"), ["k"], ["t"])
+    after = store._folders(store.version())
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert sorted(tuple(r) for r in store.read().collect()) == [(i, 2 if i == 7 else 1) for i in range(100)]
+    for t in (3, 4, 5):
+        merge(store, spark.createDataFrame([(7, t)], "k int, t int"), ["k"], ["t"])
+    assert store.read().where("k = 7").first()["t"] == 5

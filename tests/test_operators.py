@@ -211,3 +211,27 @@ def test_windows(spark):
     assert [r["n"] for r in windows.daily_histogram(df, "2024-01-01", "2024-01-03", fill=True).orderBy("day").collect()] == [1, 0, 1]
     assert tuple(df.agg(*windows.tri_state("ok", "ok")).first()) == (1, 1, 1)
     assert rows(windows.state_histogram(df, "ok")) == [("False", 1), ("None", 1), ("True", 1)]
+
+
+def test_dimensions_beyond_the_broadcast_are_whole(spark):
+    n = 10_001
+    d = spark.range(n).select(F.concat(F.lit("1~"), "id").alias("code"), F.concat(F.lit("n"), "id").alias("name"))
+    df = spark.range(n).select(F.concat(F.lit("1_"), "id").alias("bench"))
+    assert stats.with_names(df, d, "bench", "code", "name", "found", "unknown").where("found = 'unknown'").count() == 0
+    courts = spark.range(n).select(F.col("id").alias("court"))
+    years = spark.createDataFrame([(2023,), (2024,)], "year int")
+    assert stats.combinations(years, courts, courts.withColumn("bench", F.lit("b"))).count() == 2 * n
+    split = tasks.tasks(courts, courts.withColumn("dist", F.col("court").cast("string")), "2024-01-01", "2024-01-02", 7)
+    assert split.where("dist is not null").count() == n
+
+
+def test_packing_by_several_keys_and_kinds(spark):
+    r = random.Random(7)
+    data = [(r.choice(["a", "b", None]), r.randint(0, 2), i, r.choice([0, 0, 1, 3, 10])) for i in range(400)]
+    df = spark.createDataFrame(data, "g string, h int, name int, size int").repartition(5)
+    got = {}
+    for x in packing.greedy_parts(df, ["g", "h"], "name", limit=10).collect():
+        got.setdefault((x["g"], x["h"]), {}).setdefault(x["part"], []).append((int(x["name"]), x["size"]))
+    for key, parts in got.items():
+        sizes = [s for g, h, _, s in sorted(data, key=lambda d: d[2]) if (g, h) == key]
+        assert [[s for _, s in sorted(parts[p])] for p in sorted(parts)] == [list(x) for x in greedy(sizes, 10)]
