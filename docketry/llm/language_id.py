@@ -5,14 +5,15 @@ word of a text that the model knows adds its log frequencies; any other word is
 longest known n-grams and adds their mean. The language with the highest sum wins, and its share after a softmax
 of the mean per word is the score.
 
-The model is fitted on a bounded sample: of each language at most about `rows_per_lang` rows, chosen by a hash
-of the id, for at most `MOST_LANGS` languages. It goes to the executors once, and texts are scored where they
-are read, with no shuffle.
+The model is fitted on a bounded sample: of each language at most `rows_per_lang` rows and about `bytes_per_lang`
+bytes of text, in the order of a hash of their id, for all languages there are. Words and n-grams are counted by
+tasks, and only those that the model keeps reach the driver. The model goes to the executors once, and texts are scored
+where they are read, with no shuffle: the distinct words of a batch are looked up once, and a text's sum is taken by
+array operations.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -20,20 +21,25 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.llm.shared import bounded_batches
-from docketry.llm.textbytes import chunks
+from docketry.llm.shared import bounded_batches, stored
+from docketry.llm.textbytes import buffers, chunks, words
+from docketry.session import small
 
 UNKNOWN = "und"
 ROWS_PER_LANG = 1000
-MOST_LANGS = 500
+BYTES_PER_LANG = 16 << 20
 MOST_WORDS = 60_000
 MOST_GRAMS = 40_000
 LONGEST = 5
 SHARPNESS = 4.0
-MEMO = 100_000
+#: Words a task remembers beside those of the model, and sums that are taken at once.
+MEMO, SUMS = 300_000, 1 << 22
+#: Bytes of a word's run: ASCII letters and all of other characters; what of the latter is no letter parts words.
+_RUN = np.zeros(256, bool)
+_RUN[0x61:0x7B] = _RUN[0x80:] = True
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -44,23 +50,6 @@ def word_counts(text: str | None) -> Counter[str]:
     return counts if any(c.isalpha() for w in counts for c in w) else Counter()
 
 
-def grams(word: str) -> Iterator[str]:
-    for n in range(1, LONGEST + 1):
-        for i in range(len(word) - n + 1):
-            yield word[i : i + n]
-
-
-def _logs(counts: list[Counter[str]], most: int) -> tuple[list[str], np.ndarray]:
-    """The `most` commonest keys, and their smoothed log frequencies (a row per key, a column per language)."""
-    total: Counter[str] = Counter()
-    for c in counts:
-        total.update(c)
-    kept = sorted((k for k, n in total.items() if n > 1), key=lambda k: (-total[k], k))[:most]
-    sums = np.array([sum(c.values()) for c in counts], float)
-    table = np.array([[c[k] for c in counts] for k in kept], float).reshape(len(kept), len(counts))
-    return kept, np.log((table + 0.5) / (sums + 0.5 * (len(kept) + 1)))
-
-
 @dataclass
 class LanguageModel:
     """Log frequencies of words and n-grams: their rows in two tables, a column per language."""
@@ -70,25 +59,9 @@ class LanguageModel:
     word_logs: np.ndarray
     grams: dict[str, int]
     gram_logs: np.ndarray
-    memo: dict[str, int] = field(default_factory=dict)
-    rows: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-
-    @classmethod
-    def fit(cls, texts: list[str | None], langs: list[str]) -> LanguageModel:
-        names = sorted(set(langs))
-        at = {x: i for i, x in enumerate(names)}
-        by_word: list[Counter[str]] = [Counter() for _ in names]
-        for t, x in zip(texts, langs, strict=True):
-            by_word[at[x]].update(word_counts(t))
-        by_gram: list[list[Counter[str]]] = [[Counter() for _ in names] for _ in range(LONGEST)]
-        for i, c in enumerate(by_word):
-            for w, n in c.items():
-                for x in grams(w):
-                    by_gram[len(x) - 1][i][x] += n
-        tables = [_logs(c, MOST_GRAMS) for c in by_gram]
-        words, word_logs = _logs(by_word, MOST_WORDS)
-        keys = [k for ks, _ in tables for k in ks]
-        return cls(names, {k: i for i, k in enumerate(words)}, word_logs, {k: i for i, k in enumerate(keys)}, np.concatenate([x for _, x in tables]))
+    memo: dict[int, int] = field(default_factory=dict)
+    sums: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    counts: np.ndarray = field(default_factory=lambda: np.zeros((0, 2), np.int64))
 
     def backoff(self, word: str) -> np.ndarray:
         """Mean log frequencies of the longest known n-grams from left to right; zeros if none is known."""
@@ -103,28 +76,66 @@ class LanguageModel:
                 i += 1
         return self.gram_logs[parts].mean(axis=0) if parts else np.zeros(len(self.langs))
 
-    def _row(self, word: str) -> int:
-        """A row for an unseen word, kept for its next occurrences."""
-        k = len(self.memo)
-        if k >= len(self.rows):
-            self.rows = np.resize(self.rows, (k + 16_384, len(self.langs)))
-        self.rows[k] = self.backoff(word)
-        self.memo[word] = k
-        return k
+    def word_row(self, word: str) -> np.ndarray:
+        k = self.words.get(word)
+        return self.backoff(word) if k is None else self.word_logs[k]
+
+    def _learn(self, hashes: list[int], runs: list[bytes]) -> None:
+        """Keep what runs of letters add to a text: the sum of their words' rows, how many words, and how many with a letter."""
+        if len(self.memo) + len(hashes) > len(self.words) + MEMO:
+            self.memo = {}
+        n = len(self.memo)
+        if n + len(hashes) > len(self.sums):
+            grown = max(2 * len(self.sums), n + len(hashes))
+            self.sums = np.resize(self.sums, (grown, len(self.langs))) if n else np.zeros((grown, len(self.langs)))
+            self.counts = np.resize(self.counts, (grown, 2))
+        for i, (h, run) in enumerate(zip(hashes, runs, strict=True), n):
+            found = _WORD.findall(run.decode().lower())
+            self.sums[i] = sum((self.word_row(w) for w in found), np.zeros(len(self.langs)))
+            self.counts[i] = len(found), sum(any(c.isalpha() for c in w) for w in found)
+            self.memo[h] = i
+
+    def predict_all(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """(language, score) of each text; UNKNOWN and 0 for one without letters, or if no language was learned."""
+        if not self.langs:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        w = words(texts, _RUN)
+        hashes, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
+        listed = hashes.tolist()
+        if len(self.memo) + len(listed) > len(self.words) + MEMO:
+            self.memo = {}
+        if new := [i for i, h in enumerate(listed) if h not in self.memo]:
+            raw, _ = buffers(texts)  # before lower-casing, which depends on the letters around
+            at = first[new]
+            self._learn([listed[i] for i in new], [raw[a:b].tobytes() for a, b in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)])
+        row = np.array([self.memo[h] for h in listed], np.int64)[which] if listed else np.zeros(0, np.int64)
+        sums, counts = np.zeros((len(texts), len(self.langs))), np.zeros((len(texts), 2), np.int64)
+        full = np.flatnonzero(w.counts > 0)
+        step = max(1, SUMS // len(self.langs))
+        lo = 0
+        while lo < len(full):  # texts of about `step` words; of a longer one, parts
+            hi = max(lo + 1, int(np.searchsorted(w.first, w.first[full[lo]] + step, "right")))
+            hi = min(int(np.searchsorted(full, hi)), len(full)) if hi > full[lo] + 1 else lo + 1
+            hi = max(hi, lo + 1)
+            a, b = w.first[full[lo]], w.first[full[hi - 1] + 1]
+            if hi == lo + 1:
+                for k in range(a, b, step):
+                    sums[full[lo]] += self.sums[row[k : min(b, k + step)]].sum(axis=0)
+                    counts[full[lo]] += self.counts[row[k : min(b, k + step)]].sum(axis=0)
+            else:
+                starts = w.first[full[lo:hi]] - a
+                sums[full[lo:hi]] = np.add.reduceat(self.sums[row[a:b]], starts, axis=0)
+                counts[full[lo:hi]] = np.add.reduceat(self.counts[row[a:b]], starts, axis=0)
+            lo = hi
+        mean = SHARPNESS * sums / np.maximum(counts[:, :1], 1)
+        best = mean.argmax(axis=1)
+        score = 1 / np.exp(mean - mean.max(axis=1, keepdims=True)).sum(axis=1)
+        known = counts[:, 1] > 0
+        return [self.langs[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known.tolist(), strict=True)], np.where(known, score, 0.0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, score); UNKNOWN and 0 for a text without letters, or if no language was learned."""
-        counts = word_counts(text)
-        if not counts or not self.langs:
-            return UNKNOWN, 0.0
-        if not self.memo or len(self.memo) > len(self.words) + MEMO:
-            self.memo, self.rows = dict(self.words), self.word_logs.copy()
-        memo, row = self.memo, self._row
-        at = [k if (k := memo.get(w)) is not None else row(w) for w in counts]
-        n = np.fromiter(counts.values(), float, len(counts))
-        mean = SHARPNESS * (n @ self.rows[at]) / n.sum()
-        best = int(np.argmax(mean))
-        return self.langs[best], 1.0 / float(np.exp(mean - mean[best]).sum())
+        langs, scores = self.predict_all(pa.array([text], pa.string()))
+        return langs[0], float(scores[0])
 
 
 def remainder(id_col: str, n: int) -> Column:
@@ -132,40 +143,87 @@ def remainder(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
 
 
-def fit_languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_lang: int = ROWS_PER_LANG) -> LanguageModel:
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        counts: Counter[tuple[str, str]] = Counter()
+        for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for w, n in word_counts(text).items():
+                counts[lang, w] += n
+        yield pa.record_batch([pa.array([x for x, _ in counts], pa.string()), pa.array([x for _, x in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "key", "n"])
+
+
+def _logs(counts: DataFrame, langs: list[str], most: int) -> tuple[dict[str, int], np.ndarray]:
+    """Of each kind the `most` commonest keys, and their smoothed log frequencies: a row per key, a column per language.
+
+    counts: kind, lang, key, n. At most `most` rows of a kind, by language, reach the driver.
+    """
+    order = Window.partitionBy("kind").orderBy(F.desc("total"), "key")
+    totals = counts.groupBy("kind", "key").agg(F.sum("n").alias("total")).where("total > 1").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    got = counts.join(totals.select("kind", "key", "rank"), ["kind", "key"]).select("kind", "rank", "key", "lang", "n").toArrow().sort_by([("kind", "ascending"), ("rank", "ascending")])
+    sums = {(r["kind"], r["lang"]): r["n"] for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
+    kind, rank = np.asarray(got.column("kind")), np.asarray(got.column("rank"))
+    new = np.append(True, (kind[1:] != kind[:-1]) | (rank[1:] != rank[:-1]))[: len(kind)]
+    row = np.cumsum(new) - 1
+    at = {x: i for i, x in enumerate(langs)}
+    table = np.zeros((int(new.sum()), len(langs)))
+    table[row, [at[x] for x in got.column("lang").to_pylist()]] = np.asarray(got.column("n"))
+    of_kind = kind[new]
+    for k in np.unique(of_kind).tolist():
+        own = of_kind == k
+        whole = np.array([sums.get((k, x), 0) for x in langs], float)
+        table[own] = np.log((table[own] + 0.5) / (whole + 0.5 * (own.sum() + 1)))
+    keys = got.column("key").filter(pa.array(new)).to_pylist()
+    return {x: i for i, x in enumerate(keys)}, table
+
+
+def fit_languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_lang: int = ROWS_PER_LANG, bytes_per_lang: int = BYTES_PER_LANG) -> LanguageModel:
     """A model of the rows of docs where `train` holds and a language and a text are given.
 
-    All such rows are counted by language; about rows_per_lang of each are read, fewer if there are fewer.
+    All such rows are counted by language; of each, rows_per_lang at most are read (fewer once their texts have
+    bytes_per_lang bytes, but one in any case), in the order of a hash of id and text. Rows that repeat count each.
     """
-    rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGS).collect()
-    if not counts:
+    rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    langs = sorted(r["lang"] for r in counts.select("lang").collect())  # a row per language, which the model holds anyway
+    if not langs:
         return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
-    one_in = F.create_map(*(F.lit(x) for r in counts for x in (r[0], math.ceil(r[1] / rows_per_lang))))
-    sample = rows.where(F.pmod(F.xxhash64(id_col), one_in[F.col(lang_col)]) == 0).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).toArrow()
-    return LanguageModel.fit(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
+    # About the rows wanted, by their hash; then no more than these, however often an id repeats.
+    some = rows.join(small(counts), "lang").where(F.pmod("h", F.ceil(F.col("n") / F.lit(rows_per_lang))) == 0).withColumn("t", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("h", "t")
+    ranked = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows_per_lang)
+    size = F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    sample = ranked.withColumn("size", size).where((F.col("rank") == 1) | (F.col("size") <= bytes_per_lang)).select("text", "lang")
+    n = docs.sparkSession.sparkContext.defaultParallelism  # little data, but work enough for all cores
+    counted = bounded_batches(sample.repartition(n, F.xxhash64("text"))).mapInArrow(_count_words, "lang string, key string, n long")
+    of_words = stored(counted.groupBy("lang", "key").agg(F.sum("n").alias("n")), "language-words")
+    lengths = F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.char_length("key")))).alias("kind")
+    pieces = of_words.repartition(n, "key").select("lang", "key", "n", lengths).select("lang", "kind", "n", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("key") - F.col("kind") + 1), lambda i: F.substring("key", i, F.col("kind")))).alias("key"))
+    of_grams = stored(pieces.groupBy("kind", "lang", "key").agg(F.sum("n").alias("n")), "language-grams")
+    return LanguageModel(langs, *_logs(of_words.withColumn("kind", F.lit(0)), langs, MOST_WORDS), *_logs(of_grams, langs, MOST_GRAMS))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """(id, columns to keep, language, score) for every row of docs; a null or letterless text is `und` with score 0.
 
-    `names` are those of the last two columns. Repeated rows each give a row.
+    `names` are those of the last two columns; they must not be among the kept ones. Repeated rows each give a row.
     """
     kept = [id_col, *(c for c in keep or [] if c != id_col)]
     own = text_col in kept  # then the text goes over once
-    rows = bounded_batches(docs.select(*kept) if own else docs.select(*kept, F.col(text_col).alias("__text")))
     at = kept.index(text_col) if own else len(kept)
+    # Columns go over under names of their own, so none of docs can clash.
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), *([] if own else [F.col(text_col).alias(f"c{at}")]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
             for lo, hi in chunks(b.column(at)):
-                got = [m.predict(t) for t in b.column(at)[lo:hi].to_pylist()]
-                yield pa.record_batch([*(c[lo:hi] for c in b.columns[: len(kept)]), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=[*kept, *names])
+                langs, scores = m.predict_all(b.column(at)[lo:hi])
+                yield pa.record_batch([*(c[lo:hi] for c in b.columns[: len(kept)]), pa.array(langs, pa.string()), pa.array(scores)], names=[*(f"c{i}" for i in range(len(kept))), "lang", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)])
-    return rows.mapInArrow(predict, f"{fields}, `{names[0]}` string, `{names[1]}` double")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)])
+    out = bounded_batches(rows).mapInArrow(predict, f"{fields}, lang string, score double")
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), F.col("lang").alias(names[0]), F.col("score").alias(names[1]))
 
 
 def language_report(docs: DataFrame) -> DataFrame:

@@ -7,47 +7,21 @@ Intermediate results that several branches of a plan read are written as Parquet
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from docketry.session import remove_path, scratch_path, shared_root
 
-BATCH_BYTES = 4 << 20
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``; a local one is set only where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="docketry-shared-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/") if "://" in root or root.startswith("file:") else "file://" + os.path.abspath(root)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; it is removed when the driver ends."""
-    path = f"{shared_root(spark)}/docketry/{name}-{uuid.uuid4().hex}"
-    atexit.register(remove_path, spark, path)
-    return path
+__all__ = ["bounded_batches", "free_name", "open_filesystem", "remove_path", "scratch_path", "shared_root", "stored"]
 
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a path of any Hadoop file system; a session that has ended already is left alone."""
-    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
-        return
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """df, in a session whose Arrow batches hold about BATCH_BYTES at most, however long the texts of a row are."""
+    """df, in a session whose Arrow batches hold about BATCH_BYTES at most, however long the texts of a row are.
+
+    Spark reads this limit when a plan runs, and an operator's plan may run long after the call, so the setting stays;
+    one that is lower already is left alone.
+    """
     conf = df.sparkSession.conf
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     held = conf.get(key, None)
@@ -56,6 +30,14 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores behind it until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back."""
     spark = df.sparkSession

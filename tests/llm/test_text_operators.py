@@ -140,6 +140,82 @@ def test_language_held_out_accuracy(spark):
     assert {r["held_out"] for r in language_id.language_report(docs).select("doc_id", "held_out").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2} == {True}
 
 
+def brute_model(rows):
+    """Log frequencies by the rule as told, from (text, lang): plain dictionaries."""
+    from math import log
+
+    langs = sorted({x for _, x in rows})
+    counts = {x: {} for x in langs}
+    for t, x in rows:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            counts[x][w] = counts[x].get(w, 0) + 1
+
+    def logs(tables, most):
+        total = {}
+        for t in tables.values():
+            for k, n in t.items():
+                total[k] = total.get(k, 0) + n
+        kept = sorted((k for k in total if total[k] > 1), key=lambda k: (-total[k], k.encode()))[:most]
+        return {k: [log((tables[x].get(k, 0) + 0.5) / (sum(tables[x].values()) + 0.5 * (len(kept) + 1))) for x in langs] for k in kept}
+
+    grams = {}
+    for n in range(1, 6):
+        tables = {x: {} for x in langs}
+        for x in langs:
+            for w, c in counts[x].items():
+                for i in range(len(w) - n + 1):
+                    tables[x][w[i : i + n]] = tables[x].get(w[i : i + n], 0) + c
+        grams |= logs(tables, language_id.MOST_GRAMS)
+    return langs, logs(counts, language_id.MOST_WORDS), grams
+
+
+def brute_predict(model, text):
+    from math import exp
+
+    langs, words, grams = model
+    found = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not any(c.isalpha() for w in found for c in w):
+        return "und", 0.0
+    total = [0.0] * len(langs)
+    for w in found:
+        row = words.get(w)
+        if row is None:
+            parts, i = [], 0
+            while i < len(w):
+                n = next((n for n in range(min(5, len(w) - i), 0, -1) if w[i : i + n] in grams), 0)
+                parts += [grams[w[i : i + n]]] if n else []
+                i += n or 1
+            row = [sum(p[k] for p in parts) / len(parts) for k in range(len(langs))] if parts else [0.0] * len(langs)
+        total = [a + b for a, b in zip(total, row, strict=True)]
+    mean = [language_id.SHARPNESS * x / len(found) for x in total]
+    return langs[mean.index(max(mean))], 1 / sum(exp(m - max(mean)) for m in mean)
+
+
+def test_language_matches_a_plain_scorer(spark, monkeypatch):
+    """Every document's language and score, by a model that is small enough to back off often."""
+    monkeypatch.setattr(language_id, "MOST_WORDS", 300)
+    monkeypatch.setattr(language_id, "MOST_GRAMS", 500)
+    monkeypatch.setattr(language_id, "SUMS", 2000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.where("lang is not null and text is not null").select("text", "lang").collect()
+    model = brute_model([tuple(r) for r in rows])
+    fitted = language_id.fit_languages(docs, F.lit(True))
+    texts = [r["text"] for r in docs.select("text").collect()] + ODD
+    got = language_id.identify(table(spark, texts), fitted).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    for r, t in zip(got, texts, strict=True):
+        lang, score = brute_predict(model, t)
+        assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-9), t
+
+
+def test_languages_are_all_learned_from_bounded_samples(spark):
+    rows = [(i, f"w{'abcdefghij'[i // 100]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]} " * 3, f"l{i:03d}") for i in range(600)]
+    rows += [(7, "repeated words here", "zz")] * 500 + [(8, "z" * 3000, "long"), (9, "y" * 3000, "long")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_languages(docs, F.lit(True), rows_per_lang=10, bytes_per_lang=1000)
+    assert len(model.langs) == 602 and model.predict(rows[577][1])[0] == "l577"
+    assert [model.predict(c * 3000)[0] for c in "zy"].count("long") == 1  # the bytes are spent with one row
+
+
 def test_language_edges(spark):
     train = [("the cat and the dog", "en"), ("der hund und die katze", "de")]
     docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(train * 20)], "doc_id long, text string, lang string")
