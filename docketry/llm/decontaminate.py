@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.shared import bounded_batches
+from docketry.llm.shared import bounded_batches, free_name
 from docketry.llm.textbytes import ALNUM, Words, chunks, ngrams, words
 
 WINDOW = 13
@@ -146,19 +146,54 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     rows = bounded_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)).alias("n")).first()["n"]
-    if size // 2 <= broadcast_words:  # a word takes two bytes at least, with what parts it from the next
+    if _is_small(items, broadcast_words):
         out = _scanned(rows, items)
     else:
-        out = _joined(rows, items)
+        out = _joined(rows, items).drop("text_hash")
     return out.withColumnRenamed("id", id_col)
 
 
-def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
-    spark = rows.sparkSession
+def _is_small(items: DataFrame, broadcast_words: int) -> bool:
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)).alias("n")).first()["n"]
+    return size // 2 <= broadcast_words  # a word takes two bytes at least, with what parts it from the next
+
+
+def _shared_index(items: DataFrame):
+    """The index of a small benchmark, broadcast."""
     listed = items.toArrow()
-    index = build_index(listed.column("id").to_pylist(), listed.column("text").combine_chunks())
-    shared = spark.sparkContext.broadcast(index)
+    return items.sparkSession.sparkContext.broadcast(build_index(listed.column("id").to_pylist(), listed.column("text").combine_chunks()))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+    """The rows of docs, with all their columns, of which less than a twentieth of the words is hit (or no word).
+
+    Each row is judged by its own text, whether or not it has an id or shares it with other rows.
+    """
+    items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+    if not _is_small(items, broadcast_words):
+        rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        bad = _joined(rows, items).where(_contaminated()).select(F.col("id").alias("k"), F.col("text_hash").alias("h")).distinct()
+        k, h = free_name(docs, "k"), free_name(docs, "h")
+        bad = bad.withColumnsRenamed({"k": k, "h": h}).hint("merge")
+        return docs.join(bad, F.col(id_col).eqNullSafe(F.col(k)) & F.xxhash64(text_col).eqNullSafe(F.col(h)), "left_anti")
+    shared = _shared_index(items)
+    at = docs.columns.index(text_col)
+    # Columns go over under names of their own, so none of docs can clash.
+    rows = bounded_batches(docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in chunks(b.column(at)):
+                w = words(b.column(at)[lo:hi], ALNUM)
+                start, end, _ = hits(w, shared.value)
+                n_hit = _covered(w.first, len(w.hash), start, end)
+                yield b.slice(lo, hi - lo).filter(pa.array((n_hit == 0) | (20 * n_hit < w.counts)))
+
+    return rows.mapInArrow(keep, rows.schema).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
+def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
+    shared = _shared_index(items)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
@@ -236,7 +271,7 @@ def _joined(rows: DataFrame, items: DataFrame) -> DataFrame:
     )
     found = spans.groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items")).select(F.col("id").alias("k"), F.col("text_hash").alias("h"), step.alias("n_hit"), "items")
     counted = hashed.mapInArrow(_counted, f"id {kind}, text_hash long, n_words long")
-    return counted.join(found.hint("merge"), F.col("id").eqNullSafe(F.col("k")) & F.col("text_hash").eqNullSafe(F.col("h")), "left").select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return counted.join(found.hint("merge"), F.col("id").eqNullSafe(F.col("k")) & F.col("text_hash").eqNullSafe(F.col("h")), "left").select("id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,6 +286,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([b.column(0)[lo:hi], b.column(2)[lo:hi], pa.array(words(b.column(1)[lo:hi], ALNUM).counts, pa.int64())], names=["id", "text_hash", "n_words"])
 
 
+def _contaminated() -> Column:
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """:func:`contamination` with the items as a digest and the verdict: a twentieth of the words or more are hit."""
     return contamination(docs, benchmark, **how).select(
@@ -259,5 +298,5 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFr
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        _contaminated().alias("contaminated"),
     )

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.llm.shared import stored
+from docketry.llm.shared import free_name, stored
 
 BLOCK_WORDS = 256
 WEIGHTS = (5, 2, 1)
@@ -153,7 +153,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows that repeat an id, a source and a size share what is taken of them evenly, rounded.
     """
     taken = mix(docs, id_col, text_col, source_col, **how).where("taken > 0")
-    copies = taken.groupBy(F.col(id_col).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__copies")).where("__copies > 0")
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")) & (word_count(F.col(text_col)) == F.col("__size"))
-    rows = docs.join(copies.hint("merge"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    i, o, n, m, k = (free_name(docs, x) for x in ("__id", "__source", "__size", "__copies", "__copy"))
+    copies = taken.groupBy(F.col(id_col).alias(i), F.col("source").alias(o), F.col("size").alias(n)).agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias(m)).where(F.col(m) > 0)
+    same = F.col(id_col).eqNullSafe(F.col(i)) & F.col(source_col).eqNullSafe(F.col(o)) & (word_count(F.col(text_col)) == F.col(n))
+    rows = docs.join(copies.hint("merge"), same).withColumn(k, F.explode(F.sequence(F.lit(1), F.col(m))))
     return rows.select(*(docs[c] for c in docs.columns))

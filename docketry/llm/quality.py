@@ -5,8 +5,8 @@ shapes, repetition) and encoded by a dense layer h. A gate softmax(w . (tanh(V h
 passages, and a logistic layer scores the weighted sum of their codes. Encoder, gate and scorer are learned
 together from document labels alone (Adam on the log loss).
 
-The model is fitted on the driver from the features of at most about `sample_rows` labelled documents; every
-text is then scored where it is read, whole, with no shuffle.
+The model is fitted on the driver from the features of at most about `sample_rows` labelled documents and MOST_PASSAGES
+passages; every text is then scored where it is read, whole, with no shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.language_id import remainder
@@ -25,7 +25,7 @@ from docketry.llm.shared import bounded_batches
 from docketry.llm.textbytes import NOT_WHITE, buffers, chunks, words
 
 PASSAGE = 64
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS, MOST_PASSAGES = 6000, 400_000
 HIDDEN, GATE = 16, 8
 EPOCHS, BATCH, RATE, DECAY = 40, 64, 0.01, 1e-4
 THRESHOLD = 0.3
@@ -164,20 +164,26 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in chunks(b.column(0)):
             x, sizes = passages(b.column(0)[lo:hi])
             ends = pa.array(np.append(0, np.cumsum(sizes) * FEATURES), pa.int32())
-            yield pa.record_batch([pa.ListArray.from_arrays(ends, pa.array(x.astype(np.float32).ravel())), b.column(1)[lo:hi]], names=["x", "label"])
+            yield pa.record_batch([pa.ListArray.from_arrays(ends, pa.array(x.astype(np.float32).ravel())), b.column(1)[lo:hi], b.column(2)[lo:hi], pa.array(sizes, pa.int64())], names=["x", "label", "h", "n"])
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> AttentionModel:
     """A model of about sample_rows labelled documents (all, if fewer), chosen by a hash of their id.
 
-    Rows with a null id or label are passed over; a document with several labels counts with the highest.
+    Rows with a null id or label are passed over; a document with several labels counts with the highest, and one of
+    several texts with the first by their hash. In the order of a hash of the id, documents count while they have
+    MOST_PASSAGES passages at most, and the first in any case.
     """
-    labels = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    labels = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(id_col, label_col)
     one_in = max(1, math.ceil(labels.count() / sample_rows))
-    chosen = labels.where(F.pmod(F.xxhash64(id_col), F.lit(one_in)) == 0).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("double").alias("__label"))
-    # About sample_rows rows by construction, hence the broadcast.
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(F.col(text_col).alias("text"), F.col("__label").alias("label"))
-    got = bounded_batches(rows).mapInArrow(_featured, "x array<float>, label double").toArrow()
+    chosen = labels.where(F.pmod(F.xxhash64(id_col), F.lit(one_in)) == 0).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("double").alias("label"))
+    # About sample_rows rows by construction (and as many with the same hash of an id, which is one), hence the broadcast.
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    one = Window.partitionBy("id").orderBy(F.xxhash64("text"))
+    rows = rows.withColumn("rank", F.row_number().over(one)).where("rank = 1").select("text", "label", F.xxhash64("id").alias("h"))
+    featured = bounded_batches(rows).mapInArrow(_featured, "x array<float>, label double, h long, n long")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # of the sample only
+    got = featured.withColumn("before", before).where((F.col("before") == 0) | (F.col("before") + F.col("n") <= MOST_PASSAGES)).select("x", "label").toArrow()
     lists = got.column("x").combine_chunks()
     x = np.asarray(lists.flatten(), float).reshape(-1, FEATURES)
     sizes = np.asarray(lists.value_lengths(), np.int64) // FEATURES

@@ -31,6 +31,9 @@ DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+VERSIONS = (b"WARC/1.0", b"WARC/1.1")
+EXACT_URI = "X-Target-URI-Base64"
+DIGESTS = {"sha1": 20, "sha256": 32, "sha512": 64, "md5": 16}
 ARCHIVED_AT = "2024-01-01T00:00:00Z"
 
 LEVEL = 3
@@ -39,6 +42,8 @@ DICTIONARY_BYTES = 32 << 10
 TRAINING_BYTES = 1 << 20
 ARCHIVE_BYTES = 64 << 20
 READ_BYTES = 1 << 20
+#: Digests of so many rows at least, and so many digests at most, are told apart by a broadcast.
+LEAST_HOT, MOST_HOT = 1000, 2000
 
 
 def payload_digest(payload: bytes) -> str:
@@ -49,9 +54,9 @@ def record_urn(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
 
 
-def _header(value: str) -> str:
-    """A header value on one line."""
-    return value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+def _one_line(value: str) -> str:
+    """A header value on one line; all else, `%` included, stands as it is, so other readers see the same URI."""
+    return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
 def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, revisit: bool = False) -> bytes:
@@ -61,7 +66,9 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to
     block = head if revisit else head + payload
     lines = [VERSION, f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_urn(page_id, digest)}", f"WARC-Date: {ARCHIVED_AT}"]
     if url is not None:
-        lines.append(f"WARC-Target-URI: {_header(url)}")
+        lines.append(f"WARC-Target-URI: {_one_line(url)}")
+        if url != _one_line(url).strip():
+            lines.append(f"{EXACT_URI}: {base64.b64encode(url.encode()).decode()}")
     if page_id is not None:
         lines.append(f"X-Page-ID: {page_id}")
     lines.append(f"WARC-Payload-Digest: sha1:{digest}")
@@ -74,52 +81,81 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to
 @dataclass
 class Record:
     kind: str
+    """Any WARC-Type: response, revisit, warcinfo, request, metadata, resource, conversion, continuation or another."""
     page_id: int | None
     url: str | None
     payload: bytes | None
-    """None in a revisit record."""
+    """The body of an HTTP response, the block of any other record; None in a revisit record."""
     payload_bytes: int
     digest: str
+    """As the record says, without the name of SHA-1; else that of the payload."""
     refers_to: int | None
 
 
 def _fields(lines: list[bytes]) -> dict[str, str]:
-    out = {}
+    out: dict[str, str] = {}
+    last = None
     for x in lines:
-        name, colon, value = x.decode().partition(":")
+        if x[:1] in (b" ", b"\t") and last:  # a folded line goes on
+            out[last] += " " + x.decode(errors="replace").strip()
+            continue
+        name, colon, value = x.decode(errors="replace").partition(":")
         if not colon or not name.strip():
             raise ValueError(f"bad header line {x[:60]!r}")
-        out[name.strip().lower()] = value.strip()
+        last = name.strip().lower()
+        out[last] = value.strip()
     return out
 
 
+def _check_digest(named: str, data: bytes) -> None:
+    """Hold data against `algorithm:digest` in base 32 or hexadecimal; other algorithms are passed over."""
+    kind, _, value = named.partition(":")
+    if (size := DIGESTS.get(kind.lower())) is None:
+        return
+    own = hashlib.new(kind.lower(), data).digest()
+    if value.rstrip("=").upper() not in (base64.b32encode(own).decode().rstrip("="), own.hex().upper()) or len(own) != size:
+        raise ValueError("a payload differs from its digest")
+
+
 def parse_record(data: bytes) -> Record:
-    """A record from a frame's bytes; ValueError if a header, a length or the digest is wrong."""
+    """A record from a frame's bytes; ValueError if a header, a length or a digest is wrong.
+
+    HTTP responses give their body as payload, revisits none, and records of all other kinds their block. What only
+    this library's own archives have (page ids, the exact URI) is null where it is missing.
+    """
     head, gap, rest = data.partition(b"\r\n\r\n")
     version, *lines = head.split(b"\r\n")
-    if version.decode(errors="replace") != VERSION or not gap:
-        raise ValueError(f"no {VERSION} record: {version[:20]!r}")
+    if version not in VERSIONS or not gap:
+        raise ValueError(f"no record of WARC 1.0 or 1.1: {version[:20]!r}")
     h = _fields(lines)
     n = int(h["content-length"])
-    if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
+    if n < 0 or len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
         raise ValueError(f"a record of {len(rest)} bytes after its headers declares {n}")
-    http, gap, payload = rest[:n].partition(b"\r\n\r\n")
-    status, *lines = http.split(b"\r\n")
-    if not status.startswith(b"HTTP/") or not gap:
-        raise ValueError(f"no HTTP head: {status[:20]!r}")
-    length = int(_fields(lines)["content-length"])
-    kind, digest = h["warc-type"], h["warc-payload-digest"].removeprefix("sha1:")
-    page, other, url = h.get("x-page-id"), h.get("x-refers-to-page-id"), h.get("warc-target-uri")
-    if kind == "response":
-        if len(payload) != length:
-            raise ValueError(f"a payload of {len(payload)} bytes declares {length}")
-        if payload_digest(payload) != digest:
-            raise ValueError("a payload differs from its digest")
-    elif kind != "revisit" or payload or other is None:
-        raise ValueError(f"bad {kind} record")
-    if url is not None:
-        url = url.replace("%0D", "\r").replace("%0A", "\n").replace("%25", "%")
-    return Record(kind, int(page) if page else None, url, payload if kind == "response" else None, length, digest, int(other) if kind == "revisit" else None)
+    kind, block = h["warc-type"], rest[:n]
+    if "warc-block-digest" in h:
+        _check_digest(h["warc-block-digest"], block)
+    payload, length = block, n
+    if kind in ("response", "revisit") and h.get("content-type", "").replace(" ", "").lower().startswith("application/http") and (block or kind == "response"):
+        http, gap, payload = block.partition(b"\r\n\r\n")
+        status, *lines = http.split(b"\r\n")
+        if not status.startswith(b"HTTP/") or not gap:
+            raise ValueError(f"no HTTP head: {status[:20]!r}")
+        fields = _fields(lines)
+        length = len(payload)
+        if "content-length" in fields and "transfer-encoding" not in fields:
+            length = int(fields["content-length"])
+            if kind == "response" and len(payload) != length and "warc-truncated" not in h:
+                raise ValueError(f"a payload of {len(payload)} bytes declares {length}")
+    named = h.get("warc-payload-digest")
+    if kind == "revisit":
+        if payload and payload is not block and "x-page-id" in h:
+            raise ValueError("a revisit record has a payload")
+    elif named and kind == "response" and "warc-truncated" not in h:
+        _check_digest(named, payload)
+    page, other, exact = h.get("x-page-id"), h.get("x-refers-to-page-id"), h.get(EXACT_URI.lower())
+    url = base64.b64decode(exact).decode() if exact else h.get("warc-target-uri")
+    digest = named.removeprefix("sha1:") if named else payload_digest(payload)
+    return Record(kind, int(page) if page else None, url, None if kind == "revisit" else payload, length, digest, int(other) if kind == "revisit" and other else None)
 
 
 def train(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
@@ -227,8 +263,14 @@ def with_references(pages: DataFrame, id_col: str, payload_col: str, least_bytes
     """
     keyed = pages.withColumn("__digest", F.sha1(F.coalesce(F.col(payload_col), F.lit("")).cast("binary")))
     narrow = keyed.where(F.coalesce(F.octet_length(payload_col), F.lit(0)) >= least_bytes).select(id_col, "__digest")
-    groups = narrow.groupBy("__digest").agg(F.min(id_col).alias("__first"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
-    later = narrow.join(groups, "__digest").where(F.col(id_col) != F.col("__first")).dropDuplicates([id_col, "__digest"])
+    groups = stored(narrow.groupBy("__digest").agg(F.min(id_col).alias("__first"), F.count("*").alias("__n")).where("__n > 1"), "digests")
+    total = groups.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    many = max(LEAST_HOT, total // MOST_HOT)  # so many rows have MOST_HOT digests at most, which are broadcast
+    hot = groups.where(F.col("__n") >= many).select("__digest", F.col("__first").alias("__hot"))
+    marked = narrow.join(F.broadcast(hot), "__digest", "left")
+    rest = marked.where("__hot is null").drop("__hot").join(groups.where(F.col("__n") < many).select("__digest", "__first").hint("merge"), "__digest")
+    led = rest.select(id_col, "__digest", "__first").unionByName(marked.where("__hot is not null").select(id_col, "__digest", F.col("__hot").alias("__first")))
+    later = led.where(F.col(id_col) != F.col("__first")).dropDuplicates([id_col, "__digest"])
     return keyed.join(later, [id_col, "__digest"], "left").drop("__digest")
 
 

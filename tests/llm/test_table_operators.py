@@ -501,3 +501,47 @@ def test_top_k_of_nothing(spark):
 def test_big_products_stay_exact():
     q, x = np.array([[2.0**30, 1.0]]), np.array([[2.0**30, 1.0], [2.0**30, 3.0]])
     assert knn_join.products(q, x).tolist() == [[2**60 + 1, 2**60 + 3]]
+
+
+def warc_record(kind, block, *headers, version="WARC/1.0"):
+    lines = [version, f"WARC-Type: {kind}", "WARC-Record-ID: <urn:x>", "WARC-Date: 2024-01-01T00:00:00Z", *headers, f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_of_other_writers(tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nX: a\r\n b\r\nTransfer-Encoding: chunked\r\nContent-Length: 99\r\n\r\nbody"
+    sha = base64.b32encode(hashlib.sha1(b"body").digest()).decode()
+    records = [
+        warc_record("warcinfo", b"software: x", "Content-Type: application/warc-fields"),
+        warc_record("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Target-URI: http://h/a%20b?x=%2F", "Content-Type: application/http; msgtype=request"),
+        warc_record("response", http, "WARC-Target-URI: http://h/a%20b?x=%2F", "Content-Type: application/http;msgtype=response", f"WARC-Payload-Digest: sha1:{sha}", version="WARC/1.1"),
+        warc_record("resource", b"\x00\xff", "Content-Type: image/png", "WARC-Block-Digest: md5:" + hashlib.md5(b"\x00\xff").hexdigest()),
+        warc_record("metadata", b"via: y"),
+        warc_record("revisit", b"", "WARC-Refers-To: <urn:y>", f"WARC-Payload-Digest: sha1:{sha}"),
+        warc_record("response", b"HTTP/1.0 200\r\n\r\n", "Content-Type: application/http", "WARC-Payload-Digest: blake3:zz"),
+    ]
+    w = warc.ArchiveWriter(f"file://{tmp_path}/o.warc.zst", None)
+    for x in records:
+        w.add(x)
+    w.close()
+    got = list(warc.read_archive(f"file://{tmp_path}/o.warc.zst"))
+    assert [(r.kind, r.payload) for r in got] == [("warcinfo", b"software: x"), ("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", b"body"), ("resource", b"\x00\xff"), ("metadata", b"via: y"), ("revisit", None), ("response", b"")]
+    assert got[2].url == "http://h/a%20b?x=%2F" and got[2].digest == got[5].digest == sha and got[5].refers_to is None
+    for bad in (records[2].replace(b"body", b"bodx"), records[3].replace(b"\x00\xff", b"\x00\xfe"), records[0][:-2]):
+        with pytest.raises(ValueError):
+            warc.parse_record(bad)
+
+
+def test_uris_stand_as_they_are():
+    for url in ("http://h/a%20b?x=%2F", "http://h/é", "http://h/x\r\ny%0A", " http://h "):
+        record = warc.build_record(1, url, b"abc")
+        assert warc.parse_record(record).url == url
+        assert f"WARC-Target-URI: {url.replace(chr(13), '%0D').replace(chr(10), '%0A')}\r\n".encode() in record
+
+
+def test_common_payloads_are_led_alike(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", "same" if i % 3 else f"own {i % 50}") for i in range(300)], "page_id long, url string, html string")
+    one = sorted(tuple(r) for r in warc.with_references(pages, "page_id", "html", 0).select("page_id", "__first").collect())
+    monkeypatch.setattr(warc, "LEAST_HOT", 5)
+    assert one == sorted(tuple(r) for r in warc.with_references(pages, "page_id", "html", 0).select("page_id", "__first").collect())
+    assert dict(one)[2] == 1 and dict(one)[1] is None and dict(one)[150] == 0
