@@ -1,7 +1,7 @@
 """Exact top-k by inner product: a Voronoi join of queries with all vectors.
 
-Vectors are grouped by their nearest of a fixed number of pivots, which are the means of a bounded sample. Of
-each group a summary is kept: rows, the greatest distance from the pivot, the greatest norm. A query is first
+Vectors are grouped by their nearest pivot; pivots are the means of a bounded sample, and grow in number with the square
+root of the vectors (LEAST_PIVOTS to MOST_PIVOTS), so that groups and the bounds on them stay small. Of each group a summary is kept: rows, the greatest distance from the pivot, the greatest norm. A query is first
 solved within its own group, which gives a bound on its k-th best score. For a pivot p with radius r, a score in
 the group is at most min(q.p + |q| r, |q| norm), so the query is replicated to just those groups whose bound
 reaches its own, and solved there. Ties on the bound are replicated, so the result is exact.
@@ -20,44 +20,88 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.llm.shared import stored
+from docketry.llm.shared import bounded_batches, stored
 
-PIVOTS = 64
-SAMPLE_ROWS = 4096
+LEAST_PIVOTS, MOST_PIVOTS = 64, 2048
+#: Sampled rows for each pivot, and most components of them that pivots are made of.
+SAMPLE_ROWS, SAMPLE_DIM = 16, 4096
 LEAST_BLOCK, MOST_BLOCK = 256, 8192
 QUERY_BLOCK = 4096
 SCALE = 256.0
 
 
-def _dense(column: pa.Array, dim: int | None = None) -> np.ndarray:
-    """Vectors as rows; shorter ones end in zeros."""
+def _dense(column: pa.Array, dim: int) -> np.ndarray:
+    """The first dim components of vectors as rows; shorter ones end in zeros."""
     n = np.asarray(column.value_lengths(), np.int64)
     flat = np.asarray(column.flatten(), float)
-    dim = max(int(n.max()) if len(n) else 0, 1) if dim is None else dim
+    row, at = np.repeat(np.arange(len(n)), n), np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
     out = np.zeros((len(n), dim))
-    out[np.repeat(np.arange(len(n)), n), np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)] = flat
+    out[row[at < dim], at[at < dim]] = flat[at < dim]
     return out
 
 
-def _lists(x: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+def _squares(column: pa.Array) -> np.ndarray:
+    """Squared norms of whole vectors."""
+    n = np.asarray(column.value_lengths(), np.int64)
+    return np.bincount(np.repeat(np.arange(len(n)), n), np.asarray(column.flatten(), float) ** 2, minlength=len(n))
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products of integer rows, exact: in doubles while they hold, else in 64-bit integers."""
-    if len(q) and len(x) and np.abs(q).max() * np.abs(x).max() * q.shape[1] >= 2**53:
+    """Inner products of integer rows, exact: in doubles while they hold, else in 64-bit integers, or where these may not
+    hold in integers of any size, of which those beyond 64 bits become the nearest that has 64."""
+    most = float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1] if q.size and x.size else 0.0
+    if most < 2**53:
+        return q @ x.T
+    if most < 2**62:
         return q.astype(np.int64) @ x.astype(np.int64).T
-    return q @ x.T
+    whole = np.array([[int(v) for v in row] for row in q], object) @ np.array([[int(v) for v in row] for row in x], object).T
+    return np.clip(whole, -(2**63) + 1, 2**63 - 1).astype(np.int64)
+
+
+def scores(q: list[np.ndarray], x: list[np.ndarray]) -> np.ndarray:
+    """Products of lists of vectors of any lengths, a shorter one ending in zeros; memory follows the lengths there are."""
+    def classes(v: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        n = np.array([len(z) for z in v], np.int64)
+        return n, np.where(n > 0, np.ceil(np.log2(np.maximum(n, 1))), -1).astype(np.int64)
+
+    (nq, cq), (nx, cx) = classes(q), classes(x)
+    out = None
+    for a in np.unique(cq).tolist():
+        i = np.flatnonzero(cq == a)
+        for b in np.unique(cx).tolist():
+            j = np.flatnonzero(cx == b)
+            dim = max(1, min(int(nq[i].max()), int(nx[j].max())))
+            s = products(_padded([q[k] for k in i], dim), _padded([x[k] for k in j], dim))
+            if len(i) == len(q) and len(j) == len(x):
+                return s
+            out = np.zeros((len(q), len(x)), np.int64) if out is None else out
+            out[np.ix_(i, j)] = s.astype(np.int64)
+    return np.zeros((len(q), len(x))) if out is None else out
+
+
+def _padded(v: list[np.ndarray], dim: int) -> np.ndarray:
+    if all(len(z) == dim for z in v):
+        return np.array(v, float).reshape(len(v), dim)
+    out = np.zeros((len(v), dim))
+    for k, z in enumerate(v):
+        out[k, : min(dim, len(z))] = z[:dim]
+    return out
+
 
+def _vectors(column: pa.Array) -> list[np.ndarray]:
+    flat, n = np.asarray(column.flatten(), float), np.asarray(column.value_lengths(), np.int64)
+    ends = np.append(0, np.cumsum(n)).tolist()
+    return [flat[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
 
-def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def best(q_ids: np.ndarray, q: list[np.ndarray], ids: np.ndarray, x: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, id, score) of each query's k highest among rows of another id; ties go to smaller ids."""
     order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], x[order]
+    ids, x = ids[order], [x[i] for i in order.tolist()]
     out = []
     step = max(1, (4 << 20) // max(1, len(ids)))
     for lo in range(0, len(q_ids), step):
-        s = products(q[lo : lo + step], x)
+        s = scores(q[lo : lo + step], x)
         own = q_ids[lo : lo + step][:, None] == ids
         least = np.iinfo(np.int64).min if s.dtype == np.int64 else -np.inf
         s = np.where(own, least, s)
@@ -80,7 +124,7 @@ def find_pivots(x: np.ndarray, n: int, seed: int = 11) -> np.ndarray:
     x = np.unique(x, axis=0)
     p = x[np.random.default_rng(seed).permutation(len(x))[:n]].copy()
     for _ in range(8):
-        own = np.argmin((p**2).sum(axis=1) - 2 * x @ p.T, axis=1)
+        own = np.concatenate([np.argmin((p**2).sum(axis=1) - 2 * x[lo : lo + 2048] @ p.T, axis=1) for lo in range(0, len(x), 2048)])
         count = np.bincount(own, minlength=len(p))
         sums = np.zeros_like(p)
         np.add.at(sums, own, x)
@@ -95,7 +139,7 @@ def scaled(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataF
     return vectors.where(usable).select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda v: F.floor(v.cast("double") * scale).cast("double")).alias("vec"))
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = SCALE, pivots: int = PIVOTS) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = SCALE, pivots: int | None = None) -> DataFrame:
     """(query_id, rank, id, score): the k highest inner products of each query row with rows of other ids.
 
     Components count as floor(scale * component). Rows with a null id, or with a vector that is null or holds a
@@ -107,22 +151,29 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     queries_of = vectors.where(is_query)
     rows = scaled(vectors, id_col, vec_col, scale)
     shape = rows.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
-    dim = max(1, shape["dim"] or 1)
-    one_in = max(1, math.ceil(shape["n"] / SAMPLE_ROWS))
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(one_in)) == 0).select("vec").toArrow()
-    centres = find_pivots(_dense(sample.column("vec").combine_chunks(), dim), pivots)
+    dim = min(SAMPLE_DIM, max(1, shape["dim"] or 1))
+    pivots = pivots or min(MOST_PIVOTS, max(LEAST_PIVOTS, math.ceil(math.sqrt(shape["n"]))))
+    wanted = SAMPLE_ROWS * pivots
+    one_in = max(1, shape["n"] // (2 * wanted))
+    # Of repeated rows one; what is left is bounded by the limit, in the order of a hash.
+    some = rows.select(F.xxhash64("id", "vec").alias("h"), F.slice("vec", 1, dim).alias("vec")).where(F.pmod("h", F.lit(one_in)) == 0)
+    sample = some.groupBy("h").agg(F.first("vec").alias("vec")).orderBy("h").limit(wanted).select("vec").toArrow()
+    centres = find_pivots(_dense(sample.column("vec").combine_chunks(), dim) if sample.num_rows else np.zeros((0, dim)), pivots)
+
+    width = centres.shape[1]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = _dense(b.column(1), dim)
-            squares = (centres**2).sum(axis=1) - 2 * x @ centres.T
-            cell = np.argmin(squares, axis=1)
-            far = np.sqrt(((x - centres[cell]) ** 2).sum(axis=1))
-            norm = np.sqrt((x**2).sum(axis=1))
-            yield pa.record_batch([b.column(0), _lists(x), pa.array(cell.astype(np.int32)), pa.array(far), pa.array(norm)], names=["id", "vec", "cell", "far", "norm"])
+            for lo in range(0, b.num_rows, 4096):
+                ids, vec = b.column(0)[lo : lo + 4096], b.column(1)[lo : lo + 4096]
+                x, whole = _dense(vec, width), _squares(vec)
+                cell = np.argmin((centres**2).sum(axis=1) - 2 * x @ centres.T, axis=1)
+                # Components beyond the pivots' add to the distance as they are.
+                far = np.sqrt(((x - centres[cell]) ** 2).sum(axis=1) + np.maximum(0, whole - (x**2).sum(axis=1)))
+                yield pa.record_batch([ids, vec, pa.array(cell.astype(np.int32)), pa.array(far), pa.array(np.sqrt(whole))], names=["id", "vec", "cell", "far", "norm"])
 
     placed = "id long, vec array<double>, cell int, far double, norm double"
-    data = stored(rows.mapInArrow(assign, placed), "knn-data")
+    data = stored(bounded_batches(rows).mapInArrow(assign, placed), "knn-data")
     asked = scaled(queries_of, id_col, vec_col, scale).groupBy("id").agg(F.min("vec").alias("vec"))
     queries = stored(asked.mapInArrow(assign, placed), "knn-queries")
     # A line per pivot.
@@ -137,14 +188,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
         load = {r["cell"]: r["n"] for r in left.groupBy("cell").agg(F.count("*").alias("n")).collect()}
         if not load:
             return spark.createDataFrame([], "q_id long, id long, score long")
-        plan = F.create_map(*(F.lit(v) for c in load for v in (c, blocks[c])))
-        parts = F.create_map(*(F.lit(v) for c in load for v in (c, math.ceil(load[c] / QUERY_BLOCK))))
-        q = left.withColumn("part", F.pmod(F.xxhash64("q_id"), parts[F.col("cell")])).withColumn("block", F.explode(F.sequence(F.lit(0), plan[F.col("cell")] - 1)))
-        d = data.where(F.col("cell").isin(list(load))).withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), plan[F.col("cell")]).cast("int"))
-        d = d.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts[F.col("cell")].cast("long") - 1)))
+        # A row per pivot at most.
+        plan = F.broadcast(spark.createDataFrame([(c, blocks[c], math.ceil(n / QUERY_BLOCK)) for c, n in load.items()], "cell int, blocks int, parts int"))
+        q = left.join(plan, "cell").withColumn("part", F.pmod(F.xxhash64("q_id"), F.col("parts")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        d = data.join(plan, "cell").withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
         def local(a: pa.Table, b: pa.Table) -> pa.Table:
-            q_id, at, score = best(np.asarray(a.column("q_id")), _dense(a.column("vec").combine_chunks(), dim), np.asarray(b.column("id")), _dense(b.column("vec").combine_chunks(), dim), k)
+            q_id, at, score = best(np.asarray(a.column("q_id")), _vectors(a.column("vec").combine_chunks()), np.asarray(b.column("id")), _vectors(b.column("vec").combine_chunks()), k)
             return pa.table({"q_id": pa.array(q_id, pa.int64()), "id": pa.array(at, pa.int64()), "score": pa.array(score, pa.int64())})
 
         keys = ["cell", "block", "part"]
@@ -161,14 +211,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = np.array(cells, np.int32)
         for b in batches:
-            q = _dense(b.column("vec"), dim)
+            q = _dense(b.column("vec"), width)
             size = np.asarray(b.column("norm"))[:, None]
             floor = np.asarray(b.column("floor").cast(pa.float64()).fill_null(-np.inf))[:, None]
             most = np.minimum(q @ centres[ids].T + size * radius, size * norm)
             slack = 1e-9 * (1 + np.abs(most) + size * norm)  # rounding must not lose a group
             go = (most + slack >= floor) & (np.asarray(b.column("cell"))[:, None] != ids)
             r, c = np.nonzero(go)
-            yield pa.record_batch([b.column("id").take(pa.array(r)), _lists(q[r]), pa.array(ids[c])], names=["q_id", "vec", "cell"])
+            yield pa.record_batch([b.column("id").take(pa.array(r)), b.column("vec").take(pa.array(r)), pa.array(ids[c])], names=["q_id", "vec", "cell"])
 
     spread = known.mapInArrow(replicate, "q_id long, vec array<double>, cell int")
     found = near.unionByName(solve(stored(spread, "knn-spread")))

@@ -12,10 +12,11 @@ or by others, form a cluster, so all links run within clusters, and clusters of
 Token-group matrix. Sets are put into groups by similarity (size and least token), and the matrix records which
 tokens occur in each group's union. A query's overlap with a group's union bounds its overlap with every member;
 only groups whose bound reaches what the sizes demand are opened, and their members are verified exactly.
-A cluster of one block is compared by one task. Blocks of larger clusters are written once to the shared folder,
-and each pair of sides (some blocks) is compared by a task that reads just these, so however large a cluster of
-near copies is, tasks stay small and sets are shuffled once. Tasks return spanning forests of the links they
-verified, never a row per pair; components of all forests are the result.
+A cluster of one block is compared by one task. Blocks of larger clusters are written once to the shared folder, and
+pairs of sides (some blocks) are compared by tasks that read just these: first each side with itself and with the
+cluster's first, then those pairs only whose sets are not all in one component by then. In a cluster of near copies
+that leaves few, so work grows with its size; a cluster of sets that share keys but no links takes all pairs. Tasks
+return spanning forests of the links they verified, never a row per pair; components of all forests are the result.
 """
 
 from __future__ import annotations
@@ -244,8 +245,8 @@ def _with_blocks(clusters: DataFrame) -> DataFrame:
     return marked.where("blocks is not null").select("node", "cluster", "blocks").unionByName(rest.select("node", "cluster", "blocks"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id) for every row of docs.
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS, percent: int = PERCENT, text_hash: bool = False) -> DataFrame:
+    """(id, n_shingles, component_id) for every row of docs, and if asked for the text's xxhash64 as text_hash.
 
     n_shingles is the size of the row's set of word n-grams (a text of fewer words is one n-gram; a null or
     blank text has none and links with nothing). Sets link when 100 * intersection >= percent * union;
@@ -253,7 +254,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with a null id have a null component and link nothing. Sets are told apart by 64-bit digests of 64-bit
     token hashes. Other columns are ignored.
     """
-    rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
+    rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -270,9 +271,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 if len(seen) > 200_000:
                     seen.clear()
                 keep = fresh[owner]
-                yield pa.record_batch([b.column(0)[lo:hi], pa.array(np.diff(first), pa.int64()), pa.array(node.view(np.int64)), _grouped(key[keep], owner[keep], hi - lo)], names=["id", "n", "node", "keys"])
+                yield pa.record_batch([b.column(0)[lo:hi], pa.array(np.diff(first), pa.int64()), pa.array(node.view(np.int64)), _grouped(key[keep], owner[keep], hi - lo), b.column(2)[lo:hi]], names=["id", "n", "node", "keys", "text_hash"])
 
-    described = stored(rows.mapInArrow(describe, "id long, n long, node long, keys array<long>"), "shingle-keys")
+    described = stored(rows.mapInArrow(describe, "id long, n long, node long, keys array<long>, text_hash long"), "shingle-keys")
     keyed = described.where("id is not null").select(F.explode("keys").alias("key"), "node")
     stars = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_stars, "a long, b long")
     clusters = stored(connected_components(stars).select("node", F.col("root").alias("cluster")), "clusters")
@@ -311,7 +312,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 out = fs.open_output_stream(path, compression=None)
             data = _packed(of, what)
             out.write(data)
-            kept.append((unit[0], unit[1], uri, at, len(data)))
+            kept.append((unit[0], unit[1], uri, at, len(data), of))
             at += len(data)
 
         for b in batches:
@@ -330,9 +331,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if out is not None:
             out.close()
         n, m = len(links), len(kept)
-        columns = [[x for x, _ in links] + [None] * m, [y for _, y in links] + [None] * m, *([None] * n + [x[i] for x in kept] for i in range(5))]
-        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.int64()] * 2
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "cluster", "block", "uri", "at", "size"])
+        columns = [[x for x, _ in links] + [None] * m, [y for _, y in links] + [None] * m, *([None] * n + [x[i] for x in kept] for i in range(6))]
+        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.int64()] * 2 + [pa.list_(pa.int64())]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "cluster", "block", "uri", "at", "size", "nodes"])
 
     def compare_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -354,17 +355,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     done = placed.repartition(n_tasks, "cluster", "block").sortWithinPartitions("cluster", "block")
-    done = stored(done.mapInArrow(compare_or_keep, "a long, b long, cluster long, block long, uri string, at long, size long"), "set-links")
-    side = done.where("uri is not null").withColumn("side", F.expr(f"block div {SIDE_BLOCKS}")).groupBy("cluster", "side").agg(F.array_sort(F.collect_list(F.struct("uri", "at", "size"))).alias("pieces"))
-    side = stored(side, "set-sides")
-    other = side.select(F.col("cluster").alias("c"), F.col("side").alias("s"), F.col("pieces").alias("others"))
-    units = side.join(other.hint("merge"), (F.col("cluster") == F.col("c")) & (F.col("side") <= F.col("s")))
-    across = units.select("pieces", "others", "cluster", "side", "s").repartition(n_tasks, "cluster", "side", "s").select("pieces", "others").mapInArrow(compare_kept, "a long, b long")
-    links = done.where("a is not null").select("a", "b").unionByName(across)
+    done = stored(done.mapInArrow(compare_or_keep, "a long, b long, cluster long, block long, uri string, at long, size long, nodes array<long>"), "set-links")
+    links = done.where("a is not null").select("a", "b")
+    blocks = done.where("uri is not null").withColumn("side", F.expr(f"block div {SIDE_BLOCKS}"))
+    if not blocks.isEmpty():
+        side = stored(blocks.groupBy("cluster", "side").agg(F.array_sort(F.collect_list(F.struct("uri", "at", "size"))).alias("pieces")), "set-sides")
+        other = side.select(F.col("cluster").alias("c"), F.col("side").alias("s"), F.col("pieces").alias("others"))
+        # Sides are numbered from 0, but one may have no sets.
+        leads = side.groupBy("cluster").agg(F.min("side").alias("lead")).withColumnRenamed("cluster", "lead_of")
+        units = side.join(other.hint("merge"), (F.col("cluster") == F.col("c")) & (F.col("side") <= F.col("s")))
+        units = units.join(leads.hint("merge"), F.col("cluster") == F.col("lead_of")).withColumn("first", (F.col("side") == F.col("s")) | (F.col("side") == F.col("lead")))
+
+        def compared(some: DataFrame) -> DataFrame:
+            return some.select("pieces", "others", "cluster", "side", "s").repartition(n_tasks, "cluster", "side", "s").select("pieces", "others").mapInArrow(compare_kept, "a long, b long")
+
+        links = stored(links.unionByName(compared(units.where("first"))), "first-links")
+        found = connected_components(links)
+        members = blocks.select("cluster", "side", F.explode("nodes").alias("node")).join(found.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        alike = stored(members.groupBy("cluster", "side").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x = y").select("cluster", "side", F.col("x").alias("root")), "whole-sides")
+        one = alike.select(F.col("cluster").alias("c1"), F.col("side").alias("side1"), F.col("root").alias("root1"))
+        two = alike.select(F.col("cluster").alias("c2"), F.col("side").alias("side2"), F.col("root").alias("root2"))
+        left = units.where("not first").join(one.hint("merge"), (F.col("cluster") == F.col("c1")) & (F.col("side") == F.col("side1")), "left").join(two.hint("merge"), (F.col("cluster") == F.col("c2")) & (F.col("s") == F.col("side2")), "left")
+        links = links.unionByName(compared(left.where("root1 is null or root2 is null or root1 <> root2")))
     roots = connected_components(links)
     # Of each node its component's smallest id; nodes without links have their own.
     joined = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = joined.join(smallest, "root").select("node", "component_id")
-    out = described.select("id", "n", "node").join(ids, "node", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    out = described.select("id", "n", "node", "text_hash").join(ids, "node", "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"), *(["text_hash"] if text_hash else []))

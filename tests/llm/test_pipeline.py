@@ -1,5 +1,6 @@
 """The pipeline's stages over the small tables, against their rules."""
 
+import random
 import re
 
 import pytest
@@ -38,14 +39,111 @@ def test_filters_keep_whole_rows(stages):
         assert all(there[r["doc_id"]] == r["text"] for r in kept)
 
 
-def test_one_of_each_group_stays(stages):
-    from test_table_operators import brute_components
+def brute_groups(docs, n, percent):
+    """Document to the smallest document of its group, by word shingles of n words."""
+    from test_table_operators import Find, shingles
+
+    f, sets = Find(), [(d, shingles(t, n)) for d, t in docs]
+    for i, (d, a) in enumerate(sets):
+        f.root(d)
+        for e, b in sets[:i]:
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                f.join(d, e)
+    return {d: f.root(d) for d, _ in sets}
 
+
+def test_one_of_each_group_stays(stages):
+    """The task's rule for near-duplicate stages: shingles of five words, a similarity of 0.8."""
     before, after = stages[1]
-    groups = brute_components([(r["doc_id"], r["text"]) for r in before.collect()])
+    groups = brute_groups([(r["doc_id"], r["text"]) for r in before.collect()], 5, 80)
     assert sorted(ids(after)) == sorted(set(groups.values()))
 
 
+def test_components_of_the_stage_by_the_rule_of_the_query(stages):
+    """The same documents by three words and 0.9, as the query op7 groups them."""
+    from docketry.llm.ngram_join import jaccard_components
+
+    from test_table_operators import brute_components
+
+    rows = [(r["doc_id"], r["text"]) for r in stages[1][0].collect()]
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_components(stages[1][0]).collect()} == brute_components(rows)
+
+
+def test_near_copies_between_the_thresholds_go(spark):
+    """Copies with a tenth of their words replaced in one place, or a seventh appended."""
+    r = random.Random(2)
+    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    docs = []
+    for i in range(20):
+        base = words(200)
+        docs += [(3 * i, " ".join(base)), (3 * i + 1, " ".join(base + words(28))), (3 * i + 2, " ".join(base[:90] + words(15) + base[105:]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    groups = brute_groups(docs, 5, 80)
+    assert len(set(groups.values())) == 20
+    assert sorted(ids(P.near_duplicates(spark, df, SF))) == sorted(set(groups.values()))
+
+
+ODD = "doc_id long, text string, lang string, source string, __id long, __copies int, __lang string, key long, rank int, language string, k string, h long, c0 string, node long, component_id long"
+
+
+def odd_rows():
+    r = random.Random(4)
+    en = [" ".join(r.choices("the cat and dog ran over a hill with its own old red ball while we saw it go".split(), k=60)) for _ in range(6)]
+    texts = [*en, en[0], en[1], None, "", " \n\t", "x" * 300_000, "the old cat " * 40_000, "日本 語", "1 2 3"]
+    rows = [(None if i % 5 == 3 else i // 2, t, "en", [None, "a", "b"][i % 3]) for i, t in enumerate(texts)]
+    rows += [(1, en[0], "en", "a"), (1, en[0], "en", "a"), (1, en[2], "en", "b"), (None, en[3], "en", "a"), (None, en[3], "en", "a")]
+    return [(*x, 1, 2, "q", 3, 4, "z", "k", 5, "c", 6, 7) for x in rows]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
+def test_stages_take_odd_rows(spark, name):
+    """Nulls in any column, blank and very long texts, repeated rows and ids, clashing names, and no rows at all."""
+    stage = dict(P.STAGES)[name]
+    rows = odd_rows()
+    df = spark.createDataFrame(rows, ODD)
+    got = stage(spark, df, SF)
+    out = [tuple(x) for x in got.collect()]
+    empty = stage(spark, df.limit(0), SF)
+    assert empty.count() == 0
+    if name == "token_ids":
+        assert len(out) == len(rows)
+        return
+    assert got.columns == empty.columns == df.columns and set(out) <= set(rows)
+    text = lambda x: [r[1] for r in x]
+    if name == "language":
+        assert {x for x in text(out)} == {t for t in text(rows) if t and any(c.isalpha() for c in t)} - ({"日本 語"} - set(text(out)))
+        assert sorted(map(repr, out)) == sorted(repr(x) for x in rows if x[1] in set(text(out)))
+    if name == "near_duplicates":
+        full = [x for x in out if x[1] and x[1].strip()]
+        assert len(set(text(full))) == len(full) and set(text(full)) == {t for t in text(rows) if t and t.strip()}
+        assert {x[0] for x in out if not (x[1] or "").strip()} == {x[0] for x in rows if not (x[1] or "").strip()}
+    if name == "decontamination":
+        assert sorted(map(repr, out)) == sorted(map(repr, rows))
+    if name == "mixing":
+        assert all(t and t.strip() for t in text(out))
+
+
+def test_contaminated_rows_go_whatever_their_id(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    rows = [(1, "clean text here"), (1, item), (None, item), (None, "clean again"), (2, None), (3, item + " clean" * 100_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    from docketry.llm.decontaminate import clean_documents
+
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    for got in (P.decontamination(spark, df, SF), clean_documents(df, bench, broadcast_words=-1)):
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted((x for x in rows if x[1] != item), key=repr)
+
+
+def test_language_stage_by_its_rule(spark):
+    """What stays are the rows whose language is named with the least score, judged one by one."""
+    from docketry.llm.language_id import fit_languages, identify, remainder
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fit_languages(docs, remainder("doc_id", 4) != 2)
+    scored = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(docs, model).collect()}
+    assert set(ids(P.language(spark, docs, SF))) == {d for d, (x, s) in scored.items() if x != "und" and s >= P.LEAST_LANGUAGE_SCORE}
+
+
 def test_contaminated_documents_go(spark, stages):
     from docketry.llm.decontaminate import contamination_report
 

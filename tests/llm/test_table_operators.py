@@ -545,3 +545,13 @@ def test_common_payloads_are_led_alike(spark, monkeypatch):
     monkeypatch.setattr(warc, "LEAST_HOT", 5)
     assert one == sorted(tuple(r) for r in warc.with_references(pages, "page_id", "html", 0).select("page_id", "__first").collect())
     assert dict(one)[2] == 1 and dict(one)[1] is None and dict(one)[150] == 0
+
+
+def test_vectors_of_unequal_lengths_and_huge_components(spark):
+    r = np.random.default_rng(3)
+    vectors = [r.normal(size=n).tolist() for n in [3, 5, 8, 8, 8, 40, 1, 2, 300, 8, 8, 8]]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = knn_join.top_k(df, F.col("vec_id") % 3 == 0, 4, pivots=3)
+    assert sorted(tuple(x) for x in got.select("query_id", "rank", "id", "score").collect()) == brute_top(list(range(12)), vectors, 4, 3)
+    q, x = np.array([[2.0**40, 1.0]]), np.array([[2.0**40, 1.0], [-(2.0**40), 3.0], [2.0**20, 1.0]])
+    assert knn_join.products(q, x).tolist() == [[2**63 - 1, -(2**63) + 1, 2**60 + 1]]
