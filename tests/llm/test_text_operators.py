@@ -251,6 +251,56 @@ def test_quality_edges(spark):
     assert quality.quality_report(docs.limit(0), labels).count() == 0
 
 
+def brute_features(text):
+    """Features of each passage of 64 words, counted word by word."""
+    from math import log1p, sqrt
+
+    spans = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (text or "").encode())]
+    data = (text or "").encode()
+    if not spans:
+        return [[0.0] * quality.FEATURES]
+    out, seen = [], set()
+    for lo in range(0, len(spans), 64):
+        part = spans[lo : lo + 64]
+        piece = data[part[0][0] : part[-1][1]]
+        own = [data[a:b].translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))) for a, b in part]
+        kinds = [0] * quality.N_CLASSES
+        for c in piece:
+            kinds[next((k for k, z in enumerate(quality._CLASSES, 1) if c in z.encode()), len(quality._CLASSES) + 1 if c >= 128 else 0)] += 1
+        n = [min(len(w), 40) for w in own]
+        mean = sum(n) / len(n)
+        fresh = len({w for w in own if w not in seen})
+        seen |= set(own)
+        out.append([k / len(piece) for k in kinds] + [mean / 10, sqrt(max(0, sum(x * x for x in n) / len(n) - mean**2)) / 10, len(set(own)) / len(n), fresh / len(n), sum(x <= 3 for x in n) / len(n), sum(x >= 20 for x in n) / len(n), log1p(len(n)) / 4, log1p(len(spans)) / 8])
+    return out
+
+
+def brute_score(m, text):
+    """The score of one text, passage by passage, with plain numbers."""
+    from math import exp, tanh
+
+    p = {k: v.tolist() for k, v in m.weights.items()}
+    dot = lambda v, w: [sum(a * b[j] for a, b in zip(v, w, strict=True)) for j in range(len(w[0]))]
+    codes, gates = [], []
+    for x in brute_features(text):
+        x = [min(8, max(-8, (a - mu) / sd)) for a, mu, sd in zip(x, m.mean.tolist(), m.scale.tolist(), strict=True)]
+        h = [tanh(a + b) for a, b in zip(dot(x, p["w"]), p["b"], strict=True)]
+        gate = [tanh(a) / (1 + exp(-b)) for a, b in zip(dot(h, p["v"]), dot(h, p["u"]), strict=True)]
+        codes.append(h)
+        gates.append(exp(sum(a * b for a, b in zip(gate, p["g"], strict=True))))
+    z = [sum(g * c[j] for g, c in zip(gates, codes, strict=True)) / sum(gates) for j in range(len(codes[0]))]
+    return 1 / (1 + exp(-sum(a * b for a, b in zip(z, p["s"], strict=True)) - p["c"][0]))
+
+
+def test_quality_matches_a_plain_forward_pass(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit_quality(docs, labels)
+    texts = [r["text"] for r in docs.limit(60).collect()] + [*ODD[:7], "A b\n" * 200, "é " * 70]
+    got = quality.score_quality(table(spark, texts), model).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    for r, t in zip(got, texts, strict=True):
+        assert r["score"] == pytest.approx(brute_score(model, t), abs=1e-6), t
+
+
 def test_attention_gradients():
     rng = np.random.default_rng(0)
     x, sizes, y = rng.normal(size=(9, quality.FEATURES)), np.array([2, 3, 4]), np.array([0.0, 1.0, 1.0])
