@@ -184,7 +184,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     blocks = {g["cell"]: math.ceil(g["n"] / block) for g in groups}
 
     def solve(left: DataFrame) -> DataFrame:
-        """(q_id, id, score): the k best of each row (q_id, vec, cell) of left within that cell."""
+        """(q_id, id, score): of each row (q_id, vec, cell, floor) of left the k best within that cell that reach its floor."""
         load = {r["cell"]: r["n"] for r in left.groupBy("cell").agg(F.count("*").alias("n")).collect()}
         if not load:
             return spark.createDataFrame([], "q_id long, id long, score long")
@@ -194,17 +194,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
         d = data.join(plan, "cell").withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
         def local(a: pa.Table, b: pa.Table) -> pa.Table:
-            q_id, at, score = best(np.asarray(a.column("q_id")), _vectors(a.column("vec").combine_chunks()), np.asarray(b.column("id")), _vectors(b.column("vec").combine_chunks()), k)
+            q_ids = np.asarray(a.column("q_id"))
+            floors = a.column("floor").combine_chunks().fill_null(-(2**63)).to_numpy(zero_copy_only=False)
+            q_id, at, score = best(q_ids, _vectors(a.column("vec").combine_chunks()), np.asarray(b.column("id")), _vectors(b.column("vec").combine_chunks()), k)
+            order = np.argsort(q_ids)
+            keep = score >= floors[order][np.searchsorted(q_ids[order], q_id)]
+            q_id, at, score = q_id[keep], at[keep], score[keep]
             return pa.table({"q_id": pa.array(q_id, pa.int64()), "id": pa.array(at, pa.int64()), "score": pa.array(score, pa.int64())})
 
         keys = ["cell", "block", "part"]
-        return q.select("q_id", "vec", *keys).groupBy(*keys).cogroup(d.select("id", "vec", *keys).groupBy(*keys)).applyInArrow(local, "q_id long, id long, score long")
+        return q.select("q_id", "vec", "floor", *keys).groupBy(*keys).cogroup(d.select("id", "vec", *keys).groupBy(*keys)).applyInArrow(local, "q_id long, id long, score long")
 
     def ranked(found: DataFrame) -> DataFrame:
         order = Window.partitionBy("q_id").orderBy(F.desc("score"), "id")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    near = stored(ranked(solve(queries.select(F.col("id").alias("q_id"), "vec", "cell"))).drop("rank"), "knn-near")
+    near = stored(ranked(solve(queries.select(F.col("id").alias("q_id"), "vec", "cell", F.lit(None).cast("long").alias("floor")))).drop("rank"), "knn-near")
     bound = near.groupBy(F.col("q_id").alias("__q")).agg(F.count("*").alias("had"), F.min("score").alias("floor"))
     known = queries.join(bound, queries["id"] == bound["__q"], "left").select("id", "vec", "cell", "norm", F.when(F.col("had") >= k, F.col("floor")).alias("floor"))
 
@@ -218,9 +223,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
             slack = 1e-9 * (1 + np.abs(most) + size * norm)  # rounding must not lose a group
             go = (most + slack >= floor) & (np.asarray(b.column("cell"))[:, None] != ids)
             r, c = np.nonzero(go)
-            yield pa.record_batch([b.column("id").take(pa.array(r)), b.column("vec").take(pa.array(r)), pa.array(ids[c])], names=["q_id", "vec", "cell"])
+            yield pa.record_batch([b.column("id").take(pa.array(r)), b.column("vec").take(pa.array(r)), pa.array(ids[c]), b.column("floor").take(pa.array(r))], names=["q_id", "vec", "cell", "floor"])
 
-    spread = known.mapInArrow(replicate, "q_id long, vec array<double>, cell int")
+    spread = known.mapInArrow(replicate, "q_id long, vec array<double>, cell int, floor long")
     found = near.unionByName(solve(stored(spread, "knn-spread")))
     return ranked(found).select(F.col("q_id").alias("query_id"), "rank", "id", "score")
 
