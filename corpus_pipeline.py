@@ -25,6 +25,8 @@ from docketry.llm.token_files import token_report
 LEAST_LANGUAGE_SCORE = 0.4
 #: Near duplicates: words of a shingle, and the least similarity in percent.
 N_WORDS, PERCENT = 5, 80
+#: Parts that documents of this similarity have alike on average, at the least (see README for what that may miss).
+EQUAL_PARTS = 3.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     key, text, rest, rank = (free_name(docs, x) for x in ("key", "text_hash", "rest", "rank"))
     own = F.coalesce("doc_id", F.xxhash64("text", F.lit("no id")))
-    groups = jaccard_components(docs.select(own.alias("id"), "text"), "id", "text", N_WORDS, PERCENT, text_hash=True)
+    groups = jaccard_components(docs.select(own.alias("id"), "text"), "id", "text", N_WORDS, PERCENT, text_hash=True, equal_parts=EQUAL_PARTS)
     kept = groups.where("id = component_id").select(F.col("id").alias(key), F.col("text_hash").alias(text)).distinct()
     rows = docs.withColumns({key: own, text: F.xxhash64("text")}).join(kept.hint("merge"), [key, text], "left_semi")
     others = [c for c in docs.columns if c not in ("doc_id", "text")]

@@ -63,25 +63,24 @@ class LanguageModel:
     sums: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     counts: np.ndarray = field(default_factory=lambda: np.zeros((0, 2), np.int64))
 
-    def backoff(self, word: str) -> np.ndarray:
-        """Mean log frequencies of the longest known n-grams from left to right; zeros if none is known."""
-        parts, i = [], 0
-        while i < len(word):
-            for n in range(min(LONGEST, len(word) - i), 0, -1):
-                if (k := self.grams.get(word[i : i + n])) is not None:
+    def pieces(self, word: str) -> list[int]:
+        """Rows of the longest known n-grams of a word from left to right."""
+        parts, i, n, get = [], 0, len(word), self.grams.get
+        while i < n:
+            for j in range(min(i + LONGEST, n), i, -1):
+                if (k := get(word[i:j])) is not None:
                     parts.append(k)
-                    i += n
+                    i = j
                     break
             else:
                 i += 1
-        return self.gram_logs[parts].mean(axis=0) if parts else np.zeros(len(self.langs))
-
-    def word_row(self, word: str) -> np.ndarray:
-        k = self.words.get(word)
-        return self.backoff(word) if k is None else self.word_logs[k]
+        return parts
 
     def _learn(self, hashes: list[int], runs: list[bytes]) -> None:
-        """Keep what runs of letters add to a text: the sum of their words' rows, how many words, and how many with a letter."""
+        """Keep what runs of letters add to a text: the sum of their words' rows, how many words, and how many with a letter.
+
+        A known word's row is its own; any other has the mean of its pieces, or zeros if none is known.
+        """
         if len(self.memo) + len(hashes) > len(self.words) + MEMO:
             self.memo = {}
         n = len(self.memo)
@@ -89,11 +88,30 @@ class LanguageModel:
             grown = max(2 * len(self.sums), n + len(hashes))
             self.sums = np.resize(self.sums, (grown, len(self.langs))) if n else np.zeros((grown, len(self.langs)))
             self.counts = np.resize(self.counts, (grown, 2))
+        known, of_known, parts, sizes, of_new = [], [], [], [], []
+        self.counts[n : n + len(hashes)] = 0
         for i, (h, run) in enumerate(zip(hashes, runs, strict=True), n):
-            found = _WORD.findall(run.decode().lower())
-            self.sums[i] = sum((self.word_row(w) for w in found), np.zeros(len(self.langs)))
-            self.counts[i] = len(found), sum(any(c.isalpha() for c in w) for w in found)
             self.memo[h] = i
+            if run.isascii():
+                found = [run.decode().lower()]
+                self.counts[i] = 1
+            else:
+                found = _WORD.findall(run.decode().lower())
+                self.counts[i] = len(found), sum(any(c.isalpha() for c in w) for w in found)
+            for w in found:
+                if (k := self.words.get(w)) is not None:
+                    known.append(k)
+                    of_known.append(i)
+                elif p := self.pieces(w):
+                    parts += p
+                    sizes.append(len(p))
+                    of_new.append(i)
+        self.sums[n : n + len(hashes)] = 0
+        np.add.at(self.sums, np.array(of_known, np.int64), self.word_logs[known])
+        if of_new:
+            size = np.array(sizes)
+            means = np.add.reduceat(self.gram_logs[parts], np.cumsum(size) - size, axis=0) / size[:, None]
+            np.add.at(self.sums, np.array(of_new, np.int64), means)
 
     def predict_all(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """(language, score) of each text; UNKNOWN and 0 for one without letters, or if no language was learned."""

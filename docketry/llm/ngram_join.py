@@ -6,7 +6,9 @@ Groups of similar documents. Two sets of sizes x and y with a Jaccard similarity
 (x + y)(1 - t)/(1 + t) tokens. Tokens are dealt to D + 1 + m parts by hash, where D is the most tokens in which
 such sets of a size class can differ: then at least 1 + m parts are equal. The hash of each part is a key.
 (Parts of fewer than LEAST_PART tokens, which unrelated sets may share, give no key while a set has at most m
-of them.) Sets also emit keys of the next lower class if a partner may be there. Sets that share keys, directly
+of them.) Below a similarity of 0.9 such parts get so small that texts which share a passage share keys; `equal_parts`
+then makes fewer and larger parts, of which so many are equal on average where the most tokens differ, so that a link at
+the threshold is missed with a probability of exp(-equal_parts) at the worst. Sets also emit keys of the next lower class if a partner may be there. Sets that share keys, directly
 or by others, form a cluster, so all links run within clusters, and clusters of unrelated texts are rare.
 
 Token-group matrix. Sets are put into groups by similarity (size and least token), and the matrix records which
@@ -70,25 +72,34 @@ def token_sets(texts: pa.Array, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     return h, np.searchsorted(text, np.arange(len(texts) + 1))
 
 
-def size_classes(most: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(least size, parts, slack m) of each class up to size `most`; no parts where only equal sets can link."""
+def size_classes(most: int, percent: int, equal_parts: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(least size, parts, slack m) of each class up to size `most`; no parts where only equal sets can link.
+
+    With equal_parts there are fewer and larger parts: as few as leave so many equal on average, when the most tokens
+    that may differ are dealt at random.
+    """
     low, parts, slack = [], [], []
     lo = 1
     while not low or low[-1] <= most:
         hi = max(lo, int(lo / CLASS_RATIO))
         d = hi * (100 - percent) // percent
         m = d // 8
+        n = d + 1 + m if d else 0
+        if equal_parts and n:
+            fewer = np.arange(1, n + 1)
+            n = int(np.argmax(np.append(fewer * np.exp(-d / fewer) >= equal_parts, True))) + 1
+            n, m = min(n, d + 1 + m), min(m, n // 8)
         low.append(lo)
-        parts.append(d + 1 + m if d else 0)
+        parts.append(n)
         slack.append(m)
         lo = hi + 1
     return np.array(low), np.array(parts), np.array(slack)
 
 
-def part_keys(tokens: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def part_keys(tokens: np.ndarray, first: np.ndarray, percent: int, equal_parts: float | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(set, key) of all keys of all sets, in order of the sets."""
     sizes = np.diff(first)
-    low, parts, slack = size_classes(int(sizes.max()) if len(sizes) else 1, percent)
+    low, parts, slack = size_classes(int(sizes.max()) if len(sizes) else 1, percent, equal_parts)
     own = np.searchsorted(low, sizes, "right") - 1
     down = (own > 0) & (sizes * percent < low[np.maximum(own, 0)] * 100)  # a set of percent % of the size is in the class below
     which = np.concatenate([np.flatnonzero(sizes > 0), np.flatnonzero(down & (sizes > 0))])
@@ -245,7 +256,7 @@ def _with_blocks(clusters: DataFrame) -> DataFrame:
     return marked.where("blocks is not null").select("node", "cluster", "blocks").unionByName(rest.select("node", "cluster", "blocks"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS, percent: int = PERCENT, text_hash: bool = False) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS, percent: int = PERCENT, text_hash: bool = False, equal_parts: float | None = None) -> DataFrame:
     """(id, n_shingles, component_id) for every row of docs, and if asked for the text's xxhash64 as text_hash.
 
     n_shingles is the size of the row's set of word n-grams (a text of fewer words is one n-gram; a null or
@@ -262,7 +273,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             for lo, hi in chunks(b.column(1)):
                 tokens, first = token_sets(b.column(1)[lo:hi], n_words)
                 node = digests(tokens, first)
-                owner, key = part_keys(tokens, first, percent)
+                owner, key = part_keys(tokens, first, percent, equal_parts)
                 fresh = np.zeros(hi - lo, bool)  # copies within a task give their keys once
                 for i, (x, named) in enumerate(zip(node.tolist(), b.column(0)[lo:hi].is_valid().to_pylist(), strict=True)):
                     if named and x not in seen:
