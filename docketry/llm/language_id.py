@@ -173,25 +173,27 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _logs(counts: DataFrame, langs: list[str], most: int) -> tuple[dict[str, int], np.ndarray]:
     """Of each kind the `most` commonest keys, and their smoothed log frequencies: a row per key, a column per language.
 
-    counts: kind, lang, key, n. At most `most` rows of a kind, by language, reach the driver.
+    counts: kind, key, lang, n, dealt by kind and key, with repeated rows to be added. At most `most` rows of a kind reach
+    the driver, each with its counts by language.
     """
+    one = counts.groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
+    keyed = stored(one.groupBy("kind", "key").agg(F.sum("n").alias("total"), F.collect_list("lang").alias("langs"), F.collect_list("n").alias("counts")), "language-keys")
+    sums = {(r["kind"], r["lang"]): r["n"] for r in keyed.select("kind", F.explode(F.arrays_zip("langs", "counts")).alias("x")).groupBy("kind", F.col("x.langs").alias("lang")).agg(F.sum("x.counts").alias("n")).collect()}
     order = Window.partitionBy("kind").orderBy(F.desc("total"), "key")
-    totals = counts.groupBy("kind", "key").agg(F.sum("n").alias("total")).where("total > 1").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-    got = counts.join(totals.select("kind", "key", "rank"), ["kind", "key"]).select("kind", "rank", "key", "lang", "n").toArrow().sort_by([("kind", "ascending"), ("rank", "ascending")])
-    sums = {(r["kind"], r["lang"]): r["n"] for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
-    kind, rank = np.asarray(got.column("kind")), np.asarray(got.column("rank"))
-    new = np.append(True, (kind[1:] != kind[:-1]) | (rank[1:] != rank[:-1]))[: len(kind)]
-    row = np.cumsum(new) - 1
+    got = keyed.where("total > 1").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("kind", "rank", "key", "langs", "counts").toArrow()
+    got = got.sort_by([("kind", "ascending"), ("rank", "ascending")]).combine_chunks()
     at = {x: i for i, x in enumerate(langs)}
-    table = np.zeros((int(new.sum()), len(langs)))
-    table[row, [at[x] for x in got.column("lang").to_pylist()]] = np.asarray(got.column("n"))
-    of_kind = kind[new]
+    table = np.zeros((got.num_rows, len(langs)))
+    if got.num_rows:
+        own, n = got.column("langs").combine_chunks(), got.column("counts").combine_chunks()
+        row = np.repeat(np.arange(got.num_rows), np.asarray(own.value_lengths()))
+        table[row, [at[x] for x in own.flatten().to_pylist()]] = np.asarray(n.flatten())
+    of_kind = np.asarray(got.column("kind"))
     for k in np.unique(of_kind).tolist():
         own = of_kind == k
         whole = np.array([sums.get((k, x), 0) for x in langs], float)
         table[own] = np.log((table[own] + 0.5) / (whole + 0.5 * (own.sum() + 1)))
-    keys = got.column("key").filter(pa.array(new)).to_pylist()
-    return {x: i for i, x in enumerate(keys)}, table
+    return {x: i for i, x in enumerate(got.column("key").to_pylist())}, table
 
 
 def fit_languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_lang: int = ROWS_PER_LANG, bytes_per_lang: int = BYTES_PER_LANG) -> LanguageModel:
@@ -213,11 +215,11 @@ def fit_languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_c
     sample = ranked.withColumn("size", size).where((F.col("rank") == 1) | (F.col("size") <= bytes_per_lang)).select("text", "lang")
     n = docs.sparkSession.sparkContext.defaultParallelism  # little data, but work enough for all cores
     counted = bounded_batches(sample.repartition(n, F.xxhash64("text"))).mapInArrow(_count_words, "lang string, key string, n long")
-    of_words = stored(counted.groupBy("lang", "key").agg(F.sum("n").alias("n")), "language-words")
+    of_words = stored(counted, "language-words")
     lengths = F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.char_length("key")))).alias("kind")
-    pieces = of_words.repartition(n, "key").select("lang", "key", "n", lengths).select("lang", "kind", "n", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("key") - F.col("kind") + 1), lambda i: F.substring("key", i, F.col("kind")))).alias("key"))
-    of_grams = stored(pieces.groupBy("kind", "lang", "key").agg(F.sum("n").alias("n")), "language-grams")
-    return LanguageModel(langs, *_logs(of_words.withColumn("kind", F.lit(0)), langs, MOST_WORDS), *_logs(of_grams, langs, MOST_GRAMS))
+    of_words = of_words.withColumn("kind", F.lit(0)).repartition(n, "kind", "key")
+    pieces = of_words.select("lang", "key", "n", lengths).select("lang", "kind", "n", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("key") - F.col("kind") + 1), lambda i: F.substring("key", i, F.col("kind")))).alias("key"))
+    return LanguageModel(langs, *_logs(of_words, langs, MOST_WORDS), *_logs(pieces.repartition(n, "kind", "key"), langs, MOST_GRAMS))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

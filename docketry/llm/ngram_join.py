@@ -381,14 +381,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             return some.select("pieces", "others", "cluster", "side", "s").repartition(n_tasks, "cluster", "side", "s").select("pieces", "others").mapInArrow(compare_kept, "a long, b long")
 
         links = stored(links.unionByName(compared(units.where("first"))), "first-links")
-        found = connected_components(links)
+        found = stored(connected_components(links), "first-roots")
         members = blocks.select("cluster", "side", F.explode("nodes").alias("node")).join(found.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
         alike = stored(members.groupBy("cluster", "side").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x = y").select("cluster", "side", F.col("x").alias("root")), "whole-sides")
         one = alike.select(F.col("cluster").alias("c1"), F.col("side").alias("side1"), F.col("root").alias("root1"))
         two = alike.select(F.col("cluster").alias("c2"), F.col("side").alias("side2"), F.col("root").alias("root2"))
         left = units.where("not first").join(one.hint("merge"), (F.col("cluster") == F.col("c1")) & (F.col("side") == F.col("side1")), "left").join(two.hint("merge"), (F.col("cluster") == F.col("c2")) & (F.col("s") == F.col("side2")), "left")
-        links = links.unionByName(compared(left.where("root1 is null or root2 is null or root1 <> root2")))
-    roots = connected_components(links)
+        more = stored(compared(left.where("root1 is null or root2 is null or root1 <> root2")), "more-links")
+        roots = found if more.isEmpty() else connected_components(links.unionByName(more))
+    else:
+        roots = connected_components(links)
     # Of each node its component's smallest id; nodes without links have their own.
     joined = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
