@@ -26,7 +26,7 @@ LEAST_LANGUAGE_SCORE = 0.4
 #: Near duplicates: words of a shingle, and the least similarity in percent.
 N_WORDS, PERCENT = 5, 80
 #: Parts that documents of this similarity have alike on average, at the least (see README for what that may miss).
-EQUAL_PARTS = 3.0
+EQUAL_PARTS = 8.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

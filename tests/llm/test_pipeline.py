@@ -3,10 +3,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline as P
 from docketry.llm import queries
+from docketry.llm.ngram_join import part_keys
 
 SF = "/root/testdata/sf0.001"
 
@@ -179,3 +181,17 @@ def test_run_gives_a_line_per_document_of_the_mix(spark, stages):
 def test_queries_cover_the_ten_operators():
     assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("size", [60, 200, 400, 900, 2500])
+def test_links_right_at_the_threshold_share_a_part(size):
+    """Pairs of sets of 0.8 of similarity exactly, the smaller one a part of the larger: the most tokens differ."""
+    rng = np.random.default_rng(size)
+    missed = 0
+    for _ in range(500):
+        larger = rng.integers(0, 2**64, size, np.uint64)
+        smaller = larger[: size * P.PERCENT // 100]
+        both = np.concatenate([np.sort(larger), np.sort(smaller)])
+        owner, key = part_keys(both, np.array([0, size, len(both)]), P.PERCENT, P.EQUAL_PARTS)
+        missed += not np.intersect1d(key[owner == 0], key[owner == 1]).size
+    assert missed <= 2
