@@ -1,4 +1,4 @@
-"""Queries of the ten operators, each over its whole table; SQL where SQL can express the result."""
+"""Queries of the operators, each over its whole table; SQL where SQL can express the result."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from docketry.llm.decontaminate import contamination_report
 from docketry.llm.knn_join import nearest_report
 from docketry.llm.language_id import language_report
 from docketry.llm.line_dedup import line_report
+from docketry.llm.merkle import manifest_report
 from docketry.llm.mixing import mix
 from docketry.llm.ngram_join import jaccard_components
 from docketry.llm.quality import quality_report
@@ -66,6 +67,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_knn_join,
         op9_token_files,
         op10_decontamination,
+        op11_merkle_manifest,
     )
 }
 
