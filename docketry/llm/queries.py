@@ -12,6 +12,7 @@ from docketry.llm.decontaminate import contamination_report
 from docketry.llm.knn_join import nearest_report
 from docketry.llm.language_id import language_report
 from docketry.llm.line_dedup import line_report
+from docketry.llm.media import media_report
 from docketry.llm.merkle import manifest_report
 from docketry.llm.mixing import mix
 from docketry.llm.ngram_join import jaccard_components
@@ -76,6 +77,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_decontamination,
         op11_merkle_manifest,
         op12_collocations,
+        op13_media_columns,
     )
 }
 
@@ -116,6 +122,37 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * C
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS "rank" FROM s)
 SELECT query_id, CAST("rank" AS INT) AS "rank", vec_id, score FROM r WHERE "rank" <= 5""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT *, coalesce(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 0) AS reg FROM documents, tab),
+f AS (SELECT doc_id, lang, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS a,
+ n_chars, CASE WHEN xor(reg, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS m_chars, coalesce(octet_length(encode(text)) || ':' || text, '-') AS z FROM d),
+h AS (SELECT doc_id, lang, sha256(a || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || z) AS leaf, sha256(a || coalesce(length(CAST(m_chars AS VARCHAR)) || ':' || m_chars, '-') || z) AS changed FROM f),
+p AS (SELECT *, coalesce('=' || lang, '') AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM h),
+low AS (SELECT g, 0 AS lev, list(leaf ORDER BY i) AS x FROM p GROUP BY g
+ UNION ALL SELECT g, lev + 1, list_transform(range(0, len(x), 2), lambda j: sha256(x[j + 1] || coalesce(x[j + 2], ''))) FROM low WHERE len(x) > 1),
+s AS (SELECT g, lev AS depth, x[1] AS subroot, row_number() OVER (ORDER BY g) - 1 AS gi FROM low WHERE len(x) = 1),
+high AS (SELECT 0 AS lev, list(subroot ORDER BY gi) AS x FROM s
+ UNION ALL SELECT lev + 1, list_transform(range(0, len(x), 2), lambda j: sha256(x[j + 1] || coalesce(x[j + 2], ''))) FROM high WHERE len(x) > 1),
+lev AS (SELECT g, lev, x FROM low WHERE len(x) > 1 UNION ALL SELECT s.g, s.depth + high.lev, high.x FROM s, high WHERE len(high.x) > 1),
+walk AS (SELECT p.doc_id, p.leaf, p.g, 0 AS lev, p.i, s.gi, s.depth, s.subroot, '' AS proof, p.changed AS node FROM p JOIN s ON s.g = p.g
+ UNION ALL SELECT w.doc_id, w.leaf, w.g, w.lev + 1, w.at // 2, w.gi, w.depth, w.subroot, w.proof || coalesce(l.x[xor(w.at, 1) + 1], ''),
+  sha256(CASE WHEN w.at % 2 = 1 THEN l.x[w.at] || w.node ELSE w.node || coalesce(l.x[w.at + 2], '') END) FROM (SELECT *, CASE WHEN lev = depth THEN gi ELSE i END AS at FROM walk) w JOIN lev l ON l.g = w.g AND l.lev = w.lev),
+r AS (SELECT x[1] AS root FROM high WHERE len(x) = 1), m AS (SELECT g, max(lev) + 1 AS last FROM lev GROUP BY g)
+SELECT w.doc_id, w.leaf, w.subroot, r.root, sha256(w.proof) AS proof_sha256, w.node AS folded_root, w.node = r.root AS verified FROM walk w JOIN r ON true LEFT JOIN m ON m.g = w.g WHERE w.lev = coalesce(m.last, 0)""",
+    "op12_collocations": r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase FROM w, range(1, 4) q(k), range(1, len(w) - k + 2) r(i)),
+c AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL), n AS (SELECT lang, sum(a) AS n FROM c WHERE k = 1 GROUP BY lang),
+f AS (SELECT *, string_split(phrase, ' ') AS w FROM c WHERE a >= 10),
+x AS (SELECT lang, k, phrase, a, w, j FROM f, range(1, 3) r(j) WHERE k > j),
+y AS (SELECT x.lang, x.k, x.phrase, x.a, j, l.a AS l, r.a AS r, CAST(1000000 * CAST(x.a AS HUGEINT) * x.a // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score FROM x
+ JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1 : j], ' ') JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[j + 1 : x.k], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS best FROM y),
+o AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, array_to_string(w[i : i + 1], ' ') AS phrase FROM f, range(1, 3) r(i) WHERE k = 3) GROUP BY ALL),
+z AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS "rank" FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE best = 1 AND (longer IS NULL OR 100 * longer < 50 * b.a))
+SELECT z.lang, "rank", phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM z JOIN n ON n.lang = z.lang WHERE "rank" <= 2000""",
     "op10_decontamination": r"""
 WITH iw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
 ig AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, w[i : i + least(len(w), 13) - 1] AS g FROM iw, range(1, len(w) - least(len(w), 13) + 2) r(i) WHERE len(w) > 0),
