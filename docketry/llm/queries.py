@@ -142,17 +142,15 @@ r AS (SELECT x[1] AS root FROM high WHERE len(x) = 1), m AS (SELECT g, max(lev)
 SELECT w.doc_id, w.leaf, w.subroot, r.root, sha256(w.proof) AS proof_sha256, w.node AS folded_root, w.node = r.root AS verified FROM walk w JOIN r ON true LEFT JOIN m ON m.g = w.g WHERE w.lev = coalesce(m.last, 0)""",
     "op12_collocations": r"""
 WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
-g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase FROM w, range(1, 4) q(k), range(1, len(w) - k + 2) r(i)),
-c AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL), n AS (SELECT lang, sum(a) AS n FROM c WHERE k = 1 GROUP BY lang),
-f AS (SELECT *, string_split(phrase, ' ') AS w FROM c WHERE a >= 10),
-x AS (SELECT lang, k, phrase, a, w, j FROM f, range(1, 3) r(j) WHERE k > j),
-y AS (SELECT x.lang, x.k, x.phrase, x.a, j, l.a AS l, r.a AS r, CAST(1000000 * CAST(x.a AS HUGEINT) * x.a // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score FROM x
- JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1 : j], ' ') JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[j + 1 : x.k], ' ')),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t), u AS MATERIALIZED (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, 1 AS k, w[i] AS phrase FROM u UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM u WHERE i < len(w) UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM u WHERE i + 1 < len(w)),
+c AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM g GROUP BY ALL HAVING count(*) >= 10), n AS (SELECT lang, count(*) AS n FROM u GROUP BY lang),
+x AS (SELECT *, 1 AS j, w[1] AS p, w[2] AS q FROM c WHERE k = 2 UNION ALL SELECT *, 1, w[1], w[2] || ' ' || w[3] FROM c WHERE k = 3 UNION ALL SELECT *, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE k = 3),
+y AS (SELECT x.lang, x.phrase, x.a, j, l.a AS l, r.a AS r, CAST(1000000 * CAST(x.a AS HUGEINT) * x.a // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score FROM x JOIN c l ON l.lang = x.lang AND l.phrase = p JOIN c r ON r.lang = x.lang AND r.phrase = q),
 b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS best FROM y),
-o AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, array_to_string(w[i : i + 1], ' ') AS phrase FROM f, range(1, 3) r(i) WHERE k = 3) GROUP BY ALL),
+o AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, w[1] || ' ' || w[2] AS phrase FROM c WHERE k = 3 UNION ALL SELECT lang, a, w[2] || ' ' || w[3] FROM c WHERE k = 3) GROUP BY ALL),
 z AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS "rank" FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE best = 1 AND (longer IS NULL OR 100 * longer < 50 * b.a))
-SELECT z.lang, "rank", phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM z JOIN n ON n.lang = z.lang WHERE "rank" <= 2000""",
+SELECT z.lang, "rank", phrase, a, l, r, n, score FROM z JOIN n ON n.lang = z.lang WHERE "rank" <= 2000""",
     "op10_decontamination": r"""
 WITH iw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
 ig AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, w[i : i + least(len(w), 13) - 1] AS g FROM iw, range(1, len(w) - least(len(w), 13) + 2) r(i) WHERE len(w) > 0),
