@@ -39,11 +39,13 @@ MAX_WORDS, LEAST, WITHIN_PERCENT, TOP = 3, 10, 50, 2000
 
 #: Bits of the merged sketch that every worker holds (32 MB).
 HOT_BITS = 28
-#: Cells of a block of the sketch, as a power of two, and of the smallest sketch.
-BLOCK_BITS = 16
+#: Least and most cells of a block of the sketch, as powers of two; between them, a sketch has 2 ** BLOCKS_BITS blocks.
+LEAST_BLOCK_BITS, MOST_BLOCK_BITS, BLOCKS_BITS = 16, 24, 12
 #: Phrases that a task gathers before it sends their cells, and bytes of text that one automaton serves.
-SKETCH_GRAMS = 6_000_000
-SHARD_BYTES = 8 << 20
+SKETCH_GRAMS = 5_000_000
+SHARD_BYTES = 4 << 20
+#: Parts of a language that are ranked apart first.
+RANKED_PARTS = 32
 
 _MARK = np.zeros(256, bool)
 _MARK[list(PIECE_ENDS)] = True
@@ -125,20 +127,29 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 def hot_cells(texts: DataFrame, cell_bits: int, least: int, max_words: int, hot_bits: int = HOT_BITS) -> np.ndarray:
     """One bit per cell, folded to 2 ** hot_bits: whether the sketch's bound reaches least. At most 2 ** hot_bits / 8 bytes."""
-    block_bits = max(BLOCK_BITS, cell_bits - 24)
+    block_bits = min(MOST_BLOCK_BITS, max(LEAST_BLOCK_BITS, cell_bits - BLOCKS_BITS))
     folds = 1 << (min(cell_bits, max(hot_bits, block_bits)) - block_bits)
-    kind = np.uint16 if block_bits <= 16 else np.uint32
+    # Cells are sent as steps from one to the next; a step too long for its type is several, of no count.
+    kind = np.uint16 if cell_bits <= 34 else np.uint32
+    longest = np.iinfo(kind).max
     bound = min(least, 255)  # counters are of a byte; a bound that low lets more through, never less
 
     def send(cells: np.ndarray) -> pa.RecordBatch:
         cells, counts = np.unique(cells, return_counts=True)
         blocks = (cells >> cells.dtype.type(block_bits)).astype(np.int64)
         first = np.append(0, np.flatnonzero(np.diff(blocks)) + 1)
-        edges = np.append(first, len(blocks))
-        within = (cells & cells.dtype.type((1 << block_bits) - 1)).astype(kind)
+        steps = np.diff(cells, prepend=cells[:1]).astype(np.int64)
+        steps[first] = cells[first] & cells.dtype.type((1 << block_bits) - 1)
+        more = steps // longest
+        end = np.cumsum(more + 1)
+        sent = np.full(int(end[-1]), longest, kind)
+        sent[end - 1] = steps - more * longest
+        n = np.zeros(len(sent), np.uint8)
+        n[end - 1] = np.minimum(counts, 255)
+        edges = np.append((end - more - 1)[first], len(sent))
         names = blocks[first]
-        columns = [pa.array((names % folds).astype(np.int32)), pa.array(names), _binary(within, edges), _binary(np.minimum(counts, 255).astype(np.uint8), edges)]
-        return pa.record_batch(columns, names=["fold", "block", "cells", "counts"])
+        columns = [pa.array((names % folds).astype(np.int32)), pa.array(names), _binary(sent, edges), _binary(n, edges)]
+        return pa.record_batch(columns, names=["fold", "block", "steps", "counts"])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -161,7 +172,7 @@ def hot_cells(texts: DataFrame, cell_bits: int, least: int, max_words: int, hot_
             return pa.record_batch([pa.array([fold], pa.int32()), pa.array([np.packbits(hot).tobytes()], pa.binary())], names=["fold", "bits"])
 
         for b in batches:
-            for f, block, cells, counts in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            for f, block, steps, counts in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 if block != at:
                     hot |= sums >= bound
                     sums[:] = 0
@@ -170,13 +181,14 @@ def hot_cells(texts: DataFrame, cell_bits: int, least: int, max_words: int, hot_
                             yield done()
                         hot[:] = False
                     at, fold = block, f
-                i = np.frombuffer(cells, kind)
-                sums[i] = np.minimum(sums[i] + np.frombuffer(counts, np.uint8), 255)
+                n = np.frombuffer(counts, np.uint8)
+                i = np.cumsum(np.frombuffer(steps, kind), dtype=np.int64)[n > 0]
+                sums[i] = np.minimum(sums[i] + n[n > 0], 255)
         hot |= sums >= bound
         if hot.any():
             yield done()
 
-    parts = texts.mapInArrow(sketch, "fold int, block long, cells binary, counts binary")
+    parts = texts.mapInArrow(sketch, "fold int, block long, steps binary, counts binary")
     merged = parts.repartition("fold").sortWithinPartitions("fold", "block").mapInArrow(merge, "fold int, bits binary")
     bits = np.zeros((folds, (1 << block_bits) // 8), np.uint8)
     for fold, row in merged.toLocalIterator():
@@ -240,7 +252,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     language a row of no words whose n counts all words."""
     texts = _texts(docs, text_col, lang_col)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cell_bits = max(BLOCK_BITS, int(size).bit_length())
+    cell_bits = max(LEAST_BLOCK_BITS, int(size).bit_length())
     bits = hot_cells(texts, cell_bits, least, max_words, hot_bits)
     sent = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
     most = np.uint64(8 * len(bits) - 1)
@@ -295,7 +307,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     if max_words < 2 or least < 1 or top < 1:
         raise ValueError("phrases have two words or more, and occur once at least")
     counts = stored(phrase_counts(docs, text_col, lang_col, max_words, least, hot_bits), "collocation-counts")
-    w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored_phrases(counts, within_percent).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # Parts of a language are ranked first, so the task that ranks the language gets RANKED_PARTS * top rows at most.
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS))).orderBy(*order)
+    first = scored_phrases(counts, within_percent).withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     words = counts.where("words = 0").select("lang", F.col("n"))
     return ranked.join(small(words), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
