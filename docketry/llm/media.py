@@ -214,8 +214,10 @@ def _mp4(b: memoryview, at: int) -> Found | None:
         size, kind = struct.unpack_from(">I4s", b, i)
         if size == 1 and i + 16 <= len(b):
             size = struct.unpack_from(">Q", b, i + 8)[0]
-        if size < 8 or i + size > len(b) or kind not in _BOXES:
+        if kind not in _BOXES:
             break
+        if size < 8 or i + size > len(b):
+            return None
         seen.add(kind)
         i += size
     return ("mp4", i - at) if {b"ftyp", b"moov"} <= seen else None
