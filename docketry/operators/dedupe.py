@@ -42,20 +42,33 @@ def without_sibling_keys(df: DataFrame, siblings: DataFrame, partition: tuple[st
     return out if KEY in df.columns else out.drop(KEY)
 
 
-def upsert(existing: DataFrame, new: DataFrame, seq: str | None = None, keep_blank_keys: bool = False) -> DataFrame:
+def upsert(existing: DataFrame, new: DataFrame, seq: str | None = None, keep_blank_keys: bool = False, in_turn: bool = False) -> DataFrame:
     """Leaves of `new` after the merge: new rows win over existing ones of their bench, siblings win over both.
 
     seq names an ingest sequence of new (higher is later); without it, rows of equal keys within new are
     ordered by their link.
+
+    Siblings are the benches as published before, so a key that several benches of new hold already goes from all of
+    them. With in_turn the result is that of one bench after the other, by name: each yields to what its siblings hold by
+    then, so of a year and court one bench always keeps the key: the last that held it, else the first that brings it.
     """
     place = ["year", "court", "bench"]
     leaves = new.select(*place).distinct()
     own = existing.join(leaves, place, "left_semi").withColumn("_new", F.lit(0))
     both = with_key(own.unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True))
     order = [F.desc("_new"), *([F.desc_nulls_last(seq)] if seq else []), F.desc_nulls_last("pdf_link")]
-    merged = keep_last(both, [*place, KEY], order)
-    # Published siblings: benches of the same year and court other than the row's own.
-    return without_sibling_keys(merged, with_key(existing), keep_blank_keys=keep_blank_keys).drop("_new", KEY)
+    if not in_turn:
+        merged = keep_last(both, [*place, KEY], order)
+        # Published siblings: benches of the same year and court other than the row's own.
+        return without_sibling_keys(merged, with_key(existing), keep_blank_keys=keep_blank_keys).drop("_new", KEY)
+    # Both windows and the join that follows need no other partitioning than this one.
+    both = both.repartition("year", "court", KEY).withColumn("_held", F.min("_new").over(Window.partitionBy(*place, KEY)) == 0)
+    of_key = Window.partitionBy("year", "court", KEY)
+    keeps = F.coalesce(F.max(F.when(F.col("_held"), F.col("bench"))).over(of_key), F.min("bench").over(of_key))
+    blank = F.col(KEY).isin("", "pdf:") if keep_blank_keys else F.lit(False)
+    merged = keep_last(both, [*place, KEY], order).withColumn("_keeps", keeps).where((F.col("bench") == F.col("_keeps")) | blank)
+    untouched = existing.join(leaves, place, "left_anti")
+    return without_sibling_keys(merged, with_key(untouched), keep_blank_keys=keep_blank_keys).drop("_new", "_held", "_keeps", KEY)
 
 
 def rewrite(df: DataFrame) -> DataFrame:

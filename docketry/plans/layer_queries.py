@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry import schemas
 from docketry.functions import scalars as S
 from docketry.functions.html import html_fields
 from docketry.operators import audit, build, dedupe, layers, packing, stats, tasks, text
 from docketry.plans import sql as levels
 from docketry.plans.registry import query, table
 from docketry.session import scratch_path
-from docketry.sources import readers, sinks, tars
+from docketry.sources import commit, readers, sinks, tars
 from docketry.streaming.upsert import TableStore, read_events, upsert_stream
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -309,10 +310,63 @@ def upsert_leaf(spark, sf_dir):
     """New rows of one year merged in place into a layer that holds the others."""
     root, rows = scratch_path(spark, "upsert-layer"), rows_of(spark, sf_dir)
     sinks.write_judgments(rows.where("o_orderkey % 5 <> 0"), root)
-    sinks.upsert_judgments(rows.where("o_orderkey % 5 = 0 and year = 1996").drop("o_orderkey"), root, scratch_path(spark, "upsert-stage"))
+    sinks.upsert_judgments(rows.where("o_orderkey % 5 = 0 and year = 1996").drop("o_orderkey"), root, scratch_path(spark, "upsert-stage"), in_turn=False)
     return readers.read_judgments(spark, root).select("pdf_link", "year", "court", "bench")
 
 
+def _leaves(spark: SparkSession, root: str) -> DataFrame:
+    """(year, court, bench, files, n) of every leaf folder of a layer, those without rows too."""
+    p = F.col("path")
+    files = readers.read_listing(spark, root, "*.parquet").groupBy("year", "court", "bench").agg(F.count("*").alias("files"))
+    n = readers.read_judgments(spark, root).groupBy("year", "court", "bench").agg(F.count("*").alias("n"))
+    return files.join(n, ["year", "court", "bench"], "left").na.fill(0, ["n"]).select("year", "court", "bench", F.lit(1).cast("long").alias("leaves"), "n")
+
+
+#: Orders of two years; a copy of every row of bench b1 is in b5, in the place of b5's own, so b1 can be emptied.
+_COPIED = f"""(SELECT cnr, pdf_link, decision_date, year, court, bench FROM {J} WHERE year IN (1995, 1996) AND bench <> 'b5' UNION ALL SELECT cnr, pdf_link, decision_date, year, court, 'b5' FROM {J} WHERE year IN (1995, 1996) AND bench = 'b1')"""
+
+
+def _copied(spark, sf_dir) -> DataFrame:
+    rows = rows_of(spark, sf_dir).where("year in (1995, 1996)").drop("o_orderkey")
+    return rows.where("bench <> 'b5'").unionByName(rows.where("bench = 'b1'").withColumn("bench", F.lit("b5")))
+
+
+@query(f"""SELECT year, court, bench, 1::BIGINT AS leaves, count(*) FILTER (year <> 1996 OR bench <> 'b1') AS n FROM {_COPIED} c GROUP BY ALL""")
+def upsert_emptied_leaf(spark, sf_dir):
+    """Every row of a bench is published by a sibling: an upsert into the bench leaves it a file without rows."""
+    root, rows = scratch_path(spark, "emptied-layer"), _copied(spark, sf_dir)
+    sinks.write_judgments(rows, root)
+    sinks.upsert_judgments(rows.where("bench = 'b1' and year = 1996"), root, scratch_path(spark, "emptied-stage"))
+    return _leaves(spark, root)
+
+
+@query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY year, court, {_K} ORDER BY bench DESC) AS rn FROM {_COPIED} c)
+SELECT year, court, bench, 1::BIGINT AS leaves, count(*) FILTER (rn = 1) AS n FROM r GROUP BY ALL""")
+def rewrite_emptied_leaf(spark, sf_dir):
+    """A rewrite in which the later bench takes every row of an earlier one: the leaf keeps a file without rows."""
+    root = scratch_path(spark, "emptied-rewrite")
+    sinks.write_judgments(_copied(spark, sf_dir), root)
+    rows = readers.read_judgments(spark, root, rows=True).withColumn("mtime", F.col("bench"))
+    sinks.rewrite_changed(rows, root, scratch_path(spark, "emptied-stage"), write=True)
+    return _leaves(spark, root)
+
+
+@query(f"""WITH j AS (SELECT *, {_K} AS k FROM {J} WHERE year IN (1995, 1996)), m AS (SELECT *, row_number() OVER (PARTITION BY court, k ORDER BY pdf_link DESC) AS rn FROM j WHERE year = 1996 AND bench = 'b1')
+SELECT pdf_link, cnr, court_name, decision_date, year, court, bench FROM j WHERE NOT (year = 1996 AND bench = 'b1') UNION ALL
+SELECT pdf_link, cnr, court_name, decision_date, year, court, bench FROM m WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM j WHERE j.year = 1996 AND j.court = m.court AND j.bench <> 'b1' AND j.k = m.k)""")
+def judgments_of_mixed_schemas(spark, sf_dir):
+    """A layer as others publish it (the name in a column `court`, dates as timestamps), a bench of one year written again."""
+    root, flat, rows = scratch_path(spark, "mixed-layer"), scratch_path(spark, "mixed-flat"), rows_of(spark, sf_dir).where("year in (1995, 1996)").drop("o_orderkey")
+    names = dict(zip(schemas.PARTITIONS, "ycb", strict=True))
+    data = [F.col(c).alias("court") if c == "court_name" else F.col(c).cast("timestamp").alias(c) if c == "decision_date" else F.col(c) for c in schemas.JUDGMENT_COLUMNS]
+    rows.select(*(F.col(c).alias(n) for c, n in names.items()), *data).repartition("y", "c", "b").write.partitionBy("y", "c", "b").parquet(flat)
+    folders = commit.Folders(spark, flat)
+    for leaf in folders.below(flat, 3):
+        folders.move(f"{flat}/{leaf}", f"{root}/" + "/".join(f"{c}={x.partition('=')[2]}" for c, x in zip(names, leaf.split("/"), strict=True)))
+    sinks.upsert_judgments(rows.where("year = 1996 and bench = 'b1'"), root, scratch_path(spark, "mixed-stage"))
+    return readers.read_judgments(spark, root).select("pdf_link", "cnr", "court_name", "decision_date", "year", "court", "bench")
+
+
 @query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY year, court, {_K} ORDER BY bench DESC) AS rn FROM {J})
 SELECT year, court, bench, count(*) AS rows_before, count(*) FILTER (rn = 1) AS rows_after FROM r GROUP BY ALL""")
 def rewrite_layer(spark, sf_dir):

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import fnmatch
+import functools
 import json
 import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docketry import schemas
 from docketry.functions import scalars as S
@@ -71,15 +75,30 @@ _FILES = "path string, size long, mtime timestamp"
 LISTED_APART = 256
 
 
-def _listed(spark: SparkSession, path: str, glob: str) -> DataFrame | None:
-    """(path, size, mtime), or None if pyarrow has no file system for the path or the pattern is not a plain one."""
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """(file system, path in it) of a path with a scheme, whose names may hold spaces and percent signs."""
+    return fs.FileSystem.from_uri(quote(path, safe="/:@"))
+
+
+def _wanted(path: str, only: dict[str, set[str]]) -> bool:
+    """Whether no folder `key=value` of the path has a value that `only` leaves out."""
+    parts = (x.partition("=") for x in path.split("/"))
+    return all(value in only[key] for key, eq, value in parts if eq and key in only)
+
+
+def _listed(spark: SparkSession, path: str, glob: str, only: dict[str, set[str]] | None = None) -> DataFrame | None:
+    """(path, size, mtime), or None if pyarrow has no file system for the path or the pattern is not a plain one.
+
+    only: values of partition folders; other such folders are not listed.
+    """
+    only = only or {}
     if "{" in glob or any(c in path for c in "*?{["):
         return None
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     whole = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
     whole = re.sub(r"^file:/+", "file:///", whole)
     try:
-        store, base = fs.FileSystem.from_uri(whole)
+        store, base = file_system(whole)
     except (pa.ArrowInvalid, OSError, ImportError):
         return None
     if store.get_file_info(base).type != fs.FileType.Directory:
@@ -90,17 +109,17 @@ def _listed(spark: SparkSession, path: str, glob: str) -> DataFrame | None:
     apart: list[str] = []
     ahead = [base]
     while ahead and len(apart) + len(ahead) < LISTED_APART:
-        below = [x.path for d in ahead for x in store.get_file_info(fs.FileSelector(d)) if x.type == fs.FileType.Directory]
+        below = [x.path for d in ahead for x in store.get_file_info(fs.FileSelector(d)) if x.type == fs.FileType.Directory and _wanted(x.path[len(base) :], only)]
         if not below:
             break
         apart, ahead = apart + ahead, below
     folders = [(d, False) for d in apart] + [(d, True) for d in ahead]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, _ = fs.FileSystem.from_uri(whole)
+        here, _ = file_system(whole)
         for b in batches:
             for folder, deep in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                files = [x for x in here.get_file_info(fs.FileSelector(folder, recursive=deep)) if x.type == fs.FileType.File and x.base_name[0] not in "._" and fnmatch.fnmatchcase(x.base_name, glob)]
+                files = [x for x in here.get_file_info(fs.FileSelector(folder, recursive=deep)) if x.type == fs.FileType.File and x.base_name[0] not in "._" and fnmatch.fnmatchcase(x.base_name, glob) and _wanted(x.path[len(base) :], only)]
                 columns = [pa.array([prefix + x.path for x in files], pa.string()), pa.array([x.size for x in files], pa.int64()), pa.array([x.mtime for x in files], pa.timestamp("us", "UTC"))]
                 yield pa.record_batch(columns, names=["path", "size", "mtime"])
 
@@ -133,52 +152,100 @@ def index_files(indexes: DataFrame) -> DataFrame:
 
 
 def read_judgments(spark: SparkSession, root: str, years: list[int] | None = None, courts: list[str] | None = None, benches: list[str] | None = None, rows: bool = False) -> DataFrame:
-    """The query layer with its partition columns; `rows` adds `row`, the position in the file.
+    """The query layer with its partition columns and `path`; `rows` adds `row`, the position in the file.
 
-    Files of this library's own schema are read with partition discovery, so any filter on year, court and bench
-    prunes folders. Published files differ: they have a column `court` of their own, or another kind of date.
+    Files may differ: this library's have the judgment columns; published ones have a column `court` (a name), which clashes
+    with the partition `court` (a code), and dates as timestamps or nanoseconds. So the files' footers are looked at in
+    tasks, files of one schema are read together with a mapping of their own, and the parts are united: the name
+    becomes court_name, decision_date a DATE, and a column that a file lacks is null.
 
-    The files have a column `court` (a name) that clashes with the partition `court` (a code); reading leaf
-    folders without partition discovery keeps both, and the name becomes court_name. decision_date is a DATE,
-    whether the files hold dates, timestamps or nanoseconds.
+    years, courts and benches shorten the listing. Any filter on year, court and bench prunes: where no column
+    clashes, partitions, else files by their paths, since Spark would give the partition's value for both.
     """
+    filters = {k: {str(v) for v in vs} for k, vs in (("year", years), ("court", courts), ("bench", benches)) if vs}
+    fields = f"{schemas.JUDGMENT}, year int, court string, bench string, path string" + (", row long" if rows else "")
+    parts = [_read_class(spark, root, paths, example, rows) for example, paths in _file_classes(spark, root, filters)]
+    if not parts:
+        return spark.createDataFrame([], fields)
+    df = functools.reduce(DataFrame.unionByName, parts)
+    for name, values in (("year", years), ("court", courts), ("bench", benches)):
+        df = df.where(F.col(name).isin(list(values))) if values else df
+    return df
+
+
+_KINDS = "leaf string, kind string, file string"
+
+
+def _file_classes(spark: SparkSession, root: str, filters: dict[str, set[str]]) -> list[tuple[str, list[str]]]:
+    """(a file, paths) for each schema among the files of a layer; paths are leaf folders, or files where a leaf is mixed."""
+    known = {*schemas.JUDGMENT_COLUMNS, "court"}
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            leaves, kinds = [], []
+            for path in b.column(0).to_pylist():
+                store, p = file_system(path)
+                with store.open_input_file(p) as f:
+                    fields = pq.read_schema(f)
+                kinds.append(json.dumps(sorted((x.name, str(x.type)) for x in fields if x.name in known)))
+                leaves.append(path.rpartition("/")[0])
+            yield pa.record_batch([pa.array(leaves, pa.string()), pa.array(kinds, pa.string()), b.column(0)], names=["leaf", "kind", "file"])
+
+    found = _listed(spark, root, "*.parquet", filters)
+    if found is None:
+        files = _or_empty(spark, lambda: spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root).select("path"), "path string")
+        # Spark alone knows this file system, so it looks at the files, one after the other.
+        names = [r[0] for r in files.collect() if _wanted(r[0], filters)]
+        looked = [(p.rpartition("/")[0], json.dumps(sorted(x for x in spark.read.parquet(p).dtypes if x[0] in known)), p) for p in names]
+        found = spark.createDataFrame(looked, _KINDS)
+    else:
+        found = found.mapInArrow(footers, _KINDS)
+    kinds = found.groupBy("leaf", "kind").agg(F.max("file").alias("file"), F.count("*").alias("n")).collect()  # one row per leaf and schema
+    by_leaf: dict[str, list] = {}
+    for r in kinds:
+        by_leaf.setdefault(r["leaf"], []).append(r)
+    mixed = [leaf for leaf, rs in by_leaf.items() if len(rs) > 1]
+    out: dict[str, tuple[str, list[str]]] = {}
+    for r in sorted(kinds):
+        _, paths = out.setdefault(r["kind"], (r["file"], []))
+        if len(by_leaf[r["leaf"]]) == 1:
+            paths.append(r["leaf"])
+    for r in found.where(F.col("leaf").isin(mixed)).collect() if mixed else []:
+        out[r["kind"]][1].append(r["file"])
+    if len(out) == 1 and not filters and not mixed:
+        return [(example, [root]) for example, _ in out.values()]
+    return list(out.values())
+
+
+def _read_class(spark: SparkSession, root: str, paths: list[str], example: str, rows: bool) -> DataFrame:
+    """Files of one schema, mapped to the judgment columns."""
     old = spark.conf.get("spark.sql.legacy.parquet.nanosAsLong", "false")
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     try:
-        if (own := _own_layer(spark, root)) is not None:
-            for name, values in (("year", years), ("court", courts), ("bench", benches)):
-                own = own.where(F.col(name).isin(list(values))) if values else own
-            meta = [F.col("_metadata.file_path").alias("path"), *([F.col("_metadata.row_index").alias("row")] if rows else [])]
-            return own.select(*schemas.JUDGMENT_COLUMNS, *schemas.PARTITIONS, *meta)
-        df = _or_empty(spark, lambda: spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").option("mergeSchema", False).parquet(*leaf_globs(root, years, courts, benches)).withColumns({"__path": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}), schemas.JUDGMENT + ", __path string, __row long")
+        held = spark.read.parquet(example).schema
+        reader = spark.read.option("pathGlobFilter", "*.parquet")
+        wanted = T.StructType([f for f in held if f.name in {*schemas.JUDGMENT_COLUMNS, "court"}])
+        clash = "court" in held.names
+        if clash:
+            df = reader.schema(wanted).option("recursiveFileLookup", True).parquet(*paths)
+        else:
+            df = reader.schema(T.StructType([*wanted, *schemas.struct("year int, court string, bench string")])).option("basePath", root).parquet(*paths)
     finally:
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", old)
-    if "court_name" not in df.columns and "court" in df.columns:
-        df = df.withColumnRenamed("court", "court_name")
-    kinds = dict(df.dtypes)
-    if kinds.get("decision_date") == "bigint":
-        df = df.withColumn("decision_date", F.timestamp_micros(F.expr("decision_date div 1000")).cast("date"))
-    elif "decision_date" in kinds:
-        df = df.withColumn("decision_date", F.col("decision_date").cast("date"))
-    for name, kind in (x.split() for x in schemas.JUDGMENT.split(", ")):
-        if name not in df.columns:
-            df = df.withColumn(name, F.lit(None).cast(kind))
-    p = F.col("__path")
-    return df.select(*schemas.JUDGMENT_COLUMNS, S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench"), p.alias("path"), *([F.col("__row").alias("row")] if rows else []))
-
-
-def _own_layer(spark: SparkSession, root: str) -> DataFrame | None:
-    """The layer with partition discovery, if its files have this library's schema; one file is looked at."""
-    fields = schemas.struct(schemas.JUDGMENT)
-    try:
-        there = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(root).schema
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    if [(f.name, f.dataType) for f in there] != [(f.name, f.dataType) for f in fields]:
-        return None
-    return spark.read.schema(schemas.struct(f"{schemas.JUDGMENT}, year int, court string, bench string")).option("basePath", root).parquet(root)
+    p = F.col("_metadata.file_path")
+    place = [S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench")] if clash else [F.col(c) for c in schemas.PARTITIONS]
+
+    def column(name: str, kind: str) -> Column:
+        source = "court" if name == "court_name" and name not in held.names else name
+        if source not in held.names or (source == "court" and not clash):
+            return F.lit(None).cast(kind).alias(name)
+        c = F.col(source)
+        if name == "decision_date" and isinstance(held[source].dataType, T.LongType):
+            c = F.timestamp_micros(F.expr("decision_date div 1000"))
+        return c.cast(kind).alias(name)
+
+    columns = [column(*x.split()) for x in schemas.JUDGMENT.split(", ")]
+    return df.select(*columns, *place, p.alias("path"), *([F.col("_metadata.row_index").alias("row")] if rows else []))
 
 
 def sniff_separator(spark: SparkSession, path: str) -> str:

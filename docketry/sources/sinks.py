@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import functools
 import io
+import operator
 import tarfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.functions import scalars as S
 from docketry.operators import dedupe
+from docketry.session import scratch_path
+from docketry.sources import commit
 
 
 def write_judgments(df: DataFrame, root: str, mode: str = "overwrite") -> None:
@@ -32,47 +36,58 @@ def combine(spark: SparkSession, paths: list[str], out: str, files: int = 1) ->
     spark.read.option("ignoreCorruptFiles", True).option("mergeSchema", True).parquet(*paths).coalesce(files).write.mode("overwrite").parquet(out)
 
 
-def replace_leaves(df: DataFrame, root: str, stage: str) -> None:
-    """Write df over its leaves of root although df may read them: through a staging folder, then by leaf."""
-    spark = df.sparkSession
-    path = f"{stage.rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    write_judgments(spark.read.parquet(path), root)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def _of_pairs(pairs: set[tuple[int, str]]) -> Column:
+    """A filter on exactly these years and courts, which partitions are pruned by."""
+    by_year: dict[int, list[str]] = {}
+    for year, court in sorted(pairs):
+        by_year.setdefault(year, []).append(court)
+    return functools.reduce(operator.or_, [(F.col("year") == y) & F.col("court").isin(courts) for y, courts in by_year.items()])
 
 
-def upsert_judgments(new: DataFrame, root: str, stage: str, keep_blank_keys: bool = False) -> None:
+def upsert_judgments(new: DataFrame, root: str, stage: str, keep_blank_keys: bool = False, in_turn: bool = True) -> None:
     """Merge rows into the leaves they belong to: the newest of a key wins, and keys of sibling benches win over it.
 
-    new has the judgment columns, year, court, bench. Only leaves that new touches are rewritten.
+    in_turn decides leaf by leaf, as dedupe.upsert() says; without it, siblings are the leaves as they were before.
+
+    new has the judgment columns, year, court, bench. Only leaves that new touches are rewritten; one that loses all its
+    rows to siblings keeps a file without rows. A commit that an earlier call left unfinished is finished first.
     """
     from docketry.sources.readers import read_judgments
 
     spark = new.sparkSession
+    commit.resume_commits(spark, stage)
     leaves = new.select(*schemas.PARTITIONS).distinct()
-    touched = [r.asDict() for r in leaves.collect()]  # one row per leaf of this batch
+    touched = leaves.collect()  # one row per leaf of this batch
     if not touched:
         return
-    there = read_judgments(spark, root, sorted({r["year"] for r in touched}), sorted({r["court"] for r in touched})).drop("path")
-    replace_leaves(dedupe.upsert(there, new, keep_blank_keys=keep_blank_keys), root, stage)
+    there = read_judgments(spark, root, sorted({r["year"] for r in touched}), sorted({r["court"] for r in touched})).where(_of_pairs({(r["year"], r["court"]) for r in touched}))
+    folders = commit.leaf_folders(there.join(F.broadcast(leaves), schemas.PARTITIONS, "left_semi"))
+    commit.replace_leaves(dedupe.upsert(there.drop("path"), new, keep_blank_keys=keep_blank_keys, in_turn=in_turn), folders, root, stage, write_judgments)
 
 
 def rewrite_changed(df: DataFrame, root: str, stage: str, write: bool = False) -> DataFrame:
     """Dedupe across files, latest file first; returns (path, rows_before, rows_after) and rewrites changed leaves if asked.
 
-    df comes from read_judgments() with `mtime`. A leaf that loses all rows is left out of the rewrite's report only
-    by its count of 0; its file keeps the schema.
+    df comes from read_judgments() with `mtime`. A leaf that loses all rows is rewritten too, as a file without rows.
+    With `write` the report is stored before anything changes, since it tells of files that are gone then.
     """
     kept = dedupe.rewrite(df)
     before = df.groupBy("path").agg(F.count("*").alias("rows_before"))
     after = kept.groupBy("path").agg(F.count("*").alias("rows_after"))
     report = before.join(after, "path", "left").na.fill(0, ["rows_after"])
-    if write:
-        changed = report.where("rows_before <> rows_after").select("path")
-        leaves = df.join(changed, "path", "left_semi").select(*schemas.PARTITIONS).distinct()
-        replace_leaves(kept.join(leaves, schemas.PARTITIONS, "left_semi").select(*schemas.JUDGMENT_COLUMNS, *schemas.PARTITIONS), root, stage)
+    if not write:
+        return report
+    spark = df.sparkSession
+    commit.resume_commits(spark, stage)
+    path = scratch_path(spark, "rewrite-report")
+    report.write.parquet(path)
+    report = spark.read.schema(report.schema).parquet(path)
+    changed = report.where("rows_before <> rows_after").select("path")
+    leaves = df.join(changed, "path", "left_semi").select(*schemas.PARTITIONS).distinct()
+    folders = commit.leaf_folders(changed)
+    if folders:
+        rows = kept.join(leaves, schemas.PARTITIONS, "left_semi").select(*schemas.JUDGMENT_COLUMNS, *schemas.PARTITIONS)
+        commit.replace_leaves(rows, folders, root, stage, write_judgments)
     return report
 
 
