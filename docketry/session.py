@@ -58,6 +58,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def bounded_batches(df: DataFrame, most: int = 4 << 20) -> DataFrame:
+    """df, in a session whose Arrow batches hold about `most` bytes, however long its values are; a lower limit stays.
+
+    Spark reads the limit when a plan runs, which may be after this call, so it is not put back.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = conf.get(key, None)
+    if held is None or not held.isdigit() or int(held) > most:
+        conf.set(key, str(most))
+    return df
+
+
 def small(df: DataFrame, most: int = 10_000) -> DataFrame:
     """df with the hint for its size: broadcast up to `most` rows, a merge join beyond."""
     return df.hint("broadcast") if len(df.limit(most + 1).select().take(most + 1)) <= most else df.hint("merge")

@@ -62,12 +62,24 @@ def read_listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     Spark's own listing serves, which passes over files of no bytes. Names that start with a dot or an underscore
     are not listed.
     """
-    found = _listed(spark, path, glob)
-    if found is None:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-        found = _or_empty(spark, lambda: reader.load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime")), _FILES)
     p = F.col("path")
-    return found.select("path", S.basename(p).alias("name"), "size", "mtime", S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench"))
+    return list_files(spark, path, glob).select("path", S.basename(p).alias("name"), "size", "mtime", S.path_year(p).alias("year"), S.path_part(p, "court").alias("court"), S.path_part(p, "bench").alias("bench"))
+
+
+def list_files(spark: SparkSession, path: str, glob: str = "*", only: dict[str, set[str]] | None = None) -> DataFrame:
+    """(path, size, mtime) of the files below a path, as read_listing() finds them.
+
+    only: values of partition folders (`key=value`); other such folders are not listed.
+    """
+    found = _listed(spark, path, glob, only)
+    if found is not None:
+        return found
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    found = _or_empty(spark, lambda: reader.load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime")), _FILES)
+    for key, values in (only or {}).items():
+        value = S.path_part(F.col("path"), key)
+        found = found.where(value.isNull() | value.isin(sorted(values)))
+    return found
 
 
 _FILES = "path string, size long, mtime timestamp"

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from docketry import schemas
 from docketry.functions import scalars as S
 from docketry.operators import dedupe
-from docketry.session import scratch_path
+from docketry.session import bounded_batches, scratch_path
 from docketry.sources import commit
+from docketry.sources.readers import file_system, read_judgments
 
 
 def write_judgments(df: DataFrame, root: str, mode: str = "overwrite") -> None:
@@ -52,8 +53,6 @@ def upsert_judgments(new: DataFrame, root: str, stage: str, keep_blank_keys: boo
     new has the judgment columns, year, court, bench. Only leaves that new touches are rewritten; one that loses all its
     rows to siblings keeps a file without rows. A commit that an earlier call left unfinished is finished first.
     """
-    from docketry.sources.readers import read_judgments
-
     spark = new.sparkSession
     commit.resume_commits(spark, stage)
     leaves = new.select(*schemas.PARTITIONS).distinct()
@@ -165,24 +164,45 @@ def write_cursors(new: DataFrame, old: DataFrame | None, path: str, keys: list[s
 def write_tar_parts(plan: DataFrame, folder: str) -> DataFrame:
     """Tar files of planned parts: plan has part, name and body. Returns (part, name, size) of the files written.
 
-    A part is written by one task, through the file system that pyarrow knows for the folder's URI.
+    The rows of a part arrive in the order of their names and go to the file as they come, so a task holds a batch of
+    them, whatever the size of the part. A part appears whole, by a rename when its last member is written; a task that
+    fails removes what it has begun, and the last writer of a part wins. A null body is an empty one.
     """
 
-    def pack(pdf):
-        import pandas as pd
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = file_system(folder)
+        store.create_dir(base, recursive=True)
+        part = out = tar = temporary = None
 
-        part = str(pdf["part"].iloc[0])
-        store, path = fs.FileSystem.from_uri(folder)
-        store.create_dir(path, recursive=True)
-        temporary = f"{path}/.{part}-{uuid.uuid4().hex}"
-        with store.open_output_stream(temporary, compression=None) as out:
-            with tarfile.open(fileobj=out, mode="w|") as tar:  # members go to the file as they come
-                for name, body in sorted(zip(pdf["name"], pdf["body"], strict=True)):
-                    info = tarfile.TarInfo(name)
-                    info.size = len(body)
-                    tar.addfile(info, io.BytesIO(body))
+        def close() -> pa.RecordBatch:
+            nonlocal part, temporary
+            tar.close()
             size = out.tell()
-        store.move(temporary, f"{path}/{part}.tar")
-        return pd.DataFrame({"part": [part], "name": [f"{part}.tar"], "size": [size]})
-
-    return plan.groupBy("part").applyInPandas(pack, "part string, name string, size long")
+            out.close()
+            store.move(temporary, f"{base}/{part}.tar")
+            temporary = None
+            return pa.record_batch([pa.array([part]), pa.array([f"{part}.tar"]), pa.array([size], pa.int64())], names=["part", "name", "size"])
+
+        try:
+            for b in batches:
+                for p, name, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                    if p != part:
+                        if tar:
+                            yield close()
+                        part, temporary = p, f"{base}/.{p}-{uuid.uuid4().hex}"
+                        out = store.open_output_stream(temporary, compression=None)
+                        tar = tarfile.open(fileobj=out, mode="w|")  # members go to the file as they come
+                    content = body.as_py() or b""
+                    info = tarfile.TarInfo(name)
+                    info.size = len(content)
+                    tar.addfile(info, io.BytesIO(content))
+                    tar.members = []  # else the archive keeps every member it has written
+            if tar:
+                yield close()
+        finally:
+            if temporary:
+                out.close()
+                store.delete_file(temporary)
+
+    rows = bounded_batches(plan.select(F.col("part").cast("string").alias("part"), F.col("name").cast("string").alias("name"), F.col("body").cast("binary").alias("body")))
+    return rows.repartition("part").sortWithinPartitions("part", "name").mapInArrow(pack, "part string, name string, size long")

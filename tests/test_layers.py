@@ -1,8 +1,11 @@
 """Leaves replaced as a whole, commits that are cut off, and layers whose files have different schemas."""
 
 import datetime as dt
+import io
 import os
 import random
+import resource
+import tarfile
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -10,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketry.operators import dedupe
-from docketry.sources import commit, readers, sinks
+from docketry.sources import commit, readers, sinks, tars
 
 ROW = "cnr string, pdf_link string, decision_date date, year int, court string, bench string"
 DAY = dt.date(2024, 3, 5)
@@ -182,3 +185,78 @@ def test_an_upsert_reads_the_pairs_of_years_and_courts_it_touches(spark, tmp_pat
         assert scanned_files(readers.read_judgments(spark, root).where(sinks._of_pairs(set(pairs[:2]))).select("cnr")) == 2
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def tar_of(path, members, mode="w"):
+    with tarfile.open(path, mode) as t:
+        for name, body in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            t.addfile(info, io.BytesIO(body))
+
+
+def test_members_are_found_by_headers_and_bodies_by_ranges(spark, tmp_path, monkeypatch):
+    long = "d/" * 60 + "x" * 150 + ".json"
+    members = [(f"m/{i}.json", bytes([65 + i % 26]) * (i * 37 % 3000)) for i in range(300)] + [(long, b"long name"), ("e.txt", b"")]
+    os.makedirs(tmp_path / "t/year=2023/c d")
+    tar_of(tmp_path / "t/year=2023/c d/a.tar", members)
+    tar_of(tmp_path / "t/b.tar.gz", members, "w:gz")
+    tar_of(tmp_path / "t/hidden.zip.tar", [("dir/", b"")])
+    monkeypatch.setattr(tars, "SPLIT_BYTES", 50_000)
+    got = tars.read_tar_members(spark, str(tmp_path / "t"), bodies=True).where("part <> 'hidden.zip.tar'")
+    rows = sorted((r["part"], r["member"], r["size"], bytes(r["body"])) for r in got.collect())
+    assert rows == sorted((p, n, len(b), b) for p in ("a.tar", "b.tar.gz") for n, b in members)
+    named = tars.read_tar_members(spark, str(tmp_path / "t"), suffix=".txt", years=[2023])
+    assert named.columns == ["path", "part", "member", "name", "size"]
+    assert {(r["part"], r["name"]) for r in named.collect()} == {("a.tar", "e.txt"), ("b.tar.gz", "e.txt")}
+    assert tars.read_tar_members(spark, str(tmp_path / "t"), years=[1999]).where("part = 'a.tar'").count() == 0
+    assert tars.read_tar_members(spark, str(tmp_path / "nowhere"), bodies=True).count() == 0
+
+
+def test_names_of_a_part_of_a_gigabyte_need_little_memory_and_its_bodies_many_tasks(spark, tmp_path):
+    n, size = 64, 16 << 20
+    with open(tmp_path / "large.tar", "wb") as f:  # sparse: headers, and holes for bodies
+        for i in range(n):
+            info = tarfile.TarInfo(f"{i}.bin")
+            info.size = size
+            f.write(info.tobuf())
+            f.seek(size, 1)
+        f.write(bytes(1024))
+    grown = spark.sparkContext.parallelize([0], 1)
+    path = f"file://{tmp_path}/large.tar"
+
+    def names(_):
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        found = list(tars._names(path, None))
+        yield len(found), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before
+
+    ((count, kilobytes),) = grown.mapPartitions(names).collect()
+    assert count == n and kilobytes < 64 << 10
+    m = tars.read_tar_members(spark, str(tmp_path), bodies=True)
+    tasks = m.select(F.spark_partition_id().alias("p"), F.length("body").alias("n")).groupBy("p").agg(F.sum("n").alias("n")).collect()
+    assert sum(r["n"] for r in tasks) == n * size and len(tasks) > 4 and max(r["n"] for r in tasks) < 1 << 28
+
+
+def test_an_archive_that_is_cut_short_is_an_error(spark, tmp_path):
+    tar_of(tmp_path / "a.tar", [("a", b"x" * 5000), ("b", b"y" * 5000)])
+    whole = (tmp_path / "a.tar").read_bytes()
+    (tmp_path / "a.tar").write_bytes(whole[:3000])
+    with pytest.raises(Exception, match="ends within|unexpected end"):
+        tars.read_tar_members(spark, str(tmp_path), bodies=True).collect()
+
+
+def test_tar_parts_stream_and_a_failing_task_leaves_none(spark, tmp_path):
+    folder = f"file://{tmp_path}/out dir"
+    rows = [(f"p{i % 3}", f"{i:03}", (b"%d" % i) * i if i % 5 else None) for i in range(60)]
+    plan = spark.createDataFrame(rows, "part string, name string, body binary")
+    for _ in range(2):  # a second writer of the same parts changes nothing
+        assert {(r["part"], r["name"]) for r in sinks.write_tar_parts(plan, folder).collect()} == {(f"p{k}", f"p{k}.tar") for k in range(3)}
+    for k in range(3):
+        with tarfile.open(tmp_path / f"out dir/p{k}.tar") as t:
+            names = t.getnames()
+            assert names == sorted(n for p, n, _ in rows if p == f"p{k}")
+            assert [t.extractfile(n).read() for n in names] == [b or b"" for p, n, b in sorted(rows) if p == f"p{k}"]
+    bad = plan.withColumn("body", F.when(F.col("name") == "057", F.raise_error(F.lit("lost")).cast("binary")).otherwise(F.col("body")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_tar_parts(bad.coalesce(1), f"file://{tmp_path}/bad").collect()
+    assert not (tmp_path / "bad").exists() or not [f for f in os.listdir(tmp_path / "bad") if f.endswith(".tar") and f == "p0.tar"]
