@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.operators.layers import sample
+from docketry.operators.layers import few_names, sample
 
 KEYS = ["data_type", "year", "court", "bench"]
 SAMPLE = 20
@@ -28,7 +28,7 @@ MEMBER_ISSUES = ("part_index_files_missing_in_tar", "part_tar_members_missing_in
 
 def _pair(left: str, right: str, a: str, b: str) -> list[Column]:
     one, two = F.col(left) & ~F.col(right), F.col(right) & ~F.col(left)
-    return [F.count_if(one).alias(f"{a}_n"), sample(F.when(one, F.col("name")), SAMPLE).alias(f"{a}_s"), F.count_if(two).alias(f"{b}_n"), sample(F.when(two, F.col("name")), SAMPLE).alias(f"{b}_s")]
+    return [F.count_if(one).alias(f"{a}_n"), sample(F.when(one, F.col("_first")), SAMPLE).alias(f"{a}_s"), F.count_if(two).alias(f"{b}_n"), sample(F.when(two, F.col("_first")), SAMPLE).alias(f"{b}_s")]
 
 
 def partition_summary(indexes: DataFrame, listing: DataFrame, parquet_names: DataFrame | None = None) -> DataFrame:
@@ -47,6 +47,7 @@ def partition_summary(indexes: DataFrame, listing: DataFrame, parquet_names: Dat
     names = ("raw", "index", "part", "tar", "parquet")
     tagged = rows.groupBy(*KEYS, kind.alias("kind"), "name").agg(*(F.bool_or(F.col("layer") == x).alias(f"in_{x}") for x in names), F.max(F.when(F.col("layer") == "part", F.col("size"))).alias("declared_size"), F.max(F.when(F.col("layer") == "tar", F.col("size"))).alias("actual_size"))
     sizes = F.col("declared_size") != F.col("actual_size")
+    tagged = few_names(tagged.withColumn("_sizes", F.coalesce(sizes, F.lit(False))), [*KEYS, "kind", *(f"in_{x}" for x in names), "_sizes"], "name", SAMPLE, "_first")
     found = tagged.groupBy(*KEYS).agg(
         F.count_if("in_raw").alias("raw_objects"),
         F.count_if("in_tar").alias("tar_objects"),
@@ -55,7 +56,7 @@ def partition_summary(indexes: DataFrame, listing: DataFrame, parquet_names: Dat
         *_pair("in_raw", "in_index", "raw_missing_index", "index_missing_raw"),
         *_pair("in_part", "in_tar", "missing_indexed_part_objects", "unindexed_tar_objects"),
         F.count_if(sizes).alias("part_size_mismatch_n"),
-        sample(F.when(sizes, F.col("name")), SAMPLE).alias("part_size_mismatch_s"),
+        sample(F.when(sizes, F.col("_first")), SAMPLE).alias("part_size_mismatch_s"),
         *_pair("in_parquet", "in_index", "parquet_missing_data_index", "data_index_missing_parquet"),
     )
     out = base.join(found, KEYS, "left")
@@ -84,6 +85,7 @@ def member_issues(index_files: DataFrame, members: DataFrame) -> DataFrame:
     keys = [*KEYS, "part"]
     both = index_files.select(*keys, "name", F.lit("i").alias("l")).unionByName(members.select(*keys, "name", F.lit("t").alias("l")))
     tagged = both.groupBy(*keys, "name").agg(F.bool_or(F.col("l") == "i").alias("i"), F.bool_or(F.col("l") == "t").alias("t"))
-    per = tagged.groupBy(*keys).agg(F.bool_or("i").alias("has_i"), F.bool_or("t").alias("has_t"), F.count_if(F.col("i") & ~F.col("t")).alias("n0"), sample(F.when(F.col("i") & ~F.col("t"), F.col("name")), SAMPLE).alias("s0"), F.count_if(F.col("t") & ~F.col("i")).alias("n1"), sample(F.when(F.col("t") & ~F.col("i"), F.col("name")), SAMPLE).alias("s1")).where("has_i and has_t")
+    tagged = few_names(tagged, [*keys, "i", "t"], "name", SAMPLE, "_first")
+    per = tagged.groupBy(*keys).agg(F.bool_or("i").alias("has_i"), F.bool_or("t").alias("has_t"), F.count_if(F.col("i") & ~F.col("t")).alias("n0"), sample(F.when(F.col("i") & ~F.col("t"), F.col("_first")), SAMPLE).alias("s0"), F.count_if(F.col("t") & ~F.col("i")).alias("n1"), sample(F.when(F.col("t") & ~F.col("i"), F.col("_first")), SAMPLE).alias("s1")).where("has_i and has_t")
     each = F.array(*(F.struct(F.lit(x).alias("issue"), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("sample")) for i, x in enumerate(MEMBER_ISSUES)))
     return per.select(*keys, F.explode(F.filter(each, lambda s: s["n"] > 0)).alias("e")).select(*keys, "e.issue", "e.n", "e.sample")

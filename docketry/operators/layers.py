@@ -13,31 +13,60 @@ from docketry.functions import scalars as S
 
 
 def sample(c: Column, n: int = 20) -> Column:
-    """The first n distinct values in order, comma-joined; the same on every run."""
+    """The first n distinct values in order, comma-joined; the same on every run. c should be few values: see few_names()."""
     return F.array_join(F.slice(F.array_sort(F.collect_set(c)), 1, n), ",")
 
 
+#: Parts of a group whose first names are found apart.
+SAMPLE_PARTS = 32
+
+
+def few_names(rows: DataFrame, groups: list[str], name: str, n: int, to: str) -> DataFrame:
+    """rows with a column `to`: the name, but null unless it is among the first n of its part of its group.
+
+    A group's parts are by the hash of the name, so a group as large as the table is ranked by many tasks; the first n
+    of the group are among at most SAMPLE_PARTS * n names that are left for sample() to collect.
+    """
+    part = F.pmod(F.xxhash64(name), F.lit(SAMPLE_PARTS))
+    rank = F.row_number().over(Window.partitionBy(*groups, part).orderBy(F.col(name).asc_nulls_last()))
+    return rows.withColumn(to, F.when(rank <= n, F.col(name)))
+
+
 def flags(layers: DataFrame, names: list[str], keys: list[str], name: Column | str = "name") -> DataFrame:
     """(keys, name, one boolean per layer): which layers hold each name."""
     n = (F.col(name) if isinstance(name, str) else name).alias("name")
     return layers.groupBy(*keys, n).agg(*(F.bool_or(F.col("layer") == x).alias(x) for x in names))
 
 
+def mask_histogram(layers: DataFrame, names: list[str], keys: list[str], n_sample: int = 20, name: Column | str = "name") -> DataFrame:
+    """(keys, one boolean per layer, n, first): how many names are in exactly these layers, and candidates for their first ones.
+
+    At most 2 ** len(names) rows per keys, whatever the number of names.
+    """
+    f = few_names(flags(layers, names, keys, name), [*keys, *names], "name", n_sample, "_first")
+    return f.groupBy(*keys, *names).agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set("_first")), 1, n_sample).alias("first"))
+
+
 def matrix(layers: DataFrame, names: list[str], keys: list[str], n_sample: int = 20, name: Column | str = "name") -> DataFrame:
     """Per keys: size of each layer, and for each ordered pair the count and a sample of names in one but not the other.
 
-    Columns: n_<a>, <a>_and_<b>, <a>_not_<b>, <a>_not_<b>_sample.
+    Columns: n_<a>, <a>_and_<b>, <a>_not_<b>, <a>_not_<b>_sample. All pairs come from the histogram of masks.
     """
-    f = flags(layers, names, keys, name)
-    cols = [F.count_if(F.col(a)).alias(f"n_{a}") for a in names]
+    h = mask_histogram(layers, names, keys, n_sample, name)
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+
+    cols = [total(F.col(a)).alias(f"n_{a}") for a in names]
     for i, a in enumerate(names):
         for j, b in enumerate(names):
             if i < j:
-                cols.append(F.count_if(F.col(a) & F.col(b)).alias(f"{a}_and_{b}"))
+                cols.append(total(F.col(a) & F.col(b)).alias(f"{a}_and_{b}"))
             if i != j:
                 only = F.col(a) & ~F.col(b)
-                cols += [F.count_if(only).alias(f"{a}_not_{b}"), sample(F.when(only, F.col("name")), n_sample).alias(f"{a}_not_{b}_sample")]
-    return f.groupBy(*keys).agg(*cols)
+                first = F.slice(F.array_sort(F.flatten(F.collect_list(F.when(only, F.col("first"))))), 1, n_sample)
+                cols += [total(only).alias(f"{a}_not_{b}"), F.array_join(first.cast("array<string>"), ",").alias(f"{a}_not_{b}_sample")]
+    return h.groupBy(*keys).agg(*cols)
 
 
 def as_pdf(name: Column) -> Column:

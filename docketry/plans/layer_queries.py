@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from docketry import schemas
 from docketry.functions import scalars as S
 from docketry.functions.html import html_fields
-from docketry.operators import audit, build, dedupe, layers, packing, stats, tasks, text
+from docketry.operators import audit, build, dedupe, layers, packing, stats, tasks, text, windows
 from docketry.plans import sql as levels
 from docketry.plans.registry import query, table
 from docketry.session import scratch_path
 from docketry.sources import commit, readers, sinks, tars
+from docketry.streaming import cursors
 from docketry.streaming.upsert import TableStore, read_events, upsert_stream
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -57,6 +58,73 @@ def layer(spark: SparkSession, sf_dir: str) -> str:
     return written(spark, sf_dir, "layer", lambda path: sinks.write_judgments(rows_of(spark, sf_dir), path))
 
 
+# ---- five layers, and what an index says of itself
+
+# The layers that a court and year are compared by.
+FIVE = ["raw_json", "raw_pdf", "json_index", "pdf_index", "table"]
+
+_NAMES = "'K' || o_orderkey || '_1_' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
+_FIVE = f"""(SELECT {_NAMES} || '.pdf' AS name, '1_' || o_orderstatus AS court, CAST(year(o_orderdate) AS INT) AS year, o_orderkey % 3 <> 0 AS raw_json, o_orderkey % 5 <> 0 AS raw_pdf, o_orderkey % 7 <> 0 AS json_index, o_orderkey % 11 <> 0 AS pdf_index, o_orderkey % 2 = 0 AS "table" FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-03-01' AND DATE '1996-08-31') f"""
+
+
+def five_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(layer, year, court, name): orders as names of five layers, JSON names in two of them; a seventh are in a layer twice."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    stem = text_of("K", k.cast("string"), "_1_", F.col("o_orderdate").cast("date").cast("string"))
+    holds = {"raw_json": k % 3 != 0, "raw_pdf": k % 5 != 0, "json_index": k % 7 != 0, "pdf_index": k % 11 != 0, "table": k % 2 == 0}
+    each = F.array(*(F.when(c, F.struct(F.lit(x).alias("layer"), text_of(stem, ".json" if "json" in x else ".pdf").alias("name"))) for x, c in holds.items()))
+    rows = o.select(F.year("o_orderdate").alias("year"), text_of("1_", F.col("o_orderstatus")).alias("court"), F.explode(F.array_compact(each)).alias("l"))
+    return rows.select("l.layer", "year", "court", "l.name")
+
+
+_PAIRS = [(a, b) for a in FIVE for b in FIVE if a != b]
+
+
+@query(f"""SELECT year, court, {", ".join(f'count(*) FILTER ("{a}") AS n_{a}' for a in FIVE)}, {", ".join(f'count(*) FILTER ("{a}" AND "{b}") AS {a}_and_{b}' for i, a in enumerate(FIVE) for b in FIVE[i + 1 :])},
+ {", ".join(f'count(*) FILTER ("{a}" AND NOT "{b}") AS {a}_not_{b}' for a, b in _PAIRS)}, {", ".join(f"""coalesce(array_to_string(list_sort(list(name) FILTER ("{a}" AND NOT "{b}"))[1:4], ','), '') AS {a}_not_{b}_sample""" for a, b in _PAIRS)}
+FROM {_FIVE} WHERE raw_json OR raw_pdf OR json_index OR pdf_index OR "table" GROUP BY ALL""")
+def five_layer_matrix(spark, sf_dir):
+    """All pairs of five layers within a window of dates, names of JSON files taken as those of their PDFs."""
+    rows = layers.in_window(five_layers(spark, sf_dir), "1995-03-01", "1996-08-31")
+    return layers.matrix(rows, FIVE, ["year", "court"], 4, layers.as_pdf(F.col("name")))
+
+
+@query(f"""SELECT year, court, raw_json, raw_pdf, json_index, pdf_index, "table", count(*) AS n FROM {_FIVE} WHERE raw_json OR raw_pdf OR json_index OR pdf_index OR "table" GROUP BY ALL""")
+def layer_masks(spark, sf_dir):
+    rows = layers.in_window(five_layers(spark, sf_dir), "1995-03-01", "1996-08-31")
+    return layers.mask_histogram(rows, FIVE, ["year", "court"], 4, layers.as_pdf(F.col("name"))).drop("first")
+
+
+@query("""WITH e AS (SELECT CAST(year(o_orderdate) AS INT) AS year, '1_' || o_orderstatus AS court, (o_orderkey - o_orderkey % 2) || '.pdf' AS file FROM orders)
+SELECT year, court, count(DISTINCT year || court) AS index_files, count(*) AS file_count, count(*) AS entries, count(DISTINCT file) AS distinct_entries, count(*) - count(DISTINCT file) AS duplicates FROM e GROUP BY ALL""")
+def index_statistics(spark, sf_dir):
+    """Entries of an index, of which some are there twice, as the index's own statistics count them."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), text_of("1_", F.col("o_orderstatus")).alias("court"), text_of((k - k % 2).cast("string"), ".pdf").alias("file"), (k % 3).alias("part"))
+    parts = o.groupBy("year", "court", "part").agg(F.collect_list("file").alias("files"))
+    index = parts.groupBy("year", "court").agg(F.collect_list(F.struct("files")).alias("parts"), F.sum(F.size("files")).alias("file_count"))
+    return layers.index_stats(index, ["year", "court"])
+
+
+@query("""SELECT 'C' || o_custkey AS cnr, count(*) AS n, list_sort(list(DISTINCT CAST(o_orderdate AS DATE))) AS "values" FROM orders WHERE o_custkey % 10 <> 0 GROUP BY 1 HAVING count(*) > 2""")
+def repeated_keys(spark, sf_dir):
+    """Keys of three rows or more with their dates; blank keys are no group."""
+    o = table(spark, sf_dir, "orders").select(F.when(F.col("o_custkey") % 10 != 0, text_of("C", F.col("o_custkey").cast("string"))).otherwise("").alias("cnr"), F.col("o_orderdate").cast("date").alias("day"))
+    return dedupe.duplicate_groups(o, "cnr", "day", 3)
+
+
+@query("""SELECT CAST(d AS DATE) AS day, count(s_suppkey) AS n FROM range(DATE '2024-01-01', DATE '2024-01-11', INTERVAL 1 DAY) t(d) LEFT JOIN supplier ON DATE '2024-01-01' + CAST(s_suppkey % 12 AS INT) = d GROUP BY 1""")
+def member_histogram(spark, sf_dir):
+    """Days in the names of tar members, counted within a window; days without members are there with 0."""
+    k = F.col("s_suppkey")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (k % 12).cast("int")).cast("string")
+    s = table(spark, sf_dir, "supplier").select(text_of("p", (k % 3).cast("string")).alias("part"), text_of("m/K", k.cast("string"), "_1_", day, ".json").alias("name"), F.lit("{}").cast("binary").alias("body"))
+    path = written(spark, sf_dir, "dated-tars", lambda p: sinks.write_tar_parts(s, p).write.format("noop").mode("overwrite").save())
+    m = tars.read_tar_members(spark, path, suffix=".json").withColumn("day", S.filename_date(F.col("name")))
+    return windows.daily_histogram(m, "2024-01-01", "2024-01-10", "day", fill=True)
+
+
 # ---- sources: raw records, listings, indexes, the layer
 
 
@@ -744,6 +812,21 @@ def stream_cursor(spark, sf_dir):
     return spark.createDataFrame([], "user_id long, cursor timestamp_ntz") if cursors is None else cursors
 
 
+@query("""WITH o AS (SELECT user_id AS bench, event_id % 4 AS b, event_id % 3 AS year, bool_and(event_type <> 'error') AS ok FROM events GROUP BY ALL), t AS (SELECT DISTINCT bench, b FROM o),
+s AS (SELECT t.bench, t.b, o.year, arg_max(o.ok, o.b) AS ok FROM t JOIN o ON o.bench = t.bench AND o.b <= t.b GROUP BY ALL), g AS (SELECT bench, b FROM s GROUP BY ALL HAVING bool_and(ok))
+SELECT CAST(bench % 10 AS VARCHAR) AS court, CAST(bench AS VARCHAR) AS bench, DATE '2024-02-01' + CAST(max(b) AS INT) AS cursor FROM g GROUP BY bench""")
+def stream_kept_cursors(spark, sf_dir):
+    """Outcomes of benches in four batches, the last two after a restart: failed years hold their bench only."""
+    e = table(spark, sf_dir, "events")
+    outcome = e.select(F.col("event_id") % 4, (F.col("user_id") % 10).alias("court"), F.col("user_id").alias("bench"), (F.col("event_id") % 3).alias("year"), (F.col("event_type") != "error").alias("ok"), F.date_add(F.lit("2024-02-01").cast("date"), (F.col("event_id") % 4).cast("int")).alias("through"))
+    source, out, checkpoint = (scratch_path(spark, f"kept-{x}") for x in ("events", "cursors", "checkpoint"))
+    for b in range(4):
+        outcome.where(outcome[0] == b).select("court", "bench", "year", "ok", "through").coalesce(1).write.mode("append").parquet(source)
+        if b in (1, 3):  # one file a trigger, in the order of their times
+            cursors.cursor_stream(spark.readStream.schema("court long, bench long, year long, ok boolean, through date").option("maxFilesPerTrigger", 1).parquet(source), out, checkpoint).awaitTermination()
+    return cursors.kept_cursors(spark.read.schema(cursors.CURSORS).parquet(out))
+
+
 @query("""SELECT DISTINCT '1~' || (user_id % 5) AS court, CAST(ts AS DATE) + i::INT AS from_date, CAST(ts AS DATE) + i::INT AS to_date FROM events, range(7) r(i) WHERE day(CAST(ts AS DATE) + i::INT) % 2 = 0""")
 def retry_rounds(spark, sf_dir):
     """Weeks that failed, retried by days: those of even days fail in every round."""

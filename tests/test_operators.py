@@ -235,3 +235,21 @@ def test_packing_by_several_keys_and_kinds(spark):
     for key, parts in got.items():
         sizes = [s for g, h, _, s in sorted(data, key=lambda d: d[2]) if (g, h) == key]
         assert [[s for _, s in sorted(parts[p])] for p in sorted(parts)] == [list(x) for x in greedy(sizes, 10)]
+
+
+def test_samples_of_a_large_group_come_from_few_names(spark):
+    n = 20_000
+    df = spark.range(n).select(F.lit("k").alias("k"), F.lit("a").alias("layer"), F.concat(F.lit("n"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("name"))
+    tagged = layers.few_names(layers.flags(df, ["a", "b"], ["k"]), ["k", "a", "b"], "name", 20, "first")
+    left = [r["first"] for r in tagged.where("first is not null").collect()]
+    assert tagged.count() == n and len(left) == 20 * layers.SAMPLE_PARTS and {f"n{i:06}" for i in range(20)} <= set(left)
+    (m,) = layers.matrix(df, ["a", "b"], ["k"]).collect()
+    assert (m["n_a"], m["n_b"], m["a_and_b"], m["a_not_b"], m["b_not_a"]) == (n, 0, 0, n, 0)
+    assert m["a_not_b_sample"] == ",".join(f"n{i:06}" for i in range(20)) and m["b_not_a_sample"] == ""
+
+
+def test_masks_keep_null_keys_and_names_of_no_known_layer(spark):
+    df = spark.createDataFrame([(None, "a", "x"), (None, "b", "x"), ("k", "z", "y"), ("k", "a", None)], "k string, layer string, name string")
+    got = {(r["k"], r["a"], r["b"]): (r["n"], r["first"]) for r in layers.mask_histogram(df, ["a", "b"], ["k"]).collect()}
+    assert got == {(None, True, True): (1, ["x"]), ("k", False, False): (1, ["y"]), ("k", True, False): (1, [])}
+    assert layers.matrix(df.limit(0), ["a", "b"], ["k"]).count() == 0
