@@ -19,17 +19,18 @@ PART_LIMIT = 1 << 30
 APPEND_LIMIT = 100 << 20
 
 
-def _checked(df: DataFrame, size: str, limit: int) -> DataFrame:
-    too_large = F.raise_error(F.concat(F.lit("a file exceeds the limit of a part: "), F.col(size).cast("string")))
-    return df.withColumn(size, F.when(F.col(size) > limit, too_large.cast("long")).otherwise(F.col(size)))
+def _checked(df: DataFrame, name: str, size: str, limit: int) -> DataFrame:
+    """df, failing at a file whose size is above the limit, below 0 or missing; the error names it."""
+    wrong = F.raise_error(F.concat(F.lit("a file exceeds the limit of a part, or has no size: "), F.coalesce(F.col(name).cast("string"), F.lit("null")), F.lit(", "), F.coalesce(F.col(size).cast("string"), F.lit("null"))))
+    return df.withColumn(size, F.when(F.col(size).between(0, limit), F.col(size)).otherwise(wrong.cast("long")))
 
 
 def greedy_parts(files: DataFrame, keys: list[str], order: str, name: str = "name", size: str = "size", limit: int = PART_LIMIT) -> DataFrame:
     """(keys, part, name, size): files in order; a part is closed when it has files and the next would exceed limit.
 
-    A file above the limit is an error. Whether a part has files is told by count, since sizes may be 0.
+    A file above the limit, or without a size, is an error that names it. Whether a part has files is told by count, since sizes may be 0.
     """
-    rows = _checked(files, size, limit).select(*keys, F.col(order).alias("_order"), F.col(name).cast("string").alias("name"), F.col(size).cast("long").alias("size"))
+    rows = _checked(files, name, size, limit).select(*keys, F.col(order).alias("_order"), F.col(name).cast("string").alias("name"), F.col(size).cast("long").alias("size"))
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "_order", "name", "size").select(*keys, "name", "size")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

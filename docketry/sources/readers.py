@@ -289,9 +289,11 @@ def read_baseline(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dictionary(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
-    """A JSON object as a table of two columns."""
-    text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
-    return spark.createDataFrame(list(json.loads(text).items()), f"{key} string, {value} string")
+    """A JSON object, in the one file at or below path, as a table of two columns."""
+    files = spark.read.text(path, wholetext=True).take(2)
+    if len(files) != 1:
+        raise ValueError(f"a dictionary is one file; {path} has {len(files) or 'none'}{' or more' * (len(files) > 1)}")
+    return spark.createDataFrame(list(json.loads(files[0][0]).items()), f"{key} string, {value} string")
 
 
 def read_benches(spark: SparkSession, path: str) -> DataFrame:

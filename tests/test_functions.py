@@ -139,3 +139,35 @@ def test_plain_snippets_parse_as_by_the_parser():
             plain += 1
             assert tree(p) == tree(html._parsed_tree(t)), t
     assert plain > 300
+
+
+def test_tags_of_any_depth_and_of_no_end(spark):
+    import pyarrow as pa
+
+    from docketry.functions.html import _struct
+
+    page = "<button onclick=\"x('a')\">T</button>D<strong>Judge : X</strong><strong class='caseDetailsTD'><span>CNR</span><font>C</font></strong>"
+    cases = ["<div>" + "<b>" * 5000 + "x" + "</b>" * 5000 + page + "</div>", "<i>" * 20000 + "</i>" * 20000 + page, page + "<b>" * 20000, "<!-- c -->" + "<b>" * 5000 + "</b>" * 5000 + page]
+    got = _struct(pa.array([*cases, None])).to_pylist()
+    assert [(g["title"], g["judge"], g["cnr"]) for g in got] == [("T", "X", "C")] * 4 + [("", "", "")]
+    assert fields("<strong class='caseDetailsTD'>" + "<span>CNR" * 20000 + "<font>C</font>" + page)["cnr"] == "C"
+
+
+def test_mutated_snippets_give_the_same_fields_by_either_way(monkeypatch):
+    import random
+
+    from docketry.functions import html
+
+    page = "<div><button onclick=\"x('a')\">T &amp; U</button>D<br><strong>Judge : X</strong><strong class=\"caseDetailsTD\"><span>CNR :</span><font></font><p><span>Decision Date</span> v <font>05-03-2024</font></p><span>Court : Y</span></strong></div>"
+    pieces = ["<b>", "</b>", "</span>", "<font>", "</strong>", "<strong class='caseDetailsTD'>", "x", " ", "<br/>", "<button>", "</div>", "Court : z", ":", "&lt;", "<span>"]
+    r, texts = random.Random(8), []
+    for _ in range(10_000):
+        t = page
+        for _ in range(r.randint(1, 6)):
+            a = r.randint(0, len(t))
+            t = t[:a] + r.choice(pieces) + t[a:] if r.random() < 0.6 else t[:a] + t[a + r.randint(1, 10) :]
+        texts.append(t)
+    scanned = [fields(t) for t in texts]
+    plain = sum(html._plain_tree(t) is not None for t in texts)
+    monkeypatch.setattr(html, "_plain_tree", lambda t: None)
+    assert [fields(t) for t in texts] == scanned and plain > 1000

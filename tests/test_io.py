@@ -179,3 +179,10 @@ def test_a_store_rewrites_touched_buckets_only(spark, tmp_path):
     for t in (3, 4, 5):
         merge(store, spark.createDataFrame([(7, t)], "k int, t int"), ["k"], ["t"])
     assert store.read().where("k = 7").first()["t"] == 5
+
+
+def test_a_dictionary_is_one_file(spark, tmp_path):
+    for i in range(2):
+        (tmp_path / f"{i}.json").write_text('{"a": "b"}')
+    with pytest.raises(ValueError, match="one file"):
+        readers.read_dictionary(spark, str(tmp_path), "k", "v")

@@ -253,3 +253,9 @@ def test_masks_keep_null_keys_and_names_of_no_known_layer(spark):
     got = {(r["k"], r["a"], r["b"]): (r["n"], r["first"]) for r in layers.mask_histogram(df, ["a", "b"], ["k"]).collect()}
     assert got == {(None, True, True): (1, ["x"]), ("k", False, False): (1, ["y"]), ("k", True, False): (1, [])}
     assert layers.matrix(df.limit(0), ["a", "b"], ["k"]).count() == 0
+
+
+def test_a_file_without_a_size_is_named(spark):
+    df = spark.createDataFrame([("k", 1, "good", 5), ("k", 2, "odd.pdf", None)], "k string, o int, name string, size long")
+    with pytest.raises(Exception, match="odd.pdf"):
+        packing.greedy_parts(df, ["k"], "o").collect()
