@@ -479,6 +479,18 @@ def greedy_parts(spark, sf_dir):
     return packing.greedy_parts(l, ["l_suppkey"], "o", limit=500).groupBy("l_suppkey", "part").agg(F.count("*").alias("files"), F.sum("size").alias("size"))
 
 
+@query("""WITH RECURSIVE s AS (SELECT l_linestatus, l_orderkey, CAST(l_quantity AS BIGINT) AS s, row_number() OVER w AS i, CAST(sum(CAST(l_quantity AS BIGINT)) OVER w AS BIGINT) AS upto FROM lineitem WINDOW w AS (PARTITION BY l_linestatus ORDER BY l_orderkey, l_linenumber, l_quantity ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT *, i + count(*) OVER (PARTITION BY l_linestatus ORDER BY upto RANGE BETWEEN CURRENT ROW AND 5000 - s FOLLOWING) AS nxt FROM s),
+w AS (SELECT l_linestatus, i, nxt, 0 AS part FROM f WHERE i = 1 UNION ALL SELECT f.l_linestatus, f.i, f.nxt, w.part + 1 FROM w JOIN f ON f.l_linestatus = w.l_linestatus AND f.i = w.nxt)
+SELECT w.l_linestatus, w.part, count(*) AS files, CAST(sum(f.s) AS BIGINT) AS size, min(f.l_orderkey) AS first_order, max(f.l_orderkey) AS last_order FROM w JOIN f ON f.l_linestatus = w.l_linestatus AND f.i >= w.i AND f.i < w.nxt GROUP BY ALL""")
+def pack_large_leaf(spark, sf_dir):
+    """Two partitions of half the table each, packed by many tasks."""
+    l = table(spark, sf_dir, "lineitem").select("l_linestatus", F.struct("l_orderkey", "l_linenumber").alias("o"), F.col("l_orderkey").alias("name"), F.col("l_quantity").cast("long").alias("size"))
+    parts = packing.pack_large(l, "l_linestatus", "o", limit=5000).groupBy("l_linestatus", "part")
+    order = F.col("name").cast("long")
+    return parts.agg(F.count("*").alias("files"), F.sum("size").alias("size"), F.min(order).alias("first_order"), F.max(order).alias("last_order"))
+
+
 @query("""WITH p AS (SELECT o_custkey AS k, 'p' || o_orderkey AS name, CAST(o_totalprice AS INT) AS size, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, 'p' || o_orderkey DESC) AS rn FROM orders)
 SELECT c_custkey AS k, CASE WHEN size <= 200000 AND size + c_custkey * 100 <= 250000 THEN name END AS name FROM customer LEFT JOIN p ON p.k = c_custkey AND rn = 1""")
 def append_target(spark, sf_dir):

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,3 +260,45 @@ def test_a_file_without_a_size_is_named(spark):
     df = spark.createDataFrame([("k", 1, "good", 5), ("k", 2, "odd.pdf", None)], "k string, o int, name string, size long")
     with pytest.raises(Exception, match="odd.pdf"):
         packing.greedy_parts(df, ["k"], "o").collect()
+
+
+def test_steps_of_a_chunk_equal_the_loop():
+    r = random.Random(11)
+    for _ in range(200):
+        limit = r.choice([1, 7, 30])
+        sizes = [r.choice([0, r.randint(0, limit), limit]) for _ in range(r.randint(1, 60))]
+        most, opened, left = packing.chunk_steps(np.array(sizes), limit)
+        for used in range(limit + 1):
+            parts, now = 0, used
+            for s in sizes:
+                parts, now = (parts, now + s) if now + s <= limit else (parts + 1, s)
+            i = int(np.searchsorted(most, used))
+            assert (parts, now) == (opened[i], left[i] + (0 if opened[i] else used))
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 18])
+def test_a_large_leaf_packed_in_chunks_equals_the_loop(spark, chunk):
+    r = random.Random(5)
+    data = [(r.choice(["a", "a", "a", "b", None]), r.randint(0, 1), i, r.choice([0, 0, 1, 3, 10])) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, h int, name int, size int").repartition(5)
+    got = {}
+    for x in packing.pack_large(df, ["g", "h"], "name", limit=40, chunk_files=chunk).collect():
+        got.setdefault((x["g"], x["h"]), {}).setdefault(x["part"], []).append((int(x["name"]), x["size"]))
+    assert len(got) == 6 and sum(len(p) for parts in got.values() for p in parts.values()) == 3000
+    for key, parts in got.items():
+        sizes = [s for g, h, _, s in sorted(data, key=lambda d: d[2]) if (g, h) == key]
+        assert sorted(parts) == list(range(len(parts)))
+        assert [[s for _, s in sorted(parts[p])] for p in sorted(parts)] == [list(x) for x in greedy(sizes, 40)]
+    assert packing.pack_large(df.limit(0), ["g", "h"], "name", limit=40).count() == 0
+
+
+def test_the_files_of_one_leaf_are_packed_by_many_tasks(spark):
+    n, key = 200_000, "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # little data would else be joined into fewer tasks
+    df = spark.range(n).select(F.lit("k").alias("k"), "id", F.col("id").alias("name"), (F.pmod(F.xxhash64("id"), F.lit(1000)) + 1).alias("size"))
+    packed = packing.pack_large(df, "k", "id", limit=100_000, chunk_files=5000).withColumn("task", F.spark_partition_id())
+    one = packing.greedy_parts(df, ["k"], "id", limit=100_000)
+    assert packed.select("part", "name").exceptAll(one.select("part", "name")).count() == 0 and packed.count() == n
+    tasks_used = [r["count"] for r in packed.groupBy("task").count().collect()]
+    spark.conf.unset(key)
+    assert len(tasks_used) > 2 and max(tasks_used) < n / 2
