@@ -41,17 +41,27 @@ ALLOWED = tuple(
     re.compile(p)
     for p in (
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
-        r"[^0-9]*",  # words and identifiers without a digit
         r"[0-9_=+/-]*",  # numbers, dates and rules
         r".*(0123456789|1234567890|abcdefghij|ABCDEFGHIJ).*",  # alphabets
         r"(.{1,8}?)\1+.{0,7}",  # a repeated unit
-        r"(?:[A-Za-z]+|[0-9]{1,4})(?:[_/=+-]+(?:[A-Za-z]+|[0-9]{1,4}))+",  # paths, slugs and snake case
-        r"[A-Za-z]+[0-9]{1,4}",  # a word with a number
     )
 )
 
+# Words of two letters in names of mixed case.
+SHORT_WORDS = ("am", "an", "as", "at", "be", "by", "db", "do", "go", "he", "id", "if", "in", "io", "ip", "is", "it", "js", "me", "my", "no", "of", "ok", "on", "or", "os", "so", "to", "ui", "up", "us", "we")
+
+#: A word of a name in mixed case: three letters and more (or a short word), the first of which may be a capital, or an acronym.
+WORD = r"(?:[A-Z][a-z]{2,}+|[a-z]{3,}+|(?:%s)(?![a-z])|[A-Z]{1,5}(?=[A-Z][a-z]|\Z))" % "|".join(f"[{x[0].upper()}{x[0]}]{x[1]}" for x in SHORT_WORDS)
+#: A name as people write it is in one case throughout, or of such words, with so many letters a word at the least;
+#: letters of random case are none. Nothing is tried twice, so long texts cost their length.
+NAME, ONE_CASE, EACH_WORD, LETTERS_A_WORD = re.compile(f"{WORD}++"), re.compile("[a-z]+|[A-Z]+"), re.compile(WORD), 3.5
+NUMBERED = re.compile(r"([A-Za-z]+)[0-9]{1,4}")
+SHORT_NUMBER = re.compile(r"[0-9]{1,4}")
+SEPARATORS = re.compile(r"[_/=+-]+")
+
 # The token (between separators) that holds one of these words is harmless, and what surrounds it is not.
-WORDS = re.compile(r"(?i)[A-Za-z0-9]*(?:example|placeholder|dummy|sample|changeme|your)[A-Za-z0-9]*")
+WORDS = re.compile(r"(?i)example|placeholder|dummy|sample|changeme|your")
+TOKEN = re.compile(r"[A-Za-z0-9]+")
 
 _SCREENS = (
     r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo]?[Rr]?[Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]""",
@@ -97,6 +107,23 @@ def entropy_windows(text: str, width: int, least: float) -> Iterator[tuple[int,
         yield lo, hi
 
 
+def is_name(letters: str) -> bool:
+    """Whether letters are a name in one case, or one whose capitals begin words."""
+    if ONE_CASE.fullmatch(letters):
+        return True
+    return NAME.fullmatch(letters) is not None and len(letters) >= LETTERS_A_WORD * len(EACH_WORD.findall(letters))
+
+
+def harmless(candidate: str) -> bool:
+    """Whether a rule allows a candidate: paths, slugs and identifiers made of names, one name with a number, and ALLOWED."""
+    if any(p.fullmatch(candidate) for p in ALLOWED):
+        return True
+    pieces = [x for x in SEPARATORS.split(candidate) if x]
+    if len(pieces) == 1 and (m := NUMBERED.fullmatch(candidate)):
+        return is_name(m.group(1))
+    return all(is_name(x) or (len(pieces) > 1 and SHORT_NUMBER.fullmatch(x)) for x in pieces)
+
+
 def scan_text(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all spans, in code points, sorted by start and kind."""
     base = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
@@ -105,12 +132,12 @@ def scan_text(text: str) -> list[tuple[str, int, int]]:
     found = list(base)
     for m in CANDIDATE.finditer(text):
         s = m.group()
-        if any(p.fullmatch(s) for p in ALLOWED):
+        if harmless(s):
             continue
         kind = "entropy_hex" if re.fullmatch(r"[0-9a-fA-F]+", s) else "entropy_base64"
         for lo, hi in _beside_words(s):
             part = s[lo:hi]
-            if part != s and any(p.fullmatch(part) for p in ALLOWED):
+            if part != s and harmless(part):
                 continue
             for a, b in entropy_windows(part, WINDOW, LEAST_ENTROPY[kind]):
                 a, b = a + lo + m.start(), b + lo + m.start()
@@ -122,9 +149,10 @@ def scan_text(text: str) -> list[tuple[str, int, int]]:
 def _beside_words(s: str) -> Iterator[tuple[int, int]]:
     """Ranges of a candidate between its harmless tokens."""
     at = 0
-    for m in WORDS.finditer(s):
-        yield at, m.start()
-        at = m.end()
+    for m in TOKEN.finditer(s):
+        if WORDS.search(m.group()):
+            yield at, m.start()
+            at = m.end()
     yield at, len(s)
 
 

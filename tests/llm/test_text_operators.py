@@ -121,6 +121,20 @@ def test_entropy_spans_and_allow_list():
         assert [k for k, *_ in secret_scan.scan_text(harmless) if k.startswith("entropy")] == []
 
 
+def test_letters_in_random_case_are_no_words():
+    for key in ("kQzXvBnMwErTyUiOpLkJhGfDsAqWe", "kQzXvBnMwErTyUiOpLkJ/HgFdSaQwErTzU", "QzXvBnMwErTyUiOpLkJhGf1234", "aws-kQzXvBnMwErTyUiOpLkJhGf-2024"):
+        (span,) = [(a, b) for k, a, b in secret_scan.scan_text(f"key {key} end") if k == "entropy_base64"]
+        assert span[1] - span[0] >= 20, key
+    for name in ("getElementByIdFromRequestCacheOf", "XMLHttpRequestFactoryBuilderJSON", "src/main/java/OrderTaxServiceImplementation", "the-quick-brown-fox-jumps-over-lazy-dogs", "quickBrownFoxJumpsOver2024", "THE_QUICK_BROWN_FOX_JUMPS_OVER", "/usr/share/fonts/2020/Liberation/SansMonoBold/"):
+        assert secret_scan.scan_text(name) == [], name
+    # Tokens of any length take time in proportion to it.
+    assert secret_scan.is_name("theQuickBrown" * 30_000) and not secret_scan.is_name("theQuickBrown" * 30_000 + "xYz")
+    assert len(secret_scan.scan_text("theQuickBrownFoxJumps" * 20_000 + "q9")) <= 1
+    r, letters = random.Random(2), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(r.choice(letters) for _ in range(32)) for _ in range(2000)]
+    assert sum(secret_scan.harmless(k) for k in keys) <= 20  # a hundredth
+
+
 # ---- language
 
 
