@@ -357,13 +357,25 @@ def csv_report(spark, sf_dir):
 @query("""SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P')""")
 def combine_parquet(spark, sf_dir):
     """Two tables, an empty one and a damaged file as one table."""
+    paths, out = damaged_tables(spark, sf_dir)
+    sinks.combine(spark, paths, out)
+    return spark.read.parquet(out)
+
+
+@query("""SELECT 1::BIGINT AS unreadable, count(*)::BIGINT AS "rows", count(*)::BIGINT AS rows_out FROM orders WHERE o_orderstatus IN ('F', 'P')""")
+def combine_counts(spark, sf_dir):
+    """What the same combination passed over."""
+    return sinks.combine_counted(spark, *damaged_tables(spark, sf_dir)).select("unreadable", "rows", "rows_out")
+
+
+def damaged_tables(spark: SparkSession, sf_dir: str) -> tuple[list[str], str]:
+    """(paths of tables, one of which has a damaged file; path for the table of all)."""
     root = scratch_path(spark, "combine")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     for name, rows in (("a", o.where("o_orderstatus = 'F'")), ("b", o.where("o_orderstatus = 'P'").select("o_orderstatus", "o_custkey", "o_orderkey")), ("c", o.limit(0))):
         rows.write.parquet(f"{root}/{name}")
     sinks.write_objects(spark.createDataFrame([("b/damaged.parquet", "no parquet")], "path string, body string"), root).write.format("noop").mode("overwrite").save()
-    sinks.combine(spark, [f"{root}/{x}" for x in "abc"], f"{root}/all")
-    return spark.read.parquet(f"{root}/all")
+    return [f"{root}/{x}" for x in "abc"], f"{root}/all"
 
 
 _K = "'cnr:' || cnr || '|decision_date:' || decision_date"

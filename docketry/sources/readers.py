@@ -260,6 +260,30 @@ def _read_class(spark: SparkSession, root: str, paths: list[str], example: str,
     return df.select(*columns, *place, p.alias("path"), *([F.col("_metadata.row_index").alias("row")] if rows else []))
 
 
+def parquet_footers(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(path, rows, error) of the Parquet files below folders, by their footers, which tasks read; error tells why one cannot be.
+
+    The folders must be on a store that pyarrow knows; one that is absent has no files.
+    """
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, errors = [], []
+            for path in b.column(0).to_pylist():
+                store, p = file_system(path)
+                with store.open_input_file(p) as f:
+                    try:
+                        rows.append(pq.read_metadata(f).num_rows)
+                        errors.append(None)
+                    except pa.ArrowInvalid as e:
+                        rows.append(None)
+                        errors.append(str(e))
+            yield pa.record_batch([b.column(0), pa.array(rows, pa.int64()), pa.array(errors, pa.string())], names=["path", "rows", "error"])
+
+    files = functools.reduce(DataFrame.union, [list_files(spark, x, "*.parquet").select("path") for x in folders])
+    return files.mapInArrow(look, "path string, rows long, error string")
+
+
 def sniff_separator(spark: SparkSession, path: str) -> str:
     """Tab or comma: the one that divides the lines of the first SNIFF_CHARS characters alike, outside quotes; then the commoner."""
     lines = "\n".join(r[0] for r in spark.read.text(path).limit(SNIFF_LINES).collect())[:SNIFF_CHARS]

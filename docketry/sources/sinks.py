@@ -19,7 +19,7 @@ from docketry.functions import scalars as S
 from docketry.operators import dedupe
 from docketry.session import bounded_batches, scratch_path
 from docketry.sources import commit
-from docketry.sources.readers import file_system, read_judgments
+from docketry.sources.readers import file_system, parquet_footers, read_judgments
 
 
 def write_judgments(df: DataFrame, root: str, mode: str = "overwrite") -> None:
@@ -37,6 +37,18 @@ def combine(spark: SparkSession, paths: list[str], out: str, files: int = 1) ->
     spark.read.option("ignoreCorruptFiles", True).option("mergeSchema", True).parquet(*paths).coalesce(files).write.mode("overwrite").parquet(out)
 
 
+def combine_counted(spark: SparkSession, paths: list[str], out: str, files: int = 1) -> DataFrame:
+    """As combine(), and one row of (files, unreadable, rows, rows_out): rows by the footers that can be read, and rows written.
+
+    rows_out is less than rows where a file breaks off behind a footer that is whole. What is below the paths must not change
+    meanwhile; they are folders on a store that pyarrow knows.
+    """
+    found = parquet_footers(spark, paths)
+    combine(spark, paths, out, files)
+    counts = found.agg(F.count("*").alias("files"), F.count("error").alias("unreadable"), F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
+    return counts.crossJoin(spark.read.parquet(out).agg(F.count("*").alias("rows_out")))  # one row by one row
+
+
 def _of_pairs(pairs: set[tuple[int, str]]) -> Column:
     """A filter on exactly these years and courts, which partitions are pruned by."""
     by_year: dict[int, list[str]] = {}

@@ -186,3 +186,20 @@ def test_a_dictionary_is_one_file(spark, tmp_path):
         (tmp_path / f"{i}.json").write_text('{"a": "b"}')
     with pytest.raises(ValueError, match="one file"):
         readers.read_dictionary(spark, str(tmp_path), "k", "v")
+
+
+def test_combining_counts_what_it_passes_over(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    for name, lo in (("a", 0), ("b", 100), ("c", 200)):
+        spark.range(lo, lo + 100).coalesce(1).write.parquet(f"{root}/{name}")
+    (tmp_path / "b" / "odd.parquet").write_bytes(b"PAR1")
+    # The footer of c's file is whole, its pages are not.
+    (broken,) = (tmp_path / "c").glob("*.parquet")
+    raw = bytearray(broken.read_bytes())
+    raw[4:60] = b"\xff" * 56
+    broken.write_bytes(raw)
+    for x in (tmp_path / "c").glob(".*.crc"):
+        x.unlink()
+    got = sinks.combine_counted(spark, [f"{root}/{x}" for x in "abc"], f"{root}/all").collect()
+    assert [tuple(r) for r in got] == [(4, 1, 300, 200)]
+    assert spark.read.parquet(f"{root}/all").count() == 200
