@@ -38,3 +38,12 @@ def test_query_agrees_with_sql(spark, duck, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_chunked_total_of_users_without_errors(spark, tmp_path):
+    con = duckdb.connect()
+    rows = "(1, 7, 'view', 50.0), (2, 7, 'error', 30.0), (3, 8, 'error', 31.0), (12, 8, 'error', 99.0), (4, 8, 'view', 1.0)"
+    con.execute(f"COPY (SELECT event_id::BIGINT AS event_id, user_id::BIGINT AS user_id, event_type, value::DOUBLE AS value FROM (VALUES {rows}) t(event_id, user_id, event_type, value)) TO '{tmp_path}/events.parquet'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    got = {tuple(r) for r in QUERIES["chunked_total"](spark, str(tmp_path)).select("user_id", "total", "errors").collect()}
+    assert got == set(con.execute(ORACLE_SQL["chunked_total"]).fetchall()) == {(7, 2, None), (8, None, "3;12")}
