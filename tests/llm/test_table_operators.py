@@ -48,6 +48,21 @@ def test_components_match_union_find(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("most", [1 << 21, 50])
+def test_components_settle_in_few_rounds(spark, monkeypatch, most):
+    """A long path in any order and a hub, over many tasks that take some links at once."""
+    written, write = [], components.stored
+    monkeypatch.setattr(components, "MOST_LINKS", most, raising=False)
+    monkeypatch.setattr(components, "stored", lambda df, name: written.append(name) or write(df, name))
+    r = random.Random(5)
+    nodes = r.sample(range(-(10**9), 10**9), 3000)
+    edges = list(zip(nodes[:2000], nodes[1:2000], strict=False)) + [(nodes[2000], x) for x in nodes[2001:]]
+    r.shuffle(edges)
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(16)).collect()
+    assert dict(got) == dict.fromkeys(nodes[:2000], min(nodes[:2000])) | dict.fromkeys(nodes[2000:], min(nodes[2000:]))
+    assert len(got) == 3000 and len(written) <= (5 if most > 50 else 12)
+
+
 # ---- mixing
 
 
