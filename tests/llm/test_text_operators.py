@@ -456,6 +456,16 @@ def test_pieces_of_equal_hash_are_compared_by_bytes(monkeypatch):
         assert [x.tolist() for x in e.encode(pa.array(texts))] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_copies_are_encoded_once(monkeypatch):
+    t, e = Tokenizer.from_file(BPE), token_files.CachedEncoder(BPE)
+    seen, encode = [], e.encode
+    monkeypatch.setattr(e, "encode", lambda texts: seen.extend(texts.to_pylist()) or encode(texts))
+    texts = ["one two", "one two", None, "", "a <|endoftext|> b", "one two", "a <|endoftext|> b"]
+    got = token_files.encode_once(e, pa.array(["cut off", *texts])[1:])
+    assert [x.tolist() for x in got] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert seen == ["one two", "", "a <|endoftext|> b"]
+
+
 def test_token_files(spark):
     t = Tokenizer.from_file(BPE)
     texts = [*ODD, "a few more words", "日本", "an <|endoftext|> inside"]
