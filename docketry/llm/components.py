@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.shared import stored
+from docketry.llm.shared import stored, tidy
 
 MOST_ROUNDS = 60
 #: Links that a task looks at at once; with more it gives several trees.
@@ -73,7 +73,7 @@ def contracted(links: DataFrame, ordered: bool = False) -> DataFrame:
         if n:
             yield replace(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    return links.select("a", "b").mapInArrow(contract, "a long, b long, moved boolean")
+    return links.select("a", "b").mapInArrow(tidy(contract), "a long, b long, moved boolean")
 
 
 def _round(links: DataFrame) -> DataFrame:

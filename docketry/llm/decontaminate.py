@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.shared import bounded_batches, free_name
+from docketry.llm.shared import bounded_batches, free_name, tidy
 from docketry.llm.textbytes import ALNUM, Words, chunks, ngrams, words
 
 WINDOW = 13
@@ -189,7 +189,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
                 n_hit = _covered(w.first, len(w.hash), start, end)
                 yield b.slice(lo, hi - lo).filter(pa.array((n_hit == 0) | (20 * n_hit < w.counts)))
 
-    return rows.mapInArrow(keep, rows.schema).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    return rows.mapInArrow(tidy(keep), rows.schema).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
@@ -209,13 +209,13 @@ def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
                         named[d].append(ix.ids[i])
                 yield pa.record_batch([b.column(0)[lo:hi], pa.array(w.counts, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(set(x)) for x in named], pa.list_(pa.string()))], names=["id", "n_words", "n_hit", "items"])
 
-    return rows.mapInArrow(scan, f"id {rows.schema['id'].dataType.simpleString()}, {_OUT}")
+    return rows.mapInArrow(tidy(scan), f"id {rows.schema['id'].dataType.simpleString()}, {_OUT}")
 
 
 def _joined(rows: DataFrame, items: DataFrame) -> DataFrame:
     """The same by a shuffle join of fingerprints; `size` is 0 for winnowed ones, else the words of a short item."""
     kind = rows.schema["id"].dataType.simpleString()
-    count = items.mapInArrow(_word_counts, "n int").where(f"n between 1 and {WINDOW - 1}").distinct()
+    count = items.mapInArrow(tidy(_word_counts), "n int").where(f"n between 1 and {WINDOW - 1}").distinct()
     sizes = sorted(r["n"] for r in count.collect())  # WINDOW - 1 values at most
 
     def prints(short: list[int] | None):
@@ -243,8 +243,8 @@ def _joined(rows: DataFrame, items: DataFrame) -> DataFrame:
 
     hashed = rows.select("id", "text", F.xxhash64("text").alias("text_hash"))
     fields = "text_hash long, pos long, print long, size int, around array<long>"
-    mine = hashed.mapInArrow(prints(sizes), f"id {kind}, {fields}")
-    theirs = items.select("id", "text", F.lit(0).cast("long").alias("text_hash")).mapInArrow(prints(None), f"id string, {fields}")
+    mine = hashed.mapInArrow(tidy(prints(sizes)), f"id {kind}, {fields}")
+    theirs = items.select("id", "text", F.lit(0).cast("long").alias("text_hash")).mapInArrow(tidy(prints(None)), f"id string, {fields}")
     # What comes out of mapInArrow is estimated by what goes in, so the join says not to broadcast.
     pairs = mine.alias("d").join(theirs.alias("b").hint("merge"), ["print", "size"]).select("d.id", "d.text_hash", "d.pos", "size", F.col("d.around").alias("around"), F.col("b.around").alias("other"), F.col("b.id").alias("item"))
 
@@ -262,7 +262,7 @@ def _joined(rows: DataFrame, items: DataFrame) -> DataFrame:
             keep = pa.array(ok)
             yield pa.record_batch([b.column("id"), b.column("text_hash"), pa.array(start), pa.array(end), b.column("item")], names=["id", "text_hash", "start", "end", "item"]).filter(keep)
 
-    spans = pairs.mapInArrow(extended, f"id {kind}, text_hash long, start long, end long, item string")
+    spans = pairs.mapInArrow(tidy(extended), f"id {kind}, text_hash long, start long, end long, item string")
     step = F.aggregate(
         F.array_sort(F.col("spans")),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
@@ -270,7 +270,7 @@ def _joined(rows: DataFrame, items: DataFrame) -> DataFrame:
         lambda a: a["n"],
     )
     found = spans.groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items")).select(F.col("id").alias("k"), F.col("text_hash").alias("h"), step.alias("n_hit"), "items")
-    counted = hashed.mapInArrow(_counted, f"id {kind}, text_hash long, n_words long")
+    counted = hashed.mapInArrow(tidy(_counted), f"id {kind}, text_hash long, n_words long")
     return counted.join(found.hint("merge"), F.col("id").eqNullSafe(F.col("k")) & F.col("text_hash").eqNullSafe(F.col("h")), "left").select("id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.llm.shared import bounded_batches, stored
+from docketry.llm.shared import bounded_batches, stored, tidy
 from docketry.llm.textbytes import buffers, chunks, words
 from docketry.session import small
 
@@ -214,7 +214,7 @@ def fit_languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_c
     size = F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
     sample = ranked.withColumn("size", size).where((F.col("rank") == 1) | (F.col("size") <= bytes_per_lang)).select("text", "lang")
     n = docs.sparkSession.sparkContext.defaultParallelism  # little data, but work enough for all cores
-    counted = bounded_batches(sample.repartition(n, F.xxhash64("text"))).mapInArrow(_count_words, "lang string, key string, n long")
+    counted = bounded_batches(sample.repartition(n, F.xxhash64("text"))).mapInArrow(tidy(_count_words), "lang string, key string, n long")
     of_words = stored(counted, "language-words")
     lengths = F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.char_length("key")))).alias("kind")
     of_words = of_words.withColumn("kind", F.lit(0)).repartition(n, "kind", "key")
@@ -242,7 +242,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
                 yield pa.record_batch([*(c[lo:hi] for c in b.columns[: len(kept)]), pa.array(langs, pa.string()), pa.array(scores)], names=[*(f"c{i}" for i in range(len(kept))), "lang", "score"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)])
-    out = bounded_batches(rows).mapInArrow(predict, f"{fields}, lang string, score double")
+    out = bounded_batches(rows).mapInArrow(tidy(predict), f"{fields}, lang string, score double")
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), F.col("lang").alias(names[0]), F.col("score").alias(names[1]))
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.components import connected_components
-from docketry.llm.shared import bounded_batches, open_filesystem, scratch_path, stored
+from docketry.llm.shared import bounded_batches, open_filesystem, scratch_path, stored, tidy
 from docketry.llm.textbytes import NOT_WHITE, chunks, mix, ngrams, words
 
 N_WORDS = 3
@@ -284,9 +284,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 keep = fresh[owner]
                 yield pa.record_batch([b.column(0)[lo:hi], pa.array(np.diff(first), pa.int64()), pa.array(node.view(np.int64)), _grouped(key[keep], owner[keep], hi - lo), b.column(2)[lo:hi]], names=["id", "n", "node", "keys", "text_hash"])
 
-    described = stored(rows.mapInArrow(describe, "id long, n long, node long, keys array<long>, text_hash long"), "shingle-keys")
+    described = stored(rows.mapInArrow(tidy(describe), "id long, n long, node long, keys array<long>, text_hash long"), "shingle-keys")
     keyed = described.where("id is not null").select(F.explode("keys").alias("key"), "node")
-    stars = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_stars, "a long, b long")
+    stars = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tidy(_stars), "a long, b long")
     clusters = stored(connected_components(stars).select("node", F.col("root").alias("cluster")), "clusters")
     nodes = described.where("id is not null and n > 0").groupBy("node").agg(F.min("id").alias("least"))
     wanted = _with_blocks(clusters).join(nodes, "node").select(F.col("least").alias("id"), "node", "cluster", "blocks")
@@ -299,7 +299,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(tokens.view(np.int64)))
                 yield pa.record_batch([c[lo:hi].take(pa.array(own)) for c in b.columns[1:]] + [lists.take(pa.array(own))], names=["node", "cluster", "blocks", "tokens"])
 
-    sets = rows.join(wanted, "id").select("text", "node", "cluster", "blocks").mapInArrow(tokenize, "node long, cluster long, blocks long, tokens array<long>")
+    sets = rows.join(wanted, "id").select("text", "node", "cluster", "blocks").mapInArrow(tidy(tokenize), "node long, cluster long, blocks long, tokens array<long>")
     placed = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("cluster", "block", "blocks", "node", "tokens")
     folder = scratch_path(docs.sparkSession, "set-blocks")
 
@@ -366,7 +366,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     done = placed.repartition(n_tasks, "cluster", "block").sortWithinPartitions("cluster", "block")
-    done = stored(done.mapInArrow(compare_or_keep, "a long, b long, cluster long, block long, uri string, at long, size long, nodes array<long>"), "set-links")
+    done = stored(done.mapInArrow(tidy(compare_or_keep), "a long, b long, cluster long, block long, uri string, at long, size long, nodes array<long>"), "set-links")
     links = done.where("a is not null").select("a", "b")
     blocks = done.where("uri is not null").withColumn("side", F.expr(f"block div {SIDE_BLOCKS}"))
     if not blocks.isEmpty():
@@ -378,7 +378,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         units = units.join(leads.hint("merge"), F.col("cluster") == F.col("lead_of")).withColumn("first", (F.col("side") == F.col("s")) | (F.col("side") == F.col("lead")))
 
         def compared(some: DataFrame) -> DataFrame:
-            return some.select("pieces", "others", "cluster", "side", "s").repartition(n_tasks, "cluster", "side", "s").select("pieces", "others").mapInArrow(compare_kept, "a long, b long")
+            return some.select("pieces", "others", "cluster", "side", "s").repartition(n_tasks, "cluster", "side", "s").select("pieces", "others").mapInArrow(tidy(compare_kept), "a long, b long")
 
         links = stored(links.unionByName(compared(units.where("first"))), "first-links")
         found = stored(connected_components(links), "first-roots")

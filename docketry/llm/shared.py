@@ -7,11 +7,15 @@ Intermediate results that several branches of a plan read are written as Parquet
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docketry.session import remove_path, scratch_path, shared_root
 
-__all__ = ["bounded_batches", "free_name", "open_filesystem", "remove_path", "scratch_path", "shared_root", "stored"]
+__all__ = ["bounded_batches", "free_name", "open_filesystem", "remove_path", "scratch_path", "shared_root", "stored", "tidy"]
 
 BATCH_BYTES = 4 << 20
 
@@ -30,6 +34,28 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return to the system what Arrow and the C library (glibc only) keep of freed memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """f for mapInArrow, behind which the worker gives back the memory that it holds free.
+
+    An executor keeps as many idle workers as a stage ever had at once; what each of them would hold adds up.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, with underscores behind it until no column of df has it."""
     taken = {c.lower() for c in df.columns}

@@ -24,14 +24,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.llm import simple8b
-from docketry.llm.shared import bounded_batches, open_filesystem, scratch_path, stored
+from docketry.llm.shared import bounded_batches, open_filesystem, scratch_path, stored, tidy
 from docketry.llm.textbytes import buffers, chunks, lanes, range_hashes
 
 MAGIC = b"DKTOKEN1"
 WRITE_BLOCKS = 512
-#: Pieces that a worker keeps, of about 70 bytes each, before it forgets all. Over 87 MB of documents 0.82 million
-#: pieces were learned, and 1.36 million when it kept 400,000.
-CACHE_PIECES = 1_200_000
+#: Pieces that a worker keeps, of about 70 bytes each, before it forgets those that did not come again. A worker of
+#: Spark serves all operators of a job in turn, and an executor has more workers than cores, so each holds little.
+CACHE_PIECES = 500_000
+#: Bytes of pieces that the tokenizer takes at once; what it returns is many times as large.
+LEARN_BYTES = 1 << 16
 
 #: White space other than single spaces and line feeds between other characters.
 _UNEVEN = r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
@@ -79,14 +81,44 @@ class CachedEncoder:
         self.head = np.zeros((2, 0), np.uint64)  # the first 16 bytes of an entry, and in long_ the others
         self.long_: dict[int, bytes] = {}
         self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.again = np.zeros(0, bool)  # entries that a later call met
+
+    def _sweep(self) -> None:
+        """Forget the pieces that came in one call only; all, if that leaves more than half of the most."""
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > self.most:
+            return self._clear()
+        counts = self.at[kept + 1] - self.at[kept]
+        ends = np.cumsum(counts)
+        self.flat = self.flat[np.repeat(self.at[kept] - ends + counts, counts) + np.arange(counts.sum())]
+        self.at = np.append(0, ends)
+        self.length, self.head = self.length[kept], self.head[:, kept]
+        self.long_ = {k: self.long_[i] for k, i in enumerate(kept.tolist()) if i in self.long_}
+        own = self.again[self.row]
+        place = np.cumsum(self.again) - 1
+        self.keys, self.row = self.keys[own], place[self.row[own]]
+        self.again = np.zeros(len(kept), bool)
 
     def _tokens(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+        """Ids of each text, of which the tokenizer takes about LEARN_BYTES at once."""
+        ids, lo, size = [], 0, 0
+        for i, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= LEARN_BYTES or i == len(texts):
+                ids += [e.ids for e in self.tokenizer.encode_batch_fast(texts[lo:i], add_special_tokens=False)]
+                lo, size = i, 0
+        return ids
+
+    def _joined(self, pieces: list[bytes]) -> np.ndarray:
+        """Ids of the pieces on end; each has a space in front, so cuts between them part no pre-token."""
+        cuts = np.cumsum([len(p) for p in pieces]) // LEARN_BYTES
+        parts = np.split(np.arange(len(pieces)), np.flatnonzero(np.diff(cuts)) + 1)
+        return np.concatenate([np.array(self._tokens([b"".join(pieces[i] for i in part).decode()])[0], np.int32) for part in parts])
 
     def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
         """Add pieces with their (ascending) keys. Those with a space in front are encoded together."""
         spaced = np.array([p[0] == 0x20 for p in pieces], bool)
-        joined = np.array(self._tokens([b"".join(p for p, s in zip(pieces, spaced, strict=True) if s).decode()])[0], np.int32)
+        joined = self._joined([p for p, s in zip(pieces, spaced, strict=True) if s])
         starts = np.flatnonzero(self.opens[joined])
         if len(starts) != spaced.sum():
             spaced[:], joined, starts = False, joined[:0], starts[:0]
@@ -104,6 +136,7 @@ class CachedEncoder:
         self.long_.update({n + k: pieces[i] for k, i in enumerate(order.tolist()) if len(pieces[i]) > 16})
         row = np.empty(len(pieces), np.int64)
         row[order] = np.arange(n, n + len(pieces))
+        self.again = np.append(self.again, np.zeros(len(pieces), bool))
         where = np.searchsorted(self.keys, keys)
         self.keys, self.row = np.insert(self.keys, where, keys), np.insert(self.row, where, row)
 
@@ -121,7 +154,7 @@ class CachedEncoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Token ids of each text; a null is empty."""
         if len(self.keys) > self.most:
-            self._clear()
+            self._sweep()
         texts = texts.fill_null("")
         data, at = buffers(texts)
         whole = set(pc.indices_nonzero(pc.match_substring_regex(texts, self.uneven)).to_pylist())
@@ -140,6 +173,7 @@ class CachedEncoder:
         known = np.zeros(len(keys), bool)
         inside = where < len(self.keys)
         known[inside] = self.keys[where[inside]] == keys[inside]
+        self.again[self.row[where[known]]] = True
         piece_text = np.searchsorted(at, start, "right") - 1
         if whole:
             even = np.ones(len(texts), bool)
@@ -309,7 +343,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
 
     rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
     dealt = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
-    return stored(dealt.mapInArrow(write, "shard long, uri string, n_docs long, n_tokens long"), "token-manifest")
+    return stored(dealt.mapInArrow(tidy(write), "shard long, uri string, n_docs long, n_tokens long"), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, digest: bool = False) -> DataFrame:
@@ -337,7 +371,7 @@ def read_token_files(manifest: DataFrame, digest: bool = False) -> DataFrame:
                         last = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(own.astype(np.int32)))
                     yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), last], names=["id", "start", "n_tokens", "ids_crc32" if digest else "ids"])
 
-    return files.repartition(n, "uri").mapInArrow(read, f"id long, start long, n_tokens long, {'ids_crc32 long' if digest else 'ids array<int>'}")
+    return files.repartition(n, "uri").mapInArrow(tidy(read), f"id long, start long, n_tokens long, {'ids_crc32 long' if digest else 'ids array<int>'}")
 
 
 END_ID = 2

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from docketry.llm import decontaminate, language_id, quality, secret_scan, simple8b, textbytes, token_files
-from docketry.llm.shared import scratch_path
+from docketry.llm.shared import scratch_path, tidy
 
 SF = "/root/testdata/sf0.001"
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -466,6 +466,51 @@ def test_copies_are_encoded_once(monkeypatch):
     assert seen == ["one two", "", "a <|endoftext|> b"]
 
 
+def test_the_cache_keeps_pieces_that_come_again():
+    t, e = Tokenizer.from_file(BPE), token_files.CachedEncoder(BPE, most=100)
+    learned, learn = [], e._learn
+    e._learn = lambda keys, pieces: learned.extend(pieces) or learn(keys, pieces)
+    for i in range(12):
+        texts = ["so often the same", *(f"and number{i}x{k} once, unbelievablylongword{i}" for k in range(25))]
+        assert [x.tolist() for x in e.encode(pa.array(texts))] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+        assert len(e.keys) == len(e.at) - 1 == len(e.length) == len(e.again) <= 100 + 60
+    assert learned.count(b" often") == 1 and learned.count(b"so") == 1
+
+
+def test_the_tokenizer_takes_few_pieces_at_once(monkeypatch):
+    monkeypatch.setattr(token_files, "LEARN_BYTES", 64)
+    t, e = Tokenizer.from_file(BPE), token_files.CachedEncoder(BPE)
+    taken = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            taken.append(sum(map(len, texts)))
+            return t.encode_batch_fast(texts, **how)
+
+    e.tokenizer = Counting()
+    texts = [*(f"w{k} some number{k} and, x{k}" for k in range(300)), "two  spaces", None]
+    assert [x.tolist() for x in e.encode(pa.array(texts))] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert len(taken) > 20 and max(taken) <= 128
+
+
+def test_a_task_gives_back_what_it_freed():
+    """Small blocks freed below one that is still held stay with the process unless it is told to return them."""
+
+    def mb():
+        return sum(int(x.split()[1]) for x in open("/proc/self/smaps_rollup") if x.startswith("Pss_Anon")) // 1024
+
+    pins = []
+
+    def hold(batches):
+        blocks = [bytes(1500) for _ in range(100_000)]
+        pins.append(blocks[-1])
+        yield mb()
+
+    before = mb()
+    (during,) = tidy(hold)(iter([]))
+    assert during > before + 100 and mb() < before + 50
+
+
 def test_token_files(spark):
     t = Tokenizer.from_file(BPE)
     texts = [*ODD, "a few more words", "日本", "an <|endoftext|> inside"]
