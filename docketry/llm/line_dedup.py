@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm import line_native
 from docketry.llm.components import connected_components
 from docketry.llm.ngram_join import linked
 from docketry.llm.shared import bounded_batches, stored
@@ -437,8 +438,13 @@ def more_links(open_lines: DataFrame, texts: DataFrame, percent: int) -> DataFra
     return stored(links.unionByName(near.select(F.col("x").alias("a"), F.col("y").alias("b"))), "group-links")
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, number) of every line to drop: of each component of similar lines, all but the first place."""
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, native: bool = False) -> DataFrame:
+    """(id, number) of every line to drop: of each component of similar lines, all but the first place.
+
+    native: in DataFrame functions only (line_native), for more than twice the time; otherwise by Arrow batches in Python tasks.
+    """
+    if native:
+        return line_native.dropped_lines(docs, id_col, text_col, percent, GROUP_LINES)
     lines = stored(described_lines(docs, id_col, text_col), "lines")
     place = (F.col("id").cast("decimal(38,0)") * PLACES + F.col("number")).cast("decimal(38,0)")
     places = lines.select("id", "number", place.alias("place"), "node")
@@ -468,7 +474,7 @@ def line_count(text: Column) -> Column:
     return F.coalesce(feeds + 1, F.lit(0)).cast("long")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, native: bool = False) -> DataFrame:
     """(id, n_lines, n_dropped, dropped, text) for every row of docs; dropped: line numbers (from 0) in order.
 
     Of lines that are equal or similar (Jaccard of K-character shingles of percent or more, found by MinHash,
@@ -477,7 +483,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stays null. Rows with a null id keep all lines. Rows that repeat an id count as one document: equal lines
     at equal places of them count once. Ids are integers (or text of integers). Other columns are ignored.
     """
-    gone = dropped_lines(docs, id_col, text_col, percent).groupBy("id").agg(F.array_sort(F.collect_set("number")).alias("dropped"))
+    gone = dropped_lines(docs, id_col, text_col, percent, native).groupBy("id").agg(F.array_sort(F.collect_set("number")).alias("dropped"))
     rows = docs.select(F.col(id_col).alias("own"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     j = rows.join(gone.hint("merge"), "id", "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("dropped", i)), "\n")
